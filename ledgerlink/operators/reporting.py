@@ -15,7 +15,7 @@ from ledgerlink.schemas import MATCH_TYPES
 _ONE = "_one"
 
 
-def _join_single_rows(*frames: DataFrame) -> DataFrame:
+def join_single_rows(*frames: DataFrame) -> DataFrame:
     out = frames[0].withColumn(_ONE, F.lit(1))
     for f in frames[1:]:
         out = out.join(F.broadcast(f.withColumn(_ONE, F.lit(1))), _ONE)
@@ -39,7 +39,7 @@ def reconciliation_report(source1: DataFrame, source2: DataFrame, registry: Data
     """source rows, final rows, duplicates removed, per-type counts and the match rate (%)."""
     s1 = source1.agg(F.count(F.lit(1)).alias("source1_rows"))
     s2 = source2.agg(F.count(F.lit(1)).alias("source2_rows"))
-    counts = _join_single_rows(s1, s2, match_type_counts(registry))
+    counts = join_single_rows(s1, s2, match_type_counts(registry))
     return counts.select(
         "source1_rows", "source2_rows", "final_rows",
         (F.col("source1_rows") + F.col("source2_rows") - F.col("final_rows")).alias("duplicates_removed"),
@@ -57,7 +57,7 @@ def consolidation_ratio(source1: DataFrame, source2: DataFrame, staged: DataFram
     s1 = source1.agg(F.count(F.lit(1)).alias("source1_rows"))
     s2 = source2.agg(F.count(F.lit(1)).alias("source2_rows"))
     st = staged.agg(F.count(F.lit(1)).alias("staged_rows"))
-    return _join_single_rows(s1, s2, st).select(
+    return join_single_rows(s1, s2, st).select(
         F.round(F.col("staged_rows").cast("double")
                 / F.greatest(F.col("source1_rows") + F.col("source2_rows"), F.lit(1)).cast("double"), 4)
         .alias("value"))
@@ -85,7 +85,7 @@ def historical_average(metrics: DataFrame, name: str) -> DataFrame:
 def drift_against_history(current: DataFrame, metrics: DataFrame, metric: str, tolerance: float = 0.15,
                           default_avg: float = 0.25) -> DataFrame:
     hist = historical_average(metrics, metric)
-    both = _join_single_rows(current, hist)
+    both = join_single_rows(current, hist)
     return drift_band(both, metric, F.coalesce(F.col("historical_avg"), F.lit(default_avg)), tolerance)
 
 
