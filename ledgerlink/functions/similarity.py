@@ -5,97 +5,77 @@ strings, i.e. the normalised insertion/deletion similarity; either side empty ->
 The double arithmetic is written in that order on purpose so the value equals the usual
 library result bit for bit, which matters for the inclusive threshold.
 
-LCS uses the bit-parallel recurrence (Allison-Dix / Hyyro): one 64-bit word holds the
-state of the shorter string, so each pair costs O(len(longer)) JVM steps.  Strings whose
-shorter side exceeds ``WORD_LIMIT`` characters go through an Arrow-batched pandas UDF that
-runs the same recurrence on Python integers (no length limit); callers route only those
-rows there.
+LCS uses the bit-parallel recurrence (Allison-Dix, Hyyro): the state of the shorter
+string ``a`` lives in machine words and each character of the longer string ``b`` costs
+one add/or/and step per word.  Strings of up to 62 characters use one 64-bit word; longer
+ones use 62-bit words with the addition carry passed from word to word, so there is no
+length limit and no Python on the path.  Everything is a Spark SQL higher-order
+expression evaluated in the JVM.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# state fits a signed 64-bit word with headroom for the carry: 2 * (2^62 - 1) < 2^63
-WORD_LIMIT = 62
+WORD_BITS = 62                       # payload bits per word; 2 * (2^62 - 1) + 1 < 2^63
+LOW_BITS = (1 << WORD_BITS) - 1
 
 
-def _sql_col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _char_masks(a: str, b: str, lo: str = "0", hi: str | None = None) -> str:
+    """For each character of ``b``: bits i - lo where a[i] equals it and lo <= i < hi."""
+    guard = f" AND i >= {lo} AND i < {hi}" if hi is not None else ""
+    return (f"transform(split({b}, ''), c -> aggregate(transform(split({a}, ''), "
+            f"(x, i) -> if(x = c{guard}, shiftleft(1L, i - {lo}), 0L)), 0L, (p, q) -> p | q))")
 
 
-def _bit(i: Column) -> Column:
-    """1L << i"""
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), i)
+def lcs_single_word_sql(a: str, b: str, la: str) -> str:
+    """LCS when ``a`` (length ``la``) has at most 62 characters."""
+    full = f"(shiftleft(1L, {la}) - 1L)"
+    state = (f"aggregate({_char_masks(a, b)}, {full}, "
+             f"(v, m) -> ((v + (v & m)) | (v - (v & m))) & {full})")
+    return f"({la} - bit_count({state}))"
 
 
-def char_masks(s: Column | str) -> Column:
-    """map<char, bigint>: bit i set where s[i] is that char (s at most WORD_LIMIT long)."""
-    s = _sql_col(s)
-    chars = F.split(s, "")
-    distinct = F.array_distinct(chars)
-    masks = F.transform(distinct, lambda ch: F.aggregate(
-        F.transform(chars, lambda x, i: F.when(x == ch, _bit(i)).otherwise(F.lit(0).cast("bigint"))),
-        F.lit(0).cast("bigint"), lambda p, q: p + q))
-    return F.map_from_arrays(distinct, masks)
+def lcs_multi_word_sql(a: str, b: str, la: str) -> str:
+    """LCS for any length of ``a``: one 62-bit word per 62 characters, carry rippling up."""
+    words = f"sequence(0, (({la} + {WORD_BITS - 1}) div {WORD_BITS}) - 1)"
+    width = f"least({WORD_BITS}, {la} - w * {WORD_BITS})"
+    full_w = f"(shiftleft(1L, {width}) - 1L)"
+    masks = (f"transform(split({b}, ''), c -> transform({words}, w -> aggregate(transform(split({a}, ''), "
+             f"(x, i) -> if(x = c AND i >= w * {WORD_BITS} AND i < (w + 1) * {WORD_BITS}, "
+             f"shiftleft(1L, i - w * {WORD_BITS}), 0L)), 0L, (p, q) -> p | q)))")
+    start = f"transform({words}, w -> {full_w})"
+    add = "(v[w] + (v[w] & m[w]) + st.c)"
+    step = (f"(v, m) -> aggregate({words}, named_struct('c', 0L, 'o', cast(array() AS array<bigint>)), "
+            f"(st, w) -> named_struct('c', shiftright({add}, {WORD_BITS}), "
+            f"'o', array_append(st.o, (({add} & {LOW_BITS}L) | (v[w] - (v[w] & m[w]))) & {full_w})), "
+            f"st -> st.o)")
+    state = f"aggregate({masks}, {start}, {step})"
+    return f"({la} - aggregate({state}, 0, (acc, x) -> acc + bit_count(x)))"
 
 
-def lcs_length(masks: Column | str, a_len: Column | str, b: Column | str) -> Column:
-    """LCS length from the mask map of the shorter string ``a`` and the other string ``b``."""
-    masks, a_len, b = _sql_col(masks), _sql_col(a_len), _sql_col(b)
-    full = _bit(a_len) - F.lit(1).cast("bigint")
-    steps = F.transform(F.split(b, ""), lambda c: F.coalesce(F.try_element_at(masks, c),
-                                                            F.lit(0).cast("bigint")))
-    final = F.aggregate(steps, full, lambda v, m: (
-        (v + v.bitwiseAND(m)).bitwiseOR(v - v.bitwiseAND(m))).bitwiseAND(full))
-    return a_len - F.bit_count(final)
+def lcs_sql(a: str, b: str, la: str) -> str:
+    """LCS of ``a`` (the shorter, length ``la``) and ``b``; picks the word layout per row."""
+    return (f"CASE WHEN {la} <= {WORD_BITS} THEN {lcs_single_word_sql(a, b, la)} "
+            f"ELSE {lcs_multi_word_sql(a, b, la)} END")
 
 
 def token_sort_ratio_from_lcs(lcs: Column | str, a_len: Column | str, b_len: Column | str) -> Column:
-    lcs, a_len, b_len = _sql_col(lcs), _sql_col(a_len), _sql_col(b_len)
+    lcs, a_len, b_len = (F.col(c) if isinstance(c, str) else c for c in (lcs, a_len, b_len))
     total = (a_len + b_len).cast("double")
     dist = (a_len + b_len - F.lit(2) * lcs).cast("double")
     return F.when((a_len == 0) | (b_len == 0), F.lit(0.0)).otherwise(
         (F.lit(1.0) - dist / total) * F.lit(100.0))
 
 
-def _long_lcs_udf():
-    """Built inside a function so the UDF pickles by value: executors need no copy of
-    this package for it."""
-    def lcs_python(a: str, b: str) -> int:
-        if len(a) > len(b):
-            a, b = b, a
-        masks: dict[str, int] = {}
-        for i, ch in enumerate(a):
-            masks[ch] = masks.get(ch, 0) | (1 << i)
-        full = (1 << len(a)) - 1
-        v = full
-        for ch in b:
-            u = v & masks.get(ch, 0)
-            v = ((v + u) | (v - u)) & full
-        return len(a) - bin(v).count("1")
-
-    def lcs_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([lcs_python(x or "", y or "") for x, y in zip(a, b)], dtype="int32")
-
-    return F.pandas_udf(lcs_batch, T.IntegerType())
-
-
-def lcs_length_long(a: Column | str, b: Column | str) -> Column:
-    """Unbounded-length LCS for the rare pairs beyond WORD_LIMIT (Arrow batches)."""
-    return _long_lcs_udf()(_sql_col(a), _sql_col(b))
-
-
-def token_sort_ratio(a_clean: Column | str, b_clean: Column | str) -> Column:
-    """Self-contained ratio of two clean names (both sides <= WORD_LIMIT after sorting
-    is the native path; use ``score_pairs`` in linkage for mixed lengths)."""
-    from ledgerlink.functions.text import sort_tokens
-    a, b = sort_tokens(a_clean), sort_tokens(b_clean)
-    la, lb = F.char_length(a), F.char_length(b)
-    short = F.when(la <= lb, a).otherwise(b)
-    long_ = F.when(la <= lb, b).otherwise(a)
-    lcs = lcs_length(char_masks(short), F.least(la, lb), long_)
-    return token_sort_ratio_from_lcs(lcs, la, lb)
+def lcs_length(a: str, b: str) -> Column:
+    """LCS length of two string columns (by name), shorter one chosen per row."""
+    la, lb = f"char_length({a})", f"char_length({b})"
+    return F.expr(f"CASE WHEN {la} <= {lb} THEN {lcs_sql(a, b, la)} ELSE {lcs_sql(b, a, lb)} END")
+
+
+def token_sort_ratio(a_sorted: str, b_sorted: str) -> Column:
+    """Ratio of two already token-sorted string columns (by name)."""
+    return token_sort_ratio_from_lcs(lcs_length(a_sorted, b_sorted),
+                                     F.char_length(a_sorted), F.char_length(b_sorted))

@@ -25,9 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlink.functions.similarity import (
-    WORD_LIMIT, char_masks, lcs_length, lcs_length_long, token_sort_ratio_from_lcs,
-)
+from ledgerlink.functions.similarity import lcs_sql, token_sort_ratio_from_lcs
 from ledgerlink.functions.text import block_key, clean_name, normalize_address, sort_tokens
 
 S1_RAW = ["corporate_name_s1", "address", "activity_places", "top_suppliers"]
@@ -86,38 +84,50 @@ def prepare_source2(df: DataFrame, block_chars: int = 6) -> DataFrame:
 
 # --------------------------------------------------------------------------- collapse
 
-def _collapse(prepared: DataFrame, key: str, sfx: str, payload: list[str]) -> DataFrame:
-    """One row per key; representative = row with the smallest content id."""
-    rep = F.min(F.struct(F.col(f"row_id_{sfx}"), *[F.col(c) for c in payload])).alias("rep")
-    return (prepared.groupBy(key)
+def collapse_side(prepared: DataFrame, sfx: str) -> DataFrame:
+    """One row per clean name, and one per distinct content among blank-name rows, in a
+    single aggregate.  Representative = the row with the smallest content id (ties are
+    identical rows).  Partial aggregation runs map-side, so a name carried by a third of
+    all rows still leaves each map task as one row."""
+    payload = S1_PAYLOAD if sfx == "s1" else S2_PAYLOAD
+    clean, row_id = F.col(f"clean_name_{sfx}"), F.col(f"row_id_{sfx}")
+    blank_id = F.when(clean == "", row_id).alias("_blank_id")
+    rep = F.min(F.struct(row_id, *[F.col(c) for c in payload])).alias("rep")
+    return (prepared.groupBy(clean, blank_id)
             .agg(F.count(F.lit(1)).alias(f"n_rows_{sfx}"), rep)
-            .select(key, f"n_rows_{sfx}", f"rep.row_id_{sfx}", *[f"rep.{c}" for c in payload]))
+            .select(f"clean_name_{sfx}", f"n_rows_{sfx}", f"rep.row_id_{sfx}", *[f"rep.{c}" for c in payload]))
 
 
-def name_groups_s1(prepared_s1: DataFrame) -> DataFrame:
-    return _collapse(prepared_s1.filter(F.col("clean_name_s1") != ""), "clean_name_s1", "s1", S1_PAYLOAD)
+def named(groups: DataFrame, sfx: str) -> DataFrame:
+    return groups.filter(F.col(f"clean_name_{sfx}") != "")
 
 
-def name_groups_s2(prepared_s2: DataFrame) -> DataFrame:
-    return _collapse(prepared_s2.filter(F.col("clean_name_s2") != ""), "clean_name_s2", "s2", S2_PAYLOAD)
+def blank(groups: DataFrame, sfx: str) -> DataFrame:
+    return groups.filter(F.col(f"clean_name_{sfx}") == "")
 
 
-def _collapse_blank(prepared: DataFrame, sfx: str, payload: list[str]) -> DataFrame:
-    """Blank-name rows: identical copies collapse on their content id."""
-    rows = prepared.filter(F.col(f"clean_name_{sfx}") == "")
-    rep = F.min(F.struct(*[F.col(c) for c in payload])).alias("rep")
-    return (rows.groupBy(f"row_id_{sfx}")
-            .agg(F.count(F.lit(1)).alias(f"n_rows_{sfx}"), rep)
-            .select(F.lit("").alias(f"clean_name_{sfx}"), f"n_rows_{sfx}", f"row_id_{sfx}",
-                    *[f"rep.{c}" for c in payload]))
+def name_groups_s1(prepared_s1: DataFrame) -> DataFrame:
+    return named(collapse_side(prepared_s1, "s1"), "s1")
+
+
+def name_groups_s2(prepared_s2: DataFrame) -> DataFrame:
+    return named(collapse_side(prepared_s2, "s2"), "s2")
 
 
 def blank_groups_s1(prepared_s1: DataFrame) -> DataFrame:
-    return _collapse_blank(prepared_s1, "s1", S1_PAYLOAD)
+    return blank(collapse_side(prepared_s1, "s1"), "s1")
 
 
 def blank_groups_s2(prepared_s2: DataFrame) -> DataFrame:
-    return _collapse_blank(prepared_s2, "s2", S2_PAYLOAD)
+    return blank(collapse_side(prepared_s2, "s2"), "s2")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared spark.checkpoint.dir: the plan below is run
+    once, later branches read the files, and a lost executor costs no recomputation."""
+    from ledgerlink.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 # --------------------------------------------------------------------------- exact
@@ -168,23 +178,11 @@ def candidate_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
-    """Adds ``name_score`` (token-sort ratio).  The bit masks come from the shorter string;
-    pairs whose shorter string exceeds one machine word take the Arrow UDF path."""
-    shorter = F.least("len_s1", "len_s2")
-    staged = pairs.withColumns({
-        "_short": F.when(F.col("len_s1") <= F.col("len_s2"), F.col("sorted_s1")).otherwise(F.col("sorted_s2")),
-        "_long": F.when(F.col("len_s1") <= F.col("len_s2"), F.col("sorted_s2")).otherwise(F.col("sorted_s1")),
-        "_short_len": shorter,
-    })
-    native = (staged.filter(F.col("_short_len") <= WORD_LIMIT)
-              .withColumn("_masks", char_masks("_short"))
-              .withColumn("_lcs", lcs_length("_masks", "_short_len", "_long"))
-              .drop("_masks"))
-    wide = (staged.filter(F.col("_short_len") > WORD_LIMIT)
-            .withColumn("_lcs", lcs_length_long(F.col("_short"), F.col("_long"))))
-    scored = native.unionByName(wide)
-    return (scored.withColumn("name_score", token_sort_ratio_from_lcs("_lcs", "len_s1", "len_s2"))
-            .drop("_short", "_long", "_short_len", "_lcs"))
+    """Adds ``name_score`` (token-sort ratio), bit masks built from the shorter string."""
+    s1_short = "len_s1 <= len_s2"
+    lcs = F.expr(f"CASE WHEN {s1_short} THEN {lcs_sql('sorted_s1', 'sorted_s2', 'len_s1')} "
+                 f"ELSE {lcs_sql('sorted_s2', 'sorted_s1', 'len_s2')} END")
+    return pairs.withColumn("name_score", token_sort_ratio_from_lcs(lcs, "len_s1", "len_s2"))
 
 
 def best_partners(scored: DataFrame, threshold: float) -> DataFrame:
@@ -228,24 +226,33 @@ def _typed(df: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float = 85.0,
-                     block_chars: int = 6) -> DataFrame:
-    """One row per entity with its link kind, confidence and representative columns."""
-    p1, p2 = prepare_source1(source1, block_chars), prepare_source2(source2, block_chars)
-    names1, names2 = name_groups_s1(p1), name_groups_s2(p2)
-    return resolve_from_groups(names1, names2, blank_groups_s1(p1), blank_groups_s2(p2),
-                               threshold, block_chars)
+                     block_chars: int = 6, materialize: bool = True) -> DataFrame:
+    """One row per entity with its link kind, confidence and representative columns.
+
+    ``materialize`` checkpoints the two collapsed sides and the best-partner table, each
+    of which feeds several branches of the union (exact, fuzzy, leftovers)."""
+    g1 = collapse_side(prepare_source1(source1, block_chars), "s1")
+    g2 = collapse_side(prepare_source2(source2, block_chars), "s2")
+    if materialize:
+        g1, g2 = cut_lineage(g1), cut_lineage(g2)
+    return resolve_from_groups(named(g1, "s1"), named(g2, "s2"), blank(g1, "s1"), blank(g2, "s2"),
+                               threshold, block_chars, materialize)
 
 
 def resolve_from_groups(names1: DataFrame, names2: DataFrame, blanks1: DataFrame, blanks2: DataFrame,
-                        threshold: float = 85.0, block_chars: int = 6) -> DataFrame:
-    """Same as ``resolve_entities`` from already collapsed (possibly checkpointed) sides."""
+                        threshold: float = 85.0, block_chars: int = 6, materialize: bool = False) -> DataFrame:
+    """Same as ``resolve_entities`` from already collapsed sides."""
     exact = exact_links(names1, names2)
     u1, u2 = unlinked_s1(names1, names2), unlinked_s2(names2, names1)
-    fuzzy = fuzzy_links(u1, u2, threshold, block_chars)
-    taken1 = fuzzy.select("clean_name_s1")
-    taken2 = fuzzy.select("clean_name_s2").distinct()
-    only1 = u1.join(taken1, "clean_name_s1", "left_anti").unionByName(blanks1, allowMissingColumns=True)
-    only2 = u2.join(taken2, "clean_name_s2", "left_anti").unionByName(blanks2, allowMissingColumns=True)
+    best = best_partners(score_pairs(candidate_pairs(u1, u2, threshold, block_chars)), threshold)
+    if materialize:
+        best = cut_lineage(best)
+    fuzzy = (best.join(u1, "clean_name_s1").join(u2, "clean_name_s2")
+             .withColumns({"match_type": F.lit("fuzzy_name"), "match_confidence": F.col("name_score")}))
+    only1 = u1.join(best.select("clean_name_s1"), "clean_name_s1", "left_anti") \
+        .unionByName(blanks1, allowMissingColumns=True)
+    only2 = u2.join(best.select("clean_name_s2").distinct(), "clean_name_s2", "left_anti") \
+        .unionByName(blanks2, allowMissingColumns=True)
     parts = [_entity(exact, "exact_name"), _entity(fuzzy, "fuzzy_name"),
              _entity(only1, "source1_only", F.lit(0.0)), _entity(only2, "source2_only", F.lit(0.0))]
     out = parts[0]

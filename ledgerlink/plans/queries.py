@@ -96,8 +96,9 @@ def q_parse_lists(spark, sf):
 
 def _groups(spark, sf):
     s1, s2 = _sources(spark, sf)
-    p1, p2 = linkage.prepare_source1(s1), linkage.prepare_source2(s2)
-    return linkage.name_groups_s1(p1), linkage.name_groups_s2(p2)
+    g1 = linkage.cut_lineage(linkage.collapse_side(linkage.prepare_source1(s1), "s1"))
+    g2 = linkage.cut_lineage(linkage.collapse_side(linkage.prepare_source2(s2), "s2"))
+    return linkage.named(g1, "s1"), linkage.named(g2, "s2")
 
 
 def q_exact_match(spark, sf):
