@@ -122,12 +122,23 @@ def blank_groups_s2(prepared_s2: DataFrame) -> DataFrame:
     return blank(collapse_side(prepared_s2, "s2"), "s2")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared spark.checkpoint.dir: the plan below is run
-    once, later branches read the files, and a lost executor costs no recomputation."""
-    from ledgerlink.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "ckpt") -> DataFrame:
+    """Write a parquet table into the shared ``spark.checkpoint.dir`` and read it back.
+
+    The plan below runs once (one job, unlike an eager RDD checkpoint which computes it a
+    second time to save it), later branches read columnar files with statistics, and a
+    lost executor costs no recomputation of the upstream plan."""
+    from ledgerlink.sources.store import stage
+    return stage(df, name)
+
+
+def cut_lineage_pair(g1: DataFrame, g2: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both collapsed sides written as one tagged table (one job), read back per side;
+    the side filter and column pruning reach the parquet scan."""
+    both = cut_lineage(g1.withColumn("_side", F.lit(1))
+                       .unionByName(g2.withColumn("_side", F.lit(2)), allowMissingColumns=True), "sides")
+    return (both.filter(F.col("_side") == 1).select(*g1.columns),
+            both.filter(F.col("_side") == 2).select(*g2.columns))
 
 
 # --------------------------------------------------------------------------- exact
@@ -234,7 +245,7 @@ def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float =
     g1 = collapse_side(prepare_source1(source1, block_chars), "s1")
     g2 = collapse_side(prepare_source2(source2, block_chars), "s2")
     if materialize:
-        g1, g2 = cut_lineage(g1), cut_lineage(g2)
+        g1, g2 = cut_lineage_pair(g1, g2)
     return resolve_from_groups(named(g1, "s1"), named(g2, "s2"), blank(g1, "s1"), blank(g2, "s2"),
                                threshold, block_chars, materialize)
 
