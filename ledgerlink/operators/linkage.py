@@ -84,14 +84,14 @@ def prepare_source2(df: DataFrame, block_chars: int = 6) -> DataFrame:
 
 # --------------------------------------------------------------------------- collapse
 
-def collapse_side(prepared: DataFrame, sfx: str) -> DataFrame:
+def collapse_side(prepared: DataFrame, sfx: str, match_blank: bool = False) -> DataFrame:
     """One row per clean name, and one per distinct content among blank-name rows, in a
     single aggregate.  Representative = the row with the smallest content id (ties are
     identical rows).  Partial aggregation runs map-side, so a name carried by a third of
     all rows still leaves each map task as one row."""
     payload = S1_PAYLOAD if sfx == "s1" else S2_PAYLOAD
     clean, row_id = F.col(f"clean_name_{sfx}"), F.col(f"row_id_{sfx}")
-    blank_id = F.when(clean == "", row_id).alias("_blank_id")
+    blank_id = (F.lit(None).cast("string") if match_blank else F.when(clean == "", row_id)).alias("_blank_id")
     rep = F.min(F.struct(row_id, *[F.col(c) for c in payload])).alias("rep")
     return (prepared.groupBy(clean, blank_id)
             .agg(F.count(F.lit(1)).alias(f"n_rows_{sfx}"), rep)
@@ -180,12 +180,29 @@ def _fuzzy_keys(names: DataFrame, sfx: str, block_chars: int) -> DataFrame:
 
 
 def candidate_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float,
-                    block_chars: int = 6) -> DataFrame:
-    """Name pairs sharing a block whose lengths allow the threshold."""
+                    block_chars: int = 6, pairs_per_task: int | None = None) -> DataFrame:
+    """Name pairs sharing a block whose lengths allow the threshold.
+
+    ``pairs_per_task`` salts hot (block, length) keys: a key whose n1*n2 pairs exceed it is
+    split into ceil(n1*n2 / pairs_per_task) salts (at most n1); list-1 names go to one salt
+    by hash, list-2 names are copied to every salt of their key, so each pair is formed
+    exactly once and no task holds more than about ``pairs_per_task`` of a hot key's pairs.
+    The salt counts come from two aggregates joined on the key (no driver round trip)."""
     left = (_fuzzy_keys(unlinked1, "s1", block_chars)
             .withColumn("len_key", F.explode(partner_lengths(F.col("len_s1"), threshold))))
     right = _fuzzy_keys(unlinked2, "s2", block_chars).withColumn("len_key", F.col("len_s2"))
-    return left.join(right, ["block", "len_key"], "inner").drop("len_key")
+    keys = ["block", "len_key"]
+    if not pairs_per_task:
+        return left.join(right, keys, "inner").drop("len_key")
+    n1 = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n1"))
+    n2 = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n2"))
+    salts = n1.join(n2, keys).select(*keys, F.least(
+        F.greatest(F.ceil(F.col("_n1") * F.col("_n2") / F.lit(float(pairs_per_task))), F.lit(1)),
+        F.col("_n1")).cast("int").alias("_salts"))
+    left = left.join(salts, keys).withColumn("_salt", F.pmod(F.xxhash64("clean_name_s1"), F.col("_salts")))
+    right = (right.join(salts, keys)
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts"))
+    return left.drop("_salts").join(right, [*keys, "_salt"], "inner").drop("len_key", "_salt")
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
@@ -204,6 +221,13 @@ def best_partners(scored: DataFrame, threshold: float) -> DataFrame:
             .select("clean_name_s1", "b.clean_name_s2", (-F.col("b.neg")).alias("name_score")))
 
 
+def one_partner_per_s2(best: DataFrame) -> DataFrame:
+    """Keep each list-2 name only for its best list-1 name (score, then smaller name)."""
+    pick = F.min(F.struct((-F.col("name_score")).alias("neg"), F.col("clean_name_s1"))).alias("b")
+    return (best.groupBy("clean_name_s2").agg(pick)
+            .select("b.clean_name_s1", "clean_name_s2", (-F.col("b.neg")).alias("name_score")))
+
+
 def fuzzy_links(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float,
                 block_chars: int = 6) -> DataFrame:
     best = best_partners(score_pairs(candidate_pairs(unlinked1, unlinked2, threshold, block_chars)), threshold)
@@ -237,27 +261,41 @@ def _typed(df: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float = 85.0,
-                     block_chars: int = 6, materialize: bool = True) -> DataFrame:
+                     block_chars: int = 6, materialize: bool = True, match_blank: bool = False,
+                     one_to_one: bool = False, pairs_per_task: int | None = None) -> DataFrame:
     """One row per entity with its link kind, confidence and representative columns.
 
-    ``materialize`` checkpoints the two collapsed sides and the best-partner table, each
-    of which feeds several branches of the union (exact, fuzzy, leftovers)."""
-    g1 = collapse_side(prepare_source1(source1, block_chars), "s1")
-    g2 = collapse_side(prepare_source2(source2, block_chars), "s2")
+    materialize     write the collapsed sides and the best-partner table once (each feeds
+                    several branches of the union) into the shared checkpoint folder
+    match_blank     names that clean to '' link to each other (one exact entity) instead
+                    of staying separate one-sided entities
+    one_to_one      a list-2 name serves at most one fuzzy entity
+    pairs_per_task  salt hot fuzzy blocks (see ``candidate_pairs``)
+    """
+    g1 = collapse_side(prepare_source1(source1, block_chars), "s1", match_blank)
+    g2 = collapse_side(prepare_source2(source2, block_chars), "s2", match_blank)
     if materialize:
         g1, g2 = cut_lineage_pair(g1, g2)
-    return resolve_from_groups(named(g1, "s1"), named(g2, "s2"), blank(g1, "s1"), blank(g2, "s2"),
-                               threshold, block_chars, materialize)
+    if match_blank:
+        names1, names2 = g1, g2
+        blanks1, blanks2 = g1.filter(F.lit(False)), g2.filter(F.lit(False))
+    else:
+        names1, names2, blanks1, blanks2 = named(g1, "s1"), named(g2, "s2"), blank(g1, "s1"), blank(g2, "s2")
+    return resolve_from_groups(names1, names2, blanks1, blanks2, threshold, block_chars, materialize,
+                               one_to_one, pairs_per_task)
 
 
 def resolve_from_groups(names1: DataFrame, names2: DataFrame, blanks1: DataFrame, blanks2: DataFrame,
-                        threshold: float = 85.0, block_chars: int = 6, materialize: bool = False) -> DataFrame:
+                        threshold: float = 85.0, block_chars: int = 6, materialize: bool = False,
+                        one_to_one: bool = False, pairs_per_task: int | None = None) -> DataFrame:
     """Same as ``resolve_entities`` from already collapsed sides."""
     exact = exact_links(names1, names2)
     u1, u2 = unlinked_s1(names1, names2), unlinked_s2(names2, names1)
-    best = best_partners(score_pairs(candidate_pairs(u1, u2, threshold, block_chars)), threshold)
+    best = best_partners(score_pairs(candidate_pairs(u1, u2, threshold, block_chars, pairs_per_task)), threshold)
+    if one_to_one:
+        best = one_partner_per_s2(best)
     if materialize:
-        best = cut_lineage(best)
+        best = cut_lineage(best, "best")
     fuzzy = (best.join(u1, "clean_name_s1").join(u2, "clean_name_s2")
              .withColumns({"match_type": F.lit("fuzzy_name"), "match_confidence": F.col("name_score")}))
     only1 = u1.join(best.select("clean_name_s1"), "clean_name_s1", "left_anti") \
@@ -274,27 +312,30 @@ def resolve_from_groups(names1: DataFrame, names2: DataFrame, blanks1: DataFrame
 
 # --------------------------------------------------------------------------- rows
 
-def link_rows(source1: DataFrame, source2: DataFrame, entities: DataFrame, block_chars: int = 6) -> DataFrame:
-    """Every input row with the entity it belongs to: (source, row_id, corporate_id, match_type)."""
+def link_rows(source1: DataFrame, source2: DataFrame, entities: DataFrame, block_chars: int = 6,
+              match_blank: bool = False) -> DataFrame:
+    """Every input row with the entity it belongs to: (source, row_id, corporate_id, match_type).
+
+    Rows join their entity on the clean name (blank names on the content id).  The entity
+    side has one row per name, so a hot name only lengthens the streamed side, which AQE
+    splits; a list-2 name taken by several fuzzy entities maps its rows to each of them."""
     ids = entities.select("corporate_id", "match_type", "clean_name_s1", "clean_name_s2", "row_id_s1", "row_id_s2")
-    p1 = prepare_source1(source1, block_chars).select("row_id_s1", "clean_name_s1")
-    p2 = prepare_source2(source2, block_chars).select("row_id_s2", "clean_name_s2")
-    named1 = (p1.filter(F.col("clean_name_s1") != "")
-              .join(ids.filter(F.col("clean_name_s1") != "").select("clean_name_s1", "corporate_id", "match_type"),
-                    "clean_name_s1"))
-    blank1 = (p1.filter(F.col("clean_name_s1") == "")
-              .join(ids.filter(F.col("clean_name_s1") == "").select("row_id_s1", "corporate_id", "match_type"),
-                    "row_id_s1"))
-    # list-2 rows: exact links by name; fuzzy/source2_only by the list-2 name they carry
-    ids2 = ids.filter(F.col("clean_name_s2") != "").select("clean_name_s2", "corporate_id", "match_type")
-    named2 = p2.filter(F.col("clean_name_s2") != "").join(ids2, "clean_name_s2")
-    blank2 = (p2.filter(F.col("clean_name_s2") == "")
-              .join(ids.filter(F.col("clean_name_s2") == "").select("row_id_s2", "corporate_id", "match_type"),
-                    "row_id_s2"))
-    return (named1.select(F.lit("source1").alias("source"), F.col("row_id_s1").alias("row_id"), "corporate_id", "match_type")
-            .unionByName(blank1.select(F.lit("source1").alias("source"), F.col("row_id_s1").alias("row_id"), "corporate_id", "match_type"))
-            .unionByName(named2.select(F.lit("source2").alias("source"), F.col("row_id_s2").alias("row_id"), "corporate_id", "match_type"))
-            .unionByName(blank2.select(F.lit("source2").alias("source"), F.col("row_id_s2").alias("row_id"), "corporate_id", "match_type")))
+    out = None
+    for sfx, src, prepared in (("s1", "source1", prepare_source1(source1, block_chars)),
+                               ("s2", "source2", prepare_source2(source2, block_chars))):
+        clean, row_id = f"clean_name_{sfx}", f"row_id_{sfx}"
+        rows = prepared.select(row_id, clean)
+        by_name = F.lit(True) if match_blank else F.col(clean) != ""
+        named_rows = rows.filter(by_name).join(
+            ids.filter(F.col(clean).isNotNull() & by_name).select(clean, "corporate_id", "match_type"), clean)
+        parts = [named_rows]
+        if not match_blank:
+            parts.append(rows.filter(F.col(clean) == "").join(
+                ids.filter(F.col(clean) == "").select(row_id, "corporate_id", "match_type"), row_id))
+        for part in parts:
+            part = part.select(F.lit(src).alias("source"), F.col(row_id).alias("row_id"), "corporate_id", "match_type")
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
 def block_statistics(source1: DataFrame, source2: DataFrame, block_chars: int = 6) -> DataFrame:

@@ -90,3 +90,38 @@ def test_block_statistics(spark):
     assert stats["abcdef"]["names_s1"] == 1 and stats["abcdef"]["names_s2"] == 2
     assert stats["abcdef"]["candidate_pairs"] == 2
     assert stats["umbrel"]["names_s2"] == 0
+
+
+def test_match_blank_restores_blank_links(spark):
+    s1, s2 = sources(spark)
+    ent = L.resolve_entities(s1, s2, 85.0, match_blank=True)
+    blank = ent.filter("clean_name_s1 = '' OR clean_name_s2 = ''").collect()
+    assert len(blank) == 1 and blank[0]["match_type"] == "exact_name"
+    import hashlib
+    assert blank[0]["corporate_id"] == hashlib.sha256(b"").hexdigest()
+    links = L.link_rows(s1, s2, ent, match_blank=True)
+    assert links.filter("source = 'source1'").count() == s1.count()
+
+
+def test_one_to_one(spark):
+    s1 = spark.createDataFrame([("abcdefgh1", None, None, None), ("abcdefgh12", None, None, None)], S1)
+    s2 = spark.createDataFrame([("abcdefgh", None, 1.0, 1.0)], S2)
+    default = {r["clean_name_s1"]: r["match_type"] for r in L.resolve_entities(s1, s2, 85.0).collect() if r["clean_name_s1"]}
+    assert default == {"abcdefgh1": "fuzzy_name", "abcdefgh12": "fuzzy_name"}
+    strict = {r["clean_name_s1"]: r["match_type"] for r in L.resolve_entities(s1, s2, 85.0, one_to_one=True).collect()
+              if r["clean_name_s1"]}
+    assert strict == {"abcdefgh1": "fuzzy_name", "abcdefgh12": "source1_only"}
+
+
+def test_salting_hot_blocks_changes_nothing(spark):
+    from ledgerlink.sources import fixtures
+    s1, s2 = fixtures.company_sources(spark, "/root/testdata/sf0.01")
+    plain = L.resolve_entities(s1, s2, 85.0)
+    salted = L.resolve_entities(s1, s2, 85.0, pairs_per_task=1)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+    # hand-made hot block: 30 x 30 near-identical names in one (block, length) key
+    h1 = spark.createDataFrame([(f"hotblock {i:02d}", None, None, None) for i in range(30)], S1)
+    h2 = spark.createDataFrame([(f"hotblock {i:02d}x", None, 1.0, 1.0) for i in range(30)], S2)
+    a = L.resolve_entities(h1, h2, 85.0).collect()
+    b = L.resolve_entities(h1, h2, 85.0, pairs_per_task=50).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
