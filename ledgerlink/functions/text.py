@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,39 +20,54 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _word_tokens(c: Column | str) -> Column:
-    """lower-case; each run of characters outside [a-z0-9] becomes one separator; no empty tokens."""
-    spaced = F.regexp_replace(F.lower(F.coalesce(_col(c), F.lit(""))), r"[^a-z0-9]+", " ")
-    return F.filter(F.split(spaced, " "), lambda t: t != "")
+def _spaced_words(c: Column | str) -> Column:
+    """lower-case; each run of characters outside [a-z0-9] becomes one space."""
+    return F.regexp_replace(F.lower(F.coalesce(_col(c), F.lit(""))), r"[^a-z0-9]+", " ")
+
+
+def _whole_word(words) -> str:
+    """Regex matching any of ``words`` as a whole space-delimited token."""
+    alternatives = "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True))
+    return rf"(^| )({alternatives})(?= |$)"
+
+
+def _squeeze(c: Column) -> Column:
+    return F.trim(F.regexp_replace(c, " {2,}", " "))
 
 
 def clean_name(c: Column | str) -> Column:
-    """Company name key: null/blank -> '', suffix tokens removed, single-space joined."""
-    tokens = _word_tokens(c)
-    return F.array_join(F.filter(tokens, lambda t: ~t.isin(*CORPORATE_SUFFIXES)), " ")
+    """Company name key: null/blank -> '', suffix tokens removed anywhere, single-space joined.
+    Regex-only (code-generated; no per-token lambdas)."""
+    dropped = F.regexp_replace(_spaced_words(c), _whole_word(CORPORATE_SUFFIXES), "$1")
+    return _squeeze(dropped)
 
 
 def normalize_address(c: Column | str) -> Column:
     """Address key: same tokenisation as names, street words abbreviated, nothing dropped."""
-    def abbreviate(t: Column) -> Column:
-        out = None
-        for word, short in ADDRESS_ABBREVIATIONS.items():
-            out = (F.when(t == word, F.lit(short)) if out is None
-                   else out.when(t == word, F.lit(short)))
-        return out.otherwise(t)
-    return F.array_join(F.transform(_word_tokens(c), abbreviate), " ")
+    out = _spaced_words(c)
+    for word, short in ADDRESS_ABBREVIATIONS.items():
+        out = F.regexp_replace(out, _whole_word([word]), f"$1{short}")
+    return _squeeze(out)
+
+
+def _tidy_list(c: Column | str) -> Column:
+    """Pipe list with whitespace around items removed and blank items dropped."""
+    s = F.regexp_replace(F.coalesce(_col(c), F.lit("")), r"\s*\|\s*", "|")
+    s = F.regexp_replace(s, r"\|{2,}", "|")
+    return F.regexp_replace(s, r"^[\s|]+|[\s|]+$", "")
 
 
 def parse_list(c: Column | str) -> Column:
     """Pipe-delimited text -> array<string>: null/'' -> [], items trimmed, blank items dropped."""
-    parts = F.split(F.coalesce(_col(c), F.lit("")), r"\|")
-    trimmed = F.transform(parts, lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
-    return F.filter(trimmed, lambda x: x != "")
+    tidy = _tidy_list(c)
+    return F.when(tidy == "", F.array().cast("array<string>")).otherwise(F.split(tidy, r"\|"))
 
 
 def list_size(c: Column | str) -> Column:
     """Number of non-blank items of a pipe list (0 for null or '')."""
-    return F.size(parse_list(c))
+    tidy = _tidy_list(c)
+    return F.when(tidy == "", F.lit(0)).otherwise(
+        F.char_length(tidy) - F.char_length(F.regexp_replace(tidy, r"\|", "")) + F.lit(1))
 
 
 def block_key(clean: Column | str, chars: int = 6) -> Column:
