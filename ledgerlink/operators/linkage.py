@@ -161,15 +161,15 @@ def unlinked_s2(names2: DataFrame, names1: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- fuzzy
 
-def partner_lengths(length: Column, threshold: float) -> Column:
-    """Lengths a partner may have and still reach ``threshold`` (one extra on each side,
-    so float rounding at the edge can never drop a passing pair)."""
+def partner_length_range(length: Column, threshold: float) -> tuple[Column, Column]:
+    """[lo, hi]: lengths a partner may have and still reach ``threshold`` (one extra on
+    each side, so float rounding at the edge can never drop a passing pair)."""
     if threshold <= 0:
         raise ValueError("length pruning needs a positive threshold")
     t = min(float(threshold), 100.0)  # above 100 nothing passes; the wider range is harmless
-    lo = F.floor(length * F.lit(t / (200.0 - t))) - F.lit(1)
-    hi = F.ceil(length * F.lit((200.0 - t) / t)) + F.lit(1)
-    return F.sequence(F.greatest(lo.cast("int"), F.lit(1)), F.greatest(hi.cast("int"), F.lit(1)))
+    lo = F.greatest((F.floor(length * F.lit(t / (200.0 - t))) - F.lit(1)).cast("int"), F.lit(1))
+    hi = F.greatest((F.ceil(length * F.lit((200.0 - t) / t)) + F.lit(1)).cast("int"), F.lit(1))
+    return lo, hi
 
 
 def _fuzzy_keys(names: DataFrame, sfx: str, block_chars: int) -> DataFrame:
@@ -180,29 +180,41 @@ def _fuzzy_keys(names: DataFrame, sfx: str, block_chars: int) -> DataFrame:
 
 
 def candidate_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float,
-                    block_chars: int = 6, pairs_per_task: int | None = None) -> DataFrame:
+                    block_chars: int = 6, pairs_per_task: int | None = None,
+                    length_band: int = 4) -> DataFrame:
     """Name pairs sharing a block whose lengths allow the threshold.
 
-    ``pairs_per_task`` salts hot (block, length) keys: a key whose n1*n2 pairs exceed it is
+    Join key (block, length band): a list-2 name sits in band len // length_band, a list-1
+    name is copied to the bands its admissible partner lengths cover (3-5 copies for
+    ordinary names) and the exact length window is a residual join condition.  Hot blocks
+    are thereby split by length; pairs are exactly those of a block-only join that can pass.
+
+    ``pairs_per_task`` salts hot (block, band) keys: a key whose n1*n2 pairs exceed it is
     split into ceil(n1*n2 / pairs_per_task) salts (at most n1); list-1 names go to one salt
     by hash, list-2 names are copied to every salt of their key, so each pair is formed
     exactly once and no task holds more than about ``pairs_per_task`` of a hot key's pairs.
     The salt counts come from two aggregates joined on the key (no driver round trip)."""
-    left = (_fuzzy_keys(unlinked1, "s1", block_chars)
-            .withColumn("len_key", F.explode(partner_lengths(F.col("len_s1"), threshold))))
-    right = _fuzzy_keys(unlinked2, "s2", block_chars).withColumn("len_key", F.col("len_s2"))
-    keys = ["block", "len_key"]
-    if not pairs_per_task:
-        return left.join(right, keys, "inner").drop("len_key")
-    n1 = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n1"))
-    n2 = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n2"))
-    salts = n1.join(n2, keys).select(*keys, F.least(
-        F.greatest(F.ceil(F.col("_n1") * F.col("_n2") / F.lit(float(pairs_per_task))), F.lit(1)),
-        F.col("_n1")).cast("int").alias("_salts"))
-    left = left.join(salts, keys).withColumn("_salt", F.pmod(F.xxhash64("clean_name_s1"), F.col("_salts")))
-    right = (right.join(salts, keys)
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts"))
-    return left.drop("_salts").join(right, [*keys, "_salt"], "inner").drop("len_key", "_salt")
+    w = int(length_band)
+    lo, hi = partner_length_range(F.col("len_s1"), threshold)
+    left = (_fuzzy_keys(unlinked1, "s1", block_chars).withColumns({"_lo": lo, "_hi": hi})
+            .withColumn("_band", F.explode(F.sequence(F.floor(F.col("_lo") / w).cast("int"),
+                                                      F.floor(F.col("_hi") / w).cast("int")))))
+    right = (_fuzzy_keys(unlinked2, "s2", block_chars)
+             .withColumn("_band", F.floor(F.col("len_s2") / w).cast("int")))
+    keys = ["block", "_band"]
+    if pairs_per_task:
+        n1 = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n1"))
+        n2 = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n2"))
+        salts = n1.join(n2, keys).select(*keys, F.least(
+            F.greatest(F.ceil(F.col("_n1") * F.col("_n2") / F.lit(float(pairs_per_task))), F.lit(1)),
+            F.col("_n1")).cast("int").alias("_salts"))
+        left = (left.join(salts, keys).withColumn("_salt", F.pmod(F.xxhash64("clean_name_s1"), F.col("_salts")))
+                .drop("_salts"))
+        right = (right.join(salts, keys)
+                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts"))
+        keys = [*keys, "_salt"]
+    pairs = left.join(right, keys, "inner").filter(F.col("len_s2").between(F.col("_lo"), F.col("_hi")))
+    return pairs.drop("_band", "_salt", "_lo", "_hi")
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
