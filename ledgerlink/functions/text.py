@@ -50,11 +50,15 @@ def normalize_address(c: Column | str) -> Column:
     return _squeeze(out)
 
 
+# whitespace as Python's str.strip sees it: ASCII, information separators, NEL, Unicode separators
+_WS = r"\s\x1c-\x1f\x85\p{Z}"
+
+
 def _tidy_list(c: Column | str) -> Column:
     """Pipe list with whitespace around items removed and blank items dropped."""
-    s = F.regexp_replace(F.coalesce(_col(c), F.lit("")), r"\s*\|\s*", "|")
+    s = F.regexp_replace(F.coalesce(_col(c), F.lit("")), rf"[{_WS}]*\|[{_WS}]*", "|")
     s = F.regexp_replace(s, r"\|{2,}", "|")
-    return F.regexp_replace(s, r"^[\s|]+|[\s|]+$", "")
+    return F.regexp_replace(s, rf"^[{_WS}|]+|[{_WS}|]+$", "")
 
 
 def parse_list(c: Column | str) -> Column:

@@ -17,7 +17,7 @@ from ledgerlink.functions.text import block_key, clean_name, normalize_address,
 from ledgerlink.operators import evaluation, features, learning, linkage, quality, reporting, upsert
 from ledgerlink.operators.harmonize import harmonize_records
 from ledgerlink.schemas import REGISTRY_COLUMNS
-from ledgerlink.session import checkpoint_root
+from ledgerlink.session import checkpoint_root, delete_on_exit
 from ledgerlink.sources import companies, fixtures, store
 
 # Fixed parameters of the registered runs.
@@ -43,7 +43,9 @@ def _registry(spark: SparkSession, sf: str, batch: str = "batch_001", cutoff: st
 
 
 def _scratch(spark: SparkSession, what: str) -> str:
-    return f"{checkpoint_root(spark)}/ledgerlink-{what}/{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/ledgerlink-{what}/{uuid.uuid4().hex}"
+    delete_on_exit(spark, path)
+    return path
 
 
 # ---------------------------------------------------------------- sources

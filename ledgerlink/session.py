@@ -74,3 +74,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Ask the cluster file system to remove ``path`` when this application ends
+    (transient staging copies and lineage cuts).  No-op where the JVM is not reachable."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    except Exception:  # noqa: BLE001 - best effort only
+        pass

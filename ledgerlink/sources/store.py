@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from ledgerlink.operators.harmonize import conform
 from ledgerlink.operators.upsert import assert_unique_keys, merge_upsert
 from ledgerlink.schemas import REGISTRY_KEY, REGISTRY_SCHEMA
-from ledgerlink.session import checkpoint_root
+from ledgerlink.session import checkpoint_root, delete_on_exit
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -105,6 +105,7 @@ def stage(df: DataFrame, name: str = "staging") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/ledgerlink-{name}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
