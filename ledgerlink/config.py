@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class RunConfig:
+    # The defaults below equal the reference's configuration.
     batch_id: str = "batch_001"
     # fuzzy acceptance: token-sort ratio >= threshold (inclusive)
     match_threshold: float = 85.0

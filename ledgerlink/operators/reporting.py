@@ -1,8 +1,8 @@
 """Reconciliation counts, consolidation ratio and drift bands as one-row DataFrames.
 
 Counts come from single aggregate passes (``count_if`` per match type) rather than one
-job per filter; one-row aggregates are combined by an equi-join on a constant key, which
-is bounded (exactly one row each side) and broadcast.
+job per filter.  One-row aggregates are combined without any join: they are unioned
+(each frame brings its own columns) and folded by one ``max`` per column.
 """
 
 from __future__ import annotations
@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 
 from ledgerlink.schemas import MATCH_TYPES
 
-_ONE = "_one"
-
-
-def join_single_rows(*frames: DataFrame) -> DataFrame:
-    out = frames[0].withColumn(_ONE, F.lit(1))
+def combine_single_rows(*frames: DataFrame) -> DataFrame:
+    """Single-row frames with distinct columns -> one row with all their columns."""
+    out = frames[0]
     for f in frames[1:]:
-        out = out.join(F.broadcast(f.withColumn(_ONE, F.lit(1))), _ONE)
-    return out.drop(_ONE)
+        out = out.unionByName(f, allowMissingColumns=True)
+    columns = [c for f in frames for c in f.columns]
+    return out.agg(*[F.max(c).alias(c) for c in columns])
 
 
 def match_type_counts(registry: DataFrame) -> DataFrame:
@@ -39,7 +38,7 @@ def reconciliation_report(source1: DataFrame, source2: DataFrame, registry: Data
     """source rows, final rows, duplicates removed, per-type counts and the match rate (%)."""
     s1 = source1.agg(F.count(F.lit(1)).alias("source1_rows"))
     s2 = source2.agg(F.count(F.lit(1)).alias("source2_rows"))
-    counts = join_single_rows(s1, s2, match_type_counts(registry))
+    counts = combine_single_rows(s1, s2, match_type_counts(registry))
     return counts.select(
         "source1_rows", "source2_rows", "final_rows",
         (F.col("source1_rows") + F.col("source2_rows") - F.col("final_rows")).alias("duplicates_removed"),
@@ -57,7 +56,7 @@ def consolidation_ratio(source1: DataFrame, source2: DataFrame, staged: DataFram
     s1 = source1.agg(F.count(F.lit(1)).alias("source1_rows"))
     s2 = source2.agg(F.count(F.lit(1)).alias("source2_rows"))
     st = staged.agg(F.count(F.lit(1)).alias("staged_rows"))
-    return join_single_rows(s1, s2, st).select(
+    return combine_single_rows(s1, s2, st).select(
         F.round(F.col("staged_rows").cast("double")
                 / F.greatest(F.col("source1_rows") + F.col("source2_rows"), F.lit(1)).cast("double"), 4)
         .alias("value"))
@@ -85,7 +84,7 @@ def historical_average(metrics: DataFrame, name: str) -> DataFrame:
 def drift_against_history(current: DataFrame, metrics: DataFrame, metric: str, tolerance: float = 0.15,
                           default_avg: float = 0.25) -> DataFrame:
     hist = historical_average(metrics, metric)
-    both = join_single_rows(current, hist)
+    both = combine_single_rows(current, hist)
     return drift_band(both, metric, F.coalesce(F.col("historical_avg"), F.lit(default_avg)), tolerance)
 
 

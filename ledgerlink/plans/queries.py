@@ -321,7 +321,7 @@ def q_run_metrics(spark, sf):
     preds = learning.score(learning.fit(learning.logistic_pipeline(), train), test)
     auc = evaluation.rank_auc(preds, "prediction_score", "label")
     counts = features.split_counts(features.hash_split(_features(spark, sf)))
-    both = reporting.join_single_rows(auc, counts)
+    both = reporting.combine_single_rows(auc, counts)
     return both.select(F.lit("registered").alias("run_id"), F.lit("batch_001").alias("batch_id"),
                        F.lit("model").alias("kind"),
                        F.explode(F.array(

@@ -47,7 +47,7 @@ def train_model(spark: SparkSession, input_parquet: str, model_output: str, kind
     learning.save_model(model, model_output)
     auc = evaluation.rank_auc(preds, "prediction_score", "label")
     counts = features.split_counts(split)
-    metrics = reporting.join_single_rows(auc, counts, df.agg(F.count(F.lit(1)).alias("rows")))
+    metrics = reporting.combine_single_rows(auc, counts, df.agg(F.count(F.lit(1)).alias("rows")))
     report = evaluation.classification_report(preds, "label", "prediction")
     if metrics_root:
         m = metrics.select(F.explode(F.array(*[
