@@ -36,6 +36,20 @@ def build_session(master: str | None = None, app_name: str = "ledgerlink",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run: shuffle partitions so each holds about
+    ``target_partition_bytes`` of the input (at least 2 per core; AQE coalesces small ones
+    and splits skewed ones), scan splits of the same size, skew thresholds to match."""
+    partitions = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the local bench."""
     return build_session(f"local[{cores}]", conf={

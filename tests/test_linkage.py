@@ -125,3 +125,21 @@ def test_salting_hot_blocks_changes_nothing(spark):
     a = L.resolve_entities(h1, h2, 85.0).collect()
     b = L.resolve_entities(h1, h2, 85.0, pairs_per_task=50).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_planted_truth_precision_recall(spark):
+    """The part key is the last token of every derived name: a link is right when both
+    clean names end in the same key.  Keys with % 10 in (4, 5) are the planted pairs."""
+    from ledgerlink.sources import fixtures
+    s1, s2 = fixtures.company_sources(spark, "/root/testdata/sf0.01")
+    ent = L.resolve_entities(s1, s2, 85.0)
+    links = ent.filter(F.col("match_type").isin("exact_name", "fuzzy_name"))
+    key1 = F.element_at(F.split("clean_name_s1", " "), -1)
+    key2 = F.element_at(F.split("clean_name_s2", " "), -1)
+    right = links.filter(key1 == key2)
+    planted = L.prepare_source1(s1).select(key1.alias("k")).filter(F.col("k").cast("int") % 10 >= 4).count()
+    n_links, n_right = links.count(), right.count()
+    assert planted == 400
+    assert n_right == 400                     # recall 1.0
+    assert n_right / n_links >= 0.99          # precision: a couple of near-identical false pairs
+    assert right.filter("match_type = 'exact_name'").count() == 200

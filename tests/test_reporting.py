@@ -38,3 +38,10 @@ def test_consolidation_ratio_and_history(spark):
     empty = hist.filter(F.lit(False))
     d = drift_against_history(spark.createDataFrame([(0.66,)], "value double"), empty, "consolidation_ratio", 0.15).first()
     assert d["historical_avg"] == 0.25 and d["is_anomaly"] is True
+
+
+def test_scale_conf():
+    from ledgerlink.session import scale_conf
+    c = scale_conf(100 * 2**40, 8000)          # 100 TiB on 1000 executors x 8 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(10, 8)["spark.sql.shuffle.partitions"] == "16"
