@@ -54,7 +54,7 @@ def quality_report(df: DataFrame, source: str, min_rows: int, name_column: str |
         spread_ok = (F.col("max_revenue").isNull() | F.col("avg_revenue").isNull()
                      | ~(F.col("max_revenue") > F.col("avg_revenue") * F.lit(spread_factor)))
         rules.append(_rule(source, "revenue_spread", revenue_column,
-                           F.round(F.col("max_revenue") / F.col("avg_revenue"), 6), F.lit(spread_factor), spread_ok))
+                           F.round(F.try_divide(F.col("max_revenue"), F.col("avg_revenue")), 6), F.lit(spread_factor), spread_ok))
     return stats.select(F.explode(F.array(*rules)).alias("r")).select("r.*")
 
 
