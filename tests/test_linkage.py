@@ -143,3 +143,18 @@ def test_planted_truth_precision_recall(spark):
     assert n_right == 400                     # recall 1.0
     assert n_right / n_links >= 0.99          # precision: a couple of near-identical false pairs
     assert right.filter("match_type = 'exact_name'").count() == 200
+
+
+def test_empty_side_and_null_names(spark):
+    s1, s2 = sources(spark)
+    empty2 = s2.filter(F.lit(False))
+    ent = L.resolve_entities(s1, empty2, 85.0)
+    assert {r["match_type"] for r in ent.collect()} == {"source1_only"}
+    assert ent.count() == 6                      # 7 rows, two spell the same name
+    nulls = spark.createDataFrame([(None, None, None, None), (None, None, None, None)], S1)
+    ent = L.resolve_entities(nulls, empty2, 85.0).collect()
+    assert len(ent) == 1 and ent[0]["n_rows_s1"] == 2 and ent[0]["match_type"] == "source1_only"
+    from ledgerlink.operators.reporting import reconciliation_report
+    from ledgerlink.operators.harmonize import harmonize_records
+    r = reconciliation_report(nulls, empty2, harmonize_records(L.resolve_entities(nulls, empty2))).first()
+    assert (r["final_rows"], r["duplicates_removed"], r["match_rate_pct"]) == (1, 1, 0.0)
