@@ -22,11 +22,12 @@ WORD_BITS = 62                       # payload bits per word; 2 * (2^62 - 1) + 1
 LOW_BITS = (1 << WORD_BITS) - 1
 
 
-def _char_masks(a: str, b: str, lo: str = "0", hi: str | None = None) -> str:
-    """For each character of ``b``: bits i - lo where a[i] equals it and lo <= i < hi."""
-    guard = f" AND i >= {lo} AND i < {hi}" if hi is not None else ""
+def _char_masks(a: str, b: str) -> str:
+    """For each character of ``b``: the bit set of positions i where a[i] equals it.
+    Built in one array pass per pair (O(|a|*|b|)), so nothing inside the recurrence's
+    lambda needs re-evaluating per step."""
     return (f"transform(split({b}, ''), c -> aggregate(transform(split({a}, ''), "
-            f"(x, i) -> if(x = c{guard}, shiftleft(1L, i - {lo}), 0L)), 0L, (p, q) -> p | q))")
+            f"(x, i) -> if(x = c, shiftleft(1L, i), 0L)), 0L, (p, q) -> p | q))")
 
 
 def lcs_single_word_sql(a: str, b: str, la: str) -> str:

@@ -106,22 +106,6 @@ def blank(groups: DataFrame, sfx: str) -> DataFrame:
     return groups.filter(F.col(f"clean_name_{sfx}") == "")
 
 
-def name_groups_s1(prepared_s1: DataFrame) -> DataFrame:
-    return named(collapse_side(prepared_s1, "s1"), "s1")
-
-
-def name_groups_s2(prepared_s2: DataFrame) -> DataFrame:
-    return named(collapse_side(prepared_s2, "s2"), "s2")
-
-
-def blank_groups_s1(prepared_s1: DataFrame) -> DataFrame:
-    return blank(collapse_side(prepared_s1, "s1"), "s1")
-
-
-def blank_groups_s2(prepared_s2: DataFrame) -> DataFrame:
-    return blank(collapse_side(prepared_s2, "s2"), "s2")
-
-
 def cut_lineage(df: DataFrame, name: str = "ckpt") -> DataFrame:
     """Write a parquet table into the shared ``spark.checkpoint.dir`` and read it back.
 
