@@ -110,12 +110,16 @@ def stage(df: DataFrame, name: str = "staging") -> DataFrame:
 
 
 def commit_upsert(spark: SparkSession, root: str, staged: DataFrame, batch_id: str,
-                  update_columns=None) -> int:
-    """MERGE staged rows into the current version and commit the result as a new version."""
-    create_registry(spark, root)
+                  update_columns=None, check_keys: bool = True) -> int:
+    """MERGE staged rows into the current version and commit the result as a new version.
+    ``check_keys`` fails on repeated staged keys first (one aggregate over the batch)."""
     staged = conform(staged)
-    assert_unique_keys(staged)
+    if check_keys:
+        assert_unique_keys(staged)
     current = current_commit(spark, root)
+    if current is None:
+        create_registry(spark, root)
+        current = current_commit(spark, root)
     target = spark.read.schema(REGISTRY_SCHEMA).parquet(current["snapshot"])
     merged = merge_upsert(target, staged, REGISTRY_KEY, update_columns)
     path = _write_snapshot(merged, root)
