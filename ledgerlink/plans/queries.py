@@ -226,6 +226,16 @@ def q_reconciliation(spark, sf):
     return reporting.reconciliation_report(s1, s2, harmonize_records(linkage.resolve_entities(s1, s2, THRESHOLD), RUN_TS))
 
 
+def q_registry_view_counts(spark, sf):
+    """The registry as a temporary view, queried with SQL (per link kind: rows, presence, score range)."""
+    _registry(spark, sf).createOrReplaceTempView("ledgerlink_registry")
+    return spark.sql("""
+        SELECT match_type, count(*) AS rows,
+               count_if(source1_present AND source2_present) AS both_sources,
+               min(match_confidence) AS min_confidence, max(match_confidence) AS max_confidence
+        FROM ledgerlink_registry GROUP BY match_type""")
+
+
 def q_block_stats(spark, sf):
     s1, s2 = _sources(spark, sf)
     return linkage.block_statistics(s1, s2)

@@ -333,6 +333,10 @@ def statements() -> dict[str, str]:
               o1 AS source1_only, o2 AS source2_only,
               round(CAST(ex + fz AS DOUBLE) / CAST(greatest(fin, 1) AS DOUBLE) * 100.0::DOUBLE, 2) AS match_rate_pct
             FROM ({recon_counts})""", BASE),
+        "registry_view_counts": with_("""SELECT match_type, count(*) AS rows,
+              count_if(source1_present AND source2_present) AS both_sources,
+              min(match_confidence) AS min_confidence, max(match_confidence) AS max_confidence
+            FROM reg GROUP BY match_type""", BASE),
         "block_stats": with_("""SELECT coalesce(a.block, b.block) AS block, coalesce(names_s1, 0) AS names_s1,
               coalesce(rows_s1, 0) AS rows_s1, coalesce(names_s2, 0) AS names_s2, coalesce(rows_s2, 0) AS rows_s2,
               coalesce(names_s1, 0) * coalesce(names_s2, 0) AS candidate_pairs
