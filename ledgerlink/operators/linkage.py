@@ -163,8 +163,40 @@ def _fuzzy_keys(names: DataFrame, sfx: str, block_chars: int) -> DataFrame:
             .withColumn(f"len_{sfx}", F.char_length(f"sorted_{sfx}")))
 
 
+DEFAULT_PAIRS_PER_TASK = 1_000_000
+
+
+def _salt_grid(left: DataFrame, right: DataFrame, keys: list[str], pairs_per_task: int):
+    """Split hot keys into a grid of cells holding at most about ``pairs_per_task`` pairs.
+
+    A key with n1*n2 > budget gets k1 = ceil(n1/r) x k2 = ceil(n2/r) cells, r = sqrt(budget):
+    a list-1 name goes to row ``hash % k1`` and is copied to every column of it, a list-2
+    name goes to column ``hash % k2`` and is copied to every row, so each pair meets in
+    exactly one cell.  Replication (n1*k2 + n2*k1) stays far below the n1*n2 pairs it
+    spreads.  Only hot keys appear in the grid table; every other key keeps one cell."""
+    r = max(1, math.isqrt(int(pairs_per_task)))
+    n1 = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n1"))
+    n2 = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n2"))
+    grid = (n1.join(n2, keys)
+            .filter(F.col("_n1") * F.col("_n2") > F.lit(int(pairs_per_task)))
+            .select(*keys, F.ceil(F.col("_n1") / F.lit(r)).cast("int").alias("_k1"),
+                    F.ceil(F.col("_n2") / F.lit(r)).cast("int").alias("_k2")))
+
+    def cells(df: DataFrame, own: str, other: str, own_k: str, other_k: str, name: str) -> DataFrame:
+        df = (df.join(grid, keys, "left")
+              .withColumn(own_k, F.coalesce(F.col(own_k), F.lit(1)))
+              .withColumn(other_k, F.coalesce(F.col(other_k), F.lit(1))))
+        return (df.withColumn(own, F.pmod(F.xxhash64(name), F.col(own_k)).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_k) - 1)))
+                .drop("_k1", "_k2"))
+
+    return (cells(left, "_c1", "_c2", "_k1", "_k2", "clean_name_s1"),
+            cells(right, "_c2", "_c1", "_k2", "_k1", "clean_name_s2"),
+            [*keys, "_c1", "_c2"])
+
+
 def candidate_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float,
-                    block_chars: int = 6, pairs_per_task: int | None = None,
+                    block_chars: int = 6, pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK,
                     length_band: int = 4) -> DataFrame:
     """Name pairs sharing a block whose lengths allow the threshold.
 
@@ -173,11 +205,10 @@ def candidate_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float
     ordinary names) and the exact length window is a residual join condition.  Hot blocks
     are thereby split by length; pairs are exactly those of a block-only join that can pass.
 
-    ``pairs_per_task`` salts hot (block, band) keys: a key whose n1*n2 pairs exceed it is
-    split into ceil(n1*n2 / pairs_per_task) salts (at most n1); list-1 names go to one salt
-    by hash, list-2 names are copied to every salt of their key, so each pair is formed
-    exactly once and no task holds more than about ``pairs_per_task`` of a hot key's pairs.
-    The salt counts come from two aggregates joined on the key (no driver round trip)."""
+    ``pairs_per_task`` (None = off) additionally splits any (block, band) key holding more
+    pairs than that into a grid of cells (``_salt_grid``), so no task scores more than about
+    that many pairs of one key, whatever the skew; counts come from two aggregates joined on
+    the key, with no driver round trip."""
     w = int(length_band)
     lo, hi = partner_length_range(F.col("len_s1"), threshold)
     left = (_fuzzy_keys(unlinked1, "s1", block_chars).withColumns({"_lo": lo, "_hi": hi})
@@ -187,18 +218,9 @@ def candidate_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float
              .withColumn("_band", F.floor(F.col("len_s2") / w).cast("int")))
     keys = ["block", "_band"]
     if pairs_per_task:
-        n1 = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n1"))
-        n2 = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n2"))
-        salts = n1.join(n2, keys).select(*keys, F.least(
-            F.greatest(F.ceil(F.col("_n1") * F.col("_n2") / F.lit(float(pairs_per_task))), F.lit(1)),
-            F.col("_n1")).cast("int").alias("_salts"))
-        left = (left.join(salts, keys).withColumn("_salt", F.pmod(F.xxhash64("clean_name_s1"), F.col("_salts")))
-                .drop("_salts"))
-        right = (right.join(salts, keys)
-                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts"))
-        keys = [*keys, "_salt"]
+        left, right, keys = _salt_grid(left, right, keys, pairs_per_task)
     pairs = left.join(right, keys, "inner").filter(F.col("len_s2").between(F.col("_lo"), F.col("_hi")))
-    return pairs.drop("_band", "_salt", "_lo", "_hi")
+    return pairs.drop("_band", "_c1", "_c2", "_lo", "_hi")
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
@@ -225,8 +247,9 @@ def one_partner_per_s2(best: DataFrame) -> DataFrame:
 
 
 def fuzzy_links(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float,
-                block_chars: int = 6) -> DataFrame:
-    best = best_partners(score_pairs(candidate_pairs(unlinked1, unlinked2, threshold, block_chars)), threshold)
+                block_chars: int = 6, pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK) -> DataFrame:
+    best = best_partners(score_pairs(candidate_pairs(unlinked1, unlinked2, threshold, block_chars,
+                                                     pairs_per_task)), threshold)
     return (best.join(unlinked1, "clean_name_s1").join(unlinked2, "clean_name_s2")
             .withColumns({"match_type": F.lit("fuzzy_name"),
                           "match_confidence": F.col("name_score")}))
@@ -258,7 +281,7 @@ def _typed(df: DataFrame, like: DataFrame) -> DataFrame:
 
 def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float = 85.0,
                      block_chars: int = 6, materialize: bool = True, match_blank: bool = False,
-                     one_to_one: bool = False, pairs_per_task: int | None = None) -> DataFrame:
+                     one_to_one: bool = False, pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK) -> DataFrame:
     """One row per entity with its link kind, confidence and representative columns.
 
     materialize     write the collapsed sides and the best-partner table once (each feeds
@@ -266,7 +289,8 @@ def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float =
     match_blank     names that clean to '' link to each other (one exact entity) instead
                     of staying separate one-sided entities
     one_to_one      a list-2 name serves at most one fuzzy entity
-    pairs_per_task  salt hot fuzzy blocks (see ``candidate_pairs``)
+    pairs_per_task  split fuzzy blocks holding more pairs than this into cells (see
+                    ``candidate_pairs``); None turns it off
     """
     g1 = collapse_side(prepare_source1(source1, block_chars), "s1", match_blank)
     g2 = collapse_side(prepare_source2(source2, block_chars), "s2", match_blank)
@@ -283,7 +307,8 @@ def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float =
 
 def resolve_from_groups(names1: DataFrame, names2: DataFrame, blanks1: DataFrame, blanks2: DataFrame,
                         threshold: float = 85.0, block_chars: int = 6, materialize: bool = False,
-                        one_to_one: bool = False, pairs_per_task: int | None = None) -> DataFrame:
+                        one_to_one: bool = False,
+                        pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK) -> DataFrame:
     """Same as ``resolve_entities`` from already collapsed sides."""
     exact = exact_links(names1, names2)
     u1, u2 = unlinked_s1(names1, names2), unlinked_s2(names2, names1)

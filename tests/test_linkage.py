@@ -116,15 +116,25 @@ def test_one_to_one(spark):
 def test_salting_hot_blocks_changes_nothing(spark):
     from ledgerlink.sources import fixtures
     s1, s2 = fixtures.company_sources(spark, "/root/testdata/sf0.01")
-    plain = L.resolve_entities(s1, s2, 85.0)
+    plain = L.resolve_entities(s1, s2, 85.0, pairs_per_task=None)
     salted = L.resolve_entities(s1, s2, 85.0, pairs_per_task=1)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
     # hand-made hot block: 30 x 30 near-identical names in one (block, length) key
     h1 = spark.createDataFrame([(f"hotblock {i:02d}", None, None, None) for i in range(30)], S1)
     h2 = spark.createDataFrame([(f"hotblock {i:02d}x", None, 1.0, 1.0) for i in range(30)], S2)
-    a = L.resolve_entities(h1, h2, 85.0).collect()
+    a = L.resolve_entities(h1, h2, 85.0, pairs_per_task=None).collect()
     b = L.resolve_entities(h1, h2, 85.0, pairs_per_task=50).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    # each pair is formed exactly once, and the hot key is spread over a 5 x 5 grid
+    u1 = L.named(L.collapse_side(L.prepare_source1(h1), "s1"), "s1")
+    u2 = L.named(L.collapse_side(L.prepare_source2(h2), "s2"), "s2")
+    pairs = L.candidate_pairs(u1, u2, 85.0, pairs_per_task=50)
+    assert pairs.count() == pairs.select("clean_name_s1", "clean_name_s2").distinct().count() == 900
+    left, right, keys = L._salt_grid(
+        L._fuzzy_keys(u1, "s1", 6).withColumn("_band", F.lit(0)),
+        L._fuzzy_keys(u2, "s2", 6).withColumn("_band", F.lit(0)), ["block", "_band"], 50)
+    cells = left.join(right, keys).groupBy("_c1", "_c2").count().collect()
+    assert len(cells) == 25 and max(r["count"] for r in cells) <= 2 * 50
 
 
 def test_planted_truth_precision_recall(spark):
