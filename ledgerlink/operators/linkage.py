@@ -7,11 +7,12 @@ Plan shape (all declarative, Catalyst picks the physical joins):
    carried by a third of all rows costs one row per map task, not one hot reducer).
    Rows with a blank clean name cannot be linked; they collapse per identical content.
 3. exact links: name x name equi-join, 1:1 by construction.
-4. fuzzy links between still-unlinked names: equi-join on (block, partner length).  The
-   length key is exact pruning: a pair can only reach the threshold when
-   200*min(la, lb) >= threshold*(la+lb), so each list-1 name is joined only with the
-   lengths that can pass.  Scores are native bit-parallel LCS; the best partner per
-   list-1 name is a min(struct) aggregate (no window, no hot sort).
+4. fuzzy links between still-unlinked names: equi-join on (block, length band) with the
+   exact partner-length window as residual condition.  The window is exact pruning: a
+   pair can only reach the threshold when 200*min(la, lb) >= threshold*(la+lb).  Keys
+   holding more pairs than a per-task budget are split into a salt grid.  Scores are
+   native bit-parallel LCS; the best partner per list-1 name is a min(struct) aggregate
+   (no window, no hot sort).
 5. leftovers: anti joins on names.
 
 Every output row is one entity; ``corporate_id`` is unique by construction.
