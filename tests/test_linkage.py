@@ -168,3 +168,22 @@ def test_empty_side_and_null_names(spark):
     from ledgerlink.operators.harmonize import harmonize_records
     r = reconciliation_report(nulls, empty2, harmonize_records(L.resolve_entities(nulls, empty2))).first()
     assert (r["final_rows"], r["duplicates_removed"], r["match_rate_pct"]) == (1, 1, 0.0)
+
+
+def test_skewed_inputs_derived_from_the_tables(spark):
+    """A name carried by half of all list-1 rows, and a block shared by every name."""
+    from ledgerlink.sources import fixtures
+    s1, s2 = fixtures.company_sources(spark, "/root/testdata/sf0.001")
+    n = s1.count()
+    hot_copies = s1.unionByName(s1.withColumn("corporate_name_s1", F.lit("Hot Copy Holdings Inc")))
+    ent = L.resolve_entities(hot_copies, s2, 85.0)
+    hot = ent.filter("clean_name_s1 = 'hot copy holdings'").collect()
+    assert len(hot) == 1 and hot[0]["n_rows_s1"] == n
+    assert ent.count() == L.resolve_entities(s1, s2, 85.0).count() + 1
+    # one hot block: prefix every name on both sides with the same six characters
+    b1 = s1.withColumn("corporate_name_s1", F.concat(F.lit("zzhot "), "corporate_name_s1"))
+    b2 = s2.withColumn("corporate_name_s2", F.concat(F.lit("zzhot "), "corporate_name_s2"))
+    plain = L.resolve_entities(b1, b2, 85.0, pairs_per_task=None)
+    gridded = L.resolve_entities(b1, b2, 85.0, pairs_per_task=200)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, gridded.collect()))
+    assert L.block_statistics(b1, b2).count() == 1
