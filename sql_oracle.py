@@ -278,10 +278,10 @@ def statements() -> dict[str, str]:
              "UNION ALL SELECT 'main_customers', main_customers FROM s2")
     recon_counts = """SELECT (SELECT count(*) FROM s1) AS s1r, (SELECT count(*) FROM s2) AS s2r,
         (SELECT count(*) FROM reg) AS fin,
-        (SELECT count_if(match_type = 'exact_name') FROM reg) AS ex,
-        (SELECT count_if(match_type = 'fuzzy_name') FROM reg) AS fz,
-        (SELECT count_if(match_type = 'source1_only') FROM reg) AS o1,
-        (SELECT count_if(match_type = 'source2_only') FROM reg) AS o2"""
+        (SELECT CAST(count_if(match_type = 'exact_name') AS BIGINT) FROM reg) AS ex,
+        (SELECT CAST(count_if(match_type = 'fuzzy_name') AS BIGINT) FROM reg) AS fz,
+        (SELECT CAST(count_if(match_type = 'source1_only') AS BIGINT) FROM reg) AS o1,
+        (SELECT CAST(count_if(match_type = 'source2_only') AS BIGINT) FROM reg) AS o2"""
     split = f"CASE WHEN substr(sha256(CAST(corporate_id AS VARCHAR)), 1, 6) < 'cccccc' THEN 'train' ELSE 'test' END"
     rule = f"CAST(revenue > {RULE_REVENUE_CUTOFF} AS INTEGER)"
     return {
@@ -324,10 +324,10 @@ def statements() -> dict[str, str]:
         "quality_source2": _quality_sql(BASE, "source2", "s2", "corporate_name_s2", "revenue"),
         "quality_customer": _quality_sql([], "source2", "(SELECT c_name AS corporate_name_s2, c_acctbal AS revenue FROM customer)",
                                          "corporate_name_s2", "revenue"),
-        "match_type_counts": with_("SELECT count(*) AS final_rows, count_if(match_type = 'exact_name') AS exact_matches, "
-                                   "count_if(match_type = 'fuzzy_name') AS fuzzy_matches, "
-                                   "count_if(match_type = 'source1_only') AS source1_only, "
-                                   "count_if(match_type = 'source2_only') AS source2_only FROM reg", BASE),
+        "match_type_counts": with_("SELECT count(*) AS final_rows, CAST(count_if(match_type = 'exact_name') AS BIGINT) AS exact_matches, "
+                                   "CAST(count_if(match_type = 'fuzzy_name') AS BIGINT) AS fuzzy_matches, "
+                                   "CAST(count_if(match_type = 'source1_only') AS BIGINT) AS source1_only, "
+                                   "CAST(count_if(match_type = 'source2_only') AS BIGINT) AS source2_only FROM reg", BASE),
         "reconciliation": with_(f"""SELECT s1r AS source1_rows, s2r AS source2_rows, fin AS final_rows,
               s1r + s2r - fin AS duplicates_removed, ex AS exact_matches, fz AS fuzzy_matches,
               o1 AS source1_only, o2 AS source2_only,
@@ -367,8 +367,8 @@ def statements() -> dict[str, str]:
               CASE WHEN row_number() OVER (PARTITION BY label ORDER BY sha256(CAST(corporate_id AS VARCHAR)), corporate_id)
                         <= ceil(count(*) OVER (PARTITION BY label) * 0.2) THEN 'test' ELSE 'train' END AS split
             FROM ft""", BASE),
-        "train_test_counts": with_(f"SELECT count_if({split} = 'train') AS train_count, "
-                                   f"count_if({split} = 'test') AS test_count FROM ft", BASE),
+        "train_test_counts": with_(f"SELECT CAST(count_if({split} = 'train') AS BIGINT) AS train_count, "
+                                   f"CAST(count_if({split} = 'test') AS BIGINT) AS test_count FROM ft", BASE),
         "rank_auc": with_("""SELECT CASE WHEN 2 * pp * nn > 0 THEN CAST(num AS DOUBLE) / CAST(2 * pp * nn AS DOUBLE) END AS auc,
               CAST(pp AS BIGINT) AS positives, CAST(nn AS BIGINT) AS negatives
             FROM (SELECT sum(CAST(pos AS HUGEINT) * (2 * below + neg)) AS num, sum(pos) AS pp, sum(neg) AS nn FROM (

@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 import __spark_entry__ as E  # noqa: E402
-from check_oracle import TABLES, digest  # noqa: E402
+from check_oracle import TABLES, digest, type_mismatches  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 ORACLE = E.oracle_sql()
@@ -34,6 +34,7 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert type_mismatches(df.schema, cur.description) == {}
     assert len(rows) == len(orows)
     assert digest(rows, df.columns)[0] == digest(orows, ocols)[0]
 
