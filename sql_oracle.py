@@ -334,7 +334,7 @@ def statements() -> dict[str, str]:
               round(CAST(ex + fz AS DOUBLE) / CAST(greatest(fin, 1) AS DOUBLE) * 100.0::DOUBLE, 2) AS match_rate_pct
             FROM ({recon_counts})""", BASE),
         "registry_view_counts": with_("""SELECT match_type, count(*) AS rows,
-              count_if(source1_present AND source2_present) AS both_sources,
+              CAST(count_if(source1_present AND source2_present) AS BIGINT) AS both_sources,
               min(match_confidence) AS min_confidence, max(match_confidence) AS max_confidence
             FROM reg GROUP BY match_type""", BASE),
         "block_stats": with_("""SELECT coalesce(a.block, b.block) AS block, coalesce(names_s1, 0) AS names_s1,
@@ -386,7 +386,7 @@ def statements() -> dict[str, str]:
                     coalesce((SELECT count(*) FROM cr WHERE p = c.cls), 0) AS predicted
                   FROM (SELECT DISTINCT y AS cls FROM cr UNION SELECT DISTINCT p FROM cr) c)))
             UNION ALL SELECT 'accuracy', NULL::DOUBLE, NULL::DOUBLE,
-              CAST(count_if(y = p) AS DOUBLE) / CAST(count(*) AS DOUBLE), count(*) FROM cr
+              CAST(count_if(y = p) AS DOUBLE) / CAST(count(*) AS DOUBLE), CAST(count(*) AS BIGINT) FROM cr
             UNION ALL SELECT 'macro avg', avg_p, avg_r, avg_f, n FROM agg
             UNION ALL SELECT 'weighted avg', w_p, w_r, w_f, n FROM agg""",
                                        BASE + [f"cr AS (SELECT CAST(label AS VARCHAR) AS y, CAST({rule} AS VARCHAR) AS p FROM ft)",
@@ -404,5 +404,5 @@ def _report_agg() -> str:
                 coalesce((SELECT count(*) FROM cr WHERE p = c.cls), 0) AS predicted
               FROM (SELECT DISTINCT y AS cls FROM cr UNION SELECT DISTINCT p FROM cr) c))"""
     return f"""agg AS (SELECT sum(precision) / count(*) AS avg_p, sum(recall) / count(*) AS avg_r, sum(f1) / count(*) AS avg_f,
-          sum(support) AS n, sum(precision * support) / sum(support) AS w_p, sum(recall * support) / sum(support) AS w_r,
+          CAST(sum(support) AS BIGINT) AS n, sum(precision * support) / sum(support) AS w_p, sum(recall * support) / sum(support) AS w_r,
           sum(f1 * support) / sum(support) AS w_f FROM ({per}))"""
