@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from ledgerlink.functions.similarity import lcs_length, token_sort_ratio
 

@@ -4,7 +4,6 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from ledgerlink.functions.text import (
     ADDRESS_ABBREVIATIONS, CORPORATE_SUFFIXES, clean_name, list_size, normalize_address, parse_list,
