@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlink.functions.similarity import lcs_sql, token_sort_ratio_from_lcs
+from ledgerlink.functions.similarity import lcs_length_arrow, lcs_sql, token_sort_ratio_from_lcs
 from ledgerlink.functions.text import block_key, clean_name, normalize_address, sort_tokens
 
 S1_RAW = ["corporate_name_s1", "address", "activity_places", "top_suppliers"]
@@ -224,11 +224,19 @@ def candidate_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float
     return pairs.drop("_band", "_c1", "_c2", "_lo", "_hi")
 
 
-def score_pairs(pairs: DataFrame) -> DataFrame:
-    """Adds ``name_score`` (token-sort ratio), bit masks built from the shorter string."""
-    s1_short = "len_s1 <= len_s2"
-    lcs = F.expr(f"CASE WHEN {s1_short} THEN {lcs_sql('sorted_s1', 'sorted_s2', 'len_s1')} "
-                 f"ELSE {lcs_sql('sorted_s2', 'sorted_s1', 'len_s2')} END")
+DEFAULT_LCS_ENGINE = "arrow"
+
+
+def score_pairs(pairs: DataFrame, lcs_engine: str = DEFAULT_LCS_ENGINE) -> DataFrame:
+    """Adds ``name_score`` (token-sort ratio).  ``lcs_engine``: 'arrow' (vectorised batches,
+    default) or 'jvm' (higher-order expressions); both give the same LCS."""
+    if lcs_engine == "arrow":
+        lcs = lcs_length_arrow("sorted_s1", "sorted_s2")
+    elif lcs_engine == "jvm":
+        lcs = F.expr(f"CASE WHEN len_s1 <= len_s2 THEN {lcs_sql('sorted_s1', 'sorted_s2', 'len_s1')} "
+                     f"ELSE {lcs_sql('sorted_s2', 'sorted_s1', 'len_s2')} END")
+    else:
+        raise ValueError(f"unknown lcs engine {lcs_engine!r}")
     return pairs.withColumn("name_score", token_sort_ratio_from_lcs(lcs, "len_s1", "len_s2"))
 
 
@@ -248,9 +256,10 @@ def one_partner_per_s2(best: DataFrame) -> DataFrame:
 
 
 def fuzzy_links(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float,
-                block_chars: int = 6, pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK) -> DataFrame:
+                block_chars: int = 6, pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK,
+                lcs_engine: str = DEFAULT_LCS_ENGINE) -> DataFrame:
     best = best_partners(score_pairs(candidate_pairs(unlinked1, unlinked2, threshold, block_chars,
-                                                     pairs_per_task)), threshold)
+                                                     pairs_per_task), lcs_engine), threshold)
     return (best.join(unlinked1, "clean_name_s1").join(unlinked2, "clean_name_s2")
             .withColumns({"match_type": F.lit("fuzzy_name"),
                           "match_confidence": F.col("name_score")}))
@@ -282,7 +291,8 @@ def _typed(df: DataFrame, like: DataFrame) -> DataFrame:
 
 def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float = 85.0,
                      block_chars: int = 6, materialize: bool = True, match_blank: bool = False,
-                     one_to_one: bool = False, pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK) -> DataFrame:
+                     one_to_one: bool = False, pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK,
+                     lcs_engine: str = DEFAULT_LCS_ENGINE) -> DataFrame:
     """One row per entity with its link kind, confidence and representative columns.
 
     materialize     write the collapsed sides and the best-partner table once (each feeds
@@ -292,6 +302,7 @@ def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float =
     one_to_one      a list-2 name serves at most one fuzzy entity
     pairs_per_task  split fuzzy blocks holding more pairs than this into cells (see
                     ``candidate_pairs``); None turns it off
+    lcs_engine      'arrow' (vectorised batches) or 'jvm' (higher-order expressions)
     """
     g1 = collapse_side(prepare_source1(source1, block_chars), "s1", match_blank)
     g2 = collapse_side(prepare_source2(source2, block_chars), "s2", match_blank)
@@ -303,17 +314,19 @@ def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float =
     else:
         names1, names2, blanks1, blanks2 = named(g1, "s1"), named(g2, "s2"), blank(g1, "s1"), blank(g2, "s2")
     return resolve_from_groups(names1, names2, blanks1, blanks2, threshold, block_chars, materialize,
-                               one_to_one, pairs_per_task)
+                               one_to_one, pairs_per_task, lcs_engine)
 
 
 def resolve_from_groups(names1: DataFrame, names2: DataFrame, blanks1: DataFrame, blanks2: DataFrame,
                         threshold: float = 85.0, block_chars: int = 6, materialize: bool = False,
                         one_to_one: bool = False,
-                        pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK) -> DataFrame:
+                        pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK,
+                        lcs_engine: str = DEFAULT_LCS_ENGINE) -> DataFrame:
     """Same as ``resolve_entities`` from already collapsed sides."""
     exact = exact_links(names1, names2)
     u1, u2 = unlinked_s1(names1, names2), unlinked_s2(names2, names1)
-    best = best_partners(score_pairs(candidate_pairs(u1, u2, threshold, block_chars, pairs_per_task)), threshold)
+    best = best_partners(score_pairs(candidate_pairs(u1, u2, threshold, block_chars, pairs_per_task), lcs_engine),
+                         threshold)
     if one_to_one:
         best = one_partner_per_s2(best)
     if materialize:

@@ -48,3 +48,19 @@ def test_ratio_bitwise_equal_to_reference_formula(spark):
     got = spark.createDataFrame(rows, "a string, b string").select("a", "b", token_sort_ratio("a", "b").alias("s")).collect()
     for r in got:
         assert r["s"] == ratio(r["a"], r["b"])
+
+
+def test_arrow_engine_equals_jvm_engine_and_dp(spark):
+    from ledgerlink.functions.similarity import lcs_length_arrow
+    rng = random.Random(13)
+    lengths = [0, 1, 3, 20, 61, 62, 63, 64, 100, 130]
+    rows = [("".join(rng.choice("abcz 19") for _ in range(rng.choice(lengths))),
+             "".join(rng.choice("abcz 19") for _ in range(rng.choice(lengths)))) for _ in range(400)]
+    rows += [("é ß 名", "ß é 名 x"), (None, "abc")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.select("a", "b", lcs_length_arrow("a", "b").alias("arrow"), lcs_length("a", "b").alias("jvm")).collect()
+    for r in got:
+        want = lcs_dp(r["a"] or "", r["b"] or "")
+        assert r["arrow"] == want, (r["a"], r["b"])
+        if r["a"] is not None:
+            assert r["jvm"] == want
