@@ -241,10 +241,14 @@ def score_pairs(pairs: DataFrame, lcs_engine: str = DEFAULT_LCS_ENGINE) -> DataF
 
 
 def best_partners(scored: DataFrame, threshold: float) -> DataFrame:
-    """Best list-2 name per list-1 name: highest score, ties to the smaller list-2 name."""
-    best = F.min(F.struct((-F.col("name_score")).alias("neg"), F.col("clean_name_s2"))).alias("b")
-    return (scored.filter(F.col("name_score") >= F.lit(float(threshold)))
-            .groupBy("clean_name_s1").agg(best)
+    """Best list-2 name per list-1 name among pairs scoring >= threshold: highest score, ties
+    to the smaller list-2 name.  The threshold sits inside the aggregate (min ignores the
+    NULLs of failing pairs) rather than in a filter: a filter would be pushed below the
+    score projection and the score computed twice."""
+    passing = F.when(F.col("name_score") >= F.lit(float(threshold)),
+                     F.struct((-F.col("name_score")).alias("neg"), F.col("clean_name_s2")))
+    return (scored.groupBy("clean_name_s1").agg(F.min(passing).alias("b"))
+            .filter(F.col("b").isNotNull())
             .select("clean_name_s1", "b.clean_name_s2", (-F.col("b.neg")).alias("name_score")))
 
 
