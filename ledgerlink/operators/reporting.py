@@ -23,6 +23,7 @@ def combine_single_rows(*frames: DataFrame) -> DataFrame:
 
 def match_type_counts(registry: DataFrame) -> DataFrame:
     """One row: final_rows and the count of each match type, one scan."""
+    # Reconciliation field names, as the reference reports them.
     return registry.agg(
         F.count(F.lit(1)).alias("final_rows"),
         *[F.count_if(F.col("match_type") == t).alias(n) for t, n in zip(

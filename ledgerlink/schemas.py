@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Column names and types of the two source lists and of the registry,
+# equal to the reference's so its data and queries carry over unchanged.
 SOURCE1_SCHEMA = T.StructType([
     T.StructField("corporate_name_s1", T.StringType()),
     T.StructField("address", T.StringType()),
