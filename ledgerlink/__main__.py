@@ -7,6 +7,7 @@ commands
   train            fit a model on a training parquet, print metrics and the report
   predict          score a parquet with a saved model
   drift            prediction-rate drift of a predictions parquet
+  stream           merge staged registry files arriving in a folder (Structured Streaming)
 Results are printed as JSON lines.
 """
 
@@ -68,6 +69,12 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--historical-avg", type=float, required=True)
     d.add_argument("--tolerance", type=float, default=0.15)
 
+    m = sub.add_parser("stream")
+    m.add_argument("--staged-dir", required=True)
+    m.add_argument("--registry", required=True)
+    m.add_argument("--checkpoint-location", required=True)
+    m.add_argument("--continuous", action="store_true", help="keep running (default: drain what is there)")
+
     a = p.parse_args(argv)
 
     from ledgerlink.plans import registry_run, training
@@ -96,6 +103,13 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"output": a.output_parquet, "columns": out.columns}))
     elif a.command == "drift":
         _print_rows(training.prediction_drift(spark, a.predictions_parquet, a.historical_avg, a.tolerance))
+    elif a.command == "stream":
+        from ledgerlink.sources import store
+        from ledgerlink.streaming.incremental import start_registry_stream
+        query = start_registry_stream(spark, a.staged_dir, a.registry, a.checkpoint_location,
+                                      available_now=not a.continuous)
+        query.awaitTermination()
+        print(json.dumps({"version": store.current_commit(spark, a.registry)["version"]}))
     return 0
 
 

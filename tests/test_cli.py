@@ -28,3 +28,14 @@ def test_cli_round_trip(spark, scratch, capsys):
                  "--output-parquet", f"{scratch}/preds"]) == 0
     assert main(["drift", "--predictions-parquet", f"{scratch}/preds", "--historical-avg", "0.5"]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["metric"] == "prediction_rate"
+
+
+def test_cli_stream(spark, scratch, capsys):
+    from datetime import datetime
+    from ledgerlink.operators.harmonize import harmonize_records
+    from ledgerlink.operators.linkage import resolve_entities
+    s1, s2 = fixtures.company_sources(spark, SF)
+    harmonize_records(resolve_entities(s1, s2), datetime(2024, 1, 1)).write.parquet(f"{scratch}/in/b1")
+    assert main(["stream", "--staged-dir", f"{scratch}/in/*", "--registry", f"{scratch}/reg",
+                 "--checkpoint-location", f"{scratch}/ck"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["version"] == 1
