@@ -6,8 +6,7 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-# executors (python workers) import the package too
-os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
+# deliberately no PYTHONPATH for the python workers: UDFs must pickle by value, as on the driver's cluster
 
 
 @pytest.fixture(scope="session")
