@@ -39,6 +39,9 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--min-rows", type=int, default=RunConfig.min_rows)
     r.add_argument("--profit-threshold", type=float, default=RunConfig.profit_threshold)
     r.add_argument("--no-train", action="store_true")
+    r.add_argument("--one-to-one", action="store_true", help="a list-2 name serves at most one fuzzy entity")
+    r.add_argument("--match-blank", action="store_true", help="names that clean to '' link to each other")
+    r.add_argument("--lcs-engine", choices=("arrow", "jvm"), default=RunConfig.lcs_engine)
 
     b = sub.add_parser("build-training")
     b.add_argument("--input-csv", required=True)
@@ -83,7 +86,8 @@ def main(argv: list[str] | None = None) -> int:
 
     if a.command == "run":
         cfg = RunConfig(batch_id=a.batch_id, match_threshold=a.threshold, min_rows=a.min_rows,
-                        profit_threshold=a.profit_threshold)
+                        profit_threshold=a.profit_threshold, one_to_one=a.one_to_one, match_blank=a.match_blank,
+                        lcs_engine=a.lcs_engine)
         res = registry_run.run_from_csv(spark, a.source1, a.source2, a.registry, cfg, train=not a.no_train)
         print(json.dumps({"version": res.version, "reconciliation": res.reconciliation, "drift": res.drift,
                           "model": res.model}, default=str))

@@ -22,3 +22,8 @@ class RunConfig:
     drift_tolerance: float = 0.15
     # revenue distribution rule: fail when max > factor * avg
     revenue_spread_factor: float = 1000.0
+    # linkage options (see operators.linkage.resolve_entities)
+    match_blank: bool = False
+    one_to_one: bool = False
+    pairs_per_task: int | None = 1_000_000
+    lcs_engine: str = "arrow"

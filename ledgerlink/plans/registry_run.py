@@ -52,7 +52,9 @@ def run_batch(spark: SparkSession, source1: DataFrame, source2: DataFrame, regis
     checked = quality.enforce(report)
 
     # 2-4. resolve, harmonise, stage once: merge, counts and drift all read the staged copy
-    entities = linkage.resolve_entities(source1, source2, config.match_threshold, config.block_chars)
+    entities = linkage.resolve_entities(source1, source2, config.match_threshold, config.block_chars,
+                                        match_blank=config.match_blank, one_to_one=config.one_to_one,
+                                        pairs_per_task=config.pairs_per_task, lcs_engine=config.lcs_engine)
     staged = store.stage(harmonize_records(entities, run_ts), "staging")
 
     # 5. versioned MERGE

@@ -15,7 +15,7 @@ def test_cli_round_trip(spark, scratch, capsys):
     fixtures.source2(spark, SF).write.option("header", True).csv(f"{scratch}/s2")
     reg = f"{scratch}/registry"
     assert main(["run", "--source1", f"{scratch}/s1", "--source2", f"{scratch}/s2", "--registry", reg,
-                 "--min-rows", "10", "--no-train"]) == 0
+                 "--min-rows", "10", "--no-train", "--lcs-engine", "jvm"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["version"] == 1 and out["reconciliation"]["final_rows"] == store.read_registry(spark, reg).count()
     assert main(["export-training", "--registry", reg, "--output-parquet", f"{scratch}/train",
