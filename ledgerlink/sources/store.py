@@ -63,9 +63,10 @@ def current_commit(spark: SparkSession, root: str, version: int | None = None):
         return None
     if version is not None:
         log = log.filter(F.col("version") == version)
-    # bounded: the commit log has one row per version
-    row = log.orderBy(F.col("version").desc(), F.col("snapshot")).limit(1).collect()
-    return row[0] if row else None
+    # one aggregate over the (small) commit log: the highest version; a version committed
+    # twice (concurrent writers) resolves deterministically to the larger snapshot path
+    head = log.agg(F.max(F.struct(F.col("version"), F.col("snapshot"))).alias("h")).first()["h"]
+    return None if head is None else {"version": head["version"], "snapshot": head["snapshot"]}
 
 
 def read_registry(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
