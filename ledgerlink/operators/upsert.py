@@ -78,3 +78,9 @@ def upsert_actions(target: DataFrame, staged: DataFrame, key: str = REGISTRY_KEY
     tk = target.select(F.col(key).alias("_tk")).distinct()
     return (staged.select(key).join(tk, F.col(key) == F.col("_tk"), "left")
             .select(key, F.when(F.col("_tk").isNotNull(), "update").otherwise("insert").alias("action")))
+
+
+def stale_rows(registry: DataFrame, staged: DataFrame, key: str = REGISTRY_KEY) -> DataFrame:
+    """Registry rows the latest batch no longer produces (the merge keeps them): e.g. a
+    list-2-only entity that is now linked fuzzily under its list-1 partner's key."""
+    return registry.join(staged.select(key), key, "left_anti")

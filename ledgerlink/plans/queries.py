@@ -182,6 +182,12 @@ def q_upsert_partial_columns(spark, sf):
     return upsert.merge_upsert_legacy(target, staged).select(*NO_TS)
 
 
+def q_stale_registry_rows(spark, sf):
+    """After merging batch 2 into batch 1: rows batch 2 did not produce again."""
+    target, staged = _batches(spark, sf)
+    return upsert.stale_rows(upsert.merge_upsert(target, staged), staged).select(*NO_TS)
+
+
 def q_upsert_actions(spark, sf):
     target, staged = _batches(spark, sf)
     return upsert.upsert_actions(target, staged)
