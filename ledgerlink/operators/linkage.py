@@ -351,26 +351,52 @@ def resolve_from_groups(names1: DataFrame, names2: DataFrame, blanks1: DataFrame
 
 # --------------------------------------------------------------------------- rows
 
+MAX_HOT_KEYS = 10_000
+DEFAULT_ROWS_PER_TASK = 4_000_000
+
+
+def _salted_lookup(rows: DataFrame, lookup: DataFrame, key: str, count: str, row_id: str,
+                   rows_per_task: int) -> DataFrame:
+    """rows JOIN lookup ON key, with hot keys split across tasks.
+
+    ``lookup`` carries, per key, how many input rows hold it (``count``).  A key is hot above
+    R = max(rows_per_task, total / MAX_HOT_KEYS) rows, so at most MAX_HOT_KEYS keys are hot and
+    their (key, salts) table is small by construction and broadcast.  Rows of a hot key pick
+    one of ceil(count / R) salts by hashing their row id; the lookup side is copied once per
+    salt for hot keys only; one sort-merge join on (key, salt) then gives no reducer more than
+    about R rows of one key.  The only value brought to the driver is the total row count."""
+    total = lookup.agg(F.sum(count).alias("t")).first()["t"] or 0
+    r = max(int(rows_per_task), -(-int(total) // MAX_HOT_KEYS))
+    salts = F.greatest(F.ceil(F.col(count) / F.lit(r)), F.lit(1)).cast("int")
+    hot = lookup.filter(F.col(count) > F.lit(r)).select(key, salts.alias("_k")).distinct()
+    salted_rows = (rows.join(F.broadcast(hot), key, "left")
+                   .withColumn("_salt", F.pmod(F.xxhash64(row_id), F.coalesce(F.col("_k"), F.lit(1))).cast("int"))
+                   .drop("_k"))
+    salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return salted_rows.join(salted_lookup.drop(count), [key, "_salt"]).drop("_salt")
+
+
 def link_rows(source1: DataFrame, source2: DataFrame, entities: DataFrame, block_chars: int = 6,
-              match_blank: bool = False) -> DataFrame:
+              match_blank: bool = False, rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
     """Every input row with the entity it belongs to: (source, row_id, corporate_id, match_type).
 
-    Rows join their entity on the clean name (blank names on the content id).  The entity
-    side has one row per name, so a hot name only lengthens the streamed side, which AQE
-    splits; a list-2 name taken by several fuzzy entities maps its rows to each of them."""
-    ids = entities.select("corporate_id", "match_type", "clean_name_s1", "clean_name_s2", "row_id_s1", "row_id_s2")
+    Rows join their entity on the clean name (blank names on the content id).  Names held
+    by very many rows are salted (``_salted_lookup``), so a name carried by a third of all
+    rows is spread over many tasks.  A list-2 name taken by several fuzzy entities maps its
+    rows to each of them."""
     out = None
     for sfx, src, prepared in (("s1", "source1", prepare_source1(source1, block_chars)),
                                ("s2", "source2", prepare_source2(source2, block_chars))):
-        clean, row_id = f"clean_name_{sfx}", f"row_id_{sfx}"
+        clean, row_id, n_rows = f"clean_name_{sfx}", f"row_id_{sfx}", f"n_rows_{sfx}"
         rows = prepared.select(row_id, clean)
+        ids = entities.filter(F.col(clean).isNotNull()).select(clean, row_id, n_rows, "corporate_id", "match_type")
         by_name = F.lit(True) if match_blank else F.col(clean) != ""
-        named_rows = rows.filter(by_name).join(
-            ids.filter(F.col(clean).isNotNull() & by_name).select(clean, "corporate_id", "match_type"), clean)
-        parts = [named_rows]
+        parts = [_salted_lookup(rows.filter(by_name), ids.filter(by_name).drop(row_id), clean, n_rows, row_id,
+                                rows_per_task)]
         if not match_blank:
-            parts.append(rows.filter(F.col(clean) == "").join(
-                ids.filter(F.col(clean) == "").select(row_id, "corporate_id", "match_type"), row_id))
+            parts.append(_salted_lookup(rows.filter(F.col(clean) == "").drop(clean),
+                                        ids.filter(F.col(clean) == "").drop(clean), row_id, n_rows, row_id,
+                                        rows_per_task))
         for part in parts:
             part = part.select(F.lit(src).alias("source"), F.col(row_id).alias("row_id"), "corporate_id", "match_type")
             out = part if out is None else out.unionByName(part)

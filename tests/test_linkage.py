@@ -187,3 +187,14 @@ def test_skewed_inputs_derived_from_the_tables(spark):
     gridded = L.resolve_entities(b1, b2, 85.0, pairs_per_task=200)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, gridded.collect()))
     assert L.block_statistics(b1, b2).count() == 1
+
+
+def test_link_rows_salts_hot_names(spark):
+    s1, s2 = sources(spark)
+    copies = s1.filter("corporate_name_s1 = 'Acme Corp'").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(50))))
+    hot = s1.unionByName(copies.drop("n"))
+    ent = L.resolve_entities(hot, s2, 85.0)
+    plain = L.link_rows(hot, s2, ent, rows_per_task=10**9)
+    salted = L.link_rows(hot, s2, ent, rows_per_task=5)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+    assert salted.filter("source = 'source1'").count() == hot.count()
