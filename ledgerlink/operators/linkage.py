@@ -355,18 +355,15 @@ MAX_HOT_KEYS = 10_000
 DEFAULT_ROWS_PER_TASK = 4_000_000
 
 
-def _salted_lookup(rows: DataFrame, lookup: DataFrame, key: str, count: str, row_id: str,
-                   rows_per_task: int) -> DataFrame:
+def _salted_lookup(rows: DataFrame, lookup: DataFrame, key: str, count: str, row_id: str, r: int) -> DataFrame:
     """rows JOIN lookup ON key, with hot keys split across tasks.
 
     ``lookup`` carries, per key, how many input rows hold it (``count``).  A key is hot above
-    R = max(rows_per_task, total / MAX_HOT_KEYS) rows, so at most MAX_HOT_KEYS keys are hot and
-    their (key, salts) table is small by construction and broadcast.  Rows of a hot key pick
-    one of ceil(count / R) salts by hashing their row id; the lookup side is copied once per
-    salt for hot keys only; one sort-merge join on (key, salt) then gives no reducer more than
-    about R rows of one key.  The only value brought to the driver is the total row count."""
-    total = lookup.agg(F.sum(count).alias("t")).first()["t"] or 0
-    r = max(int(rows_per_task), -(-int(total) // MAX_HOT_KEYS))
+    ``r`` rows; with r >= total / MAX_HOT_KEYS at most MAX_HOT_KEYS keys are hot, so their
+    (key, salts) table is small by construction and broadcast.  Rows of a hot key pick one of
+    ceil(count / r) salts by hashing their row id; the lookup side is copied once per salt for
+    hot keys only; one sort-merge join on (key, salt) then gives no reducer more than about
+    r rows of one key."""
     salts = F.greatest(F.ceil(F.col(count) / F.lit(r)), F.lit(1)).cast("int")
     hot = lookup.filter(F.col(count) > F.lit(r)).select(key, salts.alias("_k")).distinct()
     salted_rows = (rows.join(F.broadcast(hot), key, "left")
@@ -384,6 +381,11 @@ def link_rows(source1: DataFrame, source2: DataFrame, entities: DataFrame, block
     by very many rows are salted (``_salted_lookup``), so a name carried by a third of all
     rows is spread over many tasks.  A list-2 name taken by several fuzzy entities maps its
     rows to each of them."""
+    # one number to the driver: an upper bound of the input rows behind the entities (a list-2
+    # name shared by several fuzzy entities counts more than once, which only raises r)
+    sums = entities.agg(F.sum("n_rows_s1").alias("a"), F.sum("n_rows_s2").alias("b")).first()
+    total = (sums["a"] or 0) + (sums["b"] or 0)
+    r = max(int(rows_per_task), -(-int(total) // MAX_HOT_KEYS))
     out = None
     for sfx, src, prepared in (("s1", "source1", prepare_source1(source1, block_chars)),
                                ("s2", "source2", prepare_source2(source2, block_chars))):
@@ -391,12 +393,10 @@ def link_rows(source1: DataFrame, source2: DataFrame, entities: DataFrame, block
         rows = prepared.select(row_id, clean)
         ids = entities.filter(F.col(clean).isNotNull()).select(clean, row_id, n_rows, "corporate_id", "match_type")
         by_name = F.lit(True) if match_blank else F.col(clean) != ""
-        parts = [_salted_lookup(rows.filter(by_name), ids.filter(by_name).drop(row_id), clean, n_rows, row_id,
-                                rows_per_task)]
+        parts = [_salted_lookup(rows.filter(by_name), ids.filter(by_name).drop(row_id), clean, n_rows, row_id, r)]
         if not match_blank:
             parts.append(_salted_lookup(rows.filter(F.col(clean) == "").drop(clean),
-                                        ids.filter(F.col(clean) == "").drop(clean), row_id, n_rows, row_id,
-                                        rows_per_task))
+                                        ids.filter(F.col(clean) == "").drop(clean), row_id, n_rows, row_id, r))
         for part in parts:
             part = part.select(F.lit(src).alias("source"), F.col(row_id).alias("row_id"), "corporate_id", "match_type")
             out = part if out is None else out.unionByName(part)
