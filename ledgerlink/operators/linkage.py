@@ -381,6 +381,9 @@ def link_rows(source1: DataFrame, source2: DataFrame, entities: DataFrame, block
     by very many rows are salted (``_salted_lookup``), so a name carried by a third of all
     rows is spread over many tasks.  A list-2 name taken by several fuzzy entities maps its
     rows to each of them."""
+    # the thin entity lookup is read by eight branches below: write it once
+    entities = cut_lineage(entities.select("clean_name_s1", "clean_name_s2", "row_id_s1", "row_id_s2",
+                                           "n_rows_s1", "n_rows_s2", "corporate_id", "match_type"), "lookup")
     # one number to the driver: an upper bound of the input rows behind the entities (a list-2
     # name shared by several fuzzy entities counts more than once, which only raises r)
     sums = entities.agg(F.sum("n_rows_s1").alias("a"), F.sum("n_rows_s2").alias("b")).first()
