@@ -42,6 +42,9 @@ best = L.best_partners(L.score_pairs(L.candidate_pairs(u1, u2, 85.0)), 85.0)
 sections.append(("Fuzzy: anti joins, (block, band) join with residual length window, score, best per name", tree(best)))
 reg1 = Q._registry(spark, sf, "batch_001", Q.FIRST_BATCH_CUTOFF); reg2 = Q._registry(spark, sf, "batch_002")
 sections.append(("Upsert: one full outer join on the key", tree(upsert.merge_upsert(reg1, reg2))))
+ent = L.resolve_entities(s1, s2)
+sections.append(("link_rows: rows to entities on (name, salt); hot-name salt table broadcast (bounded)",
+                 tree(L.link_rows(s1, s2, ent))))
 f = Q._features(spark, sf)
 sections.append(("Stratified split: bounded bucket table + per-bucket rank", tree(features.stratified_split(f))))
 sections.append(("Quality suite: one aggregate pass", tree(quality.source2_report(s2, 1000))))
