@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlink.llm import decontamination_query, quality_rules_query
+from ledgerlink.llm import decontamination_query, jaccard_join_query, quality_rules_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": decontamination_query.op4_benchmark_decontamination,
+    "op8_jaccard_join": jaccard_join_query.op8_jaccard_join,
     "op10_quality_rules": quality_rules_query.op10_quality_rules,
 }
 
 SQL: dict[str, str] = {
     "op4_benchmark_decontamination": decontamination_query.SQL,
+    "op8_jaccard_join": jaccard_join_query.SQL,
     "op10_quality_rules": quality_rules_query.SQL,
 }
