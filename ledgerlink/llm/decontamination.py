@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from ledgerlink.llm.frames import stage
+from ledgerlink.llm.frames import fresh, stage, text_hash
 from ledgerlink.llm.wordgrams import ALNUM, chunks, gram_hashes, word_hashes
 
 WINDOW = 13
@@ -175,7 +175,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     theirs = _with_prints(bench, "text", window, k, None, None)
     theirs = stage(theirs.select("item_id", F.explode("prints").alias("p")).select("item_id", "p.hash", "p.length", F.col("p.near").alias("item_near")).distinct(), "bench")
     short = sorted(-r["length"] for r in theirs.filter("length < 0").select("length").distinct().collect())  # at most window - 1 rows
-    mine = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
+    mine = docs.select(F.col(f"`{id_col}`").alias("id"), text_hash(F.col(f"`{text_col}`")).alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
     prints = stage(_with_prints(mine, "text", window, k, short, _filter_bits(theirs)), "prints")
     met = (prints.select("id", "text_hash", F.explode("prints").alias("p")).select("id", "text_hash", "p.*").distinct()
            .join(theirs, ["hash", "length"]).drop("hash"))
@@ -202,6 +202,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with the columns of ``docs``."""
-    bad = contamination(docs, items, id_col, text_col).filter("contaminated").select(F.col("id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    same = docs[id_col].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_bad_hash"))
+    bad = contamination(docs, items, id_col, text_col).filter("contaminated")
+    bad_id, bad_hash = fresh(docs, "_bad_id"), fresh(docs, "_bad_hash")
+    bad = bad.select(F.col("id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+    same = docs[id_col].eqNullSafe(bad[bad_id]) & (text_hash(docs[text_col]) == bad[bad_hash])
     return docs.join(bad, same, "left_anti")

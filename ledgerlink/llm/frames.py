@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlink.session import checkpoint_root, delete_on_exit
 
@@ -32,3 +33,8 @@ def fresh(df: DataFrame, base: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def text_hash(text: Column) -> Column:
+    """With the id, what names a row: ids may be null or repeat.  Null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))

@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from ledgerlink.llm.components import components
-from ledgerlink.llm.frames import stage
+from ledgerlink.llm.frames import fresh, stage, text_hash
 from ledgerlink.llm.wordgrams import NOT_SPACE, chunks, gram_hashes, mix, word_hashes
 
 RUN = 5
@@ -102,10 +102,10 @@ def _passes(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _with_sets(rows: DataFrame, runs: str, of_ids: bytes | None = None, of_keys: bytes | None = None) -> DataFrame:
-    """(id, n, key, runs) of rows (id, id_hash, text).  runs: "none", "first" (of the counting order) or "all".
+    """(id, text_hash, n, key, runs) of rows (id, id_hash, text_hash, text).  runs: "none", "first" (of the counting order) or "all".
 
     ``of_ids``, ``of_keys``: bit filters of the rows that are wanted; they may let others pass."""
-    schema = T.StructType([rows.schema["id"], T.StructField("n", T.LongType()), T.StructField("key", T.LongType()), T.StructField("runs", T.ArrayType(T.LongType()))])
+    schema = T.StructType([rows.schema["id"], rows.schema["text_hash"], T.StructField("n", T.LongType()), T.StructField("key", T.LongType()), T.StructField("runs", T.ArrayType(T.LongType()))])
     share = rows.sparkSession.sparkContext.broadcast
     filters = [share(x) if x is not None else None for x in (of_ids, of_keys)]
 
@@ -126,7 +126,7 @@ def _with_sets(rows: DataFrame, runs: str, of_ids: bytes | None = None, of_keys:
                     sets = [s[:len(s) - _rounded_up(len(s)) + _shared_least(len(s))] for s in sets]
                 elif runs == "none":
                     sets = [s[:0] for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n), pa.array(key), _lists(sets)], names=["id", "n", "key", "runs"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), pa.array(n), pa.array(key), _lists(sets)], names=["id", "text_hash", "n", "key", "runs"])
 
     return rows.mapInArrow(run, schema)
 
@@ -321,9 +321,10 @@ def _candidates(sets: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_runs, text_key (the identity of the set), component_id."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{id_col}`")).alias("id_hash"), F.col(f"`{text_col}`").alias("text"))
-    every = stage(_with_sets(rows, "none").select("id", "n", "key"), "sets")
+    """One row per row of ``docs``: id, text_hash, n_runs, component_id, class_key (the class, also where ids are null; null for empty sets)."""
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{id_col}`")).alias("id_hash"), text_hash(text).alias("text_hash"), text.alias("text"))
+    every = stage(_with_sets(rows, "none").select("id", "text_hash", "n", "key"), "sets")
     sets = stage(every.filter("n > 0").groupBy("key").agg(F.first("n").alias("n"), F.min("id").alias("id")), "nodes")
     near, probes = _candidates(sets, rows)
     # first round: each node with the least node of those it shares a run with
@@ -340,8 +341,29 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = stage(probes.join(open_runs, "run", "left_semi"), "open")
     second = _search(_leaf_pairs(rest, near, comp))
     classes = components(first.unionByName(second)).join(near.select("node", "key"), "node").join(sets.select("key", "id"), "key")
-    least = classes.groupBy("component").agg(F.min("id").alias("class_id"))
-    named = classes.join(least, "component").select("key", "class_id")
-    named = sets.select("key", F.col("id").alias("own_id")).join(named, "key", "left").select("key", F.coalesce("class_id", "own_id").alias("class_id"))
+    least = classes.groupBy("component").agg(F.min("id").alias("class_id"), F.min("key").alias("class_key"))
+    named = classes.join(least, "component").select("key", "class_id", "class_key")
+    named = sets.select("key", F.col("id").alias("own_id")).join(named, "key", "left").select(
+        "key", F.when(F.col("class_key").isNull(), F.col("own_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_key", "key").alias("class_key"))
     return every.join(named, "key", "left").select(
-        "id", F.col("n").alias("n_runs"), F.col("key").alias("text_key"), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")).alias("component_id"))
+        "id", "text_hash", F.col("n").alias("n_runs"), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("class_key")).alias("class_key"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class: that of the least id (null last), of several such the one of the least text hash.
+
+    Of rows equal in id and text one stays.  Rows with empty sets all stay."""
+    rows = jaccard_classes(docs, id_col, text_col).filter("class_key is not null")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("text_hash")))
+    distinct = stage(rows.groupBy("class_key", "id", "text_hash").agg(F.count("*").alias("copies")), "members")
+    chosen = distinct.groupBy("class_key").agg(first.alias("first"))
+    marked = distinct.join(chosen, "class_key").withColumn("stays", F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash")))
+    # rows that go, and those of which one of several equal ones stays; all others aren't listed
+    marked = marked.filter("not stays or copies > 1")
+    own_id, own_hash, stays = fresh(docs, "_own_id"), fresh(docs, "_own_hash"), fresh(docs, "_stays")
+    marked = marked.select(F.col("id").alias(own_id), F.col("text_hash").alias(own_hash), F.col("stays").alias(stays))
+    joined = docs.join(marked, docs[id_col].eqNullSafe(marked[own_id]) & (text_hash(docs[text_col]) == marked[own_hash]), "left")
+    single = joined.filter(F.col(stays).isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    several = joined.filter(F.col(stays)).dropDuplicates([own_id, own_hash]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return single.unionByName(several)

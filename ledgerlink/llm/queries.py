@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlink.llm import byte_bpe_query, decontamination_query, jaccard_join_query, quality_rules_query
+from ledgerlink.llm import byte_bpe_query, decontamination_query, jaccard_join_query, quality_rules_query, secret_scan_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": decontamination_query.op4_benchmark_decontamination,
     "op6_byte_bpe": byte_bpe_query.op6_byte_bpe,
     "op8_jaccard_join": jaccard_join_query.op8_jaccard_join,
+    "op9_secret_scan": secret_scan_query.op9_secret_scan,
     "op10_quality_rules": quality_rules_query.op10_quality_rules,
 }
 
 SQL: dict[str, str] = {
     "op4_benchmark_decontamination": decontamination_query.SQL,
     "op8_jaccard_join": jaccard_join_query.SQL,
+    "op9_secret_scan": secret_scan_query.SQL,
     "op10_quality_rules": quality_rules_query.SQL,
 }
