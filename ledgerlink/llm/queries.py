@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlink.llm import byte_bpe_query, decontamination_query, jaccard_join_query, quality_rules_query, secret_scan_query
+from ledgerlink.llm import byte_bpe_query, chat_windows_query, decontamination_query, jaccard_join_query, quality_rules_query, secret_scan_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_windows": chat_windows_query.op1_chat_windows,
     "op4_benchmark_decontamination": decontamination_query.op4_benchmark_decontamination,
     "op6_byte_bpe": byte_bpe_query.op6_byte_bpe,
     "op8_jaccard_join": jaccard_join_query.op8_jaccard_join,
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_chat_windows": chat_windows_query.SQL,
     "op4_benchmark_decontamination": decontamination_query.SQL,
     "op8_jaccard_join": jaccard_join_query.SQL,
     "op9_secret_scan": secret_scan_query.SQL,
