@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlink.llm import byte_bpe_query, chat_windows_query, decontamination_query, jaccard_join_query, quality_rules_query, secret_scan_query
+from ledgerlink.llm import byte_bpe_query, chat_windows_query, decontamination_query, jaccard_join_query, quality_rules_query, secret_scan_query, toxicity_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_windows": chat_windows_query.op1_chat_windows,
+    "op2_toxicity": toxicity_query.op2_toxicity,
     "op4_benchmark_decontamination": decontamination_query.op4_benchmark_decontamination,
     "op6_byte_bpe": byte_bpe_query.op6_byte_bpe,
     "op8_jaccard_join": jaccard_join_query.op8_jaccard_join,
