@@ -6,13 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlink.llm import byte_bpe_query, chat_windows_query, decontamination_query, jaccard_join_query, quality_rules_query, secret_scan_query, toxicity_query
+from ledgerlink.llm import (
+    byte_bpe_query,
+    chat_windows_query,
+    decontamination_query,
+    jaccard_join_query,
+    quality_rules_query,
+    secret_scan_query,
+    sharding_query,
+    token_counts_query,
+    toxicity_query,
+    training_order_query,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_windows": chat_windows_query.op1_chat_windows,
     "op2_toxicity": toxicity_query.op2_toxicity,
+    "op3_sharding": sharding_query.op3_sharding,
     "op4_benchmark_decontamination": decontamination_query.op4_benchmark_decontamination,
+    "op5_token_counts": token_counts_query.op5_token_counts,
     "op6_byte_bpe": byte_bpe_query.op6_byte_bpe,
+    "op7_training_order": training_order_query.op7_training_order,
     "op8_jaccard_join": jaccard_join_query.op8_jaccard_join,
     "op9_secret_scan": secret_scan_query.op9_secret_scan,
     "op10_quality_rules": quality_rules_query.op10_quality_rules,
