@@ -8,8 +8,9 @@ when ``100 * |A & B| >= 75 * |A | B|``.  No link between different sets is misse
 2. *Nodes that can link.*  A linked node shares three quarters of its runs with another node.  Two lossless tests,
    both counting in how many nodes a run lies: first over the ``n - ceil(3n/4) + l(n)`` least hashes of each set
    (linked sets share at least ``l`` of these), then over all runs of the nodes that remain.
-3. *Order by rarity.*  Rare runs first, the ``n - ceil(3n/4) + 1`` first runs of two linked sets share one.
-4. *First round.*  Each node is compared with the least node of those it shares such a run with.  A group of near
+3. *Order by rarity.*  With the runs of fewest nodes first, the ``n - ceil(3n/4) + 1`` first runs of two linked sets share one (a probe).
+   Any order that is the same for all sets would do; this one keeps widely shared passages out.
+4. *First round.*  Each node is compared with the least node of those it shares its rarest probe with.  A group of near
    copies of any size links up in as many comparisons as it has nodes, and its pairs are never enumerated.
 5. *Signature trees.*  Runs whose nodes now lie in one component are settled.  The nodes of the others are sorted into
    leaves of up to ``LEAF`` nodes, with inner nodes of ``FAN``; each holds the OR of its members' run
@@ -19,8 +20,9 @@ when ``100 * |A & B| >= 75 * |A | B|``.  No link between different sets is misse
    Each leaf pair is a row of its own, so a hot group spreads over the cluster.
 6. *Classes* are the connected components of all links found.
 
-A run in very many nodes is found by ``approx_top_k`` over all rows (a mergeable sketch of fixed size) and
-its rows skip the shuffle that counts: being frequent is all that the count would tell.
+Frequent runs are those that hold a small share of the rows of a batch, counted for every batch of all rows and summed; the
+``HOT_RUNS`` most frequent are broadcast.  Their rows skip the shuffle that counts: being frequent is all that it
+would tell.  Which runs are in that list never changes a result.
 
 Defined results.  Null or empty text, or white space alone: empty set, linked with nothing.  Null id: the row
 takes part, and its class is the least id that isn't null among all members (null if there is none).  Repeated rows: the same set, hence the same
@@ -49,12 +51,14 @@ FAN = 8
 LEAF_BITS = 4096
 #: A set of more runs is a leaf by itself.
 LARGE_SET = 1 << 13
-#: Runs in more nodes than this share of all rows (or HOT_LEAST nodes) don't go through the counting shuffle.
-HOT_SHARE, HOT_LEAST, HOT_RUNS = 20_000, 1_000, 1_000
+#: Frequent runs: in HOT_LEAST texts and one of HOT_SHARE of a batch, and of these the HOT_RUNS most frequent (16 bytes each).
+HOT_LEAST, HOT_SHARE, HOT_RUNS = 8, 128, 20_000
 #: Bits of the filters (2 MB each, whatever the input) that keep rows of other nodes out of a pass.
 FILTER_BITS = 1 << 24
-#: A table of nodes (16 bytes a row) is broadcast up to this count, and shuffled beyond it.
-BROADCAST_ROWS = 1 << 20
+#: A table of nodes (40 bytes a row at most) is broadcast up to this count, and shuffled beyond it.
+BROADCAST_ROWS = 1 << 19
+#: Texts whose frequent runs are counted together, and texts handled at once.
+BATCH, ROWS = 4096, 512
 
 
 # ---- sets -----------------------------------------------------------------------------------------------------------
@@ -101,58 +105,95 @@ def _passes(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((table[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def _with_sets(rows: DataFrame, runs: str, of_ids: bytes | None = None, of_keys: bytes | None = None) -> DataFrame:
-    """(id, text_hash, n, key, runs) of rows (id, id_hash, text_hash, text).  runs: "none", "first" (of the counting order) or "all".
+def _frequent_in(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(runs, texts) of the runs that are frequent in a batch."""
+    runs, texts = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
+    often = texts >= max(HOT_LEAST, len(sets) // HOT_SHARE)
+    return runs[often], texts[often]
 
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """(id, text_hash, n, key) of rows (id, text_hash, text); the last row of a batch also lists its frequent runs."""
+    found = T.ArrayType(T.StructType([T.StructField("run", T.LongType()), T.StructField("texts", T.LongType())]))
+    schema = T.StructType([rows.schema["id"], rows.schema["text_hash"], T.StructField("n", T.LongType()), T.StructField("key", T.LongType()), T.StructField("frequent", found)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, BATCH):
+                b = whole.slice(first, BATCH)
+                sets = shingle_sets(b.column("text"))
+                runs, texts = _frequent_in(sets)
+                pairs = pa.StructArray.from_arrays([pa.array(runs.view(np.int64)), pa.array(texts.astype(np.int64))], names=["run", "texts"])
+                bounds = np.zeros(b.num_rows + 1, dtype=np.int32)
+                bounds[-1] = len(runs)
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_hash"), pa.array([len(s) for s in sets], type=pa.int64()),
+                                                  pa.array([set_key(s) for s in sets], type=pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pairs)], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _hot_runs(keyed: DataFrame) -> bytes:
+    """The most frequent runs as sorted 64-bit integers, HOT_RUNS at most."""
+    top = (keyed.select(F.explode("frequent").alias("f")).groupBy(F.col("f.run").alias("run")).agg(F.sum("f.texts").alias("texts"))
+           .orderBy(F.desc("texts"), "run").limit(HOT_RUNS).select("run").collect())
+    return np.sort(np.array([r["run"] for r in top], dtype=np.int64).view(np.uint64)).tobytes()
+
+
+def _is_hot(hot: np.ndarray, s: np.ndarray) -> np.ndarray:
+    if not len(hot):
+        return np.zeros(len(s), dtype=bool)
+    return hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s
+
+
+def _with_runs(rows: DataFrame, wanted: str, hot: bytes, of_ids: bytes, of_keys: bytes | None = None) -> DataFrame:
+    """(id, text_hash, n, key, runs, hot) of rows (id, id_hash, text_hash, text).
+
+    wanted "first": runs are the first of the counting order without the hot ones, whose number is hot.  "cold": likewise of the whole set.
+    "all": the whole set.
     ``of_ids``, ``of_keys``: bit filters of the rows that are wanted; they may let others pass."""
-    schema = T.StructType([rows.schema["id"], rows.schema["text_hash"], T.StructField("n", T.LongType()), T.StructField("key", T.LongType()), T.StructField("runs", T.ArrayType(T.LongType()))])
-    share = rows.sparkSession.sparkContext.broadcast
-    filters = [share(x) if x is not None else None for x in (of_ids, of_keys)]
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([rows.schema["id"], rows.schema["text_hash"], T.StructField("n", T.LongType()), T.StructField("key", T.LongType()),
+                           T.StructField("runs", longs), T.StructField("hot", T.LongType())])
+    shared = rows.sparkSession.sparkContext.broadcast((hot, of_ids, of_keys))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, keys = [np.frombuffer(x.value, dtype=np.uint8) if x is not None else None for x in filters]
+        often = np.frombuffer(shared.value[0], dtype=np.uint64)
+        ids, keys = [np.frombuffer(x, dtype=np.uint8) if x is not None else None for x in shared.value[1:]]
         for b in batches:
-            if ids is not None:
-                b = b.filter(pa.array(_passes(ids, b.column("id_hash").to_numpy())))
-            for first in range(0, b.num_rows, 512):
-                part = b.slice(first, 512)
+            b = b.filter(pa.array(_passes(ids, b.column("id_hash").to_numpy())))
+            for first in range(0, b.num_rows, ROWS):
+                part = b.slice(first, ROWS)
                 sets = shingle_sets(part.column("text"))
                 n = np.array([len(s) for s in sets], dtype=np.int64)
                 key = np.array([set_key(s) for s in sets], dtype=np.int64)
                 if keys is not None:
                     keep = np.flatnonzero(_passes(keys, key))
                     part, n, key, sets = part.take(pa.array(keep, type=pa.int64())), n[keep], key[keep], [sets[i] for i in keep]
-                if runs == "first":
-                    sets = [s[:len(s) - _rounded_up(len(s)) + _shared_least(len(s))] for s in sets]
-                elif runs == "none":
-                    sets = [s[:0] for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), pa.array(n), pa.array(key), _lists(sets)], names=["id", "text_hash", "n", "key", "runs"])
+                count = np.zeros(len(sets), dtype=np.int64)
+                for i, s in enumerate(sets if wanted != "all" else []):
+                    if wanted == "first":
+                        s = s[:len(s) - _rounded_up(len(s)) + _shared_least(len(s))]
+                    is_hot = _is_hot(often, s)
+                    sets[i], count[i] = s[~is_hot], is_hot.sum()
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), pa.array(n), pa.array(key), _lists(sets), pa.array(count)], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
 # ---- nodes that can link --------------------------------------------------------------------------------------------
 
-def _hot_runs(runs: DataFrame) -> list[tuple[int, int]]:
-    """(run, estimated nodes) of the most frequent runs, HOT_RUNS at most, from a sketch over all rows."""
-    row = runs.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(run, {HOT_RUNS}, {HOT_RUNS * 8})").alias("top")).first()
-    least = max(HOT_LEAST, (row["n"] or 0) // HOT_SHARE)
-    return [(x[0], x[1]) for x in row["top"] or [] if x[0] is not None and x[1] >= least]
+def _shared_runs(rows: DataFrame, node: str) -> DataFrame:
+    """(node, shared): in how many of its runs each node meets a different one, of rows (node, runs, hot).
 
-
-def _counted(runs: DataFrame, node: str) -> DataFrame:
-    """The rows of ``runs`` (run, node) whose run lies in two different nodes or more, and in how many rows ("rows").
-
-    A few rows may be there twice (see ``_with_sets``); that doesn't make a run shared."""
+    Hot runs count as shared.  Some nodes may be there twice (see ``_with_runs``): their counts are too
+    high then, never too low."""
+    own = F.struct(F.lit(None).cast("long").alias("run"), F.col("hot").alias("hot"))
+    # a row of its own for the number of hot runs, at a place of its own among the runs
+    each = F.transform("runs", lambda r: F.struct(r.alias("run"), F.lit(None).cast("long").alias("hot")))
+    runs = rows.select(node, F.explode(F.when(F.col("hot") > 0, F.concat(each, F.array(own))).otherwise(each)).alias("r")).select(node, F.coalesce("r.run", F.xxhash64(node)).alias("run"), "r.hot")
     by = W.partitionBy("run")
-    counted = lambda rows: (rows.select("*", F.count("*").over(by).alias("rows"), F.min(node).over(by).alias("_a"), F.max(node).over(by).alias("_b"))
-                            .filter("_a <> _b").drop("_a", "_b"))
-    hot = _hot_runs(runs)
-    if not hot:
-        return counted(runs)
-    table = F.broadcast(runs.sparkSession.createDataFrame(hot, "run bigint, rows bigint"))  # HOT_RUNS rows at most
-    cold, warm = runs.join(table.select("run"), "run", "left_anti"), runs.join(table, "run")
-    return counted(cold).unionByName(warm)
+    met = runs.select(node, "hot", F.min(node).over(by).alias("_a"), F.max(node).over(by).alias("_b"))
+    return met.filter("_a <> _b or hot is not null").groupBy(node).agg(F.sum(F.coalesce("hot", F.lit(1))).alias("shared"))
 
 
 def _filter_bits(hashes: DataFrame) -> bytes:
@@ -264,13 +305,12 @@ def _leaf_pairs(rows: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
     nodes = rows.select("node").distinct().join(comp, "node")
     small = F.col("n") <= LARGE_SET
     # sorted by component and size: near copies share leaves, and leaves have narrow size ranges
-    cut = nodes.join(sets.select("node", "n"), "node").repartitionByRange("comp", "n", "node").sortWithinPartitions("comp", "n", "node")
+    cut = nodes.join(sets.select("node", "n").distinct(), "node").repartitionByRange("comp", "n", "node").sortWithinPartitions("comp", "n", "node")
     placed = stage(cut.withColumn("_row", F.monotonically_increasing_id()), "placed")
     # monotonically_increasing_id: partition number above 33 bits of row number; no leaf spans two partitions
     leaf = F.when(small, F.expr(f"shiftleft(shiftright(_row, 33), 33) + (_row & 8589934591) div {LEAF}")).otherwise(-1 - F.col("_row"))
     placed = placed.withColumn("leaf", leaf)
-    members = placed.join(sets.select("node", "runs"), "node")
-    bit = F.pmod(F.col("run"), F.lit(LEAF_BITS)).cast("int")
+    members = _looked_up(placed.select("node", "comp", "leaf", "n"), sets.select("node", "runs"), "node")
     leaves = stage(members.groupBy("leaf").agg(
         F.sort_array(F.collect_list(F.struct("node", "comp", "runs"))).alias("sets"),
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("first"), F.max("comp").alias("last")), "leaves")
@@ -294,53 +334,73 @@ def _leaf_pairs(rows: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
 
 # ---- the join -------------------------------------------------------------------------------------------------------
 
+def _looked_up(small: DataFrame, large: DataFrame, key: str) -> DataFrame:
+    """``large`` joined with a staged table of a few numbers a row, broadcast only behind a count of its rows."""
+    return large.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, key)
+
+
 def _numbered(nodes: DataFrame, keyed: DataFrame) -> DataFrame:
-    """``keyed`` with the node of its key from ``nodes`` (key, node); rows of other keys go."""
-    # broadcast behind a count: 16 bytes a row
-    small = nodes.count() <= BROADCAST_ROWS
-    return keyed.join(F.broadcast(nodes) if small else nodes, "key")
+    """``keyed`` with the node of its key from ``nodes``; rows of other keys go."""
+    return _looked_up(nodes, keyed, "key")
 
 
-def _candidates(sets: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(node, n, key, runs) with all runs of the nodes that can link, and (run, node) of their probes."""
+def _candidates(sets: DataFrame, rows: DataFrame, hot: bytes) -> DataFrame:
+    """(node, n, key, shared, runs) of the nodes that can link."""
     least = F.expr("(3 * n + 3) div 4")
     of_ids = _filter_bits(sets.select(F.xxhash64("id")))
-    runs = _with_sets(rows, "first", of_ids).select(F.explode("runs").alias("run"), "key")
-    shared = _counted(runs, "key").groupBy("key").agg(F.count("*").alias("shared"))
-    first = stage(sets.select("n", "key").join(shared, "key").filter(F.col("shared") >= F.expr("((3 * n + 3) div 4) div 16 + 1"))
-                  .select("key").withColumn("node", F.monotonically_increasing_id()), "may-link")
-    whole = _with_sets(rows, "all", of_ids, _filter_bits(first.select("key")))
-    counts = _counted(_numbered(first, whole.select("key", "n", "runs")).select(F.explode("runs").alias("run"), "node", "n"), "node")
-    # in order of rarity: runs of no other node come first, then by number of rows (dense_rank: equal rows count once)
-    place = F.dense_rank().over(W.partitionBy("node").orderBy("rows", "run"))
-    ranked = counts.withColumn("place", place).withColumn("shared", F.max("place").over(W.partitionBy("node")))
-    probes = stage(ranked.filter(F.col("place") <= F.col("shared") - least + 1).select("run", "node").distinct(), "probes")
-    near = stage(probes.select("node").distinct().join(first, "node").select("node", "key"), "near")
-    kept = _numbered(near.select("key", "node"), _with_sets(rows, "all", of_ids, _filter_bits(near.select("key"))).select("key", "n", "runs"))
-    return stage(kept.groupBy("node", "n", "key").agg(F.any_value("runs").alias("runs")), "near-sets"), probes
+    shared = _shared_runs(_with_runs(rows, "first", hot, of_ids).select("key", "runs", "hot"), "key")
+    first = stage(sets.join(shared, "key").filter(F.col("shared") >= F.expr("((3 * n + 3) div 4) div 16 + 1"))
+                  .select("key", "id", "text_hash", "n").withColumn("node", F.monotonically_increasing_id()), "may-link")
+    whole = _with_runs(rows, "cold", hot, of_ids, _filter_bits(first.select("key"))).select("key", "runs", "hot")
+    shared = _shared_runs(_numbered(first.select("key", "node"), whole).drop("key"), "node")
+    near = stage(first.join(shared, "node").filter(F.col("shared") >= least).select("key", "id", "text_hash", "node", "shared"), "near")
+    found = _with_runs(rows, "all", hot, of_ids, _filter_bits(near.select("key"))).drop("hot")
+    # the set of one row for each node (rows equal in id and text give it again, which does no harm)
+    chosen = near.select("key", "node", "shared", F.col("id").alias("own_id"), F.col("text_hash").alias("own_hash"))
+    kept = _numbered(chosen, found).filter(F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
+    return stage(kept.select("node", "n", "key", "shared", "runs"), "near-sets")
+
+
+def _probes(near: DataFrame, hot: bytes) -> DataFrame:
+    """(run, node): the first shared runs of each node in order of rarity.
+
+    Runs of no other node would come first; ``shared`` is at least the number of the rest.  Hot runs come last and
+    needn't be counted; dense_rank, as rows may be there twice."""
+    spark = near.sparkSession
+    table = F.broadcast(spark.createDataFrame([(x,) for x in np.frombuffer(hot, dtype=np.int64).tolist()], "run bigint"))  # HOT_RUNS rows at most
+    runs = near.select(F.explode("runs").alias("run"), "node", (F.col("shared") - F.expr("(3 * n + 3) div 4") + 1).alias("wanted"))
+    cold = runs.join(table, "run", "left_anti").withColumn("nodes", F.count("*").over(W.partitionBy("run"))).filter("nodes > 1")
+    ranked = cold.unionByName(runs.join(table, "run").withColumn("nodes", F.lit(2**62)))
+    place = F.dense_rank().over(W.partitionBy("node").orderBy("nodes", "run"))
+    return stage(ranked.withColumn("place", place).filter("place <= wanted").select("run", "node").distinct(), "probes")
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, text_hash, n_runs, component_id, class_key (the class, also where ids are null; null for empty sets)."""
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{id_col}`")).alias("id_hash"), text_hash(text).alias("text_hash"), text.alias("text"))
-    every = stage(_with_sets(rows, "none").select("id", "text_hash", "n", "key"), "sets")
-    sets = stage(every.filter("n > 0").groupBy("key").agg(F.first("n").alias("n"), F.min("id").alias("id")), "nodes")
-    near, probes = _candidates(sets, rows)
-    # first round: each node with the least node of those it shares a run with
+    keyed = stage(_keyed(rows.drop("id_hash")), "sets")
+    every = keyed.drop("frequent")
+    chosen = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("text_hash")))
+    sets = stage(every.filter("n > 0").groupBy("key").agg(F.first("n").alias("n"), chosen.alias("c")).select("key", "n", "c.id", "c.text_hash"), "nodes")
+    hot = _hot_runs(keyed)
+    near = _candidates(sets, rows, hot)
+    probes = _probes(near, hot)
+    # first round: each node with the least node of those it shares its rarest run with
     hubs = probes.groupBy("run").agg(F.min("node").alias("hub"), F.count("*").alias("m")).filter("m > 1")
-    star = probes.join(hubs, "run").filter("node <> hub").groupBy("node").agg(F.min("hub").alias("hub"))
-    mine, its = near.select("node", F.col("runs").alias("a")), near.select(F.col("node").alias("hub"), F.col("runs").alias("b"))
+    star = stage(probes.join(hubs, "run").filter("node <> hub").groupBy("node").agg(F.min(F.struct("m", "run", "hub")).alias("s")).select("node", "s.hub"), "stars")
+    mine = near.select("node", F.col("runs").alias("a"))
+    its = near.join(star.select("hub").distinct(), F.col("node") == F.col("hub"), "left_semi").select(F.col("node").alias("hub"), F.col("runs").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    first = stage(star.join(mine, "node").join(its, "hub").withColumn("both", both)
+    first = stage(_looked_up(star, mine, "node").join(its, "hub").withColumn("both", both)
                   .filter("100 * both >= 75 * (size(a) + size(b) - both)").select(F.col("node").alias("a"), F.col("hub").alias("b")), "first-links")
     known = components(first)
-    comp = stage(near.select("node").join(known, "node", "left").select("node", F.coalesce("component", "node").alias("comp")), "first-classes")
+    comp = stage(near.select("node").distinct().join(known, "node", "left").select("node", F.coalesce("component", "node").alias("comp")), "first-classes")
     # second round: runs whose nodes lie in more than one component
     open_runs = probes.join(comp, "node").groupBy("run").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("run")
     rest = stage(probes.join(open_runs, "run", "left_semi"), "open")
     second = _search(_leaf_pairs(rest, near, comp))
-    classes = components(first.unionByName(second)).join(near.select("node", "key"), "node").join(sets.select("key", "id"), "key")
+    classes = components(first.unionByName(second)).join(near.select("node", "key").distinct(), "node").join(sets.select("key", "id"), "key")
     least = classes.groupBy("component").agg(F.min("id").alias("class_id"), F.min("key").alias("class_key"))
     named = classes.join(least, "component").select("key", "class_id", "class_key")
     named = sets.select("key", F.col("id").alias("own_id")).join(named, "key", "left").select(
