@@ -3,7 +3,7 @@
 1. *Lexicon.*  Over a bounded sample of labelled texts, words and word stems (beginnings of words, written ``stem*``) are counted by label.  Those
    that toxic texts hold more often, beyond chance (``LEAST_G``), make the lexicon (``TERMS`` at most): strong ones ``STRONG`` times as often, weak
    ones ``WEAK`` times.
-2. *Trie.*  A word meets a term if the Levenshtein automaton of the word, run down the trie of the terms, accepts it: within 1 edit for terms
+2. *Tries.*  A word meets a term if the Levenshtein automaton of the word, run down a trie of the terms, accepts it: within 1 edit for terms
    of ``ONE_EDIT`` letters, 2 for ``TWO_EDITS``, 0 for shorter ones and stems.  Digits and signs that stand for letters are read as such.
    Each distinct word is looked up once a task.
 3. *Context.*  Around each hit, ``NEAR`` words on either side tell whether it stands in quotation marks or after a reporting word, and
@@ -53,11 +53,18 @@ FEATURES = ("strong", "weak", "misspelled", "quoted_strong", "quoted_weak", "quo
 
 
 def fold(word: str) -> str:
-    """A lower-case word as the automata read it."""
-    core = word.strip("".join(c for c in set(word) if not c.isalnum() and c not in "@$"))
-    if any(c in LETTER_SIGNS for c in core) and any(c.isalpha() for c in core):
+    """A lower-case word as the automata read it: without signs at its ends, with signs that stand for letters read so."""
+    if word.isalpha() and word.isascii():
+        return word
+    a, b = 0, len(word)
+    while a < b and not (word[a].isalnum() or word[a] in "@$"):
+        a += 1
+    while a < b and not (word[b - 1].isalnum() or word[b - 1] in "@$"):
+        b -= 1
+    core = word[a:b]
+    if not core.isalpha() and any(c in LETTER_SIGNS for c in core) and any(c.isalpha() for c in core):
         core = "".join(LETTER_SIGNS.get(c, c) for c in core)
-    return unicodedata.normalize("NFC", core)
+    return core if core.isascii() else unicodedata.normalize("NFC", core)
 
 
 def edits(term: str) -> int:
@@ -65,57 +72,100 @@ def edits(term: str) -> int:
 
 
 class Trie:
-    """The lexicon: one node per beginning of a term; a node may end a whole term or a stem."""
+    """Terms by their beginnings.  ``ends``: the edits that a term ending at a node allows (-1: none ends there); ``allow``: the most below a node."""
 
-    def __init__(self, terms: list[str], weak: list[str]):
+    def __init__(self, terms: dict[str, int]):
         self.next: list[dict[str, int]] = [{}]
-        self.ends: list[int] = [-1]  # edits that the term ending here allows
-        self.stems, self.weak_stems = ({t[:-1] for t in x if t.endswith("*")} for x in (terms, weak))
-        self.whole, self.weak = ({t for t in x if not t.endswith("*")} for x in (terms, weak))
-        self.most = max((edits(t) for t in self.whole), default=0)
-        for t in sorted(self.whole):
+        self.ends, self.allow = [-1], [-1]
+        for t, k in sorted(terms.items()):
             at = 0
+            self.allow[0] = max(self.allow[0], k)
             for c in t:
                 if c not in self.next[at]:
                     self.next[at][c] = len(self.next)
                     self.next.append({})
                     self.ends.append(-1)
+                    self.allow.append(-1)
                 at = self.next[at][c]
-            self.ends[at] = edits(t)
-        # a word within k edits of a term holds one of the term's k + 1 parts as it is: words without any needn't be run
-        self.parts = {p for t in self.whole if edits(t) for p in self._cut(t)}
-        self.sizes = sorted({len(p) for p in self.parts})
-        self.longest, self.shortest = max(map(len, self.whole), default=0) + self.most, min((len(t) - edits(t) for t in self.whole if edits(t)), default=0)
+                self.allow[at] = max(self.allow[at], k)
+            self.ends[at] = k
 
-    @staticmethod
-    def _cut(term: str) -> list[str]:
-        k = edits(term) + 1
-        cuts = [len(term) * i // k for i in range(k + 1)]
-        return [term[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+    def node(self, beginning: str) -> int:
+        at = 0
+        for c in beginning:
+            at = self.next[at][c]
+        return at
 
-    def _may_meet(self, word: str) -> bool:
-        return self.shortest <= len(word) <= self.longest and any(word[i:i + n] in self.parts for n in self.sizes for i in range(len(word) - n + 1))
+    def meets(self, word: str, at: int = 0) -> bool:
+        """Whether the Levenshtein automaton of ``word``, run down from a node, accepts a term within the edits it allows.
 
-    def hit(self, word: str) -> int:
-        """0: no term; 1: a strong term, or a word that begins with a strong stem; 2: likewise weak; 3: a strong term misspelled."""
-        if word in self.whole or any(word[:n] in self.stems for n in STEMS if len(word) > n):
-            return 1
-        if word in self.weak or any(word[:n] in self.weak_stems for n in STEMS if len(word) > n):
-            return 2
-        if not self.most or not self._may_meet(word):
-            return 0
-        # the automaton's states are the edits spent at each place of the word; a branch ends when all exceed what any term allows
-        row = list(range(len(word) + 1))
-        todo = [(child, c, row) for c, child in self.next[0].items()]
+        The automaton's state is the edits spent at each place of the word; a branch ends when all exceed what any term below allows."""
+        todo = [(at, list(range(len(word) + 1)))]
         while todo:
-            node, c, above = todo.pop()
-            row = [above[0] + 1]
-            for i, w in enumerate(word):
-                row.append(min(above[i] + (w != c), above[i + 1] + 1, row[i] + 1))
+            node, row = todo.pop()
             if row[-1] <= self.ends[node]:
+                return True
+            for c, child in self.next[node].items():
+                own = [row[0] + 1]
+                least = own[0]
+                for i, w in enumerate(word):
+                    x = row[i] if w == c else min(row[i], row[i + 1], own[i]) + 1
+                    own.append(x)
+                    if x < least:
+                        least = x
+                if least <= self.allow[child]:
+                    todo.append((child, own))
+        return False
+
+
+class Lexicon:
+    """Strong and weak terms and stems, and the tries of the strong terms that allow edits.
+
+    Of a term cut into k + 1 parts, k edits leave one as it is: the first at the word's start, the last at its end, or the middle one (of
+    three) at most one place off.  So automata run only below the beginning that a word shares with terms, below the ending (in the
+    trie of reversed terms), or in the trie of the terms with its middle part."""
+
+    def __init__(self, strong: list[str], weak: list[str]):
+        whole = {t: edits(t) for t in strong if not t.endswith("*")}
+        self.known = {t: 2 for t in weak if not t.endswith("*")} | dict.fromkeys(whole, 1)
+        self.stems = {t[:-1]: 2 for t in weak if t.endswith("*")} | {t[:-1]: 1 for t in strong if t.endswith("*")}
+        self.begins = {s[:STEMS[0]] for s in self.stems}
+        loose = {t: k for t, k in whole.items() if k}
+        cut = {t: [len(t) * i // (k + 1) for i in range(k + 2)] for t, k in loose.items()}
+        self.forward, self.backward = Trie(loose), Trie({t[::-1]: k for t, k in loose.items()})
+        self.heads = {t[:c[1]]: self.forward.node(t[:c[1]]) for t, c in cut.items()}
+        self.tails = {t[c[-2]:][::-1]: self.backward.node(t[c[-2]:][::-1]) for t, c in cut.items()}
+        middles: dict[tuple[int, str], dict[str, int]] = {}
+        for t, c in cut.items():
+            for off in (-1, 0, 1) if loose[t] == 2 else ():
+                middles.setdefault((c[1] + off, t[c[1]:c[2]]), {})[t] = 2
+        self.middles = {part: Trie(terms) for part, terms in middles.items()}
+        self.head_sizes, self.tail_sizes = (sorted({len(p) for p in x}) for x in (self.heads, self.tails))
+        self.middle_places = sorted({(at, len(p)) for at, p in self.middles})
+        self.shortest, self.longest = min((len(t) - k for t, k in loose.items()), default=1), max((len(t) + k for t, k in loose.items()), default=0)
+
+    def hit(self, word: str) -> int:
+        """0: no term; 1: a strong term, or a word that begins with a strong stem; 2: likewise weak; 3: a strong term misspelled."""
+        kind = self.known.get(word, 0)
+        if kind != 1 and word[:STEMS[0]] in self.begins:
+            for n in STEMS:
+                found = self.stems.get(word[:n], 0) if len(word) > n else 0
+                kind = min(kind or found, found or kind)
+        if kind or not self.shortest <= len(word) <= self.longest:
+            return kind
+        for n in self.head_sizes:
+            node = self.heads.get(word[:n])
+            if node is not None and self.forward.meets(word[n:], node):
+                return 3
+        back = word[::-1]
+        for n in self.tail_sizes:
+            node = self.tails.get(back[:n])
+            if node is not None and self.backward.meets(back[n:], node):
+                return 3
+        for at, n in self.middle_places:
+            trie = self.middles.get((at, word[at:at + n]))
+            if trie is not None and trie.meets(word):
                 return 3
-            if min(row) <= self.most:
-                todo += [(child, d, row) for d, child in self.next[node].items()]
         return 0
 
 
@@ -134,7 +184,7 @@ class Scanner:
     """The trie inside a task, with the words it has met."""
 
     def __init__(self, terms: tuple[list[str], list[str]]):
-        self.trie, self.seen, self.hits = Trie(*terms), set(), {}
+        self.lexicon, self.seen, self.hits = Lexicon(*terms), set(), {}
 
     def features(self, text: str) -> list[float]:
         words = text.lower().split()
@@ -144,7 +194,7 @@ class Scanner:
         new = distinct - self.seen
         self.seen |= new
         for w in new:
-            kind = self.trie.hit(fold(w))
+            kind = self.lexicon.hit(fold(w))
             if kind:
                 self.hits[w] = kind
         out = [0.0] * len(FEATURES)

@@ -21,7 +21,7 @@ def distance(a, b):
 def test_automata_match_brute_force():
     r = random.Random(4)
     terms = ["moron", "idiot", "pathetic", "worthless", "disgusting", "scum", "abcde", "abcdf"]
-    trie = op.Trie(terms, [])
+    lexicon = op.Lexicon(terms, [])
     letters = "abcdefghiopstw"
     for _ in range(4000):
         w = list(r.choice(terms)) if r.random() < 0.7 else [r.choice(letters) for _ in range(r.randrange(1, 12))]
@@ -30,7 +30,9 @@ def test_automata_match_brute_force():
             w[k:k + r.randrange(0, 2)] = [r.choice(letters)] * r.randrange(0, 2)
         w = "".join(w)
         want = 1 if w in terms else 3 if any(op.edits(t) and distance(w, t) <= op.edits(t) for t in terms) else 0
-        assert trie.hit(w) == want, w
+        assert lexicon.hit(w) == want, w
+    trie = op.Trie({t: op.edits(t) for t in terms})
+    assert trie.meets("idiott") and trie.meets("dizgustinng") and not trie.meets("idoitt") and not trie.meets("scun")
 
 
 def test_signs_quotation_and_address():
