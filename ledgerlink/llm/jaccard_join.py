@@ -12,11 +12,11 @@ when ``100 * |A & B| >= 75 * |A | B|``.  No link between different sets is misse
    Any order that is the same for all sets would do; this one keeps widely shared passages out.
 4. *First round.*  Each node is compared with the least node of those it shares its rarest probe with.  A group of near
    copies of any size links up in as many comparisons as it has nodes, and its pairs are never enumerated.
-5. *Signature trees.*  Runs whose nodes now lie in one component are settled.  The nodes of the others are sorted into
-   leaves of up to ``LEAF`` nodes, with inner nodes of ``FAN``; each holds the OR of its members' run
-   bitmaps and their size range.  Leaf pairs that share an unsettled run are traversed together: a pair of tree nodes
-   is left when the sizes can't match, or the bits in common plus the runs hidden behind shared bits fall short of the
-   overlap needed; a pair of nodes that survives is compared exactly, and only if no link joined them before.
+5. *Signature trees.*  Probes whose nodes now lie in one component are settled.  Nodes that the other probes connect, directly or through others, make a
+   tree: leaves of up to ``LEAF`` nodes of like size, inner nodes of ``FAN``; each holds the OR of its members' run bitmaps and their
+   size range.  Leaves meet themselves first; then pairs of leaves that share a probe and aren't settled are traversed together: a
+   pair of tree nodes is left when the sizes can't match, or the bits in common plus the runs hidden behind shared bits fall short of
+   the overlap needed.  Only nodes of pairs that survive send their sets, which are compared exactly if no link joined them before.
    Each leaf pair is a row of its own, so a hot group spreads over the cluster.
 6. *Classes* are the connected components of all links found.
 
@@ -47,10 +47,6 @@ from ledgerlink.llm.wordgrams import NOT_SPACE, chunks, gram_hashes, mix, word_h
 RUN = 5
 LEAF = 64
 FAN = 8
-#: Bits of a leaf's bitmap in the table of leaves (inside a task, bitmaps are as wide as their sets need).
-LEAF_BITS = 4096
-#: A set of more runs is a leaf by itself.
-LARGE_SET = 1 << 13
 #: Frequent runs: in HOT_LEAST texts and one of HOT_SHARE of a batch, and of these the HOT_RUNS most frequent (16 bytes each).
 HOT_LEAST, HOT_SHARE, HOT_RUNS = 8, 128, 20_000
 #: Bits of the filters (2 MB each, whatever the input) that keep rows of other nodes out of a pass.
@@ -208,47 +204,74 @@ def _filter_bits(hashes: DataFrame) -> bytes:
 
 # ---- signature trees ------------------------------------------------------------------------------------------------
 
-class Tree:
-    """The tree over one leaf's sets: their bitmaps, and inner nodes of FAN sets each."""
+def bitmap(s: np.ndarray, width: int) -> bytes:
+    """The bits of a set of runs: run modulo width."""
+    bits = np.zeros(width, dtype=bool)
+    bits[s % np.uint64(width)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
 
-    def __init__(self, sets: list[np.ndarray], width: int):
-        self.sets = sets
-        self.n = np.array([len(s) for s in sets], dtype=np.int64)
-        self.bits = np.zeros((len(sets), width // 64), dtype=np.uint64)
-        for row, s in zip(self.bits, sets, strict=True):
-            at = s % np.uint64(width)
-            np.bitwise_or.at(row, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
-        self.hidden = self.n - np.bitwise_count(self.bits).sum(axis=1, dtype=np.int64)
-        cut = np.arange(0, len(sets), FAN)
-        self.cut = np.append(cut, len(sets))
-        self.node_bits = np.bitwise_or.reduceat(self.bits, cut, axis=0)
-        self.least, self.most = np.minimum.reduceat(self.n, cut), np.maximum.reduceat(self.n, cut)
-        self.node_hidden = np.maximum.reduceat(self.hidden, cut)
 
+def width_of(n: int) -> int:
+    """Bits for a set of n runs: a power of two, four to eight for each run."""
+    return 1 << max(7, (4 * n - 1).bit_length())
 
-def may_link(common: np.ndarray, hidden_a, hidden_b, least_a, most_a, least_b, most_b) -> np.ndarray:  # noqa: ANN001
-    """Whether sets within these sizes can link: 7 * overlap >= 3 * (|A| + |B|) and sizes within 3 of 4.
+
+class Node:
+    """A tree node: the OR of its members' bitmaps, their size range, and how many runs its bits can hide."""
+
+    def __init__(self, members: list["Node"] | None = None, n: int = 0, bits: int = 0, width: int = 0):
+        self.members = members or []
+        self.least, self.most = (n, n) if not members else (min(m.least for m in members), max(m.most for m in members))
+        self.width = width or min(m.width for m in members)
+        self.bits, self.folded = bits, {}
+
+    def at(self, width: int) -> tuple[int, int]:
+        """(bits, hidden) at a width that is no more than its own: halves are folded together."""
+        if width not in self.folded:
+            if self.members:
+                parts = [m.at(width) for m in self.members]
+                bits = 0
+                for p in parts:
+                    bits |= p[0]
+                self.folded[width] = bits, max(p[1] for p in parts)
+            else:
+                bits, w = self.bits, self.width
+                while w > width:
+                    w //= 2
+                    bits = bits & ((1 << w) - 1) | bits >> w
+                self.folded[width] = bits, self.least - bits.bit_count()
+        return self.folded[width]
+
+
+def tree(leaves: list[Node]) -> Node:
+    """Inner nodes of FAN members each, up to one root."""
+    while len(leaves) > 1:
+        leaves = [Node(leaves[i:i + FAN]) for i in range(0, len(leaves), FAN)]
+    return leaves[0]
+
+
+def may_link(a: Node, b: Node) -> bool:
+    """Whether sets below the two nodes can link: sizes within 3 of 4, and 7 * overlap >= 3 * (|A| + |B|).
 
     Runs in both sets have their bits in both bitmaps; besides one run for each such bit, a set has only its hidden
     runs (those that share a bit with another run of the set)."""
-    overlap = common + np.minimum(hidden_a, hidden_b)
-    return (7 * overlap >= 3 * (least_a + least_b)) & (4 * most_a >= 3 * least_b) & (4 * most_b >= 3 * least_a)
-
-
-def traverse(a: Tree, b: Tree) -> Iterator[tuple[int, int]]:
-    """Pairs (set of a, set of b) that the bounds of the tree nodes and then of the bitmaps leave over."""
-    for i in range(len(a.cut) - 1):
-        common = np.bitwise_count(a.node_bits[i] & b.node_bits).sum(axis=1, dtype=np.int64)
-        ok = may_link(common, a.node_hidden[i], b.node_hidden, a.least[i], a.most[i], b.least, b.most)
-        for j in np.flatnonzero(ok).tolist():
-            rows = slice(b.cut[j], b.cut[j + 1])
-            for x in range(a.cut[i], a.cut[i + 1]):
-                if a.n[x] == 0:
-                    continue
-                common = np.bitwise_count(a.bits[x] & b.bits[rows]).sum(axis=1, dtype=np.int64)
-                fine = may_link(common, a.hidden[x], b.hidden[rows], a.n[x], a.n[x], b.n[rows], b.n[rows])
-                for y in np.flatnonzero(fine).tolist():
-                    yield x, b.cut[j] + y
+    if 4 * a.most < 3 * b.least or 4 * b.most < 3 * a.least:
+        return False
+    width = min(a.width, b.width)
+    (x, hidden_a), (y, hidden_b) = a.at(width), b.at(width)
+    return 7 * ((x & y).bit_count() + min(hidden_a, hidden_b)) >= 3 * (a.least + b.least)
+
+
+def traverse(a: Node, b: Node) -> Iterator[tuple[Node, Node]]:
+    """Pairs of sets (nodes without members) below a and b that no bound rules out."""
+    todo = [(a, b)]
+    while todo:
+        x, y = todo.pop()
+        if may_link(x, y):
+            if not x.members and not y.members:
+                yield x, y
+            else:
+                todo += [(c, d) for c in x.members or [x] for d in y.members or [y]]
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -256,8 +279,39 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= 75 * (len(a) + len(b) - both) and both > 0
 
 
-def leaf_links(ids_a: list[int], comps_a: list[int], a: Tree, ids_b: list[int], comps_b: list[int], b: Tree) -> list[tuple[int, int]]:
-    """Links between two leaves that join what no link joined before."""
+def _sides(members: pa.Array) -> tuple[list[int], list[int]]:
+    """Places of the members of side 0 and of side 1 (of side 0 again where a leaf meets itself)."""
+    side = members.field("side").to_pylist()
+    left, right = ([i for i, k in enumerate(side) if k == want] for want in (0, 1))
+    return left, right or left
+
+
+def _survivors(pairs: DataFrame) -> DataFrame:
+    """(pair, side, node) of the nodes that the traversal of their leaf pair can't rule out, of rows (pair, members: side, node, comp, n, bits)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[int, int, int]] = []
+            for r in range(batch.num_rows):
+                pair, members = batch.column("pair")[r].as_py(), batch.column("members")[r].values
+                node, comp = members.field("node").to_pylist(), members.field("comp").to_pylist()
+                each = [Node(n=n, bits=int.from_bytes(x, "little"), width=8 * len(x)) for n, x in zip(members.field("n").to_pylist(), members.field("bits").to_pylist(), strict=True)]
+                place = {id(x): i for i, x in enumerate(each)}
+                left, right = _sides(members)
+                met: set[tuple[int, int]] = set()
+                for x, y in traverse(*(tree(sorted((each[i] for i in k), key=lambda m: m.least)) for k in (left, right))):
+                    i, j = place[id(x)], place[id(y)]
+                    if comp[i] != comp[j]:
+                        met |= {(0, node[i]), (0 if right is left else 1, node[j])}
+                found += [(pair, *x) for x in sorted(met)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], type=pa.int64()), pa.array([x[1] for x in found], type=pa.int32()),
+                                              pa.array([x[2] for x in found], type=pa.int64())], names=["pair", "side", "node"])
+
+    return pairs.mapInArrow(run, "pair bigint, side int, node bigint")
+
+
+def leaf_links(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int]]:
+    """Links between sets (node, comp, runs) of two leaves that join what no link joined before."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -265,71 +319,101 @@ def leaf_links(ids_a: list[int], comps_a: list[int], a: Tree, ids_b: list[int],
             x = parent[x]
         return x
 
+    def bottom(sets: list[tuple[int, int, np.ndarray]]) -> list[Node]:
+        return [Node(n=len(s), bits=int.from_bytes(bitmap(s, width_of(len(s))), "little"), width=width_of(len(s))) for _, _, s in sets]
+
+    a, b = bottom(left), bottom(right)
+    place = {id(x): s for x, s in zip([*a, *b], [*left, *right], strict=True)}
     out = []
-    for x, y in traverse(a, b):
-        ra, rb = root(comps_a[x]), root(comps_b[y])
-        if ra != rb and linked(a.sets[x], b.sets[y]):
+    for x, y in traverse(*(tree(sorted(k, key=lambda m: m.least)) for k in (a, b))):
+        (i, ci, s), (j, cj, t) = place[id(x)], place[id(y)]
+        ra, rb = root(ci), root(cj)
+        if ra != rb and linked(s, t):
             parent[max(ra, rb)] = min(ra, rb)
-            out.append((ids_a[x], ids_b[y]))
+            out.append((i, j))
     return out
 
 
-def _width(sets: list[np.ndarray]) -> int:
-    most = max((len(s) for s in sets), default=1)
-    return 1 << max(10, (4 * most - 1).bit_length())
-
-
 def _search(pairs: DataFrame) -> DataFrame:
-    """Links (a, b) of rows (left, right): arrays of structs (node, comp, runs)."""
+    """Links (a, b) of rows (members): arrays of structs (side, node, comp, runs); a leaf met with itself has side 0 only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple[int, int]] = []
             for r in range(batch.num_rows):
-                sides = []
-                for name in ("left", "right"):
-                    leaf = batch.column(name)[r].values
-                    runs = leaf.field("runs")
-                    sets = [np.sort(runs[i].values.to_numpy().view(np.uint64)) for i in range(len(leaf))]
-                    sides.append((leaf.field("node").to_pylist(), leaf.field("comp").to_pylist(), sets))
-                width = max(_width(s[2]) for s in sides)
-                (ia, ca, sa), (ib, cb, sb) = sides
-                found += leaf_links(ia, ca, Tree(sa, width), ib, cb, Tree(sb, width))
+                members = batch.column("members")[r].values
+                node, comp, runs = (members.field(c) for c in ("node", "comp", "runs"))
+                sets = [(node[i].as_py(), comp[i].as_py(), np.sort(runs[i].values.to_numpy().view(np.uint64))) for i in range(len(members))]
+                left, right = _sides(members)
+                if left and right:
+                    found += leaf_links([sets[i] for i in left], [sets[i] for i in right])
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], type=pa.int64()), pa.array([y for _, y in found], type=pa.int64())], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
-def _leaf_pairs(rows: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
-    """Rows (left, right) of leaves that share one of the unsettled runs in ``rows`` (run, node)."""
-    nodes = rows.select("node").distinct().join(comp, "node")
-    small = F.col("n") <= LARGE_SET
-    # sorted by component and size: near copies share leaves, and leaves have narrow size ranges
-    cut = nodes.join(sets.select("node", "n").distinct(), "node").repartitionByRange("comp", "n", "node").sortWithinPartitions("comp", "n", "node")
-    placed = stage(cut.withColumn("_row", F.monotonically_increasing_id()), "placed")
-    # monotonically_increasing_id: partition number above 33 bits of row number; no leaf spans two partitions
-    leaf = F.when(small, F.expr(f"shiftleft(shiftright(_row, 33), 33) + (_row & 8589934591) div {LEAF}")).otherwise(-1 - F.col("_row"))
-    placed = placed.withColumn("leaf", leaf)
-    members = _looked_up(placed.select("node", "comp", "leaf", "n"), sets.select("node", "runs"), "node")
-    leaves = stage(members.groupBy("leaf").agg(
-        F.sort_array(F.collect_list(F.struct("node", "comp", "runs"))).alias("sets"),
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("first"), F.max("comp").alias("last")), "leaves")
-    # the OR of the bitmaps, and the runs hidden in it at most, as far as a leaf can hold them
-    summary = leaves.select("leaf", "least", "most", "first", "last").join(
-        leaves.select("leaf", F.explode("sets").alias("s")).select("leaf", F.size("s.runs").alias("n"), F.array_distinct(F.transform("s.runs", lambda r: F.pmod(r, F.lit(LEAF_BITS)).cast("int"))).alias("bits"))
-        .groupBy("leaf").agg(F.array_distinct(F.flatten(F.collect_list("bits"))).alias("bits"), F.max(F.col("n") - F.size("bits")).alias("hidden")), "leaf")
-    summary = stage(summary, "tree")
-    at = stage(rows.join(placed.select("node", "leaf"), "node").select("run", "leaf").distinct(), "at")
-    met = (at.withColumnRenamed("leaf", "l").join(at.withColumnRenamed("leaf", "r"), "run").filter("l <= r").select("l", "r").distinct())
-    left = summary.select(*[F.col(c).alias(f"l_{c}") for c in summary.columns])
-    right = summary.select(*[F.col(c).alias(f"r_{c}") for c in summary.columns])
-    bound = F.size(F.array_intersect("l_bits", "r_bits")) + F.least("l_hidden", "r_hidden")
-    kept = (met.join(left, F.col("l") == F.col("l_leaf")).join(right, F.col("r") == F.col("r_leaf"))
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """(node, n, bits) of rows (node, n, runs)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            runs = b.column("runs")
+            bits = [bitmap(runs[i].values.to_numpy().view(np.uint64), width_of(len(runs[i].values))) for i in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(bits, type=pa.binary())], names=["node", "n", "bits"])
+
+    return sets.select("node", "n", "runs").mapInArrow(run, "node bigint, n bigint, bits binary")
+
+
+def _open(probes: DataFrame, comp: DataFrame) -> DataFrame:
+    """The rows of ``probes`` whose run lies in more than one component."""
+    runs = _looked_up(comp, probes, "node").groupBy("run").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("run")
+    return probes.join(runs, "run", "left_semi")
+
+
+def _leaves(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(leaf, nodes) of the trees over the open probes ``rows`` (run, node); ``nodes`` has the sizes (node, n)."""
+    hubs = rows.groupBy("run").agg(F.min("node").alias("hub"))
+    tree_of = components(rows.join(hubs, "run").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    sized = tree_of.withColumnRenamed("component", "tree").join(nodes.select("node", "n"), "node")
+    # the number of a row: those of a partition follow each other; a leaf is a stretch of numbers within one tree
+    placed = sized.repartitionByRange("tree", "n", "node").sortWithinPartitions("tree", "n", "node").withColumn("place", F.monotonically_increasing_id())
+    cut = stage(placed, "placed").groupBy("tree", F.expr(f"place div {LEAF}").alias("part")).agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    return stage(cut.select("nodes").withColumn("leaf", F.monotonically_increasing_id()), "leaves")
+
+
+def _summaries(leaves: DataFrame, info: DataFrame) -> DataFrame:
+    """(leaf, nodes, sizes from least to most, components from first to last)."""
+    each = _looked_up(info, leaves.select("leaf", F.explode("nodes").alias("node")), "node")
+    ranges = each.groupBy("leaf").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("first"), F.max("comp").alias("last"))
+    return stage(leaves.join(ranges, "leaf"), "tree")
+
+
+def _own_pairs(tree: DataFrame) -> DataFrame:
+    """(left, right): leaves that meet themselves."""
+    return tree.filter("first <> last").select(F.col("nodes").alias("left"), F.col("nodes").alias("right"))
+
+
+def _other_pairs(rows: DataFrame, leaves: DataFrame, tree: DataFrame) -> DataFrame:
+    """(left, right): different leaves that share an open probe, whose sizes can match and whose nodes aren't all in one component."""
+    at = stage(_looked_up(leaves.select("leaf", F.explode("nodes").alias("node")), rows, "node").select("run", "leaf").distinct(), "at")
+    met = at.withColumnRenamed("leaf", "l").join(at.withColumnRenamed("leaf", "r"), "run").filter("l < r").select("l", "r").distinct()
+    a, b = (tree.select(*[F.col(c).alias(f"{x}_{c}") for c in tree.columns]) for x in "lr")
+    return (met.join(a, F.col("l") == F.col("l_leaf")).join(b, F.col("r") == F.col("r_leaf"))
             .filter("not (l_first = l_last and r_first = r_last and l_first = r_first)")
             .filter("4 * l_most >= 3 * r_least and 4 * r_most >= 3 * l_least")
-            .filter(7 * bound >= 3 * (F.col("l_least") + F.col("r_least"))).select("l", "r"))
-    return (kept.join(leaves.select(F.col("leaf").alias("l"), F.col("sets").alias("left")), "l")
-            .join(leaves.select(F.col("leaf").alias("r"), F.col("sets").alias("right")), "r").select("left", "right"))
+            .select(F.col("l_nodes").alias("left"), F.col("r_nodes").alias("right")))
+
+
+def _links_of(met: DataFrame, sets: DataFrame, info: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of the leaf pairs ``met`` (left, right) that join what no link joined before."""
+    pairs = stage(met.withColumn("pair", F.monotonically_increasing_id()), "leaf-pairs")
+    member = lambda k, c: F.transform(c, lambda x: F.struct(F.lit(k).alias("side"), x.alias("node")))
+    sides = F.when(F.col("left") == F.col("right"), member(0, "left")).otherwise(F.concat(member(0, "left"), member(1, "right")))
+    members = pairs.select("pair", F.explode(sides).alias("m")).select("pair", "m.side", "m.node")
+    gathered = lambda m, *columns: m.groupBy("pair").agg(F.collect_list(F.struct("side", "node", *columns)).alias("members"))  # noqa: E731  two leaves at most
+    comp = info.select("node", "comp")
+    left_over = stage(_survivors(gathered(members.join(_looked_up(comp, _bitmaps(sets), "node"), "node"), "comp", "n", "bits")), "survivors")
+    return stage(_search(gathered(left_over.join(_looked_up(comp, sets.select("node", "runs"), "node"), "node"), "comp", "runs").select("members")), "tree-links")
 
 
 # ---- the join -------------------------------------------------------------------------------------------------------
@@ -394,13 +478,20 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     both = F.size(F.array_intersect("a", "b"))
     first = stage(_looked_up(star, mine, "node").join(its, "hub").withColumn("both", both)
                   .filter("100 * both >= 75 * (size(a) + size(b) - both)").select(F.col("node").alias("a"), F.col("hub").alias("b")), "first-links")
-    known = components(first)
-    comp = stage(near.select("node").distinct().join(known, "node", "left").select("node", F.coalesce("component", "node").alias("comp")), "first-classes")
-    # second round: runs whose nodes lie in more than one component
-    open_runs = probes.join(comp, "node").groupBy("run").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("run")
-    rest = stage(probes.join(open_runs, "run", "left_semi"), "open")
-    second = _search(_leaf_pairs(rest, near, comp))
-    classes = components(first.unionByName(second)).join(near.select("node", "key").distinct(), "node").join(sets.select("key", "id"), "key")
+    nodes = stage(near.select("node", "n").distinct(), "sizes")
+
+    def with_classes(links: DataFrame) -> DataFrame:
+        return stage(nodes.join(components(links), "node", "left").select("node", "n", F.coalesce("component", "node").alias("comp")), "classes-so-far")
+
+    # second round: leaves with themselves, which settles most; third round: pairs of leaves that are still open
+    info = with_classes(first)
+    rows_open = stage(_open(probes, info.select("node", "comp")), "open")
+    leaves = _leaves(rows_open, nodes)
+    links = first.unionByName(_links_of(_own_pairs(_summaries(leaves, info)), near, info))
+    info = with_classes(links)
+    still = _open(rows_open, info.select("node", "comp"))
+    links = links.unionByName(_links_of(_other_pairs(still, leaves, _summaries(leaves, info)), near, info))
+    classes = components(links).join(near.select("node", "key").distinct(), "node").join(sets.select("key", "id"), "key")
     least = classes.groupBy("component").agg(F.min("id").alias("class_id"), F.min("key").alias("class_key"))
     named = classes.join(least, "component").select("key", "class_id", "class_key")
     named = sets.select("key", F.col("id").alias("own_id")).join(named, "key", "left").select(

@@ -81,10 +81,10 @@ def test_tree_traversal_leaves_no_link_out():
             sets.append(np.unique(np.concatenate([s[keep], r.integers(0, 2**63, int(share * len(s) / 4), dtype=np.uint64)])))
     r.shuffle(sets)
     half = len(sets) // 2
-    width = op._width(sets)
-    left, right = op.Tree(sets[:half], width), op.Tree(sets[half:], width)
-    met = set(op.traverse(left, right))
-    want = {(i, j) for i, a in enumerate(left.sets) for j, b in enumerate(right.sets) if op.linked(a, b)}
+    left, right = ([op.Node(n=len(s), bits=int.from_bytes(op.bitmap(s, op.width_of(len(s))), "little"), width=op.width_of(len(s))) for s in x] for x in (sets[:half], sets[half:]))
+    place = {id(x): i for x, i in zip([*left, *right], [*range(half), *range(len(right))], strict=True)}
+    met = {(place[id(x)], place[id(y)]) for x, y in op.traverse(op.tree(sorted(left, key=lambda m: m.least)), op.tree(sorted(right, key=lambda m: m.least)))}
+    want = {(i, j) for i, a in enumerate(sets[:half]) for j, b in enumerate(sets[half:]) if op.linked(a, b)}
     assert want and want <= met and len(met) < half * (len(sets) - half) / 4
 
 
