@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Fixed values, equal to the reference's cleaning rules:
 # corporate suffix tokens dropped from company names (at any position).
-CORPORATE_SUFFIXES = ("inc", "inc.", "corp", "corp.", "corporation", "ltd", "ltd.", "limited", "llc", "co", "co.")
+CORPORATE_SUFFIXES = ("inc", "corp", "corporation", "ltd", "limited", "llc", "co")
 # street words shortened by address normalisation.
 ADDRESS_ABBREVIATIONS = {"street": "st", "road": "rd", "avenue": "ave", "boulevard": "blvd", "drive": "dr"}
 
@@ -81,4 +81,4 @@ def block_key(clean: Column | str, chars: int = 6) -> Column:
 
 def sort_tokens(clean: Column | str) -> Column:
     """Whitespace tokens sorted and re-joined by one space (token-sort form)."""
-    return F.array_join(F.array_sort(F.split(_col(clean), " ")), " ")
+    return F.array_join(F.sort_array(F.split(_col(clean), " ")), " ")

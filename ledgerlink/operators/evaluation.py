@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlink.operators.linkage import cut_lineage
+
 
 def rank_auc(df: DataFrame, score: str = "prediction_score", label: str = "label",
-             buckets: int = 1024) -> DataFrame:
+             buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC (ties count one half) as one row: auc, positives, negatives.
 
     AUC = sum over positives of (#negatives scored lower + 1/2 #negatives tied) / (P*N).
-    Distinct scores are range-bucketed by approximate quantiles (a bounded list of cut
-    points), a running count over the bucket totals gives every bucket its offset, and a
-    running count inside each bucket finishes the job: no single task sees all scores.
+    The distinct scores with their counts are written once.  They are range-bucketed by approximate
+    quantiles (1,024 to 65,536 cut points, one for every 50,000 scores in between), a running count over the
+    bucket totals gives every bucket its offset, and a running count inside each bucket
+    finishes the job: no single task sees all scores.  NULL scores are left out; NaN ranks
+    highest, infinite scores rank as such.
     """
-    g = (df.filter(F.col(score).isNotNull())
+    g = cut_lineage(df.filter(F.col(score).isNotNull())
          .groupBy(F.col(score).cast("double").alias("s"))
-         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
+         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")), "scores")
+    if buckets is None:
+        buckets = min(max(1024, g.count() // 50_000), 65_536)
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted({c for c in g.approxQuantile("s", probs, 1.0 / (4 * buckets)) if c == c})
+    cuts = sorted({c for c in g.approxQuantile("s", probs, 1.0 / (4 * buckets)) if math.isfinite(c)})
     splits = [float("-inf"), *cuts, float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="b", handleInvalid="keep").transform(g)
     totals = bucketed.groupBy("b").agg(F.sum("neg").alias("bneg"))
@@ -31,7 +39,8 @@ def rank_auc(df: DataFrame, score: str = "prediction_score", label: str = "label
               .withColumn("below", F.col("off") + F.coalesce(F.sum("neg").over(within), F.lit(0))))
     term = F.col("pos").cast("decimal(38,0)") * (F.lit(2) * F.col("below") + F.col("neg")).cast("decimal(38,0)")
     agg = ranked.agg(F.sum(term).alias("num"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
-    denom = (F.lit(2) * F.col("positives") * F.col("negatives")).cast("double")
+    wide = lambda c: F.col(c).cast("decimal(19,0)")  # noqa: E731  the product of two counts can pass 2^63
+    denom = F.lit(2.0) * (wide("positives") * wide("negatives")).cast("double")
     return agg.select(
         F.when(denom > 0, F.col("num").cast("double") / denom).alias("auc"),
         F.col("positives").cast("long").alias("positives"), F.col("negatives").cast("long").alias("negatives"))

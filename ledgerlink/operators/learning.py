@@ -21,7 +21,7 @@ FOREST_FEATURES = ("revenue", "profit", "num_top_suppliers", "num_main_customers
 
 def logistic_pipeline(features: Sequence[str] = LOGISTIC_FEATURES, label: str = "label") -> Pipeline:
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
+        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error"),
         LogisticRegression(featuresCol="features", labelCol=label),
     ])
 
@@ -29,24 +29,29 @@ def logistic_pipeline(features: Sequence[str] = LOGISTIC_FEATURES, label: str =
 def forest_pipeline(features: Sequence[str] = FOREST_FEATURES, label: str = "label", num_trees: int = 200,
                     max_depth: int = 6, seed: int = 42) -> Pipeline:
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
+        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error"),
         RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees,
                                maxDepth=max_depth, seed=seed),
     ])
 
 
+def _filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """NULL and NaN features as 0, as the training sets have them."""
+    return df.na.fill(0.0, list(columns))
+
+
 def fit(pipeline: Pipeline, train: DataFrame, label: str = "label") -> PipelineModel:
     stages = pipeline.getStages()
     require_columns(train, [*stages[0].getInputCols(), label], "training set")
-    return pipeline.fit(train.withColumn(label, F.col(label).cast("double")))
+    return pipeline.fit(_filled(train, stages[0].getInputCols()).withColumn(label, F.col(label).cast("double")))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Adds ``prediction`` (int) and ``prediction_score`` = P(class 1)."""
+    """Adds ``prediction`` (int) and ``prediction_score`` = P(class 1); NULL where the model knows one class only."""
     require_columns(df, model.stages[0].getInputCols(), "scoring input")
-    out = model.transform(df)
+    out = model.transform(_filled(df, model.stages[0].getInputCols()))
     return (out.withColumn("prediction", F.col("prediction").cast("int"))
-            .withColumn("prediction_score", vector_to_array("probability")[1])
+            .withColumn("prediction_score", F.get(vector_to_array("probability"), F.lit(1)))
             .drop("features", "rawPrediction", "probability"))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlink.functions.similarity import lcs_length_arrow, lcs_sql, token_sort_ratio_from_lcs
-from ledgerlink.functions.text import block_key, clean_name, normalize_address, sort_tokens
+from ledgerlink.functions.text import block_key, clean_name, normalize_address, parse_list, sort_tokens
 
 S1_RAW = ["corporate_name_s1", "address", "activity_places", "top_suppliers"]
 S2_RAW = ["corporate_name_s2", "main_customers", "revenue", "profit"]
@@ -55,7 +55,10 @@ def content_id(tag: str, cols: list[Column]) -> Column:
 
 
 def _money_text(c: str) -> Column:
-    return F.expr(f"try_cast(`{c}` AS DECIMAL(38,6))")
+    """Text that tells any two money values apart: six decimals where they say the value
+    exactly, else the value's own text (which also separates NaN, infinities and NULL)."""
+    return F.expr(f"CASE WHEN cast(try_cast(`{c}` AS DECIMAL(38,6)) AS DOUBLE) = try_cast(`{c}` AS DOUBLE) "
+                  f"THEN cast(try_cast(`{c}` AS DECIMAL(38,6)) AS STRING) ELSE cast(`{c}` AS STRING) END")
 
 
 def _with_lineage(df: DataFrame, suffix: str) -> DataFrame:
@@ -87,16 +90,37 @@ def prepare_source2(df: DataFrame, block_chars: int = 6) -> DataFrame:
 
 def collapse_side(prepared: DataFrame, sfx: str, match_blank: bool = False) -> DataFrame:
     """One row per clean name, and one per distinct content among blank-name rows, in a
-    single aggregate.  Representative = the row with the smallest content id (ties are
-    identical rows).  Partial aggregation runs map-side, so a name carried by a third of
-    all rows still leaves each map task as one row."""
-    payload = S1_PAYLOAD if sfx == "s1" else S2_PAYLOAD
+    single aggregate that keeps what every row says:
+
+    lists     union of the items of all rows, sorted (NULL if no row has the list)
+    figures   revenue and profit of the row with the greatest revenue, then profit (NaN as NULL)
+    address   the least address that isn't blank; name: the least spelling
+    row id    the least; batch: the least
+
+    Equal rows combine in the map tasks, so a name carried by a third of all rows leaves
+    each of them as one row.  The rows themselves stay reachable through ``link_rows``."""
     clean, row_id = F.col(f"clean_name_{sfx}"), F.col(f"row_id_{sfx}")
     blank_id = (F.lit(None).cast("string") if match_blank else F.when(clean == "", row_id)).alias("_blank_id")
-    rep = F.min(F.struct(row_id, *[F.col(c) for c in payload])).alias("rep")
-    return (prepared.groupBy(clean, blank_id)
-            .agg(F.count(F.lit(1)).alias(f"n_rows_{sfx}"), rep)
-            .select(f"clean_name_{sfx}", f"n_rows_{sfx}", f"rep.row_id_{sfx}", *[f"rep.{c}" for c in payload]))
+    least = lambda c: F.min(c).alias(c)
+    number = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
+    if sfx == "s1":
+        payload = [least("corporate_name_s1"), F.min(F.when(F.trim("address") != "", F.col("address"))).alias("address"),
+                   _all_items("activity_places"), _all_items("top_suppliers"), least("batch_id_s1")]
+    else:
+        payload = [least("corporate_name_s2"), _all_items("main_customers"),
+                   F.max(F.struct(number("revenue"), number("profit"))).alias("_figures"), least("batch_id_s2")]
+    out = prepared.groupBy(clean, blank_id).agg(F.count(F.lit(1)).alias(f"n_rows_{sfx}"), F.min(row_id).alias(f"row_id_{sfx}"), *payload)
+    if sfx == "s1":
+        out = out.withColumn("clean_address_s1", normalize_address("address"))
+    else:
+        out = out.withColumns({"revenue": F.col("_figures.revenue"), "profit": F.col("_figures.profit")})
+    return out.select(f"clean_name_{sfx}", f"n_rows_{sfx}", f"row_id_{sfx}", *(S1_PAYLOAD if sfx == "s1" else S2_PAYLOAD))
+
+
+def _all_items(c: str) -> Column:
+    """Union of the pipe lists of a group, as one sorted pipe list."""
+    lists = F.collect_set(F.when(F.col(c).isNotNull(), parse_list(c)))
+    return F.when(F.size(lists) > 0, F.array_join(F.sort_array(F.array_distinct(F.flatten(lists))), "|")).alias(c)
 
 
 def named(groups: DataFrame, sfx: str) -> DataFrame:
@@ -149,8 +173,6 @@ def unlinked_s2(names2: DataFrame, names1: DataFrame) -> DataFrame:
 def partner_length_range(length: Column, threshold: float) -> tuple[Column, Column]:
     """[lo, hi]: lengths a partner may have and still reach ``threshold`` (one extra on
     each side, so float rounding at the edge can never drop a passing pair)."""
-    if threshold <= 0:
-        raise ValueError("length pruning needs a positive threshold")
     t = min(float(threshold), 100.0)  # above 100 nothing passes; the wider range is harmless
     lo = F.greatest((F.floor(length * F.lit(t / (200.0 - t))) - F.lit(1)).cast("int"), F.lit(1))
     hi = F.greatest((F.ceil(length * F.lit((200.0 - t) / t)) + F.lit(1)).cast("int"), F.lit(1))
@@ -179,7 +201,7 @@ def _salt_grid(left: DataFrame, right: DataFrame, keys: list[str], pairs_per_tas
     n1 = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n1"))
     n2 = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n2"))
     grid = (n1.join(n2, keys)
-            .filter(F.col("_n1") * F.col("_n2") > F.lit(int(pairs_per_task)))
+            .filter(F.col("_n1").cast("double") * F.col("_n2") > F.lit(int(pairs_per_task)))  # may pass 2^63
             .select(*keys, F.ceil(F.col("_n1") / F.lit(r)).cast("int").alias("_k1"),
                     F.ceil(F.col("_n2") / F.lit(r)).cast("int").alias("_k2")))
 
@@ -211,12 +233,16 @@ def candidate_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float
     that many pairs of one key, whatever the skew; counts come from two aggregates joined on
     the key, with no driver round trip."""
     w = int(length_band)
-    lo, hi = partner_length_range(F.col("len_s1"), threshold)
-    left = (_fuzzy_keys(unlinked1, "s1", block_chars).withColumns({"_lo": lo, "_hi": hi})
-            .withColumn("_band", F.explode(F.sequence(F.floor(F.col("_lo") / w).cast("int"),
-                                                      F.floor(F.col("_hi") / w).cast("int")))))
-    right = (_fuzzy_keys(unlinked2, "s2", block_chars)
-             .withColumn("_band", F.floor(F.col("len_s2") / w).cast("int")))
+    left, right = _fuzzy_keys(unlinked1, "s1", block_chars), _fuzzy_keys(unlinked2, "s2", block_chars)
+    if threshold > 0:
+        lo, hi = partner_length_range(F.col("len_s1"), threshold)
+        left = (left.withColumns({"_lo": lo, "_hi": hi})
+                .withColumn("_band", F.explode(F.sequence(F.floor(F.col("_lo") / w).cast("int"),
+                                                          F.floor(F.col("_hi") / w).cast("int")))))
+    else:  # every pair of a block can pass
+        left = left.withColumns({"_lo": F.lit(0), "_hi": F.lit(2**31 - 1), "_band": F.lit(0)})
+        w = 2**31 - 1
+    right = right.withColumn("_band", F.floor(F.col("len_s2") / w).cast("int"))
     keys = ["block", "_band"]
     if pairs_per_task:
         left, right, keys = _salt_grid(left, right, keys, pairs_per_task)
@@ -375,7 +401,7 @@ def _salted_lookup(rows: DataFrame, lookup: DataFrame, key: str, count: str, row
 
 def link_rows(source1: DataFrame, source2: DataFrame, entities: DataFrame, block_chars: int = 6,
               match_blank: bool = False, rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
-    """Every input row with the entity it belongs to: (source, row_id, corporate_id, match_type).
+    """Every input row with the entity it belongs to: (source, row_id, corporate_id, match_type) and its own columns.
 
     Rows join their entity on the clean name (blank names on the content id).  Names held
     by very many rows are salted (``_salted_lookup``), so a name carried by a third of all
@@ -393,7 +419,8 @@ def link_rows(source1: DataFrame, source2: DataFrame, entities: DataFrame, block
     for sfx, src, prepared in (("s1", "source1", prepare_source1(source1, block_chars)),
                                ("s2", "source2", prepare_source2(source2, block_chars))):
         clean, row_id, n_rows = f"clean_name_{sfx}", f"row_id_{sfx}", f"n_rows_{sfx}"
-        rows = prepared.select(row_id, clean)
+        own = S1_RAW if sfx == "s1" else S2_RAW
+        rows = prepared.select(row_id, clean, *own)
         ids = entities.filter(F.col(clean).isNotNull()).select(clean, row_id, n_rows, "corporate_id", "match_type")
         by_name = F.lit(True) if match_blank else F.col(clean) != ""
         parts = [_salted_lookup(rows.filter(by_name), ids.filter(by_name).drop(row_id), clean, n_rows, row_id, r)]
@@ -401,8 +428,8 @@ def link_rows(source1: DataFrame, source2: DataFrame, entities: DataFrame, block
             parts.append(_salted_lookup(rows.filter(F.col(clean) == "").drop(clean),
                                         ids.filter(F.col(clean) == "").drop(clean), row_id, n_rows, row_id, r))
         for part in parts:
-            part = part.select(F.lit(src).alias("source"), F.col(row_id).alias("row_id"), "corporate_id", "match_type")
-            out = part if out is None else out.unionByName(part)
+            part = part.select(F.lit(src).alias("source"), F.col(row_id).alias("row_id"), "corporate_id", "match_type", *own)
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
@@ -416,4 +443,4 @@ def block_statistics(source1: DataFrame, source2: DataFrame, block_chars: int =
           .agg(F.countDistinct("clean_name_s2").alias("names_s2"), F.count(F.lit(1)).alias("rows_s2")))
     return (n1.join(n2, "block", "full_outer")
             .na.fill(0, ["names_s1", "rows_s1", "names_s2", "rows_s2"])
-            .withColumn("candidate_pairs", F.col("names_s1") * F.col("names_s2")))
+            .withColumn("candidate_pairs", (F.col("names_s1").cast("decimal(19,0)") * F.col("names_s2").cast("decimal(19,0)")).cast("decimal(38,0)")))

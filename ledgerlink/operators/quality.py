@@ -40,7 +40,7 @@ def quality_report(df: DataFrame, source: str, min_rows: int, name_column: str |
         aggs.append(F.count_if(_blank(name_column)).alias("blank_names"))
     has_rev = revenue_column is not None and revenue_column in df.columns
     if has_rev:
-        rev = F.col(revenue_column).cast("double")
+        rev = F.expr(f"try_cast(`{revenue_column}` AS DOUBLE)")  # unparsable text counts as NULL
         aggs += [F.count_if(rev < 0).alias("negative_revenue"),
                  F.min(rev).alias("min_revenue"), F.max(rev).alias("max_revenue"), F.avg(rev).alias("avg_revenue")]
     stats = df.agg(*aggs)
@@ -67,20 +67,20 @@ def source2_report(df: DataFrame, min_rows: int, name_column: str | None = "corp
     return quality_report(df, "source2", min_rows, name_column, "revenue", spread_factor)
 
 
-def enforce(report: DataFrame) -> DataFrame:
-    """Collects the (bounded: one row per rule) report; raises on any failed rule."""
+def enforce(report: DataFrame) -> list:
+    """The collected report (bounded: one row per rule); raises on any failed rule."""
     rows = report.collect()
     failed = [r for r in rows if not r["passed"]]
     if failed:
         detail = "; ".join(f"{r['source']}.{r['rule']}({r['column_name'] or '*'}): observed {r['observed']} "
                            f"vs {r['threshold']}" for r in failed)
         raise DataQualityError(detail)
-    return report
+    return rows
 
 
-def run_source1_checks(df: DataFrame, min_rows: int) -> DataFrame:
+def run_source1_checks(df: DataFrame, min_rows: int) -> list:
     return enforce(source1_report(df, min_rows))
 
 
-def run_source2_checks(df: DataFrame, min_rows: int, name_column: str | None = "corporate_name_s2") -> DataFrame:
+def run_source2_checks(df: DataFrame, min_rows: int, name_column: str | None = "corporate_name_s2") -> list:
     return enforce(source2_report(df, min_rows, name_column))

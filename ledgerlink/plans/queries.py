@@ -51,15 +51,17 @@ def _scratch(spark: SparkSession, what: str) -> str:
 # ---------------------------------------------------------------- sources
 
 def q_source1_scan(spark, sf):
-    """Fixture written as header CSV to the shared folder, read back by the source-1 scan."""
+    """Fixture written as header CSV to the shared folder (columns in another order, and one more), read back by the source-1 scan."""
     path = _scratch(spark, "csv")
-    fixtures.source1(spark, sf).write.option("header", True).csv(path)
+    rows = fixtures.source1(spark, sf).withColumn("country", F.lit("n/a"))
+    rows.select("country", "top_suppliers", "corporate_name_s1", "activity_places", "address").write.option("header", True).csv(path)
     return companies.read_source1(spark, path, "batch_001").drop("ingestion_ts")
 
 
 def q_source2_scan(spark, sf):
     path = _scratch(spark, "csv")
-    fixtures.source2(spark, sf).write.option("header", True).csv(path)
+    rows = fixtures.source2(spark, sf).withColumn("company_id", F.lit(7))
+    rows.select("company_id", "profit", "main_customers", "corporate_name_s2", "revenue").write.option("header", True).csv(path)
     return companies.read_source2(spark, path, "batch_001").drop("ingestion_ts")
 
 
@@ -120,10 +122,10 @@ def q_unmatched_source2(spark, sf):
 
 
 def q_token_sort_scores(spark, sf):
-    """Every blocked candidate pair that can reach the threshold, with its score."""
+    """Every blocked candidate pair that reaches the threshold, with its score."""
     n1, n2 = _groups(spark, sf)
     pairs = linkage.candidate_pairs(linkage.unlinked_s1(n1, n2), linkage.unlinked_s2(n2, n1), THRESHOLD)
-    return linkage.score_pairs(pairs).select("clean_name_s1", "clean_name_s2", "name_score")
+    return linkage.score_pairs(pairs).select("clean_name_s1", "clean_name_s2", "name_score").filter(F.col("name_score") >= THRESHOLD)
 
 
 def q_fuzzy_match(spark, sf):
@@ -275,9 +277,11 @@ def q_training_export(spark, sf):
 
 
 def q_training_from_csv(spark, sf):
-    """List 2 written as CSV, read with schema inference, checked, featurised."""
+    """List 2 written as CSV with unreadable cells for missing figures, read with schema inference, checked, featurised."""
     path = _scratch(spark, "csv")
-    fixtures.source2(spark, sf).write.option("header", True).csv(path)
+    rows = fixtures.source2(spark, sf)
+    rows = rows.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("n/a")) for c in ("revenue", "profit")})
+    rows.write.option("header", True).csv(path)
     raw = companies.read_csv_inferred(spark, path)
     return features.training_from_source(raw, PROFIT_THRESHOLD, min_rows=1, name_column="corporate_name_s2")
 

@@ -72,7 +72,7 @@ def run_batch(spark: SparkSession, source1: DataFrame, source2: DataFrame, regis
         drift_df = reporting.drift_band(ratio, "consolidation_ratio", config.drift_historical_avg,
                                         config.drift_tolerance)
     drift = drift_df.first().asDict()
-    result = BatchResult(run_id, version, [r.asDict() for r in checked.collect()], recon, drift)
+    result = BatchResult(run_id, version, [r.asDict() for r in checked], recon, drift)
     metrics = [_metric_rows(spark, run_id, config.batch_id, "reconciliation", recon),
                _metric_rows(spark, run_id, config.batch_id, "drift", {"consolidation_ratio": drift["current_value"]})]
 

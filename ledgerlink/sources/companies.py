@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.schemas import SOURCE1_SCHEMA, SOURCE2_RAW_SCHEMA
+from ledgerlink.schemas import SOURCE1_SCHEMA, SOURCE2_RAW_SCHEMA, require_columns
 
 NUMERIC_SOURCE2_COLUMNS = ("revenue", "profit")
 
@@ -24,15 +24,21 @@ def to_double(c: str) -> F.Column:
     return F.expr(f"try_cast(`{c}` AS DOUBLE)")
 
 
+def _read_by_header(spark: SparkSession, path: str, columns: list[str], what: str) -> DataFrame:
+    """The named columns of a CSV with a header, as text, in whatever order they stand; other columns are left out."""
+    df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    require_columns(df, columns, what)
+    return df.select(*columns)
+
+
 def read_source1(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
-    """Supply-side list: all four columns text, explicit schema (no inference pass)."""
-    df = spark.read.schema(SOURCE1_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return tag_source(df, "source1", batch_id)
+    """Supply-side list: all four columns text, bound by header name (no inference pass)."""
+    return tag_source(_read_by_header(spark, path, SOURCE1_SCHEMA.names, "source 1"), "source1", batch_id)
 
 
 def read_source2(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
-    """Finance-side list: revenue/profit converted with try_cast."""
-    df = spark.read.schema(SOURCE2_RAW_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """Finance-side list, bound by header name: revenue/profit converted with try_cast."""
+    df = _read_by_header(spark, path, SOURCE2_RAW_SCHEMA.names, "source 2")
     df = df.withColumns({c: to_double(c) for c in NUMERIC_SOURCE2_COLUMNS})
     return tag_source(df, "source2", batch_id)
 

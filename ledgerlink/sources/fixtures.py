@@ -2,7 +2,8 @@
 
 The planted truth is the part key: keys with ``% 10 = 4`` appear in both lists with equal
 clean names, ``% 10 = 5`` in both with a one-character typo, ``0-3`` only in list 1 and
-``6-9`` only in list 2.  The md5 prefix spreads the fuzzy blocks.
+``6-9`` only in list 2.  The md5 prefix spreads the fuzzy blocks.  Some names have two rows on a
+side, some rows have a name that is blank once cleaned, and some names are long.
 
 ``shipped_before`` builds the lists as they stood at a date: only line items shipped
 earlier count, and only parts with such a line item are listed.  Two dates give two
@@ -15,36 +16,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver's table as a DataFrame.  The (immutable) DataFrame is kept per session and
-    path, so the footer-reading schema job runs once per table, not once per query."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _sorted_set(c: Column | str) -> Column:
     return F.array_join(F.sort_array(F.collect_set(c)), "|")
 
 
-def _vary(x: Column, key: Column, offset: int) -> Column:
-    # The five spellings a listed company name takes.
-    r = (key + F.lit(offset)) % 5
-    return (F.when(r == 0, F.concat(x, F.lit(" Corporation")))
-             .when(r == 1, F.concat(F.upper(x), F.lit(" Corp")))
-             .when(r == 2, F.concat(x, F.lit(", Inc")))
-             .when(r == 3, x)
-             .otherwise(F.concat(x, F.lit(" Ltd."))))
+def _spelling(x: Column, key: Column, offset: int) -> Column:
+    """One of four ways to write a name that clean alike: shouted, with the suffix in front, in
+    brackets behind, or with slashes for blanks."""
+    r = (key * 3 + F.lit(offset)) % 4
+    return (F.when(r == 0, F.upper(x)).when(r == 1, F.concat(F.lit("Co. "), x))
+             .when(r == 2, F.concat(x, F.lit(" (Limited)"))).otherwise(F.replace(x, F.lit(" "), F.lit(" / "))))
 
 
 def _base_name(name: Column, key: Column) -> Column:
+    """A name that ends in the part key; of every fiftieth part one of more than 62 characters."""
     k = key.cast("string")
+    name = F.when(key % 50 == 35, F.concat_ws(" ", *[name] * 6)).otherwise(name)
     return F.concat(F.substring(F.md5(k), 1, 3), F.lit(" "), name, F.lit(" "), k)
 
 
@@ -61,19 +52,29 @@ def source1(spark: SparkSession, sf_dir: str, shipped_before: str | None = None)
     part, lineitem = _as_of(spark, sf_dir, shipped_before)
     supplier = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")
-    lists = (lineitem.filter(F.col("l_linenumber") == 1)
-             .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    lists = (lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
              .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
              .groupBy("l_partkey")
              .agg(_sorted_set(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))).alias("top_suppliers"),
                   _sorted_set("n_name").alias("activity_places")))
     key = F.col("p_partkey")
-    return (part.filter(key % 10 < 6)
+    name = _base_name(F.col("p_name"), key)
+    rows = (part.filter(key % 10 < 6)
             .join(lists, key == F.col("l_partkey"), "left")
-            .select(_vary(_base_name(F.col("p_name"), key), key, 0).alias("corporate_name_s1"),
+            .select(_spelling(name, key, 0).alias("corporate_name_s1"),
                     F.concat(F.col("p_size").cast("string"), F.lit(" "), F.col("p_type"),
                              F.lit(" Street, "), F.col("p_brand")).alias("address"),
                     "activity_places", "top_suppliers"))
+    # second rows of some names, in another spelling, with an address and lists of their own
+    again = part.filter((key % 50).isin(1, 4)).select(
+        _spelling(name, key, 1).alias("corporate_name_s1"), F.concat("p_type", F.lit(" Road")).alias("address"),
+        F.col("p_type").alias("activity_places"), F.concat("p_brand", F.lit("|S0|"), "p_brand").alias("top_suppliers"))
+    # rows whose name is a suffix and nothing else: blank once cleaned
+    suffix_only = part.filter(key % 100 == 2).select(
+        F.when(key % 200 == 2, F.lit("Inc.")).otherwise(F.lit("Co. Ltd")).alias("corporate_name_s1"),
+        F.concat(F.col("p_size").cast("string"), F.lit(" Road")).alias("address"),
+        F.lit(None).cast("string").alias("activity_places"), F.lit(None).cast("string").alias("top_suppliers"))
+    return rows.unionByName(again).unionByName(suffix_only)
 
 
 def source2(spark: SparkSession, sf_dir: str, shipped_before: str | None = None) -> DataFrame:
@@ -87,20 +88,27 @@ def source2(spark: SparkSession, sf_dir: str, shipped_before: str | None = None)
                .agg(F.sum(price * (F.lit(1) - disc)).alias("rev"),
                     F.sum(price * (F.lit(0.12).cast("decimal(4,2)") - disc - tax)).alias("prof"))
                .withColumnRenamed("l_partkey", "f_partkey"))
-    customers = (lineitem.filter(F.col("l_linenumber") == 2)
-                 .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    customers = (lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
                  .join(customer, F.col("o_custkey") == F.col("c_custkey"))
                  .groupBy("l_partkey").agg(_sorted_set("c_mktsegment").alias("main_customers"))
                  .withColumnRenamed("l_partkey", "y_partkey"))
     key = F.col("p_partkey")
     name = F.when(key % 10 == 5, F.expr("substr(p_name, 1, char_length(p_name) - 1)")).otherwise(F.col("p_name"))
-    return (part.filter(key % 10 >= 4)
+    base = _base_name(name, key)
+    rows = (part.filter(key % 10 >= 4)
             .join(finance, key == F.col("f_partkey"), "left")
             .join(customers, key == F.col("y_partkey"), "left")
-            .select(_vary(_base_name(name, key), key, 2).alias("corporate_name_s2"),
+            .select(_spelling(base, key, 2).alias("corporate_name_s2"),
                     "main_customers",
                     F.col("rev").cast("double").alias("revenue"),
                     F.col("prof").cast("double").alias("profit")))
+    again = part.filter((key % 50).isin(4, 7)).select(
+        _spelling(base, key, 3).alias("corporate_name_s2"), F.lit("WHOLESALE|BUILDING").alias("main_customers"),
+        F.col("p_retailprice").cast("double").alias("revenue"), F.lit(None).cast("double").alias("profit"))
+    suffix_only = part.filter(key % 100 == 6).select(
+        F.lit("Limited").alias("corporate_name_s2"), F.lit(None).cast("string").alias("main_customers"),
+        F.col("p_retailprice").cast("double").alias("revenue"), F.lit(0.0).alias("profit"))
+    return rows.unionByName(again).unionByName(suffix_only)
 
 
 def company_sources(spark: SparkSession, sf_dir: str, batch_id: str = "batch_001",

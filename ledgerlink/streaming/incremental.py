@@ -24,8 +24,8 @@ def _commit_micro_batch(registry_root: str, prefix: str):
         done = store.history(spark, registry_root).filter(F.col("batch_id") == tag)
         if not done.isEmpty():
             return
-        # newest row per key: order by the negated timestamp (as epoch micros)
-        newest = batch.withColumn("_age", -F.unix_micros(F.col("last_updated_ts")))
+        # newest row per key: order by the negated timestamp (as epoch micros); undated rows last
+        newest = batch.withColumn("_age", F.coalesce(-F.unix_micros(F.col("last_updated_ts")), F.lit(2**62)))
         staged = keep_one_per_key(newest, ["_age"]).drop("_age")
         store.commit_upsert(spark, registry_root, staged, tag)
     return commit

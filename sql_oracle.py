@@ -8,10 +8,13 @@ views in the checking session.
 
 from __future__ import annotations
 
-from ledgerlink.functions.text import ADDRESS_ABBREVIATIONS, CORPORATE_SUFFIXES
-from ledgerlink.plans.queries import (
-    FIRST_BATCH_CUTOFF, PROFIT_THRESHOLD, RULE_REVENUE_CUTOFF, THRESHOLD,
-)
+# Fixed values of the registered runs, stated here on their own so that a wrong one in the library shows.
+CORPORATE_SUFFIXES = ("inc", "corp", "corporation", "ltd", "limited", "llc", "co")
+ADDRESS_ABBREVIATIONS = {"street": "st", "road": "rd", "avenue": "ave", "boulevard": "blvd", "drive": "dr"}
+THRESHOLD = 85.0
+PROFIT_THRESHOLD = 45000.0
+FIRST_BATCH_CUTOFF = "1995-03-01"
+RULE_REVENUE_CUTOFF = 1000000.0
 
 REGISTRY_NO_TS = ["corporate_id", "canonical_name", "canonical_address", "activity_places", "top_suppliers",
                   "main_customers", "revenue", "profit", "match_confidence", "source1_present", "source2_present",
@@ -25,9 +28,6 @@ S1_COLS = ["clean_name_s1", "row_id_s1", "n_rows_s1", "corporate_name_s1", "addr
 S2_COLS = ["clean_name_s2", "row_id_s2", "n_rows_s2", "corporate_name_s2", "main_customers", "revenue", "profit",
            "batch_id_s2"]
 MIN_ROWS = 1000
-# the partner-length window uses the same double constants as the Spark side
-LO_RATIO = min(THRESHOLD, 100.0) / (200.0 - min(THRESHOLD, 100.0))
-HI_RATIO = (200.0 - min(THRESHOLD, 100.0)) / min(THRESHOLD, 100.0)
 
 
 def _q(s: str) -> str:
@@ -66,46 +66,55 @@ def enc(x: str) -> str:
 
 
 def money(x: str) -> str:
-    return f"CAST(TRY_CAST({x} AS DECIMAL(38,6)) AS VARCHAR)"
+    d = f"TRY_CAST({x} AS DECIMAL(38,6))"
+    return f"CASE WHEN CAST({d} AS DOUBLE) = {x} THEN CAST({d} AS VARCHAR) ELSE CAST({x} AS VARCHAR) END"
 
 
 def lcs(a: str, b: str) -> str:
-    """Bit-parallel LCS; ``a`` is the shorter string (at most 62 characters)."""
+    """Bit-parallel LCS; ``a`` is the shorter string (at most 120 characters)."""
     mask = (f"list_sum(list_transform(range(length({a})), lambda i: CASE WHEN substr({a}, i + 1, 1) = c"
-            f" THEN (1::BIGINT << i::BIGINT) ELSE 0::BIGINT END))::BIGINT")
-    full = f"((1::BIGINT << length({a})::BIGINT) - 1)"
+            f" THEN (1::HUGEINT << i::HUGEINT) ELSE 0::HUGEINT END))::HUGEINT")
+    full = f"((1::HUGEINT << length({a})::HUGEINT) - 1)"
     step = f"(((v + (v & {mask})) | (v - (v & {mask}))) & {full})"
     return f"(length({a}) - bit_count(list_reduce(string_split({b}, ''), lambda v, c: {step}, {full})))"
 
 
-def vary(x: str, off: int) -> str:
-    return (f"CASE (p_partkey + {off}) % 5 WHEN 0 THEN {x} || ' Corporation' WHEN 1 THEN upper({x}) || ' Corp'"
-            f" WHEN 2 THEN {x} || ', Inc' WHEN 3 THEN {x} ELSE {x} || ' Ltd.' END")
+def spelling(x: str, off: int) -> str:
+    return (f"CASE (p_partkey * 3 + {off}) % 4 WHEN 0 THEN upper({x}) WHEN 1 THEN 'Co. ' || {x}"
+            f" WHEN 2 THEN {x} || ' (Limited)' ELSE replace({x}, ' ', ' / ') END")
+
+
+def base_name(name: str) -> str:
+    k = "CAST(p_partkey AS VARCHAR)"
+    long = " || ' ' || ".join([f"({name})"] * 6)
+    return f"(substr(md5({k}), 1, 3) || ' ' || CASE WHEN p_partkey % 50 = 35 THEN {long} ELSE {name} END || ' ' || {k})"
 
 
 # ------------------------------------------------------------------ CTE chain
 
 def fixture_ctes(p: str, batch: str, cutoff: str | None) -> list[str]:
-    k = "CAST(p_partkey AS VARCHAR)"
-    b1 = f"(substr(md5({k}), 1, 3) || ' ' || p_name || ' ' || {k})"
-    n2 = "(CASE WHEN p_partkey % 10 = 5 THEN substr(p_name, 1, length(p_name) - 1) ELSE p_name END)"
-    b2 = f"(substr(md5({k}), 1, 3) || ' ' || {n2} || ' ' || {k})"
+    b1 = base_name("p_name")
+    b2 = base_name("CASE WHEN p_partkey % 10 = 5 THEN substr(p_name, 1, length(p_name) - 1) ELSE p_name END")
     li = "SELECT * FROM lineitem" + (f" WHERE l_shipdate < TIMESTAMP '{cutoff}'" if cutoff else "")
     pt = "SELECT * FROM part" + (f" WHERE p_partkey IN (SELECT l_partkey FROM {p}li)" if cutoff else "")
     sup = "'S' || CAST(l_suppkey AS VARCHAR)"
     return [
         f"{p}li AS ({li})",
         f"{p}pt AS ({pt})",
-        f"""{p}s1 AS (SELECT {vary(b1, 0)} AS corporate_name_s1,
+        f"""{p}s1 AS (SELECT {spelling(b1, 0)} AS corporate_name_s1,
               CAST(p_size AS VARCHAR) || ' ' || p_type || ' Street, ' || p_brand AS address,
               x.ap AS activity_places, x.ts AS top_suppliers, 'source1' AS source_name, {_q(batch)} AS batch_id
             FROM {p}pt LEFT JOIN (
               SELECT l_partkey, string_agg(DISTINCT {sup}, '|' ORDER BY {sup}) AS ts,
                      string_agg(DISTINCT n_name, '|' ORDER BY n_name) AS ap
               FROM {p}li JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-              WHERE l_linenumber = 1 GROUP BY l_partkey) x ON x.l_partkey = p_partkey
-            WHERE p_partkey % 10 < 6)""",
-        f"""{p}s2 AS (SELECT {vary(b2, 2)} AS corporate_name_s2, y.mc AS main_customers,
+              GROUP BY l_partkey) x ON x.l_partkey = p_partkey
+            WHERE p_partkey % 10 < 6
+            UNION ALL SELECT {spelling(b1, 1)}, p_type || ' Road', p_type, p_brand || '|S0|' || p_brand, 'source1', {_q(batch)}
+            FROM {p}pt WHERE p_partkey % 50 IN (1, 4)
+            UNION ALL SELECT CASE WHEN p_partkey % 200 = 2 THEN 'Inc.' ELSE 'Co. Ltd' END, CAST(p_size AS VARCHAR) || ' Road', NULL, NULL,
+              'source1', {_q(batch)} FROM {p}pt WHERE p_partkey % 100 = 2)""",
+        f"""{p}s2 AS (SELECT {spelling(b2, 2)} AS corporate_name_s2, y.mc AS main_customers,
               CAST(f.rev AS DOUBLE) AS revenue, CAST(f.prof AS DOUBLE) AS profit,
               'source2' AS source_name, {_q(batch)} AS batch_id
             FROM {p}pt
@@ -116,18 +125,33 @@ def fixture_ctes(p: str, batch: str, cutoff: str | None) -> list[str]:
               FROM {p}li GROUP BY l_partkey) f ON f.l_partkey = p_partkey
             LEFT JOIN (SELECT l_partkey, string_agg(DISTINCT c_mktsegment, '|' ORDER BY c_mktsegment) AS mc
               FROM {p}li JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-              WHERE l_linenumber = 2 GROUP BY l_partkey) y ON y.l_partkey = p_partkey
-            WHERE p_partkey % 10 >= 4)""",
+              GROUP BY l_partkey) y ON y.l_partkey = p_partkey
+            WHERE p_partkey % 10 >= 4
+            UNION ALL SELECT {spelling(b2, 3)}, 'WHOLESALE|BUILDING', CAST(p_retailprice AS DOUBLE), NULL, 'source2', {_q(batch)}
+            FROM {p}pt WHERE p_partkey % 50 IN (4, 7)
+            UNION ALL SELECT 'Limited', NULL, CAST(p_retailprice AS DOUBLE), 0.0::DOUBLE, 'source2', {_q(batch)}
+            FROM {p}pt WHERE p_partkey % 100 = 6)""",
     ]
 
 
-def _argmin(cols: list[str], key: str) -> str:
-    return ", ".join(f"arg_min_null({c}, {key}) AS {c}" for c in cols)
+def _items(c: str) -> str:
+    """Union of the pipe lists of a group."""
+    return (f"CASE WHEN count({c}) > 0 THEN array_to_string(list_sort(list_distinct(flatten(list({parse_list(c)}) "
+            f"FILTER ({c} IS NOT NULL)))), '|') END AS {c}")
+
+
+def _collapsed(side: str) -> str:
+    """What the rows of one name (or one blank row id) say together."""
+    if side == "s1":
+        addr = "min(CASE WHEN trim(address) <> '' THEN address END)"
+        return (f"min(corporate_name_s1) AS corporate_name_s1, {addr} AS address, {address(addr)} AS clean_address_s1, "
+                f"{_items('activity_places')}, {_items('top_suppliers')}, min(batch_id_s1) AS batch_id_s1")
+    order = "ORDER BY revenue DESC NULLS LAST, profit DESC NULLS LAST"
+    return (f"min(corporate_name_s2) AS corporate_name_s2, {_items('main_customers')}, "
+            f"first(revenue {order}) AS revenue, first(profit {order}) AS profit, min(batch_id_s2) AS batch_id_s2")
 
 
 def linkage_ctes(p: str) -> list[str]:
-    s1_payload = ["corporate_name_s1", "address", "clean_address_s1", "activity_places", "top_suppliers", "batch_id_s1"]
-    s2_payload = ["corporate_name_s2", "main_customers", "revenue", "profit", "batch_id_s2"]
     best_cols = ", ".join([f"u1.{c}" for c in S1_COLS] + [f"u2.{c}" for c in S2_COLS])
 
     def ent(select_id: str, kind: str, conf: str, score: str, src: str, s1: bool, s2: bool, where: str = "") -> str:
@@ -142,19 +166,18 @@ def linkage_ctes(p: str) -> list[str]:
                 f"{', '.join(cols)} FROM {src} {where}")
 
     return [
-        f"""{p}p1 AS (SELECT *, {clean('corporate_name_s1')} AS clean_name_s1, {address('address')} AS clean_address_s1,
-              sha256(concat_ws('|', 's1', {enc('corporate_name_s1')}, {enc('address')}, {enc('activity_places')},
+        f"""{p}p1 AS (SELECT *, {clean('corporate_name_s1')} AS clean_name_s1, sha256(concat_ws('|', 's1', {enc('corporate_name_s1')}, {enc('address')}, {enc('activity_places')},
                      {enc('top_suppliers')})) AS row_id_s1, batch_id AS batch_id_s1 FROM {p}s1)""",
         f"""{p}p2 AS (SELECT *, {clean('corporate_name_s2')} AS clean_name_s2,
               sha256(concat_ws('|', 's2', {enc('corporate_name_s2')}, {enc('main_customers')}, {enc(money('revenue'))},
                      {enc(money('profit'))})) AS row_id_s2, batch_id AS batch_id_s2 FROM {p}s2)""",
-        f"""{p}n1 AS (SELECT clean_name_s1, count(*) AS n_rows_s1, min(row_id_s1) AS row_id_s1, {_argmin(s1_payload, 'row_id_s1')}
+        f"""{p}n1 AS (SELECT clean_name_s1, count(*) AS n_rows_s1, min(row_id_s1) AS row_id_s1, {_collapsed('s1')}
               FROM {p}p1 WHERE clean_name_s1 <> '' GROUP BY clean_name_s1)""",
-        f"""{p}n2 AS (SELECT clean_name_s2, count(*) AS n_rows_s2, min(row_id_s2) AS row_id_s2, {_argmin(s2_payload, 'row_id_s2')}
+        f"""{p}n2 AS (SELECT clean_name_s2, count(*) AS n_rows_s2, min(row_id_s2) AS row_id_s2, {_collapsed('s2')}
               FROM {p}p2 WHERE clean_name_s2 <> '' GROUP BY clean_name_s2)""",
-        f"""{p}bl1 AS (SELECT '' AS clean_name_s1, count(*) AS n_rows_s1, row_id_s1, {_argmin(s1_payload, 'row_id_s1')}
+        f"""{p}bl1 AS (SELECT '' AS clean_name_s1, count(*) AS n_rows_s1, row_id_s1, {_collapsed('s1')}
               FROM {p}p1 WHERE clean_name_s1 = '' GROUP BY row_id_s1)""",
-        f"""{p}bl2 AS (SELECT '' AS clean_name_s2, count(*) AS n_rows_s2, row_id_s2, {_argmin(s2_payload, 'row_id_s2')}
+        f"""{p}bl2 AS (SELECT '' AS clean_name_s2, count(*) AS n_rows_s2, row_id_s2, {_collapsed('s2')}
               FROM {p}p2 WHERE clean_name_s2 = '' GROUP BY row_id_s2)""",
         f"{p}ex AS (SELECT * FROM {p}n1 JOIN {p}n2 ON clean_name_s1 = clean_name_s2)",
         f"{p}u1 AS (SELECT * FROM {p}n1 WHERE NOT EXISTS (SELECT 1 FROM {p}n2 WHERE clean_name_s2 = clean_name_s1))",
@@ -259,14 +282,20 @@ def _upsert_body(legacy: bool = False) -> str:
             f"WHERE corporate_id NOT IN (SELECT corporate_id FROM b_reg)")
 
 
+S1_RAW = "corporate_name_s1, address, activity_places, top_suppliers"
+S2_RAW = "corporate_name_s2, main_customers, revenue, profit"
+
+
 def _link_rows_body() -> str:
-    return """SELECT 'source1' AS source, p.row_id_s1 AS row_id, e.corporate_id, e.match_type
+    own1 = ", ".join(f"p.{c}" for c in S1_RAW.split(", ")) + ", NULL AS corporate_name_s2, NULL AS main_customers, NULL::DOUBLE AS revenue, NULL::DOUBLE AS profit"
+    own2 = "NULL AS corporate_name_s1, NULL AS address, NULL AS activity_places, NULL AS top_suppliers, " + ", ".join(f"p.{c}" for c in S2_RAW.split(", "))
+    return f"""SELECT 'source1' AS source, p.row_id_s1 AS row_id, e.corporate_id, e.match_type, {own1}
       FROM p1 p JOIN ent e ON p.clean_name_s1 = e.clean_name_s1 WHERE p.clean_name_s1 <> ''
-    UNION ALL SELECT 'source1', p.row_id_s1, e.corporate_id, e.match_type
+    UNION ALL SELECT 'source1', p.row_id_s1, e.corporate_id, e.match_type, {own1}
       FROM p1 p JOIN ent e ON p.row_id_s1 = e.row_id_s1 AND e.clean_name_s1 = '' WHERE p.clean_name_s1 = ''
-    UNION ALL SELECT 'source2', p.row_id_s2, e.corporate_id, e.match_type
+    UNION ALL SELECT 'source2', p.row_id_s2, e.corporate_id, e.match_type, {own2}
       FROM p2 p JOIN ent e ON p.clean_name_s2 = e.clean_name_s2 WHERE p.clean_name_s2 <> ''
-    UNION ALL SELECT 'source2', p.row_id_s2, e.corporate_id, e.match_type
+    UNION ALL SELECT 'source2', p.row_id_s2, e.corporate_id, e.match_type, {own2}
       FROM p2 p JOIN ent e ON p.row_id_s2 = e.row_id_s2 AND e.clean_name_s2 = '' WHERE p.clean_name_s2 = ''"""
 
 
@@ -297,12 +326,8 @@ def statements() -> dict[str, str]:
                              "'exact_name' AS match_type, 100.0::DOUBLE AS match_confidence FROM ex", BASE),
         "unmatched_source1": with_("SELECT clean_name_s1, corporate_name_s1, row_id_s1, n_rows_s1 FROM u1", BASE),
         "unmatched_source2": with_("SELECT clean_name_s2, corporate_name_s2, row_id_s2, n_rows_s2 FROM u2", BASE),
-        # only pairs the length bound lets through can reach the threshold; the Spark side
-        # reports exactly those, so the oracle keeps the same set by the bound itself
-        "token_sort_scores": with_(f"""SELECT s.clean_name_s1, s.clean_name_s2, s.name_score FROM sc s JOIN pr p
-              ON p.clean_name_s1 = s.clean_name_s1 AND p.clean_name_s2 = s.clean_name_s2
-            WHERE p.lb BETWEEN greatest(CAST(floor(p.la * {LO_RATIO!r}::DOUBLE) AS INTEGER) - 1, 1)
-                           AND greatest(CAST(ceil(p.la * {HI_RATIO!r}::DOUBLE) AS INTEGER) + 1, 1)""", BASE),
+        # the operator scores the pairs that can reach the threshold; of these, all that do
+        "token_sort_scores": with_(f"SELECT clean_name_s1, clean_name_s2, name_score FROM sc WHERE name_score >= {THRESHOLD}", BASE),
         "fuzzy_match": with_("SELECT clean_name_s1, clean_name_s2, name_score, 'fuzzy_name' AS match_type, "
                              "name_score AS match_confidence FROM fz", BASE),
         "source1_only": with_("SELECT corporate_id, canonical_name, match_confidence FROM ent WHERE match_type = 'source1_only'", BASE),
@@ -341,7 +366,7 @@ def statements() -> dict[str, str]:
             FROM reg GROUP BY match_type""", BASE),
         "block_stats": with_("""SELECT coalesce(a.block, b.block) AS block, coalesce(names_s1, 0) AS names_s1,
               coalesce(rows_s1, 0) AS rows_s1, coalesce(names_s2, 0) AS names_s2, coalesce(rows_s2, 0) AS rows_s2,
-              coalesce(names_s1, 0) * coalesce(names_s2, 0) AS candidate_pairs
+              CAST(CAST(coalesce(names_s1, 0) AS HUGEINT) * coalesce(names_s2, 0) AS DECIMAL(38,0)) AS candidate_pairs
             FROM (SELECT substr(clean_name_s1, 1, 6) AS block, count(DISTINCT clean_name_s1) AS names_s1,
                     count(*) AS rows_s1 FROM p1 WHERE clean_name_s1 <> '' GROUP BY 1) a
             FULL OUTER JOIN (SELECT substr(clean_name_s2, 1, 6) AS block, count(DISTINCT clean_name_s2) AS names_s2,

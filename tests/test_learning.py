@@ -30,3 +30,15 @@ def test_logistic_fit_score_and_metrics(spark, scratch):
 def test_forest(spark):
     model = learning.fit(learning.forest_pipeline(num_trees=5, max_depth=3), training(spark))
     assert learning.score(model, training(spark)).filter("prediction = label").count() > 90
+
+
+def test_missing_features_and_a_single_class(spark):
+    from ledgerlink.operators import learning
+    rows = [(float(i), float(i), i % 3, 1, 2, 0) for i in range(40)]
+    train = spark.createDataFrame(rows, "revenue double, profit double, num_top_suppliers int, num_main_customers int, num_activity_places int, label int")
+    model = learning.fit(learning.forest_pipeline(num_trees=3, max_depth=2), train)
+    gaps = spark.createDataFrame([(None, float("nan"), None, 1, 2, 0), (1.0, 2.0, 1, 1, 1, 1)], train.schema)
+    out = learning.score(model, gaps).collect()
+    assert [r["prediction"] for r in out] == [0, 0] and all(r["prediction_score"] is None or r["prediction_score"] == 0.0 for r in out)
+    both = learning.fit(learning.logistic_pipeline(), train.withColumn("label", (train.revenue > 20).cast("int")))
+    assert all(r["prediction_score"] == r["prediction_score"] for r in learning.score(both, gaps).collect())

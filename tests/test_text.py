@@ -8,9 +8,9 @@ def one(spark, expr, value, schema="v string"):
     return spark.createDataFrame([(value,)], schema).select(expr(F.col("v")).alias("r")).first()["r"]
 
 
-@pytest.mark.parametrize("raw", ["Acme Corporation", "Acme Corp.", "Acme, Inc.", "Acme LLC"])
-def test_suffix_spellings_clean_to_same_key(spark, raw):
-    assert one(spark, clean_name, raw) == "acme"
+@pytest.mark.parametrize("raw", ["CO. QUAY foundry", "Quay / Foundry (Limited)", "quay-foundry ltd", "Inc Quay Corporation Foundry"])
+def test_spellings_clean_to_one_key(spark, raw):
+    assert one(spark, clean_name, raw) == "quay foundry"
 
 
 @pytest.mark.parametrize("raw,expected", [
