@@ -53,7 +53,6 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--registry", required=True)
     e.add_argument("--output-parquet", required=True)
     e.add_argument("--profit-threshold", type=float, default=1000000.0)
-    e.add_argument("--version", type=int, default=None)
 
     t = sub.add_parser("train")
     t.add_argument("--input-parquet", required=True)
@@ -89,13 +88,13 @@ def main(argv: list[str] | None = None) -> int:
                         profit_threshold=a.profit_threshold, one_to_one=a.one_to_one, match_blank=a.match_blank,
                         lcs_engine=a.lcs_engine)
         res = registry_run.run_from_csv(spark, a.source1, a.source2, a.registry, cfg, train=not a.no_train)
-        print(json.dumps({"version": res.version, "reconciliation": res.reconciliation, "drift": res.drift,
+        print(json.dumps({"partitions": res.partitions, "reconciliation": res.reconciliation, "drift": res.drift,
                           "model": res.model}, default=str))
     elif a.command == "build-training":
         out = training.build_training_parquet(spark, a.input_csv, a.output_parquet, a.profit_threshold, a.min_rows)
         print(json.dumps({"output": a.output_parquet, "columns": out.columns}))
     elif a.command == "export-training":
-        out = training.export_training_parquet(spark, a.registry, a.output_parquet, a.profit_threshold, a.version)
+        out = training.export_training_parquet(spark, a.registry, a.output_parquet, a.profit_threshold)
         print(json.dumps({"output": a.output_parquet, "columns": out.columns}))
     elif a.command == "train":
         _, metrics, report = training.train_model(spark, a.input_parquet, a.model_output, a.kind, a.test_size,
@@ -113,7 +112,7 @@ def main(argv: list[str] | None = None) -> int:
         query = start_registry_stream(spark, a.staged_dir, a.registry, a.checkpoint_location,
                                       available_now=not a.continuous)
         query.awaitTermination()
-        print(json.dumps({"version": store.current_commit(spark, a.registry)["version"]}))
+        print(json.dumps({"rows": store.read_registry(spark, a.registry).count()}))
     return 0
 
 

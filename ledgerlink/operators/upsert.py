@@ -44,8 +44,11 @@ def keep_one_per_key(df: DataFrame, order_by: Sequence[str], key: str = REGISTRY
 
 
 def merge_upsert(target: DataFrame, staged: DataFrame, key: str = REGISTRY_KEY,
-                 update_columns: Sequence[str] | None = None) -> DataFrame:
-    """Result of ``MERGE INTO target USING staged ON key`` (update matched, insert new)."""
+                 update_columns: Sequence[str] | None = None, newer_by: str | None = None) -> DataFrame:
+    """Result of ``MERGE INTO target USING staged ON key`` (update matched, insert new).
+
+    ``newer_by``: matched rows are updated only where the staged row isn't older by this column
+    (NULL is older than any value), so batches that arrive late or twice change nothing."""
     columns = target.columns
     missing = [c for c in columns if c not in staged.columns]
     if missing:
@@ -55,6 +58,9 @@ def merge_upsert(target: DataFrame, staged: DataFrame, key: str = REGISTRY_KEY,
     s = staged.select(*[F.col(c).alias(f"s__{c}") for c in columns])
     joined = t.join(s, F.col(f"t__{key}") == F.col(f"s__{key}"), "full_outer")
     in_staged = F.col(f"s__{key}").isNotNull()
+    if newer_by:
+        mine, its = F.col(f"s__{newer_by}"), F.col(f"t__{newer_by}")
+        in_staged = in_staged & (F.col(f"t__{key}").isNull() | its.isNull() | F.coalesce(mine >= its, F.lit(False)))
     in_target = F.col(f"t__{key}").isNotNull()
     out = []
     for c in columns:

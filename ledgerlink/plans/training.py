@@ -20,11 +20,10 @@ def build_training_parquet(spark: SparkSession, input_csv: str, output: str, pro
     return spark.read.parquet(output)
 
 
-def export_training_parquet(spark: SparkSession, registry_root: str, output: str,
-                            profit_threshold: float = 1000000.0, version: int | None = None) -> DataFrame:
-    """Registry version -> contract -> null normalisation -> features -> parquet."""
-    registry = store.read_registry(spark, registry_root, version)
-    features.training_export(registry, profit_threshold).write.mode("overwrite").parquet(output)
+def export_training_parquet(spark: SparkSession, registry: str, output: str,
+                            profit_threshold: float = 1000000.0) -> DataFrame:
+    """Registry (table name or folder) -> contract -> null normalisation -> features -> parquet."""
+    features.training_export(store.read_registry(spark, registry), profit_threshold).write.mode("overwrite").parquet(output)
     return spark.read.parquet(output)
 
 
@@ -32,12 +31,13 @@ def train_model(spark: SparkSession, input_parquet: str, model_output: str, kind
                 test_fraction: float = 0.2, key: str | None = None, metrics_root: str | None = None,
                 run_id: str = "train"):
     """Stratified split (exact per-label counts), fit, evaluate.  Returns (model, metrics,
-    classification report).  Rows without a key column are keyed by their content."""
+    classification report).  Rows without a key column get a number of their own, written once
+    with them, so that equal rows (which such sets are full of) don't share a key."""
     df = spark.read.parquet(input_parquet)
     require_columns(df, [*learning.FOREST_FEATURES, "label"], "training set")
     if key is None:
         key = "_row_key"
-        df = df.withColumn(key, F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256))
+        df = store.stage(df.withColumn(key, F.monotonically_increasing_id().cast("string")), "training")
     split = features.stratified_split(df, "label", key, test_fraction)
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
@@ -52,9 +52,14 @@ def train_model(spark: SparkSession, input_parquet: str, model_output: str, kind
     if metrics_root:
         m = metrics.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
-            for c in ("auc", "train_count", "test_count", "rows")])).alias("m")).select("m.*")
+            for c in ("auc", "train_count", "test_count", "rows")])).alias("m")).select("m.*", F.lit(None).cast("string").alias("text"))
+        per_class = report.select(F.concat(F.lit("report:"), "class").alias("name"), F.col("f1_score").alias("value"),
+                                  F.to_json(F.struct("precision", "recall", "f1_score", "support")).alias("text"))
+        chosen = spark.createDataFrame([("features", ",".join(pipeline.getStages()[0].getInputCols())), ("test_fraction", str(test_fraction))],
+                                       "name string, text string").select("name", F.lit(None).cast("double").alias("value"), "text")
+        m = m.unionByName(per_class).unionByName(chosen)
         store.append_metrics(spark, metrics_root, m.select(F.lit(run_id).alias("run_id"), F.lit("").alias("batch_id"),
-                                                           F.lit(f"model:{kind}").alias("kind"), "name", "value",
+                                                           F.lit(f"model:{kind}").alias("kind"), "name", "value", "text",
                                                            F.current_timestamp().alias("recorded_at")))
     return model, metrics, report
 

@@ -1,14 +1,11 @@
-"""Versioned registry on plain parquet.
+"""The registry as a plain Spark table: parquet, partitioned by the first characters of the key.
 
-Layout under ``root``::
+A registry is named like a catalog table (``db.registry``) or, if the name has a slash in it, by a folder.
+An upsert reads and rewrites only the partitions that its keys fall into (Spark's dynamic partition
+overwrite); files of all others stay as they are.  The keys are hashes, so partitions are even.
 
-    snapshots/<uuid>/        one complete parquet snapshot per committed version
-    _commits/                append-only parquet log: version, snapshot path, batch, rows, time
-
-A version becomes visible only when its commit row lands, and the snapshot is fully
-written before that, so readers never see a half-written registry; a crashed writer
-leaves an orphan snapshot that no commit names.  Reading a past version is time travel.
-One writer per registry at a time (concurrent writers must be serialised outside).
+One writer per registry at a time: parquet tables know no conflicts.  Where the catalog's tables support MERGE,
+``DataFrame.mergeInto`` does the same with the same key and columns.
 
 Staging copies and lineage cuts go under the cluster's shared ``spark.checkpoint.dir``.
 """
@@ -16,7 +13,6 @@ Staging copies and lineage cuts go under the cluster's shared ``spark.checkpoint
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,119 +20,135 @@ from pyspark.sql import types as T
 
 from ledgerlink.operators.harmonize import conform
 from ledgerlink.operators.upsert import assert_unique_keys, merge_upsert
-from ledgerlink.schemas import REGISTRY_KEY, REGISTRY_SCHEMA
+from ledgerlink.schemas import REGISTRY_COLUMNS, REGISTRY_KEY, REGISTRY_SCHEMA
 from ledgerlink.session import checkpoint_root, delete_on_exit
 
-COMMIT_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("snapshot", T.StringType()),
-    T.StructField("batch_id", T.StringType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("committed_at", T.TimestampType()),
-])
+PREFIX = "key_prefix"
+PREFIX_CHARS = 2  # hexadecimal keys: 256 partitions
+TABLE_SCHEMA = T.StructType([*REGISTRY_SCHEMA.fields, T.StructField(PREFIX, T.StringType())])
 
+# value holds numbers, text what isn't one (parameters, lists, reports)
 METRIC_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("batch_id", T.StringType()),
     T.StructField("kind", T.StringType()),
     T.StructField("name", T.StringType()),
     T.StructField("value", T.DoubleType()),
+    T.StructField("text", T.StringType()),
     T.StructField("recorded_at", T.TimestampType()),
 ])
 
 
-def _commits(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/_commits")
-    except Exception:  # no commit yet
-        return None
+def _is_folder(registry: str) -> bool:
+    return "/" in registry
 
 
-def history(spark: SparkSession, root: str) -> DataFrame:
-    log = _commits(spark, root)
-    return log if log is not None else spark.createDataFrame([], COMMIT_SCHEMA)
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
-def current_commit(spark: SparkSession, root: str, version: int | None = None):
-    log = _commits(spark, root)
-    if log is None:
-        return None
-    if version is not None:
-        log = log.filter(F.col("version") == version)
-    # one aggregate over the (small) commit log: the highest version; a version committed
-    # twice (concurrent writers) resolves deterministically to the larger snapshot path
-    head = log.agg(F.max(F.struct(F.col("version"), F.col("snapshot"))).alias("h")).first()["h"]
-    return None if head is None else {"version": head["version"], "snapshot": head["snapshot"]}
+def _folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop = _file_system(spark, path)
+    return fs.exists(hadoop)
 
 
-def read_registry(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """Current (or a past) version of the registry."""
-    commit = current_commit(spark, root, version)
-    if commit is None:
-        raise FileNotFoundError(f"no committed registry version at {root}")
-    return spark.read.schema(REGISTRY_SCHEMA).parquet(commit["snapshot"])
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _file_system(spark, path)
+    fs.delete(hadoop, True)
 
 
-def _append_commit(spark: SparkSession, root: str, version: int, snapshot: str, batch_id: str,
-                   operation: str) -> None:
-    row = [(version, snapshot, batch_id, operation, datetime.now(timezone.utc).replace(tzinfo=None))]
-    spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_commits")
+# ---------------------------------------------------------------- staging
 
+def stage_at(df: DataFrame, name: str = "staging") -> tuple[DataFrame, str]:
+    """(the rows written once in the shared checkpoint folder and read back, that folder)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/ledgerlink-{name}/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    delete_on_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path), path
 
-def _write_snapshot(df: DataFrame, root: str) -> str:
-    path = f"{root}/snapshots/{uuid.uuid4().hex}"
-    # sorted within partitions so parquet min/max statistics prune key lookups
-    df.sortWithinPartitions(REGISTRY_KEY).write.mode("errorifexists").parquet(path)
-    return path
 
+def stage(df: DataFrame, name: str = "staging") -> DataFrame:
+    """As ``stage_at`` for rows that are read until the application ends."""
+    return stage_at(df, name)[0]
 
-def create_registry(spark: SparkSession, root: str) -> int:
-    """Empty typed registry as version 0 (no-op when a version exists)."""
-    commit = current_commit(spark, root)
-    if commit is not None:
-        return commit["version"]
-    path = _write_snapshot(spark.createDataFrame([], REGISTRY_SCHEMA), root)
-    _append_commit(spark, root, 0, path, "", "create")
-    return 0
 
+# ---------------------------------------------------------------- registry
 
-def stage(df: DataFrame, name: str = "staging") -> DataFrame:
-    """Materialise once in the shared checkpoint folder and read back: the lineage
-    (row ids, timestamps) is fixed before the merge reads it."""
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/ledgerlink-{name}/{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    delete_on_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+def registry_exists(spark: SparkSession, registry: str) -> bool:
+    return _folder_exists(spark, registry) if _is_folder(registry) else spark.catalog.tableExists(registry)
+
+
+def create_registry(spark: SparkSession, registry: str) -> None:
+    """Empty typed registry (nothing happens if there is one)."""
+    if registry_exists(spark, registry):
+        return
+    writer = spark.createDataFrame([], TABLE_SCHEMA).write.partitionBy(PREFIX)
+    if _is_folder(registry):
+        writer.parquet(registry)
+    else:
+        writer.format("parquet").saveAsTable(registry)
+
+
+def _table(spark: SparkSession, registry: str) -> DataFrame:
+    if not registry_exists(spark, registry):
+        raise FileNotFoundError(f"there is no registry {registry}")
+    return spark.read.schema(TABLE_SCHEMA).parquet(registry) if _is_folder(registry) else spark.table(registry)
+
+
+def read_registry(spark: SparkSession, registry: str) -> DataFrame:
+    return _table(spark, registry).select(*REGISTRY_COLUMNS)
 
 
-def commit_upsert(spark: SparkSession, root: str, staged: DataFrame, batch_id: str,
-                  update_columns=None, check_keys: bool = True) -> int:
-    """MERGE staged rows into the current version and commit the result as a new version.
-    ``check_keys`` fails on repeated staged keys first (one aggregate over the batch)."""
+def _write_partitions(spark: SparkSession, registry: str, rows: DataFrame) -> None:
+    """Replace the partitions that ``rows`` has; rows of a partition are spread by key range."""
+    rows = rows.repartitionByRange(REGISTRY_KEY).select(*TABLE_SCHEMA.names)
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        if _is_folder(registry):
+            rows.write.mode("overwrite").partitionBy(PREFIX).parquet(registry)
+        else:
+            rows.write.mode("overwrite").insertInto(registry)
+            spark.catalog.refreshTable(registry)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def upsert_registry(spark: SparkSession, registry: str, staged: DataFrame, update_columns=None,
+                    check_keys: bool = True, newer_by: str | None = None) -> int:
+    """MERGE staged rows into the registry; how many partitions were rewritten.
+
+    ``check_keys`` fails on repeated staged keys first (one aggregate over the batch).  ``newer_by``: a
+    matched row is only updated if the staged one isn't older by this column."""
     staged = conform(staged)
     if check_keys:
         assert_unique_keys(staged)
-    current = current_commit(spark, root)
-    if current is None:
-        create_registry(spark, root)
-        current = current_commit(spark, root)
-    target = spark.read.schema(REGISTRY_SCHEMA).parquet(current["snapshot"])
-    merged = merge_upsert(target, staged, REGISTRY_KEY, update_columns)
-    path = _write_snapshot(merged, root)
-    version = current["version"] + 1
-    _append_commit(spark, root, version, path, batch_id, "merge")
-    return version
+    create_registry(spark, registry)
+    prefix = F.substring(REGISTRY_KEY, 1, PREFIX_CHARS)
+    touched = [r[0] for r in staged.select(prefix.alias("p")).distinct().collect()]  # 16^PREFIX_CHARS at most
+    if not touched:
+        return 0
+    target = _table(spark, registry).filter(F.col(PREFIX).isin(touched)).select(*REGISTRY_COLUMNS)
+    merged = merge_upsert(target, staged, REGISTRY_KEY, update_columns, newer_by).withColumn(PREFIX, prefix)
+    rows, folder = stage_at(merged, "merged")  # what is overwritten can't be read meanwhile
+    _write_partitions(spark, registry, rows)
+    remove_folder(spark, folder)
+    return len(touched)
+
 
+# ---------------------------------------------------------------- metrics
 
 def append_metrics(spark: SparkSession, root: str, metrics: DataFrame) -> None:
-    """Append run metrics (columns of METRIC_SCHEMA) to ``root/_metrics``."""
-    metrics.select(*[F.col(f.name).cast(f.dataType) for f in METRIC_SCHEMA.fields]) \
+    """Append run metrics (columns of METRIC_SCHEMA; absent ones NULL) to ``root/_metrics``."""
+    have = [F.col(f.name) if f.name in metrics.columns else F.lit(None) for f in METRIC_SCHEMA.fields]
+    metrics.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(have, METRIC_SCHEMA.fields)]) \
         .coalesce(1).write.mode("append").parquet(f"{root}/_metrics")
 
 
 def read_metrics(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(METRIC_SCHEMA).parquet(f"{root}/_metrics")
-    except Exception:
+    if not _folder_exists(spark, f"{root}/_metrics"):
         return spark.createDataFrame([], METRIC_SCHEMA)
+    return spark.read.schema(METRIC_SCHEMA).parquet(f"{root}/_metrics")

@@ -1,10 +1,10 @@
 """Registry upserts driven by Structured Streaming.
 
 Staged registry rows (the 14-column schema) landing as parquet files in a folder are
-merged into the versioned registry one micro-batch at a time with ``foreachBatch``.
-The micro-batch id is recorded as the commit's batch id, so a batch replayed after a
-failure is recognised and not committed twice (exactly-once into the registry).
-Duplicate keys inside one micro-batch keep the row with the latest ``last_updated_ts``.
+merged into the registry one micro-batch at a time with ``foreachBatch``; each batch
+rewrites only the partitions its keys fall into.  Of several rows with one key the newest
+by ``last_updated_ts`` counts, within a batch and against the registry, so a batch
+replayed after a failure or arriving late changes nothing that is newer.
 """
 
 from __future__ import annotations
@@ -17,26 +17,21 @@ from ledgerlink.schemas import REGISTRY_SCHEMA
 from ledgerlink.sources import store
 
 
-def _commit_micro_batch(registry_root: str, prefix: str):
-    def commit(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        tag = f"{prefix}{epoch_id}"
-        done = store.history(spark, registry_root).filter(F.col("batch_id") == tag)
-        if not done.isEmpty():
-            return
+def _merge_micro_batch(registry: str):
+    def merge(batch: DataFrame, epoch_id: int) -> None:
         # newest row per key: order by the negated timestamp (as epoch micros); undated rows last
         newest = batch.withColumn("_age", F.coalesce(-F.unix_micros(F.col("last_updated_ts")), F.lit(2**62)))
         staged = keep_one_per_key(newest, ["_age"]).drop("_age")
-        store.commit_upsert(spark, registry_root, staged, tag)
-    return commit
+        store.upsert_registry(batch.sparkSession, registry, staged, newer_by="last_updated_ts")
+    return merge
 
 
-def start_registry_stream(spark: SparkSession, staged_dir: str, registry_root: str, checkpoint_location: str,
-                          available_now: bool = True, prefix: str = "stream-"):
+def start_registry_stream(spark: SparkSession, staged_dir: str, registry: str, checkpoint_location: str,
+                          available_now: bool = True):
     """Start the stream; with ``available_now`` it drains what is there and stops."""
-    store.create_registry(spark, registry_root)
+    store.create_registry(spark, registry)
     source = spark.readStream.schema(REGISTRY_SCHEMA).parquet(staged_dir)
-    writer = (source.writeStream.foreachBatch(_commit_micro_batch(registry_root, prefix))
+    writer = (source.writeStream.foreachBatch(_merge_micro_batch(registry))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

