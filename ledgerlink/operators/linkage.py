@@ -6,14 +6,14 @@ Plan shape (all declarative, Catalyst picks the physical joins):
 2. collapse each side to one row per clean name (partial aggregation map-side, so a name
    carried by a third of all rows costs one row per map task, not one hot reducer).
    Rows with a blank clean name cannot be linked; they collapse per identical content.
-3. exact links: name x name equi-join, 1:1 by construction.
+3. exact links and what is left: one full outer join on the name, 1:1 by construction.
 4. fuzzy links between still-unlinked names: equi-join on (block, length band) with the
    exact partner-length window as residual condition.  The window is exact pruning: a
    pair can only reach the threshold when 200*min(la, lb) >= threshold*(la+lb).  Keys
    holding more pairs than a per-task budget are split into a salt grid.  Scores are
    native bit-parallel LCS; the best partner per list-1 name is a min(struct) aggregate
    (no window, no hot sort).
-5. leftovers: anti joins on names.
+5. leftovers: one-sided rows of the same join without a partner.
 
 Every output row is one entity; ``corporate_id`` is unique by construction.
 ``link_rows`` maps every input row to its entity.
@@ -141,15 +141,6 @@ def cut_lineage(df: DataFrame, name: str = "ckpt") -> DataFrame:
     return stage(df, name)
 
 
-def cut_lineage_pair(g1: DataFrame, g2: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both collapsed sides written as one tagged table (one job), read back per side;
-    the side filter and column pruning reach the parquet scan."""
-    both = cut_lineage(g1.withColumn("_side", F.lit(1))
-                       .unionByName(g2.withColumn("_side", F.lit(2)), allowMissingColumns=True), "sides")
-    return (both.filter(F.col("_side") == 1).select(*g1.columns),
-            both.filter(F.col("_side") == 2).select(*g2.columns))
-
-
 # --------------------------------------------------------------------------- exact
 
 def exact_links(names1: DataFrame, names2: DataFrame) -> DataFrame:
@@ -325,7 +316,7 @@ def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float =
                      lcs_engine: str = DEFAULT_LCS_ENGINE) -> DataFrame:
     """One row per entity with its link kind, confidence and representative columns.
 
-    materialize     write the collapsed sides and the best-partner table once (each feeds
+    materialize     write the joined names and the best-partner table once (each feeds
                     several branches of the union) into the shared checkpoint folder
     match_blank     names that clean to '' link to each other (one exact entity) instead
                     of staying separate one-sided entities
@@ -336,37 +327,40 @@ def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float =
     """
     g1 = collapse_side(prepare_source1(source1, block_chars), "s1", match_blank)
     g2 = collapse_side(prepare_source2(source2, block_chars), "s2", match_blank)
-    if materialize:
-        g1, g2 = cut_lineage_pair(g1, g2)
-    if match_blank:
-        names1, names2 = g1, g2
-        blanks1, blanks2 = g1.filter(F.lit(False)), g2.filter(F.lit(False))
-    else:
-        names1, names2, blanks1, blanks2 = named(g1, "s1"), named(g2, "s2"), blank(g1, "s1"), blank(g2, "s2")
-    return resolve_from_groups(names1, names2, blanks1, blanks2, threshold, block_chars, materialize,
-                               one_to_one, pairs_per_task, lcs_engine)
+    return resolve_from_groups(g1, g2, threshold, block_chars, materialize, match_blank, one_to_one, pairs_per_task, lcs_engine)
 
 
-def resolve_from_groups(names1: DataFrame, names2: DataFrame, blanks1: DataFrame, blanks2: DataFrame,
-                        threshold: float = 85.0, block_chars: int = 6, materialize: bool = False,
-                        one_to_one: bool = False,
+def joined_names(g1: DataFrame, g2: DataFrame, match_blank: bool = False) -> DataFrame:
+    """Both collapsed sides in one full outer join on the clean name: a row for every name of
+    either side.  Blank names meet nothing, unless ``match_blank``."""
+    key = lambda c: F.col(c) if match_blank else F.when(F.col(c) != "", F.col(c))
+    return g1.join(g2, key("clean_name_s1") == key("clean_name_s2"), "full_outer")
+
+
+def resolve_from_groups(g1: DataFrame, g2: DataFrame, threshold: float = 85.0, block_chars: int = 6,
+                        materialize: bool = False, match_blank: bool = False, one_to_one: bool = False,
                         pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK,
                         lcs_engine: str = DEFAULT_LCS_ENGINE) -> DataFrame:
-    """Same as ``resolve_entities`` from already collapsed sides."""
-    exact = exact_links(names1, names2)
-    u1, u2 = unlinked_s1(names1, names2), unlinked_s2(names2, names1)
-    best = best_partners(score_pairs(candidate_pairs(u1, u2, threshold, block_chars, pairs_per_task), lcs_engine),
-                         threshold)
+    """Same as ``resolve_entities`` from already collapsed sides: one join and one written table
+    give exact links and what either side has left; the best partners are written once."""
+    both = joined_names(g1, g2, match_blank)
+    if materialize:
+        both = cut_lineage(both, "names")
+    in1, in2 = F.col("row_id_s1").isNotNull(), F.col("row_id_s2").isNotNull()
+    exact = both.filter(in1 & in2).withColumns({"match_type": F.lit("exact_name"), "match_confidence": F.lit(100.0),
+                                                "name_score": F.lit(None).cast("double")})
+    u1, u2 = both.filter(in1 & ~in2).select(*g1.columns), both.filter(in2 & ~in1).select(*g2.columns)
+    pairs = candidate_pairs(named(u1, "s1"), named(u2, "s2"), threshold, block_chars, pairs_per_task)
+    best = best_partners(score_pairs(pairs, lcs_engine), threshold)
     if one_to_one:
         best = one_partner_per_s2(best)
     if materialize:
         best = cut_lineage(best, "best")
-    fuzzy = (best.join(u1, "clean_name_s1").join(u2, "clean_name_s2")
+    with_best = u1.join(best.withColumnRenamed("clean_name_s2", "_partner"), "clean_name_s1", "left")
+    fuzzy = (with_best.filter(F.col("_partner").isNotNull()).join(u2, F.col("_partner") == F.col("clean_name_s2")).drop("_partner")
              .withColumns({"match_type": F.lit("fuzzy_name"), "match_confidence": F.col("name_score")}))
-    only1 = u1.join(best.select("clean_name_s1"), "clean_name_s1", "left_anti") \
-        .unionByName(blanks1, allowMissingColumns=True)
-    only2 = u2.join(best.select("clean_name_s2").distinct(), "clean_name_s2", "left_anti") \
-        .unionByName(blanks2, allowMissingColumns=True)
+    only1 = with_best.filter(F.col("_partner").isNull()).drop("_partner", "name_score")
+    only2 = u2.join(best.select("clean_name_s2").distinct(), "clean_name_s2", "left_anti")
     parts = [_entity(exact, "exact_name"), _entity(fuzzy, "fuzzy_name"),
              _entity(only1, "source1_only", F.lit(0.0)), _entity(only2, "source2_only", F.lit(0.0))]
     out = parts[0]

@@ -100,8 +100,8 @@ def q_parse_lists(spark, sf):
 
 def _groups(spark, sf):
     s1, s2 = _sources(spark, sf)
-    g1, g2 = linkage.cut_lineage_pair(linkage.collapse_side(linkage.prepare_source1(s1), "s1"),
-                                      linkage.collapse_side(linkage.prepare_source2(s2), "s2"))
+    g1, g2 = (linkage.cut_lineage(linkage.collapse_side(linkage.prepare_source1(s1), "s1"), "side1"),
+              linkage.cut_lineage(linkage.collapse_side(linkage.prepare_source2(s2), "s2"), "side2"))
     return linkage.named(g1, "s1"), linkage.named(g2, "s2")
 
 

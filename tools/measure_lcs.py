@@ -27,8 +27,8 @@ def main():
     spark = local_session(cores)
     spark.sparkContext.setLogLevel("ERROR")
     s1, s2 = fixtures.company_sources(spark, sf)
-    g1, g2 = L.cut_lineage_pair(L.collapse_side(L.prepare_source1(s1), "s1"),
-                                L.collapse_side(L.prepare_source2(s2), "s2"))
+    g1 = L.cut_lineage(L.collapse_side(L.prepare_source1(s1), "s1"), "side1")
+    g2 = L.cut_lineage(L.collapse_side(L.prepare_source2(s2), "s2"), "side2")
     a = L.named(g1, "s1").select(sort_tokens("clean_name_s1").alias("a")).withColumn("k", F.substring("a", 1, 2))
     b = L.named(g2, "s2").select(sort_tokens("clean_name_s2").alias("b")).withColumn("k", F.substring("b", 1, 2))
     pairs = L.cut_lineage(a.join(b, "k").repartition(cores), "pairs")

@@ -6,11 +6,11 @@ spark = local_session(); spark.sparkContext.setLogLevel("ERROR")
 from ledgerlink.sources import fixtures
 from ledgerlink.operators import linkage as L, upsert, features, evaluation, quality
 from ledgerlink.plans import queries as Q
-sf = "/root/testdata/sf0.1"
+sf = "/root/testdata/sf0.01"
 s1, s2 = fixtures.company_sources(spark, sf)
 
 def tree(df):
-    df.write.format("noop").mode("overwrite").save()   # final AQE plan
+    df.collect()   # runs the very plan that is printed, so this is the final one
     txt = df._jdf.queryExecution().executedPlan().toString()
     out = []
     for line in txt.splitlines():
@@ -34,12 +34,15 @@ def tree(df):
 
 sections = []
 g1 = L.collapse_side(L.prepare_source1(s1), "s1")
-sections.append(("Collapse one list to one row per clean name (partial aggregate map-side)", tree(g1)))
-a, b = L.cut_lineage_pair(g1, L.collapse_side(L.prepare_source2(s2), "s2"))
-n1, n2 = L.named(a, "s1"), L.named(b, "s2")
-u1, u2 = L.unlinked_s1(n1, n2), L.unlinked_s2(n2, n1)
+sections.append(("Collapse one list to one row per clean name", tree(g1)))
+a, b = L.cut_lineage(g1, "side1"), L.cut_lineage(L.collapse_side(L.prepare_source2(s2), "s2"), "side2")
+both = L.joined_names(a, b)
+sections.append(("Exact links and what is left: one full outer join on the clean name", tree(both)))
+both = L.cut_lineage(both, "names")
+u1 = L.named(both.filter("row_id_s2 is null").select(*a.columns), "s1")
+u2 = L.named(both.filter("row_id_s1 is null").select(*b.columns), "s2")
 best = L.best_partners(L.score_pairs(L.candidate_pairs(u1, u2, 85.0)), 85.0)
-sections.append(("Fuzzy: anti joins, (block, band) join with residual length window, score, best per name", tree(best)))
+sections.append(("Fuzzy: (block, band) join with residual length window, score, best per name", tree(best)))
 reg1 = Q._registry(spark, sf, "batch_001", Q.FIRST_BATCH_CUTOFF); reg2 = Q._registry(spark, sf, "batch_002")
 sections.append(("Upsert: one full outer join on the key", tree(upsert.merge_upsert(reg1, reg2))))
 ent = L.resolve_entities(s1, s2)
@@ -49,9 +52,9 @@ f = Q._features(spark, sf)
 sections.append(("Stratified split: bounded bucket table + per-bucket rank", tree(features.stratified_split(f))))
 sections.append(("Quality suite: one aggregate pass", tree(quality.source2_report(s2, 1000))))
 with open(os.path.join(ROOT, "docs", "PLANS.md"), "w") as fh:
-    fh.write("# Physical plans of the key operators (sf0.1, local[8], AQE final plans)\n\n")
+    fh.write("# Physical plans of the key operators (sf0.01, local[8], AQE final plans)\n\n")
     fh.write("Node names only; generated by running each operator and printing `executedPlan` after execution. "
-             "Inputs above the lineage cut are written parquet tables in the checkpoint folder (`ledgerlink-sides`).\n")
+             "Inputs above the lineage cut are written parquet tables in the checkpoint folder (`ledgerlink-names`).\n")
     for title, t in sections:
         fh.write(f"\n## {title}\n\n```\n{t}\n```\n")
 print("docs/PLANS.md written")
