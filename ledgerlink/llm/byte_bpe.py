@@ -21,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ledgerlink.llm.frames import modest_batches
+
 FIRST_CHARACTER = 0x100
 #: Encoded matches that a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Rows handled at once inside a task.
 ROWS = 128
 
@@ -145,6 +147,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text
     kept = [c for c in docs.columns if keep_text or c != text_col]
     if ids_col.lower() in {c.lower() for c in kept}:
         raise ValueError(f"the input has a column {ids_col}; name another for the ids")
+    modest_batches(docs.sparkSession)
     tokens = read_ranks(vocabulary)
     shared = docs.sparkSession.sparkContext.broadcast((sentencepiece_model(tokens), tokens))
     schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(ids_col, T.ArrayType(T.IntegerType()))])

@@ -10,12 +10,24 @@ from pyspark.sql import functions as F
 from ledgerlink.session import checkpoint_root, delete_on_exit
 
 
+#: Rows that go to a Python worker at once: whole texts may be long, and buffers of both sides hold a batch.
+BATCH_ROWS = 1024
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_ROWS rows at most (a session that asks for fewer keeps its setting)."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared ``spark.checkpoint.dir`` and read it back.
 
     The plan above runs once, branches that follow read pruned columns, and a lost executor
     costs no recomputation of what lies above."""
     spark = df.sparkSession
+    modest_batches(spark)
     path = f"{checkpoint_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     delete_on_exit(spark, path)

@@ -54,7 +54,7 @@ FILTER_BITS = 1 << 24
 #: A table of nodes (40 bytes a row at most) is broadcast up to this count, and shuffled beyond it.
 BROADCAST_ROWS = 1 << 19
 #: Texts whose frequent runs are counted together, and texts handled at once.
-BATCH, ROWS = 4096, 512
+BATCH, ROWS = 1024, 256
 
 
 # ---- sets -----------------------------------------------------------------------------------------------------------

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text handled at once inside a task; a longer text is handled alone, whole.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _RANDOM = np.random.default_rng(20240613)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
