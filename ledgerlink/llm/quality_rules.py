@@ -11,8 +11,15 @@ Native: everything here is a DataFrame or SQL expression.
    ``q75 + spreads * max(q75 - q25, least spread)``, per (language, source).  A group with fewer than
    ``support`` texts takes the fence of its language, a language with fewer the fence of all texts.
    The language sketch is the sum of its sources' sketches.  A group's fence is never wider than
-   ``loosest`` times that of its language, so a source that is mostly junk cannot acquit itself.
-4. ``judge`` joins the fences to the rows and decides.
+   ``loosest`` times that of its language.  (The fences of the SQL.  A source that holds more than a
+   quarter of its language moves the language's quartiles too, and with them its own limit.)
+4. ``balanced_thresholds`` measures a group against the other groups instead, each with equal weight:
+   the limit is ``loosest`` times the median fence of its siblings, of which it is no part, so a
+   source of any size can't acquit itself while less than half of its siblings are junk.  A group whose
+   quartiles lie within the least spread has a level of its own and ``loosest`` times that limit.
+   The pipeline uses these.  A group without siblings is measured against those of its parent; one
+   that is alone in the corpus has nothing to be measured against.
+5. ``judge`` joins the fences to the rows and decides.
 
 Defined results.  Null or empty text: no words, so the base rules fail it.  Null language or source:
 a group of its own.  Repeated rows: each is counted and judged, equal rows equally.  Empty table: no
@@ -125,7 +132,7 @@ def merge_sketches(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, metric, total, fence) from the quartiles of each sketch."""
+    """(keys, metric, total, fence, tight) from the quartiles of each sketch; tight: they lie within the least spread."""
     by = [*keys, "metric"]
     ranked = (sketch.withColumn("upto", F.sum("n").over(W.partitionBy(*by).orderBy("bucket")))
               .withColumn("total", F.sum("n").over(W.partitionBy(*by))))
@@ -133,7 +140,7 @@ def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
     least = F.create_map(*[x for k, v in METRICS.items() for x in (F.lit(k), F.lit(v).cast("long"))])
     return (ranked.groupBy(*by).agg(F.max("total").alias("total"), quartile(1).alias("q25"), quartile(3).alias("q75"))
             .withColumn("fence", F.col("q75") + SPREADS * F.greatest(F.col("q75") - F.col("q25"), least[F.col("metric")]))
-            .select(*by, "total", "fence"))
+            .select(*by, "total", "fence", (F.col("q75") - F.col("q25") <= least[F.col("metric")]).alias("tight")))
 
 
 def thresholds(sketch: DataFrame, n_groups: int) -> DataFrame:
@@ -147,12 +154,66 @@ def thresholds(sketch: DataFrame, n_groups: int) -> DataFrame:
     out = sketch.select(*every, "metric").distinct().join(whole, "metric")
     for keys in levels[1:]:
         f = _fences(merge_sketches(sketch, keys), keys)
-        cond = F.col("o.metric") == F.col("f.metric")
-        for k in keys:
-            cond = cond & F.col(f"o.{k}").eqNullSafe(F.col(f"f.{k}"))
+        cond = _same([*keys, "metric"])
         fence = F.when(F.col("f.total") >= SUPPORT, F.least(F.col("f.fence"), LOOSEST * F.col("o.best"))).otherwise(F.col("o.best"))
         out = out.alias("o").join(f.alias("f"), cond).select(*[F.col(f"o.{g}").alias(g) for g in every], F.col("o.metric").alias("metric"), fence.alias("best"))
-    return out.groupBy(*every).agg(*[F.max(F.when(F.col("metric") == k, F.col("best"))).alias(k) for k in METRICS])
+    return _by_metric(out, every)
+
+
+def _same(keys: list[str]) -> Column:
+    """Equal keys of the sides ``o`` and ``f``; nulls are equal."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"o.{k}").eqNullSafe(F.col(f"f.{k}"))
+    return cond
+
+
+def _by_metric(fences: DataFrame, every: list[str]) -> DataFrame:
+    return fences.groupBy(*every).agg(*[F.max(F.when(F.col("metric") == k, F.col("best"))).alias(k) for k in METRICS])
+
+
+def _medians(values: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, metric, n, mid, low, high) of the groups' values, each group once.  ``mid`` is the lower median of all;
+    the lower median without one group is ``high`` if that group's value is ``low`` or less, else ``low`` (null: no other).
+
+    Values are counted first (a few thousand different ones at most), so it doesn't matter how many groups there are."""
+    by = [*keys, "metric"]
+    counts = values.groupBy(*by, "value").agg(F.count("*").alias("n"))
+    ranked = (counts.withColumn("upto", F.sum("n").over(W.partitionBy(*by).orderBy("value")))
+              .withColumn("total", F.sum("n").over(W.partitionBy(*by))))
+    at = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col("value")))
+    half = F.floor(F.col("total") / 2)
+    return ranked.groupBy(*by).agg(F.max("total").alias("n"), at(F.ceil(F.col("total") / 2)).alias("mid"), at(F.greatest(half, F.lit(1))).alias("low"), at(half + 1).alias("high"))
+
+
+def balanced_thresholds(sketch: DataFrame, n_groups: int) -> DataFrame:
+    """As ``thresholds``, with references that no group moves by its size or by its own texts.
+
+    Upwards, the value of a group of the finest level is its own fence, that of a wider group the median of the values
+    of its supported parts (its own fence if it has none).  Downwards, a group's reference is the median value of its
+    supported siblings, or its parent's reference if it has none."""
+    levels = [[f"g{i}" for i in range(k)] for k in range(n_groups + 1)]
+    every = levels[-1]
+    values: list[DataFrame] = []
+    for keys in reversed(levels):
+        own = _fences(merge_sketches(sketch, keys), keys).withColumn("value", F.col("fence"))
+        if values:
+            parts = _medians(values[0].filter(F.col("total") >= SUPPORT), keys).select(*keys, "metric", "mid")
+            own = (own.alias("o").join(parts.alias("f"), _same([*keys, "metric"]), "left")
+                   .select("o.*", "f.mid").withColumn("value", F.coalesce("mid", "value")).drop("mid"))
+        values.insert(0, stage(own.select(*keys, "metric", "total", "value", "tight"), "values"))
+    top = values[0].select("metric", F.col("value").alias("best"), F.lit(None).cast("long").alias("reference"))
+    out = sketch.select(*every, "metric").distinct().join(top, "metric")
+    for above, keys, own in zip(levels, levels[1:], values[1:], strict=False):
+        mid = _medians(own.filter(F.col("total") >= SUPPORT), above)
+        f = own.alias("o").join(mid.alias("f"), _same([*above, "metric"]), "left").select(
+            "o.*", F.when(F.col("o.total") < SUPPORT, F.col("f.mid")).when(F.col("f.n") > 1, F.when(F.col("o.value") <= F.col("f.low"), F.col("f.high")).otherwise(F.col("f.low"))).alias("others"))
+        reference = F.coalesce(F.col("f.others"), F.col("o.reference"))
+        widest = F.when(F.col("f.tight"), LOOSEST * LOOSEST).otherwise(LOOSEST) * reference  # null (no bound) without a reference
+        best = F.when(F.col("f.total") >= SUPPORT, F.least(F.col("f.value"), widest)).otherwise(F.col("o.best"))
+        out = out.alias("o").join(f.alias("f"), _same([*keys, "metric"])).select(
+            *[F.col(f"o.{g}").alias(g) for g in every], F.col("o.metric").alias("metric"), best.alias("best"), reference.alias("reference"))
+    return _by_metric(out, every)
 
 
 def judge(docs: DataFrame, metrics: str, fences: DataFrame, groups: list[str], kept: str) -> DataFrame:
@@ -175,18 +236,18 @@ def judge(docs: DataFrame, metrics: str, fences: DataFrame, groups: list[str], k
     return joined.withColumn(kept, ~base_failed(m) & inside).drop(name, *keys.values())
 
 
-def quality_rules(docs: DataFrame, groups: list[str], text_col: str = "text", keep_columns: list[str] | None = None) -> tuple[DataFrame, str, str]:
+def quality_rules(docs: DataFrame, groups: list[str], text_col: str = "text", keep_columns: list[str] | None = None, balanced: bool = False) -> tuple[DataFrame, str, str]:
     """(rows with metrics and verdict, name of the metrics struct, name of the verdict).
 
-    ``keep_columns`` names the input columns to carry (default: all)."""
+    ``keep_columns`` names the input columns to carry (default: all); ``balanced`` takes the fences of ``balanced_thresholds``."""
     metrics, kept = fresh(docs, "_metrics"), fresh(docs, "_kept")
     carried = [F.col(f"`{c}`") for c in (keep_columns or docs.columns)]
     rows = stage(with_metrics(docs, metrics, text_col).select(*carried, metrics), "quality")
-    fences = stage(thresholds(stage(quantile_sketch(rows, metrics, groups), "sketch"), len(groups)), "fences")
+    fences = stage((balanced_thresholds if balanced else thresholds)(stage(quantile_sketch(rows, metrics, groups), "sketch"), len(groups)), "fences")
     return judge(rows, metrics, fences, groups, kept), metrics, kept
 
 
 def quality_filter(docs: DataFrame, groups: list[str], text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, with the columns of ``docs``."""
-    rows, _, kept = quality_rules(docs, groups, text_col)
+    """The rows of ``docs`` that pass (by balanced fences), with the columns of ``docs``."""
+    rows, _, kept = quality_rules(docs, groups, text_col, balanced=True)
     return rows.filter(F.col(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])

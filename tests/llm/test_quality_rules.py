@@ -55,6 +55,30 @@ def test_fence_adapts_to_its_group(spark):
     assert all(verdict[1000 + i] for i in range(300))
 
 
+def symbols(i, per_thousand):
+    """A text of which about so many thousandths of the characters are symbols."""
+    text = prose(i)
+    return text + " " + "#" * (len(text.replace(" ", "")) * per_thousand // (1000 - per_thousand))
+
+
+def test_no_source_moves_its_own_reference(spark):
+    # junk holds a third of the rows and of its language; a clean source with many symbols holds a fiftieth
+    r = random.Random(3)
+    data = [(i, "en", f"s{i % 4}", prose(i)) for i in range(4000)]
+    data += [(10_000 + i, "en", "junk", symbols(i, r.choice([105, 115, 340, 365, 380]))) for i in range(2100)]
+    data += [(20_000 + i, "en", "code", symbols(i, 118 + i % 5)) for i in range(126)]
+    df = spark.createDataFrame(data, "doc_id int, lang string, source string, text string")
+    kept = {x["source"]: x["count"] for x in op.quality_filter(df, ["lang", "source"]).groupBy("source").count().collect()}
+    assert kept == {"s0": 1000, "s1": 1000, "s2": 1000, "s3": 1000, "code": 126}
+
+
+def test_a_junk_language_does_not_move_its_own_reference(spark):
+    data = [(i, ["en", "fr"][i % 2], "a", prose(i)) for i in range(400)] + [(1000 + i, "xx", f"j{i % 2}", symbols(i, 250 + i % 100)) for i in range(400)]
+    df = spark.createDataFrame(data, "doc_id int, lang string, source string, text string")
+    kept = {x["lang"]: x["count"] for x in op.quality_filter(df, ["lang"]).groupBy("lang").count().collect()}
+    assert kept == {"en": 200, "fr": 200}
+
+
 def test_edge_cases(spark):
     df = frame(spark)
     kept = op.quality_filter(df, ["lang", "source"])
