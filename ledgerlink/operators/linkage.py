@@ -3,8 +3,8 @@
 Plan shape (all declarative, Catalyst picks the physical joins):
 
 1. prepare: clean name, clean address, block key, content row id per input row.
-2. collapse each side to one row per clean name (partial aggregation map-side, so a name
-   carried by a third of all rows costs one row per map task, not one hot reducer).
+2. collapse each side to one row per clean name (aggregated by name and list item first, so
+   a name carried by a third of all rows costs its distinct items, not its rows).
    Rows with a blank clean name cannot be linked; they collapse per identical content.
 3. exact links and what is left: one full outer join on the name, 1:1 by construction.
 4. fuzzy links between still-unlinked names: equi-join on (block, length band) with the
@@ -89,27 +89,45 @@ def prepare_source2(df: DataFrame, block_chars: int = 6) -> DataFrame:
 # --------------------------------------------------------------------------- collapse
 
 def collapse_side(prepared: DataFrame, sfx: str, match_blank: bool = False) -> DataFrame:
-    """One row per clean name, and one per distinct content among blank-name rows, in a
-    single aggregate that keeps what every row says:
+    """One row per clean name, and one per distinct content among blank-name rows, keeping
+    what every row says:
 
     lists     union of the items of all rows, sorted (NULL if no row has the list)
     figures   revenue and profit of the row with the greatest revenue, then profit (NaN as NULL)
     address   the least address that isn't blank; name: the least spelling
     row id    the least; batch: the least
 
-    Equal rows combine in the map tasks, so a name carried by a third of all rows leaves
-    each of them as one row.  The rows themselves stay reachable through ``link_rows``."""
+    Two aggregates: by (name, list, item), then by name.  Each row is one row for its own
+    values (list 0) and one for each item of its lists.  Equal items and own values combine
+    in the map tasks and then by item, so a name carried by a third of all rows, each with
+    another list, costs a task no more than its distinct items, once each.  These make up
+    one value of the result, which is the only thing that grows with them.  The rows
+    themselves stay reachable through ``link_rows``."""
     clean, row_id = F.col(f"clean_name_{sfx}"), F.col(f"row_id_{sfx}")
     blank_id = (F.lit(None).cast("string") if match_blank else F.when(clean == "", row_id)).alias("_blank_id")
-    least = lambda c: F.min(c).alias(c)
     number = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
     if sfx == "s1":
-        payload = [least("corporate_name_s1"), F.min(F.when(F.trim("address") != "", F.col("address"))).alias("address"),
-                   _all_items("activity_places"), _all_items("top_suppliers"), least("batch_id_s1")]
+        lists = ["activity_places", "top_suppliers"]
+        least = {"corporate_name_s1": F.col("corporate_name_s1"), "address": F.when(F.trim("address") != "", F.col("address")), "batch_id_s1": F.col("batch_id_s1")}
+        greatest = {}
     else:
-        payload = [least("corporate_name_s2"), _all_items("main_customers"),
-                   F.max(F.struct(number("revenue"), number("profit"))).alias("_figures"), least("batch_id_s2")]
-    out = prepared.groupBy(clean, blank_id).agg(F.count(F.lit(1)).alias(f"n_rows_{sfx}"), F.min(row_id).alias(f"row_id_{sfx}"), *payload)
+        lists = ["main_customers"]
+        least = {"corporate_name_s2": F.col("corporate_name_s2"), "batch_id_s2": F.col("batch_id_s2")}
+        greatest = {"_figures": F.struct(number("revenue"), number("profit"))}
+    least[f"row_id_{sfx}"] = row_id
+    given = {f"_has_{c}": F.col(c).isNotNull() for c in lists}
+    own = F.struct(*[v.alias(c) for c, v in {**least, **greatest, **given}.items()])
+    entry = lambda k, item, own: F.struct(F.lit(k).alias("list"), item.alias("item"), own.alias("own"))
+    items_of = lambda k, c: F.transform(F.array_distinct(parse_list(c)), lambda x: entry(k, x, F.when(F.lit(False), F.col("_own"))))
+    entries = F.concat(F.array(entry(0, F.lit(None).cast("string"), F.col("_own"))), *[items_of(k, c) for k, c in enumerate(lists, 1)])
+    keys = [f"clean_name_{sfx}", "_blank_id"]
+    rows = prepared.select(clean, blank_id, *lists, own.alias("_own")).select(*keys, F.explode(entries).alias("_e"))
+    scalars = lambda at: [*[F.min(F.col(at + c)).alias(c) for c in least], *[F.max(F.col(at + c)).alias(c) for c in [*greatest, *given]]]
+    items = rows.groupBy(*keys, F.col("_e.list").alias("_list"), F.col("_e.item").alias("_item")).agg(
+        F.count_if(F.col("_e.list") == 0).alias("_n"), *scalars("_e.own."))
+    out = items.groupBy(*keys).agg(F.sum("_n").alias(f"n_rows_{sfx}"), *scalars(""), *[
+        F.sort_array(F.collect_list(F.when(F.col("_list") == k, F.col("_item")))).alias(c) for k, c in enumerate(lists, 1)])
+    out = out.withColumns({c: F.when(F.col(f"_has_{c}"), F.array_join(c, "|")) for c in lists})
     if sfx == "s1":
         out = out.withColumn("clean_address_s1", normalize_address("address"))
     else:
@@ -117,12 +135,6 @@ def collapse_side(prepared: DataFrame, sfx: str, match_blank: bool = False) -> D
     return out.select(f"clean_name_{sfx}", f"n_rows_{sfx}", f"row_id_{sfx}", *(S1_PAYLOAD if sfx == "s1" else S2_PAYLOAD))
 
 
-def _all_items(c: str) -> Column:
-    """Union of the pipe lists of a group, as one sorted pipe list."""
-    lists = F.collect_set(F.when(F.col(c).isNotNull(), parse_list(c)))
-    return F.when(F.size(lists) > 0, F.array_join(F.sort_array(F.array_distinct(F.flatten(lists))), "|")).alias(c)
-
-
 def named(groups: DataFrame, sfx: str) -> DataFrame:
     return groups.filter(F.col(f"clean_name_{sfx}") != "")
 

@@ -225,3 +225,27 @@ def test_link_rows_salts_hot_names(spark):
     salted = L.link_rows(hot, s2, ent, rows_per_task=5)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
     assert salted.filter("source = 'source1'").count() == hot.count()
+
+
+def test_a_hot_name_with_differing_lists_is_reduced_by_item(spark):
+    from itertools import combinations
+    places = [f"P{i:02d}" for i in range(12)]
+    lists = ["|".join(c) for c in combinations(places, 4)]  # 495 different lists of 12 items
+    s1 = spark.createDataFrame([("Hot Inc", f"{i} Road", x, f"S{i % 7}| S{i % 5} ") for i, x in enumerate(lists)]
+                               + [("Hot", None, None, None), ("Cold", "1 Way", None, ""), ("Inc", "x", "B|A|B", None)], S1)
+    s2 = spark.createDataFrame([("Hot", x, float(i), None) for i, x in enumerate(lists)] + [("Cold", None, None, 1.0)], S2)
+    g1 = L.collapse_side(L.prepare_source1(s1.repartition(4)), "s1")
+    g2 = L.collapse_side(L.prepare_source2(s2.repartition(4)), "s2")
+    one = {r["clean_name_s1"]: r for r in g1.collect()}
+    hot = one["hot"]
+    assert hot["n_rows_s1"] == 496 and hot["activity_places"] == "|".join(places) and hot["top_suppliers"] == "|".join(f"S{i}" for i in range(7))
+    assert one["cold"]["activity_places"] is None and one["cold"]["top_suppliers"] == ""
+    assert one[""]["activity_places"] == "A|B" and one[""]["top_suppliers"] is None
+    two = {r["clean_name_s2"]: r for r in g2.collect()}
+    assert (two["hot"]["n_rows_s2"], two["hot"]["main_customers"], two["hot"]["revenue"]) == (495, "|".join(places), 494.0)
+    assert two["cold"]["main_customers"] is None and two["cold"]["profit"] == 1.0
+    # nothing gathers whole lists: the items are what the first aggregate is keyed by, and single items are collected
+    for g in (g1, g2):
+        plan = g._jdf.queryExecution().optimizedPlan().toString()
+        first = [x for x in plan.splitlines() if "Aggregate [" in x][-1]
+        assert "AS _item" in first and "collect_" not in first and "collect_set" not in plan, first
