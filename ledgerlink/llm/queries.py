@@ -11,6 +11,9 @@ from ledgerlink.llm import (
     chat_windows_query,
     decontamination_query,
     jaccard_join_query,
+    main_text_query,
+    periodic_runs_query,
+    prefix_trie_query,
     quality_rules_query,
     secret_scan_query,
     sharding_query,
@@ -30,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": jaccard_join_query.op8_jaccard_join,
     "op9_secret_scan": secret_scan_query.op9_secret_scan,
     "op10_quality_rules": quality_rules_query.op10_quality_rules,
+    "op11_main_text": main_text_query.op11_main_text,
+    "op12_periodic_runs": periodic_runs_query.op12_periodic_runs,
+    "op13_prefix_trie": prefix_trie_query.op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
@@ -38,4 +44,5 @@ SQL: dict[str, str] = {
     "op8_jaccard_join": jaccard_join_query.SQL,
     "op9_secret_scan": secret_scan_query.SQL,
     "op10_quality_rules": quality_rules_query.SQL,
+    "op13_prefix_trie": prefix_trie_query.SQL,
 }
