@@ -7,12 +7,12 @@ Plan shape (all declarative, Catalyst picks the physical joins):
    a name carried by a third of all rows costs its distinct items, not its rows).
    Rows with a blank clean name cannot be linked; they collapse per identical content.
 3. exact links and what is left: one full outer join on the name, 1:1 by construction.
-4. fuzzy links between still-unlinked names: equi-join on (block, length band) with the
-   exact partner-length window as residual condition.  The window is exact pruning: a
-   pair can only reach the threshold when 200*min(la, lb) >= threshold*(la+lb).  Keys
-   holding more pairs than a per-task budget are split into a salt grid.  Scores are
-   native bit-parallel LCS; the best partner per list-1 name is a min(struct) aggregate
-   (no window, no hot sort).
+4. fuzzy links between still-unlinked names: equi-join on (block, indexed character), with
+   the exact partner-length window and a character signature as residual conditions.  All of
+   it is exact pruning (``pruned_pairs``): a pair can only reach the threshold if it has
+   threshold*(la+lb)/200 characters in common.  Keys holding more pairs than a per-task
+   budget are split into a salt grid.  Scores are native bit-parallel LCS; the best partner
+   per list-1 name is a min(struct) aggregate (no window, no hot sort).
 5. leftovers: one-sided rows of the same join without a partner.
 
 Every output row is one entity; ``corporate_id`` is unique by construction.
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 from ledgerlink.functions.similarity import lcs_length_arrow, lcs_sql, token_sort_ratio_from_lcs
 from ledgerlink.functions.text import block_key, clean_name, normalize_address, parse_list, sort_tokens
+from ledgerlink.operators import pruning
+from ledgerlink.operators.matching import stable_partners
 
 S1_RAW = ["corporate_name_s1", "address", "activity_places", "top_suppliers"]
 S2_RAW = ["corporate_name_s2", "main_customers", "revenue", "profit"]
@@ -221,6 +223,13 @@ def _salt_grid(left: DataFrame, right: DataFrame, keys: list[str], pairs_per_tas
             [*keys, "_c1", "_c2"])
 
 
+def _most_pairs(unlinked1: DataFrame, unlinked2: DataFrame, block_chars: int) -> int:
+    """Upper bound of the pairs in any one block: two numbers to the driver, from partial counts."""
+    blocks = [names.select(F.lit(sfx).alias("side"), block_key(f"clean_name_{sfx}", block_chars).alias("block")) for sfx, names in (("s1", unlinked1), ("s2", unlinked2))]
+    most = blocks[0].unionByName(blocks[1]).groupBy("side", "block").agg(F.count(F.lit(1)).alias("n")).groupBy("side").agg(F.max("n").alias("n")).collect()
+    return math.prod(r["n"] for r in most) if len(most) == 2 else 0
+
+
 def candidate_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float,
                     block_chars: int = 6, pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK,
                     length_band: int = 4) -> DataFrame:
@@ -253,6 +262,54 @@ def candidate_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float
     return pairs.drop("_band", "_c1", "_c2", "_lo", "_hi")
 
 
+def pruned_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float, block_chars: int = 6,
+                 pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK, length_band: int = 4) -> DataFrame:
+    """The pairs of ``candidate_pairs`` that have enough characters in common to reach the threshold (see ``pruning``).
+
+    Where no block can hold more than ``pairs_per_task`` pairs, names meet on (block, length band).  Otherwise they meet on
+    (block, indexed element), where a pair is formed by the first element it shares, and keys that still hold too many are split into a
+    grid; shuffled are then a name's copies for its indexed elements, about a quarter of its characters at threshold 85.  Either
+    way the length window and the signature are tested in generated code before anything is scored, and the pairs are the same."""
+    if threshold <= 0:
+        return candidate_pairs(unlinked1, unlinked2, threshold, block_chars, pairs_per_task, length_band)
+    sides = {}
+    for sfx, names in (("s1", unlinked1), ("s2", unlinked2)):
+        keys = _fuzzy_keys(names, sfx, block_chars)
+        lo, hi = partner_length_range(F.col(f"len_{sfx}"), threshold)
+        sides[sfx] = keys.withColumns({f"_lo_{sfx}": lo, f"_hi_{sfx}": hi, "_elements": pruning.elements(F.col(f"sorted_{sfx}"))}).withColumn(
+            f"_sig_{sfx}", pruning.signature("_elements"))
+    hot = pairs_per_task and _most_pairs(unlinked1, unlinked2, block_chars) > pairs_per_task
+    formed = F.lit(True)
+    if hot:
+        for sfx, keys in sides.items():
+            index = pruning.index_elements("_elements", F.col(f"len_{sfx}"), F.col(f"_lo_{sfx}"), threshold)
+            # written once: the grid's counts and the join read it
+            keys = cut_lineage(keys.withColumn(f"_index_{sfx}", index).drop("_elements"), f"index-{sfx}")
+            sides[sfx] = keys.withColumn("_element", F.explode(f"_index_{sfx}"))
+        left, right, on = _salt_grid(sides["s1"], sides["s2"], ["block", "_element"], pairs_per_task)
+        formed = F.col("_element") == F.array_min(F.array_intersect("_index_s1", "_index_s2"))
+    else:
+        band = lambda c: F.floor(F.col(c) / int(length_band)).cast("int")
+        left = sides["s1"].drop("_elements").withColumn("_band", F.explode(F.sequence(band("_lo_s1"), band("_hi_s1"))))
+        right, on = sides["s2"].drop("_elements").withColumn("_band", band("len_s2")), ["block", "_band"]
+    meets = (F.col("len_s2").between(F.col("_lo_s1"), F.col("_hi_s1")) & formed
+             & pruning.can_reach("_sig_s1", "_sig_s2", F.col("len_s1"), F.col("len_s2"), threshold))
+    # inside coalesce, so that the optimizer doesn't infer null checks that compute the signatures again below the join
+    pairs = left.join(right, on).filter(F.coalesce(meets, F.lit(False)))
+    return pairs.select("block", "clean_name_s1", "sorted_s1", "len_s1", "clean_name_s2", "sorted_s2", "len_s2")
+
+
+def pruning_statistics(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float, block_chars: int = 6,
+                       lcs_engine: str | None = None) -> DataFrame:
+    """Per block that both sides have: names, pairs of the block, pairs that are scored, pairs that reach the threshold."""
+    count = lambda df, sfx: df.groupBy(block_key(f"clean_name_{sfx}", block_chars).alias("block")).agg(F.count("*").alias(f"names_{sfx}"))
+    scored = score_pairs(pruned_pairs(unlinked1, unlinked2, threshold, block_chars), lcs_engine or DEFAULT_LCS_ENGINE)
+    per = scored.groupBy("block").agg(F.count("*").alias("pairs_scored"), F.count_if(F.col("name_score") >= F.lit(float(threshold))).alias("pairs_passing"))
+    whole = lambda c: F.col(c).cast("decimal(19,0)")
+    return (count(unlinked1, "s1").join(count(unlinked2, "s2"), "block").join(per, "block", "left").na.fill(0, ["pairs_scored", "pairs_passing"])
+            .select("block", "names_s1", "names_s2", (whole("names_s1") * whole("names_s2")).cast("decimal(38,0)").alias("pairs_in_block"), "pairs_scored", "pairs_passing"))
+
+
 DEFAULT_LCS_ENGINE = "arrow"
 
 
@@ -281,18 +338,11 @@ def best_partners(scored: DataFrame, threshold: float) -> DataFrame:
             .select("clean_name_s1", "b.clean_name_s2", (-F.col("b.neg")).alias("name_score")))
 
 
-def one_partner_per_s2(best: DataFrame) -> DataFrame:
-    """Keep each list-2 name only for its best list-1 name (score, then smaller name)."""
-    pick = F.min(F.struct((-F.col("name_score")).alias("neg"), F.col("clean_name_s1"))).alias("b")
-    return (best.groupBy("clean_name_s2").agg(pick)
-            .select("b.clean_name_s1", "clean_name_s2", (-F.col("b.neg")).alias("name_score")))
-
-
 def fuzzy_links(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float,
                 block_chars: int = 6, pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK,
                 lcs_engine: str = DEFAULT_LCS_ENGINE) -> DataFrame:
-    best = best_partners(score_pairs(candidate_pairs(unlinked1, unlinked2, threshold, block_chars,
-                                                     pairs_per_task), lcs_engine), threshold)
+    best = best_partners(score_pairs(pruned_pairs(unlinked1, unlinked2, threshold, block_chars,
+                                                  pairs_per_task), lcs_engine), threshold)
     return (best.join(unlinked1, "clean_name_s1").join(unlinked2, "clean_name_s2")
             .withColumns({"match_type": F.lit("fuzzy_name"),
                           "match_confidence": F.col("name_score")}))
@@ -332,7 +382,7 @@ def resolve_entities(source1: DataFrame, source2: DataFrame, threshold: float =
                     several branches of the union) into the shared checkpoint folder
     match_blank     names that clean to '' link to each other (one exact entity) instead
                     of staying separate one-sided entities
-    one_to_one      a list-2 name serves at most one fuzzy entity
+    one_to_one      a list-2 name serves at most one fuzzy entity: the stable matching of all passing pairs
     pairs_per_task  split fuzzy blocks holding more pairs than this into cells (see
                     ``candidate_pairs``); None turns it off
     lcs_engine      'arrow' (vectorised batches) or 'jvm' (higher-order expressions)
@@ -362,10 +412,8 @@ def resolve_from_groups(g1: DataFrame, g2: DataFrame, threshold: float = 85.0, b
     exact = both.filter(in1 & in2).withColumns({"match_type": F.lit("exact_name"), "match_confidence": F.lit(100.0),
                                                 "name_score": F.lit(None).cast("double")})
     u1, u2 = both.filter(in1 & ~in2).select(*g1.columns), both.filter(in2 & ~in1).select(*g2.columns)
-    pairs = candidate_pairs(named(u1, "s1"), named(u2, "s2"), threshold, block_chars, pairs_per_task)
-    best = best_partners(score_pairs(pairs, lcs_engine), threshold)
-    if one_to_one:
-        best = one_partner_per_s2(best)
+    scored = score_pairs(pruned_pairs(named(u1, "s1"), named(u2, "s2"), threshold, block_chars, pairs_per_task), lcs_engine)
+    best = stable_partners(scored, threshold) if one_to_one else best_partners(scored, threshold)
     if materialize:
         best = cut_lineage(best, "best")
     with_best = u1.join(best.withColumnRenamed("clean_name_s2", "_partner"), "clean_name_s1", "left")

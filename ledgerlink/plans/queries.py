@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink.config import RunConfig
 from ledgerlink.functions.text import block_key, clean_name, normalize_address, parse_list
-from ledgerlink.operators import evaluation, features, learning, linkage, quality, reporting, upsert
+from ledgerlink.operators import evaluation, features, learning, linkage, matching, quality, reporting, succession, upsert
 from ledgerlink.operators.harmonize import harmonize_records
 from ledgerlink.schemas import REGISTRY_COLUMNS
 from ledgerlink.session import checkpoint_root, delete_on_exit
@@ -22,6 +22,7 @@ from ledgerlink.sources import companies, fixtures, store
 
 # Fixed parameters of the registered runs.
 THRESHOLD = 85.0
+ONE_TO_ONE_THRESHOLD = 50.0        # low, so that names compete for partners
 PROFIT_THRESHOLD = 45000.0        # balanced labels on the derived lists
 FIRST_BATCH_CUTOFF = "1995-03-01"  # batch 1 = the lists as of this ship date
 RULE_REVENUE_CUTOFF = 1000000.0    # deterministic rule classifier for metric checks
@@ -124,7 +125,7 @@ def q_unmatched_source2(spark, sf):
 def q_token_sort_scores(spark, sf):
     """Every blocked candidate pair that reaches the threshold, with its score."""
     n1, n2 = _groups(spark, sf)
-    pairs = linkage.candidate_pairs(linkage.unlinked_s1(n1, n2), linkage.unlinked_s2(n2, n1), THRESHOLD)
+    pairs = linkage.pruned_pairs(linkage.unlinked_s1(n1, n2), linkage.unlinked_s2(n2, n1), THRESHOLD)
     return linkage.score_pairs(pairs).select("clean_name_s1", "clean_name_s2", "name_score").filter(F.col("name_score") >= THRESHOLD)
 
 
@@ -134,6 +135,19 @@ def q_fuzzy_match(spark, sf):
         .select("clean_name_s1", "clean_name_s2", "name_score", "match_type", "match_confidence")
 
 
+def q_pair_pruning(spark, sf):
+    """Per block: the pairs it holds, those that are scored and those that reach the threshold."""
+    n1, n2 = _groups(spark, sf)
+    return linkage.pruning_statistics(linkage.unlinked_s1(n1, n2), linkage.unlinked_s2(n2, n1), THRESHOLD)
+
+
+def q_one_to_one_matches(spark, sf):
+    """The stable matching of all pairs that reach the threshold."""
+    n1, n2 = _groups(spark, sf)
+    pairs = linkage.pruned_pairs(linkage.unlinked_s1(n1, n2), linkage.unlinked_s2(n2, n1), ONE_TO_ONE_THRESHOLD)
+    return matching.stable_partners(linkage.score_pairs(pairs), ONE_TO_ONE_THRESHOLD)
+
+
 def q_source1_only(spark, sf):
     return _entities(spark, sf).filter(F.col("match_type") == "source1_only") \
         .select("corporate_id", "canonical_name", "match_confidence")
@@ -190,6 +204,11 @@ def q_stale_registry_rows(spark, sf):
     return upsert.stale_rows(upsert.merge_upsert(target, staged), staged).select(*NO_TS)
 
 
+def q_entity_succession(spark, sf):
+    """What became of the keys of batch 1 that batch 2 did not produce again."""
+    return succession.entity_succession(store.stage(_entities(spark, sf, "batch_001", FIRST_BATCH_CUTOFF)), store.stage(_entities(spark, sf, "batch_002")))
+
+
 def q_upsert_actions(spark, sf):
     target, staged = _batches(spark, sf)
     return upsert.upsert_actions(target, staged)

@@ -307,6 +307,51 @@ _AUC = """SELECT CASE WHEN 2 * pp * nn > 0 THEN CAST(num AS DOUBLE) / CAST(2 * p
                     FROM ft WHERE revenue IS NOT NULL GROUP BY 1)))"""
 
 
+def _common_characters(a: str, b: str) -> str:
+    """Characters common to two names by counts: five of each kind, and the smaller number of further ones."""
+    def n(x: str, c: str) -> str:
+        return f"least(length({x}) - length(replace({x}, '{c}', '')), 5)"
+    kinds = "abcdefghijklmnopqrstuvwxyz0123456789 "
+    rest = [f"(length({x}) - ({' + '.join(n(x, c) for c in kinds)}))" for x in (a, b)]
+    return f"({' + '.join(f'least({n(a, c)}, {n(b, c)})' for c in kinds)} + least({rest[0]}, {rest[1]}))"
+
+
+PRUNING = f"""SELECT a.block, names_s1, names_s2, CAST(CAST(names_s1 AS HUGEINT) * names_s2 AS DECIMAL(38,0)) AS pairs_in_block,
+      coalesce(pairs_scored, 0) AS pairs_scored, coalesce(pairs_passing, 0) AS pairs_passing
+    FROM (SELECT substr(clean_name_s1, 1, 6) AS block, count(*) AS names_s1 FROM u1 GROUP BY 1) a
+    JOIN (SELECT substr(clean_name_s2, 1, 6) AS block, count(*) AS names_s2 FROM u2 GROUP BY 1) b ON a.block = b.block
+    LEFT JOIN (SELECT substr(clean_name_s1, 1, 6) AS block, count(*) AS pairs_scored, CAST(count_if(name_score >= {THRESHOLD}) AS BIGINT) AS pairs_passing
+               FROM pr JOIN sc USING (clean_name_s1, clean_name_s2)
+               WHERE {_common_characters('sorted_s1', 'sorted_s2')} >= (la + lb) * ({THRESHOLD} / 200.0) - 0.000001 GROUP BY 1) c ON c.block = a.block"""
+
+# pairs in one order, best first; each is matched if neither of its names is taken yet
+ONE_TO_ONE_THRESHOLD = 50.0
+ONE_TO_ONE = [
+    f"""ranked AS MATERIALIZED (SELECT row_number() OVER (ORDER BY name_score DESC, clean_name_s1, clean_name_s2) AS i, *
+          FROM sc WHERE name_score >= {ONE_TO_ONE_THRESHOLD})""",
+    """walk(i, taken1, taken2, matched) AS (
+          SELECT 0::BIGINT, []::VARCHAR[], []::VARCHAR[], false
+          UNION ALL SELECT r.i, CASE WHEN free THEN list_append(taken1, clean_name_s1) ELSE taken1 END,
+                           CASE WHEN free THEN list_append(taken2, clean_name_s2) ELSE taken2 END, free
+          FROM (SELECT r.*, taken1, taken2, NOT list_contains(taken1, r.clean_name_s1) AND NOT list_contains(taken2, r.clean_name_s2) AS free
+                FROM walk w JOIN ranked r ON r.i = w.i + 1) r)"""]
+
+
+def _held(p: str) -> str:
+    return "\nUNION ALL ".join(f"SELECT corporate_id, '{s}' || CASE WHEN clean_name_{s} = '' THEN '#' || row_id_{s} ELSE ':' || clean_name_{s} END AS name "
+                               f"FROM {p}ent WHERE clean_name_{s} IS NOT NULL" for s in ("s1", "s2"))
+
+
+SUCCESSION = [
+    f"olds AS MATERIALIZED ({_held('a_')})", f"news AS MATERIALIZED ({_held('b_')})",
+    """edges AS MATERIALIZED (
+        SELECT 'old:' || corporate_id AS x, name AS y FROM olds UNION ALL SELECT 'new:' || corporate_id, name FROM news
+        UNION ALL SELECT name, 'old:' || corporate_id FROM olds UNION ALL SELECT name, 'new:' || corporate_id FROM news)""",
+    "reach(origin, node) AS (SELECT x, x FROM edges WHERE x LIKE 'old:%' UNION SELECT origin, y FROM reach JOIN edges ON x = node)",
+    """parts AS (SELECT substr(origin, 5) AS corporate_id, CAST(count_if(node LIKE 'old:%') AS BIGINT) AS n_old, CAST(count_if(node LIKE 'new:%') AS BIGINT) AS n_new
+        FROM reach GROUP BY origin)"""]
+
+
 def statements() -> dict[str, str]:
     names = ("SELECT 'source1' AS source, corporate_name_s1 AS raw_name FROM s1 "
              "UNION ALL SELECT 'source2', corporate_name_s2 FROM s2")
@@ -338,6 +383,15 @@ def statements() -> dict[str, str]:
         "token_sort_scores": with_(f"SELECT clean_name_s1, clean_name_s2, name_score FROM sc WHERE name_score >= {THRESHOLD}", BASE),
         "fuzzy_match": with_("SELECT clean_name_s1, clean_name_s2, name_score, 'fuzzy_name' AS match_type, "
                              "name_score AS match_confidence FROM fz", BASE),
+        "pair_pruning": with_(PRUNING, BASE),
+        "one_to_one_matches": "WITH RECURSIVE " + ",\n".join(BASE + ONE_TO_ONE) + "\nSELECT clean_name_s1, clean_name_s2, name_score FROM walk JOIN ranked USING (i) WHERE matched",
+        "entity_succession": "WITH RECURSIVE " + ",\n".join(BATCHES + SUCCESSION) + """
+            SELECT o.corporate_id AS stale_id, min(n.corporate_id) AS successor_id, count(DISTINCT n.corporate_id) AS n_successors,
+              CASE WHEN n_new = 0 THEN 'gone' WHEN n_old = 1 AND n_new = 1 THEN 'renamed' WHEN n_new = 1 THEN 'merged'
+                   WHEN n_old = 1 THEN 'split' ELSE 'regrouped' END AS kind, n_old, n_new
+            FROM (SELECT * FROM olds WHERE corporate_id NOT IN (SELECT corporate_id FROM news)) o
+            LEFT JOIN (SELECT corporate_id AS cid, name FROM news) n0 USING (name) LEFT JOIN (SELECT DISTINCT corporate_id FROM news) n ON n.corporate_id = n0.cid
+            JOIN parts p ON p.corporate_id = o.corporate_id GROUP BY o.corporate_id, n_old, n_new""",
         "source1_only": with_("SELECT corporate_id, canonical_name, match_confidence FROM ent WHERE match_type = 'source1_only'", BASE),
         "source2_only": with_("SELECT corporate_id, canonical_name, match_confidence FROM ent WHERE match_type = 'source2_only'", BASE),
         "resolve_entities": with_("SELECT corporate_id, canonical_name, match_type, match_confidence, clean_name_s1, "
