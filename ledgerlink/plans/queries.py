@@ -18,7 +18,7 @@ from ledgerlink.operators import evaluation, features, learning, linkage, matchi
 from ledgerlink.operators.harmonize import harmonize_records
 from ledgerlink.schemas import REGISTRY_COLUMNS
 from ledgerlink.session import checkpoint_root, delete_on_exit
-from ledgerlink.sources import companies, fixtures, store
+from ledgerlink.sources import bucketed, companies, fixtures, store
 
 # Fixed parameters of the registered runs.
 THRESHOLD = 85.0
@@ -223,6 +223,15 @@ def q_registry_store(spark, sf):
     return store.read_registry(spark, registry).select(*NO_TS)
 
 
+def q_registry_bucketed(spark, sf):
+    """Both batches merged into a bucketed registry, one after the other, and read from it."""
+    folder, registry = _scratch(spark, "bucketed"), f"ledgerlink_{uuid.uuid4().hex}"
+    target, staged = _batches(spark, sf)
+    bucketed.upsert_bucketed(spark, registry, target, folder=folder)
+    bucketed.upsert_bucketed(spark, registry, staged, folder=folder)
+    return bucketed.read_bucketed(spark, registry).select(*NO_TS)
+
+
 # ---------------------------------------------------------------- quality
 
 def q_quality_source1(spark, sf):

@@ -407,6 +407,7 @@ def statements() -> dict[str, str]:
                                 "t.corporate_id = s.corporate_id) THEN 'update' ELSE 'insert' END AS action FROM b_reg s",
                                 BATCHES),
         "registry_store": with_(_upsert_body(), BATCHES),
+        "registry_bucketed": with_(_upsert_body(), BATCHES),
         "stale_registry_rows": with_(f"SELECT {NO_TS} FROM a_reg WHERE corporate_id NOT IN (SELECT corporate_id FROM b_reg)",
                                      BATCHES),
         "quality_source1": _quality_sql(BASE, "source1", "s1", "corporate_name_s1", None),
