@@ -16,6 +16,7 @@ from ledgerlink.config import RunConfig
 from ledgerlink.functions.text import block_key, clean_name, normalize_address, parse_list
 from ledgerlink.operators import evaluation, features, learning, linkage, matching, quality, reporting, succession, upsert
 from ledgerlink.operators.harmonize import harmonize_records
+from ledgerlink.plans import incremental
 from ledgerlink.schemas import REGISTRY_COLUMNS
 from ledgerlink.session import checkpoint_root, delete_on_exit
 from ledgerlink.sources import bucketed, companies, fixtures, store
@@ -25,6 +26,8 @@ THRESHOLD = 85.0
 ONE_TO_ONE_THRESHOLD = 50.0        # low, so that names compete for partners
 PROFIT_THRESHOLD = 45000.0        # balanced labels on the derived lists
 FIRST_BATCH_CUTOFF = "1995-03-01"  # batch 1 = the lists as of this ship date
+INCREMENT_CUTOFF = "1992-05-01"    # a first batch that lacks some companies
+INCREMENT_PARTS = 16               # partitions of the state, for lists of this size
 RULE_REVENUE_CUTOFF = 1000000.0    # deterministic rule classifier for metric checks
 RUN_TS = datetime(2024, 1, 1)
 NO_TS = [c for c in REGISTRY_COLUMNS if c != "last_updated_ts"]
@@ -164,6 +167,19 @@ def q_resolve_entities(spark, sf):
         "row_id_s1", "row_id_s2", "n_rows_s1", "n_rows_s2", "clean_address_s1", "revenue", "profit")
 
 
+def q_incremental_entities(spark, sf):
+    """A first batch as of an early ship date, then the rows whose names it didn't have; the entities of the state."""
+    state = _scratch(spark, "state")
+    first, every = ([store.stage(rows) for rows in _sources(spark, sf, *batch)] for batch in (("batch_001", INCREMENT_CUTOFF), ("batch_002",)))
+    incremental.resolve_batch(spark, state, *first, "batch_001", THRESHOLD, parts=INCREMENT_PARTS)
+    later = [rows.withColumn("_name", clean_name(c)).join(known.select(clean_name(c).alias("_name")), "_name", "left_anti").drop("_name")
+             for rows, known, c in zip(every, first, ("corporate_name_s1", "corporate_name_s2"), strict=True)]
+    incremental.resolve_batch(spark, state, *later, "batch_002", THRESHOLD, parts=INCREMENT_PARTS)
+    return incremental.read_entities(spark, state).select(
+        "corporate_id", "canonical_name", "match_type", "match_confidence", "clean_name_s1", "clean_name_s2",
+        "row_id_s1", "row_id_s2", "n_rows_s1", "n_rows_s2", "clean_address_s1", "revenue", "profit", "batch_id_s1", "batch_id_s2")
+
+
 def q_harmonized_registry(spark, sf):
     return _registry(spark, sf).select(*NO_TS)
 

@@ -352,6 +352,13 @@ SUCCESSION = [
         FROM reach GROUP BY origin)"""]
 
 
+# the first batch's rows, and the later ones whose name it lacks
+INCREMENT_CUTOFF = "1992-05-01"
+INCREMENT = fixture_ctes("e_", "batch_001", INCREMENT_CUTOFF) + fixture_ctes("l_", "batch_002", None) + [
+    f"c_{s} AS (SELECT * FROM e_{s} UNION ALL SELECT * FROM l_{s} WHERE {clean(n)} NOT IN (SELECT {clean(n)} FROM e_{s}))"
+    for s, n in (("s1", "corporate_name_s1"), ("s2", "corporate_name_s2"))] + linkage_ctes("c_")
+
+
 def statements() -> dict[str, str]:
     names = ("SELECT 'source1' AS source, corporate_name_s1 AS raw_name FROM s1 "
              "UNION ALL SELECT 'source2', corporate_name_s2 FROM s2")
@@ -397,6 +404,9 @@ def statements() -> dict[str, str]:
         "resolve_entities": with_("SELECT corporate_id, canonical_name, match_type, match_confidence, clean_name_s1, "
                                   "clean_name_s2, row_id_s1, row_id_s2, n_rows_s1, n_rows_s2, clean_address_s1, revenue, "
                                   "profit FROM ent", BASE),
+        "incremental_entities": with_("SELECT corporate_id, canonical_name, match_type, match_confidence, clean_name_s1, "
+                                      "clean_name_s2, row_id_s1, row_id_s2, n_rows_s1, n_rows_s2, clean_address_s1, revenue, "
+                                      "profit, batch_id_s1, batch_id_s2 FROM c_ent", INCREMENT),
         "harmonized_registry": with_(f"SELECT {NO_TS} FROM reg", BASE),
         "link_rows": with_(_link_rows_body(), BASE),
         "duplicate_keys": with_(f"SELECT corporate_id, count(*) AS copies FROM ({_link_rows_body()}) "
