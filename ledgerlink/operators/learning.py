@@ -19,10 +19,10 @@ LOGISTIC_FEATURES = ("revenue", "num_top_suppliers", "num_main_customers", "num_
 FOREST_FEATURES = ("revenue", "profit", "num_top_suppliers", "num_main_customers", "num_activity_places")
 
 
-def logistic_pipeline(features: Sequence[str] = LOGISTIC_FEATURES, label: str = "label") -> Pipeline:
+def logistic_pipeline(features: Sequence[str] = LOGISTIC_FEATURES, label: str = "label", max_iter: int = 100, tol: float = 1e-6) -> Pipeline:
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error"),
-        LogisticRegression(featuresCol="features", labelCol=label),
+        LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, tol=tol),
     ])
 
 
@@ -55,6 +55,17 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
             .drop("features", "rawPrediction", "probability"))
 
 
+def optimality(scored: DataFrame, features: Sequence[str] = LOGISTIC_FEATURES, label: str = "label") -> DataFrame:
+    """(coefficient, weight, residual) for the intercept and each feature over scored training rows: sum(|x|), and |sum((p - y) x)| / sum(|x|).
+
+    At the maximum of the likelihood every residual is zero; a model that wasn't fitted to these rows has others.  One aggregate."""
+    error = F.col("prediction_score") - F.col(label)
+    terms = {"intercept": F.lit(1.0), **{c: F.col(c).cast("double") for c in features}}
+    sums = scored.agg(*[x for c, v in terms.items() for x in (F.sum(F.abs(v)).alias(f"w_{c}"), F.abs(F.sum(error * v)).alias(f"r_{c}"))])
+    rows = F.array(*[F.struct(F.lit(c).alias("coefficient"), F.col(f"w_{c}").alias("weight"), (F.col(f"r_{c}") / F.col(f"w_{c}")).alias("residual")) for c in terms])
+    return sums.select(F.explode(rows).alias("x")).select("x.*")
+
+
 def spark_auc(predictions: DataFrame, label: str = "label") -> float:
     """Spark ML's evaluator without binning (numBins=0 means exact)."""
     evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="prediction_score", numBins=0)

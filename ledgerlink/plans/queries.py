@@ -28,6 +28,7 @@ PROFIT_THRESHOLD = 45000.0        # balanced labels on the derived lists
 FIRST_BATCH_CUTOFF = "1995-03-01"  # batch 1 = the lists as of this ship date
 INCREMENT_CUTOFF = "1992-05-01"    # a first batch that lacks some companies
 INCREMENT_PARTS = 16               # partitions of the state, for lists of this size
+FIT_ITERATIONS, FIT_TOLERANCE = 1000, 1e-13  # the fit runs to its optimum, which is unique
 RULE_REVENUE_CUTOFF = 1000000.0    # deterministic rule classifier for metric checks
 RUN_TS = datetime(2024, 1, 1)
 NO_TS = [c for c in REGISTRY_COLUMNS if c != "last_updated_ts"]
@@ -369,8 +370,40 @@ def _scored(spark, sf, pipeline):
                          ((F.abs(score - 0.5) < 1e-9) | ((score > 0.5).cast("int") == F.col("prediction"))).alias("prediction_agrees"))
 
 
+def _fitted(spark, sf):
+    """(the logistic model at its optimum, training rows, test rows)."""
+    train, test = _train_test(spark, sf)
+    return learning.fit(learning.logistic_pipeline(max_iter=FIT_ITERATIONS, tol=FIT_TOLERANCE), train), train, test
+
+
 def q_logistic_scores(spark, sf):
-    return _scored(spark, sf, learning.logistic_pipeline())
+    """Each test row with the fitted model's prediction and score."""
+    model, _, test = _fitted(spark, sf)
+    return learning.score(model, test).select("corporate_id", "label", "prediction", F.round("prediction_score", 3).alias("prediction_score"))
+
+
+def q_logistic_optimality(spark, sf):
+    """The first-order condition of the fit, for the intercept and each feature."""
+    model, train, _ = _fitted(spark, sf)
+    return learning.optimality(learning.score(model, train)).select("coefficient", F.round("weight", 2).alias("weight"), F.round("residual", 5).alias("residual"))
+
+
+def q_model_metrics(spark, sf):
+    """A fitted model's run: its AUC, prediction rate and counts over the test rows, recorded and read back, and the drift of its predictions."""
+    model, train, test = _fitted(spark, sf)
+    scored = store.stage(learning.score(model, test), "scored")
+    drift = reporting.drift_band(reporting.prediction_rate(scored), "prediction_rate", 0.5, 0.15).select(
+        F.col("current_value").alias("prediction_rate"), F.col("is_anomaly").cast("double").alias("drifted"))
+    both = reporting.combine_single_rows(evaluation.rank_auc(scored, "prediction_score", "label"), drift, train.agg(F.count("*").alias("train_count")),
+                                         test.agg(F.count("*").alias("test_count")))
+    value = lambda c: F.round(c, 3) if c == "auc" else F.col(c).cast("double")
+    named = [F.struct(F.lit(c).alias("name"), value(c).alias("value"), F.lit(None).cast("string").alias("text")) for c in ("auc", "prediction_rate", "drifted", "train_count", "test_count")]
+    named.append(F.struct(F.lit("features").alias("name"), F.lit(None).cast("double").alias("value"), F.lit(",".join(learning.LOGISTIC_FEATURES)).alias("text")))
+    metrics = both.select(F.lit("fitted").alias("run_id"), F.lit("batch_001").alias("batch_id"), F.lit("model").alias("kind"),
+                          F.explode(F.array(*named)).alias("m")).select("run_id", "batch_id", "kind", "m.*", F.current_timestamp().alias("recorded_at"))
+    root = _scratch(spark, "metrics")
+    store.append_metrics(spark, root, metrics)
+    return store.read_metrics(spark, root).drop("recorded_at")
 
 
 def q_forest_scores(spark, sf):

@@ -359,6 +359,57 @@ INCREMENT = fixture_ctes("e_", "batch_001", INCREMENT_CUTOFF) + fixture_ctes("l_
     for s, n in (("s1", "corporate_name_s1"), ("s2", "corporate_name_s2"))] + linkage_ctes("c_")
 
 
+# Newton's method for the logistic model, written out step by step: features scaled by the training rows' mean and spread, five coefficients.
+LOGISTIC_FEATURES = ("revenue", "num_top_suppliers", "num_main_customers", "num_activity_places")
+NEWTON_STEPS = 14
+TEST_SPLIT = "substr(sha256(CAST(corporate_id AS VARCHAR)), 1, 6) >= 'cccccc'"
+
+
+def _solved(source: str, n: int) -> str:
+    """SELECT d0.. FROM ``source`` (a00.., r0..: a symmetric system) by elimination, one nested query a column."""
+    inner = source
+    for j in range(n):
+        rows = []
+        for i in range(n):
+            for k in range(n):
+                rows.append(f"a{i}{k} - a{i}{j} / a{j}{j} * a{j}{k} AS a{i}{k}" if i != j else f"a{i}{k}")
+            rows.append(f"r{i} - a{i}{j} / a{j}{j} * r{j} AS r{i}" if i != j else f"r{i}")
+        inner = f"(SELECT {', '.join(rows)} FROM {inner})"
+    return f"(SELECT {', '.join(f'r{i} / a{i}{i} AS d{i}' for i in range(n))} FROM {inner})"
+
+
+def newton_ctes() -> list[str]:
+    n = len(LOGISTIC_FEATURES) + 1
+    scale = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(LOGISTIC_FEATURES, 1))
+    x = ", ".join(f"(ft.{c} - m{i}) / CASE WHEN s{i} > 0 THEN s{i} ELSE 1 END AS x{i}" for i, c in enumerate(LOGISTIC_FEATURES, 1))
+    p = "1 / (1 + exp(-(" + " + ".join(f"b{i} * x{i}" for i in range(n)) + ")))"
+    sums = [f"sum(p * (1 - p) * x{i} * x{k}) AS a{i}{k}" for i in range(n) for k in range(n)] + [f"sum((label - p) * x{i}) AS r{i}" for i in range(n)]
+    out = [f"scaled AS (SELECT {scale} FROM ft WHERE NOT {TEST_SPLIT})",
+           f"xs AS MATERIALIZED (SELECT ft.*, {TEST_SPLIT} AS is_test, 1.0::DOUBLE AS x0, {x} FROM ft, scaled)",
+           f"beta0 AS (SELECT {', '.join(f'0.0::DOUBLE AS b{i}' for i in range(n))})"]
+    for step in range(NEWTON_STEPS):
+        system = f"(SELECT {', '.join(sums)} FROM (SELECT xs.*, {p} AS p FROM xs, beta{step} WHERE NOT is_test))"
+        out.append(f"beta{step + 1} AS MATERIALIZED (SELECT {', '.join(f'b{i} + d{i} AS b{i}' for i in range(n))} FROM beta{step}, {_solved(system, n)})")
+    out.append(f"sco AS MATERIALIZED (SELECT xs.*, {p} AS score FROM xs, beta{NEWTON_STEPS})")
+    return out
+
+
+def _optimality() -> str:
+    terms = {"intercept": "1.0::DOUBLE", **{c: f"CAST({c} AS DOUBLE)" for c in LOGISTIC_FEATURES}}
+    return "\nUNION ALL ".join(f"SELECT '{c}' AS coefficient, round(sum(abs({v})), 2) AS weight, round(abs(sum((score - label) * {v})) / sum(abs({v})), 5) AS residual "
+                               f"FROM sco WHERE NOT is_test" for c, v in terms.items())
+
+
+MODEL_METRICS = f"""SELECT 'fitted' AS run_id, 'batch_001' AS batch_id, 'model' AS kind, name, value, txt AS "text" FROM (
+      SELECT 'auc' AS name, round(CAST(sum(CASE WHEN a.score > b.score THEN 2 WHEN a.score = b.score THEN 1 ELSE 0 END) AS DOUBLE) / (2.0::DOUBLE * count(*)), 3) AS value, NULL::VARCHAR AS txt
+      FROM (SELECT score FROM sco WHERE is_test AND label = 1) a, (SELECT score FROM sco WHERE is_test AND label = 0) b
+      UNION ALL SELECT 'prediction_rate', avg(CAST(score > 0.5 AS INTEGER)), NULL FROM sco WHERE is_test
+      UNION ALL SELECT 'drifted', CASE WHEN avg(CAST(score > 0.5 AS INTEGER)) BETWEEN 0.5::DOUBLE - 0.15::DOUBLE AND 0.5::DOUBLE + 0.15::DOUBLE THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END, NULL FROM sco WHERE is_test
+      UNION ALL SELECT 'train_count', CAST(count_if(NOT is_test) AS DOUBLE), NULL FROM sco
+      UNION ALL SELECT 'test_count', CAST(count_if(is_test) AS DOUBLE), NULL FROM sco
+      UNION ALL SELECT 'features', NULL, '{",".join(LOGISTIC_FEATURES)}')"""
+
+
 def statements() -> dict[str, str]:
     names = ("SELECT 'source1' AS source, corporate_name_s1 AS raw_name FROM s1 "
              "UNION ALL SELECT 'source2', corporate_name_s2 FROM s2")
@@ -470,7 +521,10 @@ def statements() -> dict[str, str]:
         "train_test_counts": with_(f"SELECT CAST(count_if({split} = 'train') AS BIGINT) AS train_count, "
                                    f"CAST(count_if({split} = 'test') AS BIGINT) AS test_count FROM ft", BASE),
         "rank_auc": with_(_AUC, BASE),
-        "logistic_scores": with_(f"SELECT corporate_id, label, true AS score_in_range, true AS prediction_agrees FROM ft WHERE {split} = 'test'", BASE),
+        "logistic_scores": with_("SELECT corporate_id, label, CAST(score > 0.5 AS INTEGER) AS prediction, round(score, 3) AS prediction_score FROM sco WHERE is_test",
+                                 BASE + newton_ctes()),
+        "logistic_optimality": with_(_optimality(), BASE + newton_ctes()),
+        "model_metrics": with_(MODEL_METRICS, BASE + newton_ctes()),
         "forest_scores": with_(f"SELECT corporate_id, label, true AS score_in_range, true AS prediction_agrees FROM ft WHERE {split} = 'test'", BASE),
         "prediction_drift": with_(f"""SELECT 'prediction_rate' AS metric, v AS current_value, 0.5::DOUBLE AS historical_avg, 0.15::DOUBLE AS tolerance,
               (v < 0.5::DOUBLE - 0.15::DOUBLE OR v > 0.5::DOUBLE + 0.15::DOUBLE) AS is_anomaly

@@ -42,3 +42,16 @@ def test_missing_features_and_a_single_class(spark):
     assert [r["prediction"] for r in out] == [0, 0] and all(r["prediction_score"] is None or r["prediction_score"] == 0.0 for r in out)
     both = learning.fit(learning.logistic_pipeline(), train.withColumn("label", (train.revenue > 20).cast("int")))
     assert all(r["prediction_score"] == r["prediction_score"] for r in learning.score(both, gaps).collect())
+
+
+def test_optimality_tells_a_fitted_model_from_others(spark):
+    rows = spark.range(400).selectExpr("cast(id as double) as revenue", "cast(id % 5 as int) as num_top_suppliers", "cast(id % 3 as int) as num_main_customers",
+                                       "cast(id % 7 as int) as num_activity_places", "cast((id * 7919) % 400 < id as int) as label")
+    model = learning.fit(learning.logistic_pipeline(max_iter=1000, tol=1e-13), rows)
+    found = learning.optimality(learning.score(model, rows)).collect()
+    assert [r["coefficient"] for r in found] == ["intercept", *learning.LOGISTIC_FEATURES]
+    assert all(r["residual"] < 1e-6 for r in found) and found[0]["weight"] == 400.0
+    lazy = learning.score(model, rows).withColumn("prediction_score", F.lit(0.5))
+    assert any(r["residual"] > 0.01 for r in learning.optimality(lazy).collect())
+    other = learning.fit(learning.logistic_pipeline(), rows.filter("revenue < 150"))
+    assert any(r["residual"] > 1e-3 for r in learning.optimality(learning.score(other, rows)).collect())
