@@ -10,16 +10,12 @@ Native: everything here is a DataFrame or SQL expression.
 3. ``thresholds`` reads quartiles off the sketch and puts an upper fence at
    ``q75 + spreads * max(q75 - q25, least spread)``, per (language, source).  A group with fewer than
    ``support`` texts takes the fence of its language, a language with fewer the fence of all texts.
-   The language sketch is the sum of its sources' sketches.  A group's fence is never wider than
-   ``loosest`` times that of its language.  (The fences of the SQL.  A source that holds more than a
-   quarter of its language moves the language's quartiles too, and with them its own limit.)
-4. ``balanced_thresholds`` measures a group against the other groups instead, each with equal weight:
-   the limit is ``loosest`` times the median fence of its siblings, of which it is no part, so a
-   source of any size can't acquit itself while less than half of its siblings are junk.  A group whose
-   quartiles lie within the least spread has a level of its own and ``loosest`` times that limit.
-   The pipeline uses these.  A group without siblings is measured against those of its parent; one
+   A group is measured against the other groups, each with equal weight: the limit is ``loosest`` times the
+   median fence of its siblings, of which it is no part, so a source of any size can't acquit itself while
+   less than half of its siblings are junk.  A group whose quartiles lie within the least spread has a level of
+   its own and ``loosest`` times that limit.  A group without siblings is measured against those of its parent; one
    that is alone in the corpus has nothing to be measured against.
-5. ``judge`` joins the fences to the rows and decides.
+4. ``judge`` joins the fences to the rows and decides.
 
 Defined results.  Null or empty text: no words, so the base rules fail it.  Null language or source:
 a group of its own.  Repeated rows: each is counted and judged, equal rows equally.  Empty table: no
@@ -143,23 +139,6 @@ def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
             .select(*by, "total", "fence", (F.col("q75") - F.col("q25") <= least[F.col("metric")]).alias("tight")))
 
 
-def thresholds(sketch: DataFrame, n_groups: int) -> DataFrame:
-    """One row per group: g0.., one fence column per metric (upper bound, inclusive).
-
-    Fences come from the finest level with ``SUPPORT`` texts, narrowing from all texts to the first
-    group column, then to the first two, and so on."""
-    levels = [[f"g{i}" for i in range(k)] for k in range(n_groups + 1)]
-    every = levels[-1]
-    whole = _fences(merge_sketches(sketch, []), []).select("metric", F.col("fence").alias("best"))
-    out = sketch.select(*every, "metric").distinct().join(whole, "metric")
-    for keys in levels[1:]:
-        f = _fences(merge_sketches(sketch, keys), keys)
-        cond = _same([*keys, "metric"])
-        fence = F.when(F.col("f.total") >= SUPPORT, F.least(F.col("f.fence"), LOOSEST * F.col("o.best"))).otherwise(F.col("o.best"))
-        out = out.alias("o").join(f.alias("f"), cond).select(*[F.col(f"o.{g}").alias(g) for g in every], F.col("o.metric").alias("metric"), fence.alias("best"))
-    return _by_metric(out, every)
-
-
 def _same(keys: list[str]) -> Column:
     """Equal keys of the sides ``o`` and ``f``; nulls are equal."""
     cond = F.lit(True)
@@ -186,8 +165,9 @@ def _medians(values: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.groupBy(*by).agg(F.max("total").alias("n"), at(F.ceil(F.col("total") / 2)).alias("mid"), at(F.greatest(half, F.lit(1))).alias("low"), at(half + 1).alias("high"))
 
 
-def balanced_thresholds(sketch: DataFrame, n_groups: int) -> DataFrame:
-    """As ``thresholds``, with references that no group moves by its size or by its own texts.
+def thresholds(sketch: DataFrame, n_groups: int) -> DataFrame:
+    """One row per group: g0.., one fence column per metric (upper bound, inclusive), by references that no group moves by
+    its size or by its own texts.
 
     Upwards, the value of a group of the finest level is its own fence, that of a wider group the median of the values
     of its supported parts (its own fence if it has none).  Downwards, a group's reference is the median value of its
@@ -236,18 +216,18 @@ def judge(docs: DataFrame, metrics: str, fences: DataFrame, groups: list[str], k
     return joined.withColumn(kept, ~base_failed(m) & inside).drop(name, *keys.values())
 
 
-def quality_rules(docs: DataFrame, groups: list[str], text_col: str = "text", keep_columns: list[str] | None = None, balanced: bool = False) -> tuple[DataFrame, str, str]:
+def quality_rules(docs: DataFrame, groups: list[str], text_col: str = "text", keep_columns: list[str] | None = None) -> tuple[DataFrame, str, str]:
     """(rows with metrics and verdict, name of the metrics struct, name of the verdict).
 
-    ``keep_columns`` names the input columns to carry (default: all); ``balanced`` takes the fences of ``balanced_thresholds``."""
+    ``keep_columns`` names the input columns to carry (default: all)."""
     metrics, kept = fresh(docs, "_metrics"), fresh(docs, "_kept")
     carried = [F.col(f"`{c}`") for c in (keep_columns or docs.columns)]
     rows = stage(with_metrics(docs, metrics, text_col).select(*carried, metrics), "quality")
-    fences = stage((balanced_thresholds if balanced else thresholds)(stage(quantile_sketch(rows, metrics, groups), "sketch"), len(groups)), "fences")
+    fences = stage(thresholds(stage(quantile_sketch(rows, metrics, groups), "sketch"), len(groups)), "fences")
     return judge(rows, metrics, fences, groups, kept), metrics, kept
 
 
 def quality_filter(docs: DataFrame, groups: list[str], text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass (by balanced fences), with the columns of ``docs``."""
-    rows, _, kept = quality_rules(docs, groups, text_col, balanced=True)
+    """The rows of ``docs`` that pass, with the columns of ``docs``."""
+    rows, _, kept = quality_rules(docs, groups, text_col)
     return rows.filter(F.col(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -55,16 +55,30 @@ c AS (
   SELECT *, sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY bucket) AS upto,
          sum(n) OVER (PARTITION BY level, lang, source, metric) AS total FROM l),
 f AS (
-  SELECT level, lang, source, metric, max(total) AS total,
-         min(bucket) FILTER (4 * upto >= 3 * total)
-         + 3 * greatest(min(bucket) FILTER (4 * upto >= 3 * total) - min(bucket) FILTER (4 * upto >= total), max(least)) AS fence
+  SELECT level, lang, source, metric, max(total) AS total, max(least) AS least,
+         min(bucket) FILTER (4 * upto >= total) AS q25, min(bucket) FILTER (4 * upto >= 3 * total) AS q75
   FROM c GROUP BY level, lang, source, metric),
-f1 AS (
-  SELECT b.lang, b.metric, CASE WHEN b.total >= 100 THEN least(b.fence, 2 * a.fence) ELSE a.fence END AS best
-  FROM f a JOIN f b ON a.level = 0 AND b.level = 1 AND a.metric = b.metric),
-f2 AS (
-  SELECT b.lang, b.source, b.metric, CASE WHEN b.total >= 100 THEN least(b.fence, 2 * f1.best) ELSE f1.best END AS best
-  FROM f1 JOIN f b ON b.level = 2 AND f1.metric = b.metric AND f1.lang IS NOT DISTINCT FROM b.lang),
+g AS (SELECT level, lang, source, metric, total, q75 + 3 * greatest(q75 - q25, least) AS fence, q75 - q25 <= least AS tight FROM f),
+-- upwards: a wider group's value is the lower median of its parts' with 100 texts or more
+v2 AS (SELECT *, fence AS value FROM g WHERE level = 2),
+v1 AS (
+  SELECT *, coalesce((SELECT list_sort(list(p.value))[(count(*) + 1) // 2] FROM v2 p
+                      WHERE p.metric = g.metric AND p.lang IS NOT DISTINCT FROM g.lang AND p.total >= 100), fence) AS value FROM g WHERE level = 1),
+v0 AS (
+  SELECT *, coalesce((SELECT list_sort(list(p.value))[(count(*) + 1) // 2] FROM v1 p WHERE p.metric = g.metric AND p.total >= 100), fence) AS value
+  FROM g WHERE level = 0),
+-- downwards: at most twice (four times, if its quartiles are close) the lower median of its siblings
+r1 AS (
+  SELECT b.lang, b.metric, b.total, b.tight, b.value, a.value AS above,
+         (SELECT list_sort(list(o.value))[(count(*) + 1) // 2] FROM v1 o WHERE o.metric = b.metric AND o.total >= 100 AND o.lang IS DISTINCT FROM b.lang) AS reference
+  FROM v1 b JOIN v0 a ON a.metric = b.metric),
+f1 AS (SELECT *, CASE WHEN total >= 100 THEN least(value, CASE WHEN tight THEN 4 ELSE 2 END * reference) ELSE above END AS best FROM r1),
+r2 AS (
+  SELECT b.lang, b.source, b.metric, b.total, b.tight, b.value, a.best AS above,
+         coalesce((SELECT list_sort(list(o.value))[(count(*) + 1) // 2] FROM v2 o
+                   WHERE o.metric = b.metric AND o.total >= 100 AND o.lang IS NOT DISTINCT FROM b.lang AND o.source IS DISTINCT FROM b.source), a.reference) AS reference
+  FROM v2 b JOIN f1 a ON a.metric = b.metric AND a.lang IS NOT DISTINCT FROM b.lang),
+f2 AS (SELECT *, CASE WHEN total >= 100 THEN least(value, CASE WHEN tight THEN 4 ELSE 2 END * reference) ELSE above END AS best FROM r2),
 bad AS (
   SELECT DISTINCT v.rid FROM v JOIN f2 ON v.metric = f2.metric AND v.lang IS NOT DISTINCT FROM f2.lang
     AND v.source IS NOT DISTINCT FROM f2.source WHERE v.value > f2.best)

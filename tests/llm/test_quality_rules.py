@@ -2,9 +2,11 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
 from ledgerlink.llm import quality_rules as op
+from ledgerlink.llm.quality_rules_query import SQL, op10_quality_rules
 
 from .edge_cases import empty, frame, prose, rows
 
@@ -61,17 +63,29 @@ def symbols(i, per_thousand):
     return text + " " + "#" * (len(text.replace(" ", "")) * per_thousand // (1000 - per_thousand))
 
 
-def test_no_source_moves_its_own_reference(spark):
+def skewed(spark):
     # junk holds a third of the rows and of its language; a clean source with many symbols holds a fiftieth
     r = random.Random(3)
     data = [(i, "en", f"s{i % 4}", prose(i)) for i in range(4000)]
     data += [(10_000 + i, "en", "junk", symbols(i, r.choice([105, 115, 340, 365, 380]))) for i in range(2100)]
     data += [(20_000 + i, "en", "code", symbols(i, 118 + i % 5)) for i in range(126)]
-    df = spark.createDataFrame(data, "doc_id int, lang string, source string, text string")
-    kept = {x["source"]: x["count"] for x in op.quality_filter(df, ["lang", "source"]).groupBy("source").count().collect()}
+    return spark.createDataFrame(data, "doc_id int, lang string, source string, text string")
+
+
+def test_no_source_moves_its_own_reference(spark):
+    kept = {x["source"]: x["count"] for x in op.quality_filter(skewed(spark), ["lang", "source"]).groupBy("source").count().collect()}
     assert kept == {"s0": 1000, "s1": 1000, "s2": 1000, "s3": 1000, "code": 126}
 
 
+def test_query_and_sql_on_skewed_sources(spark, scratch):
+    skewed(spark).write.parquet(f"{scratch}/documents.parquet")
+    got = sorted(map(tuple, op10_quality_rules(spark, scratch).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{scratch}/documents.parquet/*.parquet')")
+    assert got == sorted(con.execute(SQL).fetchall())
+    assert not any(r[-1] for r in got if 10_000 <= r[0] < 20_000) and all(r[-1] for r in got if not 10_000 <= r[0] < 20_000)
+
+
 def test_a_junk_language_does_not_move_its_own_reference(spark):
     data = [(i, ["en", "fr"][i % 2], "a", prose(i)) for i in range(400)] + [(1000 + i, "xx", f"j{i % 2}", symbols(i, 250 + i % 100)) for i in range(400)]
     df = spark.createDataFrame(data, "doc_id int, lang string, source string, text string")
