@@ -12,12 +12,15 @@ when ``100 * |A & B| >= 75 * |A | B|``.  No link between different sets is misse
    Any order that is the same for all sets would do; this one keeps widely shared passages out.
 4. *First round.*  Each node is compared with the least node of those it shares its rarest probe with.  A group of near
    copies of any size links up in as many comparisons as it has nodes, and its pairs are never enumerated.
-5. *Signature trees.*  Probes whose nodes now lie in one component are settled.  Nodes that the other probes connect, directly or through others, make a
-   tree: leaves of up to ``LEAF`` nodes of like size, inner nodes of ``FAN``; each holds the OR of its members' run bitmaps and their
-   size range.  Leaves meet themselves first; then pairs of leaves that share a probe and aren't settled are traversed together: a
-   pair of tree nodes is left when the sizes can't match, or the bits in common plus the runs hidden behind shared bits fall short of
-   the overlap needed.  Only nodes of pairs that survive send their sets, which are compared exactly if no link joined them before.
-   Each leaf pair is a row of its own, so a hot group spreads over the cluster.
+5. *Signature trees.*  Probes whose nodes now lie in one component are settled.  Of the nodes of other probes those stay that have three quarters of
+   their runs in common with other components: what a component has to itself can't make a link that is still to be found.  Their probes are
+   chosen anew from these runs, few for the smaller of two sets and more for the larger.  Nodes that probes connect make a tree: leaves of up to
+   ``LEAF`` nodes, inner nodes of ``FAN``, each a stored row with the OR of its members' run and probe bitmaps, their ranges of size and component,
+   and the most runs that can be common.  Leaves meet themselves first.  Then trees are built again over what is still open and traversed from
+   the top, level by level: a pair of tree nodes is left when it lies in one component, shares no probe, the sizes can't match, or the bits in common
+   plus the runs hidden behind shared bits fall short of the overlap needed.  Members are listed for leaf pairs that survive, and only
+   members that their own bitmaps don't rule out send their sets, which are compared exactly if no link joined them before.
+   Each pair is a row of its own, so a hot group spreads over the cluster.
 6. *Classes* are the connected components of all links found.
 
 Frequent runs are those that hold a small share of the rows of a batch, counted for every batch of all rows and summed; the
@@ -47,6 +50,8 @@ from ledgerlink.llm.wordgrams import NOT_SPACE, chunks, gram_hashes, mix, word_h
 RUN = 5
 LEAF = 64
 FAN = 8
+#: Bits of a tree's bitmaps: 16 for each run of its largest set, within these bounds; bits of a node's probes; size bands of 1 / BANDS of a set's size.
+LEAST_BITS, MOST_BITS, PROBE_BITS, BANDS = 1 << 10, 1 << 16, 1 << 14, 20
 #: Frequent runs: in HOT_LEAST texts and one of HOT_SHARE of a batch, and of these the HOT_RUNS most frequent (16 bytes each).
 HOT_LEAST, HOT_SHARE, HOT_RUNS = 8, 128, 20_000
 #: Bits of the filters (2 MB each, whatever the input) that keep rows of other nodes out of a pass.
@@ -217,10 +222,11 @@ def width_of(n: int) -> int:
 
 
 class Node:
-    """A tree node: the OR of its members' bitmaps, their size range, and how many runs its bits can hide."""
+    """A tree node: the OR of its members' bitmaps, their size range, the most runs that can be common with others, and how many its bits can hide."""
 
-    def __init__(self, members: list["Node"] | None = None, n: int = 0, bits: int = 0, width: int = 0):
+    def __init__(self, members: list["Node"] | None = None, n: int = 0, bits: int = 0, width: int = 0, shared: int | None = None):
         self.members = members or []
+        self.shared = max(m.shared for m in members) if members else n if shared is None else shared
         self.least, self.most = (n, n) if not members else (min(m.least for m in members), max(m.most for m in members))
         self.width = width or min(m.width for m in members)
         self.bits, self.folded = bits, {}
@@ -239,7 +245,7 @@ class Node:
                 while w > width:
                     w //= 2
                     bits = bits & ((1 << w) - 1) | bits >> w
-                self.folded[width] = bits, self.least - bits.bit_count()
+                self.folded[width] = bits, self.shared - bits.bit_count()
         return self.folded[width]
 
 
@@ -255,7 +261,7 @@ def may_link(a: Node, b: Node) -> bool:
 
     Runs in both sets have their bits in both bitmaps; besides one run for each such bit, a set has only its hidden
     runs (those that share a bit with another run of the set)."""
-    if 4 * a.most < 3 * b.least or 4 * b.most < 3 * a.least:
+    if 4 * a.most < 3 * b.least or 4 * b.most < 3 * a.least or 7 * min(a.shared, b.shared) < 3 * (a.least + b.least):
         return False
     width = min(a.width, b.width)
     (x, hidden_a), (y, hidden_b) = a.at(width), b.at(width)
@@ -279,30 +285,26 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= 75 * (len(a) + len(b) - both) and both > 0
 
 
-def _sides(members: pa.Array) -> tuple[list[int], list[int]]:
-    """Places of the members of side 0 and of side 1 (of side 0 again where a leaf meets itself)."""
-    side = members.field("side").to_pylist()
-    left, right = ([i for i, k in enumerate(side) if k == want] for want in (0, 1))
-    return left, right or left
-
-
 def _survivors(pairs: DataFrame) -> DataFrame:
-    """(pair, side, node) of the nodes that the traversal of their leaf pair can't rule out, of rows (pair, members: side, node, comp, n, bits)."""
+    """(pair, side, node) of the nodes that the traversal of their leaf pair can't rule out, of rows (pair, left, right: node, comp, n, shared, bits)."""
+
+    def below(members: pa.Array) -> tuple[list[tuple[int, int]], dict[int, int], Node]:
+        named = list(zip(members.field("node").to_pylist(), members.field("comp").to_pylist(), strict=True))
+        each = [Node(n=n, bits=int.from_bytes(x, "little"), width=8 * len(x), shared=k)
+                for n, k, x in zip(*[members.field(c).to_pylist() for c in ("n", "shared", "bits")], strict=True)]
+        return named, {id(x): i for i, x in enumerate(each)}, tree(sorted(each, key=lambda m: m.least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple[int, int, int]] = []
             for r in range(batch.num_rows):
-                pair, members = batch.column("pair")[r].as_py(), batch.column("members")[r].values
-                node, comp = members.field("node").to_pylist(), members.field("comp").to_pylist()
-                each = [Node(n=n, bits=int.from_bytes(x, "little"), width=8 * len(x)) for n, x in zip(members.field("n").to_pylist(), members.field("bits").to_pylist(), strict=True)]
-                place = {id(x): i for i, x in enumerate(each)}
-                left, right = _sides(members)
+                pair, own = batch.column("pair")[r].as_py(), batch.column("same")[r].as_py()
+                (a, at_a, x), (b, at_b, y) = (below(batch.column(c)[r].values) for c in ("left", "right"))
                 met: set[tuple[int, int]] = set()
-                for x, y in traverse(*(tree(sorted((each[i] for i in k), key=lambda m: m.least)) for k in (left, right))):
-                    i, j = place[id(x)], place[id(y)]
-                    if comp[i] != comp[j]:
-                        met |= {(0, node[i]), (0 if right is left else 1, node[j])}
+                for i, j in traverse(x, y):
+                    (node, comp), (other, its) = a[at_a[id(i)]], b[at_b[id(j)]]
+                    if comp != its:
+                        met |= {(0, node), (0 if own else 1, other)}
                 found += [(pair, *x) for x in sorted(met)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], type=pa.int64()), pa.array([x[1] for x in found], type=pa.int32()),
                                               pa.array([x[2] for x in found], type=pa.int64())], names=["pair", "side", "node"])
@@ -310,6 +312,13 @@ def _survivors(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "pair bigint, side int, node bigint")
 
 
+def _sides(members: pa.Array) -> tuple[list[int], list[int]]:
+    """Places of the members of side 0 and of side 1 (of side 0 again where a leaf meets itself)."""
+    side = members.field("side").to_pylist()
+    left, right = ([i for i, k in enumerate(side) if k == want] for want in (0, 1))
+    return left, right or left
+
+
 def leaf_links(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int]]:
     """Links between sets (node, comp, runs) of two leaves that join what no link joined before."""
     parent: dict[int, int] = {}
@@ -352,68 +361,164 @@ def _search(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
-def _bitmaps(sets: DataFrame) -> DataFrame:
-    """(node, n, bits) of rows (node, n, runs)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            runs = b.column("runs")
-            bits = [bitmap(runs[i].values.to_numpy().view(np.uint64), width_of(len(runs[i].values))) for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(bits, type=pa.binary())], names=["node", "n", "bits"])
-
-    return sets.select("node", "n", "runs").mapInArrow(run, "node bigint, n bigint, bits binary")
+def _open(probes: DataFrame, info: DataFrame) -> DataFrame:
+    """The nodes (node) one of whose probes lies in more than one component."""
+    runs = _looked_up(info.select("node", "comp"), probes, "node").groupBy("run").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("run")
+    return probes.join(runs, "run", "left_semi").select("node").distinct()
 
 
-def _open(probes: DataFrame, comp: DataFrame) -> DataFrame:
-    """The rows of ``probes`` whose run lies in more than one component."""
-    runs = _looked_up(comp, probes, "node").groupBy("run").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("run")
-    return probes.join(runs, "run", "left_semi")
+def _reopened(near: DataFrame, info: DataFrame) -> DataFrame:
+    """(node, n, comp, shared, runs, short, long) of the nodes that can link outside their component, of sets ``near`` (node, runs).
 
+    Linked sets of two components have only runs in common that lie in more than one component; their number is ``shared``.  The smaller set
+    has one of the ``shared - ceil(6n/7) + 1`` first (``short``) in common with the ``shared - ceil(3n/4) + 1`` first of the larger one (``long``)."""
+    rows = _looked_up(info.select("node", "n", "comp"), near.select("node", "runs"), "node").dropDuplicates(["node"])
+    each = stage(rows.select("node", "n", "comp", F.explode("runs").alias("run")), "open-runs")
+    several = each.groupBy("run").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("nodes")).filter("x <> y").select("run", "nodes")
+    own = W.partitionBy("node")  # the runs of one set
+    ranked = each.join(several, "run").withColumns({"shared": F.count("*").over(own), "place": F.row_number().over(own.orderBy("nodes", "run"))})
+    first = lambda least: F.collect_list(F.when(F.col("place") <= F.col("shared") - least + 1, F.col("run")))
+    found = ranked.filter("shared >= (3 * n + 3) div 4").groupBy("node", "n", "comp", "shared").agg(
+        F.collect_list("run").alias("runs"), first(F.expr("(6 * n + 6) div 7")).alias("short"), first(F.expr("(3 * n + 3) div 4")).alias("long"))
+    return stage(found, "open-sets")
 
-def _leaves(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(leaf, nodes) of the trees over the open probes ``rows`` (run, node); ``nodes`` has the sizes (node, n)."""
-    hubs = rows.groupBy("run").agg(F.min("node").alias("hub"))
-    tree_of = components(rows.join(hubs, "run").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-    sized = tree_of.withColumnRenamed("component", "tree").join(nodes.select("node", "n"), "node")
-    # the number of a row: those of a partition follow each other; a leaf is a stretch of numbers within one tree
-    placed = sized.repartitionByRange("tree", "n", "node").sortWithinPartitions("tree", "n", "node").withColumn("place", F.monotonically_increasing_id())
-    cut = stage(placed, "placed").groupBy("tree", F.expr(f"place div {LEAF}").alias("part")).agg(F.sort_array(F.collect_list("node")).alias("nodes"))
-    return stage(cut.select("nodes").withColumn("leaf", F.monotonically_increasing_id()), "leaves")
 
+def _probe_bits(*lists: list[np.ndarray]) -> list[bytes]:
+    return [bitmap(np.concatenate(x), PROBE_BITS) for x in lists]
 
-def _summaries(leaves: DataFrame, info: DataFrame) -> DataFrame:
-    """(leaf, nodes, sizes from least to most, components from first to last)."""
-    each = _looked_up(info, leaves.select("leaf", F.explode("nodes").alias("node")), "node")
-    ranges = each.groupBy("leaf").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("first"), F.max("comp").alias("last"))
-    return stage(leaves.join(ranges, "leaf"), "tree")
 
+SUMMARY = "least bigint, most bigint, shared bigint, first bigint, last bigint, hidden bigint, bits binary, short binary, long binary"
+MEMBERS = "array<struct<node: bigint, comp: bigint, n: bigint, shared: bigint, bits: binary>>"
 
-def _own_pairs(tree: DataFrame) -> DataFrame:
-    """(left, right): leaves that meet themselves."""
-    return tree.filter("first <> last").select(F.col("nodes").alias("left"), F.col("nodes").alias("right"))
 
+def _leaf_rows(groups: DataFrame) -> DataFrame:
+    """Leaves (tree, place, SUMMARY, members) of rows (tree, width, place, sets: node, n, comp, shared, runs, short, long)."""
 
-def _other_pairs(rows: DataFrame, leaves: DataFrame, tree: DataFrame) -> DataFrame:
-    """(left, right): different leaves that share an open probe, whose sizes can match and whose nodes aren't all in one component."""
-    at = stage(_looked_up(leaves.select("leaf", F.explode("nodes").alias("node")), rows, "node").select("run", "leaf").distinct(), "at")
-    met = at.withColumnRenamed("leaf", "l").join(at.withColumnRenamed("leaf", "r"), "run").filter("l < r").select("l", "r").distinct()
-    a, b = (tree.select(*[F.col(c).alias(f"{x}_{c}") for c in tree.columns]) for x in "lr")
-    return (met.join(a, F.col("l") == F.col("l_leaf")).join(b, F.col("r") == F.col("r_leaf"))
-            .filter("not (l_first = l_last and r_first = r_last and l_first = r_first)")
-            .filter("4 * l_most >= 3 * r_least and 4 * r_most >= 3 * l_least")
-            .select(F.col("l_nodes").alias("left"), F.col("r_nodes").alias("right")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for r in range(b.num_rows):
+                sets, width = b.column("sets")[r].values, b.column("width")[r].as_py()
+                node, n, comp, shared = (sets.field(c).to_pylist() for c in ("node", "n", "comp", "shared"))
+                runs, short, long = ([sets.field(c)[i].values.to_numpy().view(np.uint64) for i in range(len(sets))] for c in ("runs", "short", "long"))
+                bits = np.zeros(width, dtype=bool)
+                hidden = 0
+                for x in runs:
+                    at = np.unique(x % np.uint64(width))
+                    bits[at] = True
+                    hidden = max(hidden, len(x) - len(at))
+                members = [{"node": d, "comp": c, "n": k, "shared": m, "bits": bitmap(x, width_of(m))}
+                           for d, c, k, m, x in zip(node, comp, n, shared, runs, strict=True)]
+                out.append((b.column("tree")[r].as_py(), b.column("place")[r].as_py(), min(n), max(n), max(shared), min(comp), max(comp), hidden,
+                            np.packbits(bits, bitorder="little").tobytes(), *_probe_bits(short, long), members))
+            yield _as_batch(out, schema)
+
+    schema = ["tree", "place", *[c.split()[0] for c in SUMMARY.split(", ")], "members"]
+    return groups.mapInArrow(run, f"tree bigint, place bigint, {SUMMARY}, members {MEMBERS}")
+
+
+def _inner_rows(groups: DataFrame) -> DataFrame:
+    """Inner nodes (tree, place, SUMMARY) of rows (tree, place, below: structs of SUMMARY)."""
+
+    def merged(parts: list[bytes]) -> bytes:
+        return np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in parts]).tobytes()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for r in range(b.num_rows):
+                below = b.column("below")[r].values
+                least, most, shared, first, last, hidden, *bitmaps = (below.field(c).to_pylist() for c in schema[2:])
+                out.append((b.column("tree")[r].as_py(), b.column("place")[r].as_py(), min(least), max(most), max(shared), min(first), max(last), max(hidden),
+                            *[merged(x) for x in bitmaps]))
+            yield _as_batch(out, schema)
+
+    schema = ["tree", "place", *[c.split()[0] for c in SUMMARY.split(", ")]]
+    return groups.mapInArrow(run, f"tree bigint, place bigint, {SUMMARY}")
+
+
+def _as_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = {"bits": pa.binary(), "short": pa.binary(), "long": pa.binary(), "members": pa.list_(pa.struct([
+        ("node", pa.int64()), ("comp", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("bits", pa.binary())]))}
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), type=kinds.get(k, pa.int64())) for k, c in zip(names, columns, strict=True)], names=names)
+
+
+def _levels(opened: DataFrame) -> list[DataFrame]:
+    """Leaves and inner nodes of the signature trees over open nodes, from the leaves up to where each tree has FAN nodes at most.
+
+    Nodes that a probe connects, directly or through others, make a tree.  In a tree they are ordered by size band, component (those alone in theirs first),
+    and runs that can be common; so whole components and weak nodes share leaves, and their bounds leave them early."""
+    rows = opened.select("node", F.explode(F.array_distinct(F.concat("short", "long"))).alias("run"))
+    hubs = rows.groupBy("run").agg(F.min("node").alias("hub"), F.max("node").alias("other")).filter("hub <> other").select("run", "hub")
+    tree_of = stage(components(rows.join(hubs, "run").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()).withColumnRenamed("component", "tree"), "trees")
+    crowds = opened.groupBy("comp").agg(F.count("*").alias("crowd"))
+    widths = opened.join(tree_of, "node").groupBy("tree").agg(F.max("shared").alias("k"), F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select(
+        "tree", F.least(F.lit(MOST_BITS), F.greatest(F.lit(LEAST_BITS), F.expr("shiftleft(1L, 4 + cast(ceil(log2(k)) as int))"))).cast("long").alias("width"))
+    sized = opened.join(tree_of, "node").join(widths, "tree").join(crowds, "comp").withColumns({
+        "band": F.floor(F.log("n") * BANDS), "own": F.when(F.col("crowd") > 1, F.col("comp"))}).drop("crowd")
+    order = ["tree", "band", "own", "shared", "node"]
+    dealt = stage(sized.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "ordered")
+    # numbers without gaps: those within a partition plus the counts of the partitions before (a row a partition)
+    part = F.shiftright("at", 33)
+    before = dealt.groupBy(part.alias("part")).agg(F.count("*").alias("n_part")).select(
+        "part", (F.sum("n_part").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, 0)) - F.col("n_part")).alias("before"))
+    numbered = dealt.withColumn("part", part).join(F.broadcast(before), "part").withColumn("at", F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)))
+    member = F.struct("node", "n", "comp", "shared", "runs", "short", "long")
+    groups = numbered.groupBy("tree", "width", F.expr(f"at div {LEAF}").alias("place")).agg(F.collect_list(member).alias("sets"))  # LEAF sets at most
+    levels = [stage(_leaf_rows(groups), "leaves")]
+    below = F.collect_list(F.struct(*[c.split()[0] for c in SUMMARY.split(", ")])).alias("below")  # FAN nodes at most
+    while (levels[-1].groupBy("tree").count().agg(F.max("count").alias("n")).first()["n"] or 0) > FAN:
+        levels.append(stage(_inner_rows(levels[-1].groupBy("tree", F.expr(f"place div {FAN}").alias("place")).agg(below)), "inner"))
+    return levels
+
+
+def _pairs_that_may(pairs: DataFrame, level: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` (tree, l, r: places on a level) whose summaries don't rule out a link between two components."""
+    names = [c.split()[0] for c in SUMMARY.split(", ")]
+    a, b = (level.select("tree", F.col("place").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in names]) for x in "lr")
+    met = (pairs.join(a, ["tree", "l"]).join(b, ["tree", "r"])
+           .filter("not (l_first = l_last and r_first = r_last and l_first = r_first)")
+           .filter("4 * l_most >= 3 * r_least and 4 * r_most >= 3 * l_least and 7 * least(l_shared, r_shared) >= 3 * (l_least + r_least)"))
 
-def _links_of(met: DataFrame, sets: DataFrame, info: DataFrame) -> DataFrame:
-    """Links (a, b) between nodes of the leaf pairs ``met`` (left, right) that join what no link joined before."""
-    pairs = stage(met.withColumn("pair", F.monotonically_increasing_id()), "leaf-pairs")
-    member = lambda k, c: F.transform(c, lambda x: F.struct(F.lit(k).alias("side"), x.alias("node")))
-    sides = F.when(F.col("left") == F.col("right"), member(0, "left")).otherwise(F.concat(member(0, "left"), member(1, "right")))
-    members = pairs.select("pair", F.explode(sides).alias("m")).select("pair", "m.side", "m.node")
-    gathered = lambda m, *columns: m.groupBy("pair").agg(F.collect_list(F.struct("side", "node", *columns)).alias("members"))  # noqa: E731  two leaves at most
-    comp = info.select("node", "comp")
-    left_over = stage(_survivors(gathered(members.join(_looked_up(comp, _bitmaps(sets), "node"), "node"), "comp", "n", "bits")), "survivors")
-    return stage(_search(gathered(left_over.join(_looked_up(comp, sets.select("node", "runs"), "node"), "node"), "comp", "runs").select("members")), "tree-links")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = {c: batch.column(c).to_pylist() for c in ("l_least", "r_least", "l_hidden", "r_hidden")}
+            maps = {c: batch.column(c) for c in ("l_bits", "r_bits", "l_short", "r_short", "l_long", "r_long")}
+            kept = []
+            for i in range(batch.num_rows):
+                x = {c: int.from_bytes(m[i].as_py(), "little") for c, m in maps.items()}
+                common = (x["l_bits"] & x["r_bits"]).bit_count() + min(numbers["l_hidden"][i], numbers["r_hidden"][i])
+                probe = x["l_short"] & x["r_long"] or x["l_long"] & x["r_short"]
+                if probe and 7 * common >= 3 * (numbers["l_least"][i] + numbers["r_least"][i]):
+                    kept.append(i)
+            yield batch.select(["tree", "l", "r"]).take(pa.array(kept, type=pa.int64()))
+
+    return stage(met.mapInArrow(run, "tree bigint, l bigint, r bigint"), "node-pairs")
+
+
+def _leaf_pairs(levels: list[DataFrame]) -> DataFrame:
+    """(tree, l, r), l <= r: leaf pairs that no pair of nodes above them rules out, found from the top level down."""
+    place = [x.select("tree", "place") for x in levels]
+    top = place[-1]
+    pairs = top.select("tree", F.col("place").alias("l")).join(top.select("tree", F.col("place").alias("r")), "tree").filter("l <= r")  # FAN nodes a tree at most
+    for k in range(len(levels) - 1, -1, -1):
+        pairs = _pairs_that_may(pairs, levels[k])
+        if k:
+            a, b = (place[k - 1].select("tree", F.expr(f"place div {FAN}").alias(x), F.col("place").alias(f"{x}_below")) for x in "lr")
+            pairs = pairs.join(a, ["tree", "l"]).join(b, ["tree", "r"]).select("tree", F.col("l_below").alias("l"), F.col("r_below").alias("r")).filter("l <= r")
+    return pairs
+
+
+def _links_of(met: DataFrame, leaves: DataFrame, near: DataFrame, info: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of the leaf pairs ``met`` (tree, l, r) that join what no link joined before."""
+    a, b = (leaves.select("tree", F.col("place").alias(x), F.col("members").alias(name)) for x, name in (("l", "left"), ("r", "right")))
+    pairs = met.withColumns({"pair": F.monotonically_increasing_id(), "same": F.col("l") == F.col("r")})
+    left_over = stage(_survivors(stage(pairs, "leaf-pairs").join(a, ["tree", "l"]).join(b, ["tree", "r"]).select("pair", "same", "left", "right")), "survivors")
+    sets = near.join(left_over.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]).select("node", "runs")
+    members = left_over.join(_looked_up(info.select("node", "comp"), sets, "node"), "node")
+    gathered = members.groupBy("pair").agg(F.collect_list(F.struct("side", "node", "comp", "runs")).alias("members"))  # two leaves at most
+    return stage(_search(gathered.select("members")), "tree-links")
 
 
 # ---- the join -------------------------------------------------------------------------------------------------------
@@ -483,14 +588,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def with_classes(links: DataFrame) -> DataFrame:
         return stage(nodes.join(components(links), "node", "left").select("node", "n", F.coalesce("component", "node").alias("comp")), "classes-so-far")
 
-    # second round: leaves with themselves, which settles most; third round: pairs of leaves that are still open
+    # second round: leaves with themselves, which settles most; third round: all that is still open, from the top of the trees down
     info = with_classes(first)
-    rows_open = stage(_open(probes, info.select("node", "comp")), "open")
-    leaves = _leaves(rows_open, nodes)
-    links = first.unionByName(_links_of(_own_pairs(_summaries(leaves, info)), near, info))
+    opened = _reopened(near.join(_open(probes, info), "node", "left_semi"), info)
+    leaves = _levels(opened)[0]
+    own = leaves.filter("first <> last").select("tree", F.col("place").alias("l"), F.col("place").alias("r"))
+    links = first.unionByName(_links_of(own, leaves, near, info))
     info = with_classes(links)
-    still = _open(rows_open, info.select("node", "comp"))
-    links = links.unionByName(_links_of(_other_pairs(still, leaves, _summaries(leaves, info)), near, info))
+    levels = _levels(_reopened(near.join(opened, "node", "left_semi"), info))
+    links = links.unionByName(_links_of(_leaf_pairs(levels), levels[0], near, info))
     classes = components(links).join(near.select("node", "key").distinct(), "node").join(sets.select("key", "id"), "key")
     least = classes.groupBy("component").agg(F.min("id").alias("class_id"), F.min("key").alias("class_key"))
     named = classes.join(least, "component").select("key", "class_id", "class_key")

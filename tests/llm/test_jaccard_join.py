@@ -88,6 +88,46 @@ def test_tree_traversal_leaves_no_link_out():
     assert want and want <= met and len(met) < half * (len(sets) - half) / 4
 
 
+def passages(texts, classes=40):
+    """Texts of some classes that share a passage of 54 to 60 words but link only inside a class (each text has an end of its own)."""
+    docs = []
+    for i in range(texts):
+        c = i % classes
+        words = [f"shared{k}" for k in range(54 + c % 7)] + [f"c{c}w{k}" for k in range(24)]
+        docs.append((i, " ".join([*words, f"t{i}", f"u{i}"])))
+    return docs
+
+
+def test_members_listed_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    listed = []
+    real = op._survivors
+
+    def counted(pairs):
+        listed[-1] += pairs.selectExpr("coalesce(sum(size(left) + size(right)), 0) AS k").first()["k"]
+        return real(pairs)
+
+    monkeypatch.setattr(op, "_survivors", counted)
+    for n in (300, 600):
+        listed.append(0)
+        got = op.jaccard_classes(spark.createDataFrame(passages(n), "doc_id bigint, text string")).collect()
+        assert all(r["component_id"] == r["id"] % 40 for r in got) and len(got) == n
+    assert listed[1] <= 2 * listed[0] + 2 * op.LEAF
+
+
+def test_large_group_that_does_not_link_matches_brute_force(spark):
+    # copies of one text whose edits leave them about the threshold; some links remain, most pairs have none
+    r = random.Random(31)
+    base = [f"b{i}" for i in range(90)]
+    docs = []
+    for i in range(260):
+        w = list(base)
+        for k in r.sample(range(90), r.randrange(1, 7)):
+            w[k] = f"x{r.randrange(40)}"
+        docs.append((i, " ".join(w)))
+    got = op.jaccard_classes(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert sorted((r["id"], r["n_runs"], r["component_id"]) for r in got) == brute(docs)
+
+
 def test_components(spark):
     r = random.Random(2)
     links = [(r.randrange(200), r.randrange(200)) for _ in range(120)] + [(300 + i, 301 + i) for i in range(40)] + [(500, 400 + i) for i in range(30)] + [(7, 7)]
