@@ -1,10 +1,11 @@
 """Toxicity: a lexicon trie met by Levenshtein automata, and context windows that tell quotation from abuse.
 
 1. *Lexicon.*  Over a bounded sample of labelled texts, words and word stems (beginnings of words, written ``stem*``) are counted by label.  Those
-   that toxic texts hold more often, beyond chance (``LEAST_G``), make the lexicon (``TERMS`` at most): strong ones ``STRONG`` times as often, weak
-   ones ``WEAK`` times.
+   that toxic texts hold more often, beyond chance (``LEAST_G``), make the lexicon, all of them: strong ones ``STRONG`` times as often, weak
+   ones ``WEAK`` times.  It goes to every task, so more than ``MOST_TERMS`` are an error.
 2. *Tries.*  A word meets a term if the Levenshtein automaton of the word, run down a trie of the terms, accepts it: within 1 edit for terms
-   of ``ONE_EDIT`` letters, 2 for ``TWO_EDITS``, 0 for shorter ones and stems.  Digits and signs that stand for letters are read as such.
+   of ``ONE_EDIT`` letters, 2 for ``TWO_EDITS``, 0 for shorter ones and stems.  Words are cut at white space; of one that holds other signs each run of
+   letters and digits is looked up, as the lexicon was learnt, and the whole with digits and signs that stand for letters read as such.
    Each distinct word is looked up once a task.
 3. *Context.*  Around each hit, ``NEAR`` words on either side tell whether it stands in quotation marks or after a reporting word, and
    whether someone is addressed.  Hits count apart as quoted or not, strong, weak or misspelled (strong words only).
@@ -12,12 +13,15 @@
 
 Neither labels nor language, source or id enter a score.  Defined results.  Null or empty text has no hits and the score of a text without hits, which is below
 0.5 unless most labelled texts without hits are toxic.  Without labels of both kinds the lexicon is empty and every score is the share of toxic labels (0 without labels; 0.5 at most).  Several labels for one
-id count as toxic if one is; null labels are left out.  Rows with equal texts get equal scores; null or repeated ids are scored like any other row.  Empty table: no rows.
+id count as toxic if one is; null labels are left out.  Labelled rows equal in id and text are learnt from once.  Ties: of equal hashes the lesser id is taken.  Rows with equal texts get
+equal scores; null or repeated ids are scored like any other row.  Very long texts are scored whole, one at a time.  Empty table: no rows.
 Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -27,11 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.llm.frames import stage
+from ledgerlink.llm.frames import stage, text_hash
 
 #: Labelled texts that the lexicon and the model are learnt from, at most (those of the least id hashes).
 LABELLED = 20_000
-TERMS = 2_000
+#: More terms than any lexicon of so many texts should hold; beyond it learning stops with an error.
+MOST_TERMS = 200_000
 LEAST_TEXTS, LEAST_G, STRONG, WEAK = 4, 30.0, 20.0, 4.0
 STEMS = (4, 5, 6, 7)
 #: A stem is taken if it is in so many times the toxic texts of any kept term that it covers or that covers it.
@@ -67,6 +72,10 @@ def fold(word: str) -> str:
     return core if core.isascii() else unicodedata.normalize("NFC", core)
 
 
+#: What the lexicon is learnt from: runs of letters and digits, of three or more.
+RUNS = re.compile(r"[^\W_]{3,}")
+
+
 def edits(term: str) -> int:
     return 0 if term.endswith("*") or len(term) < ONE_EDIT else 1 if len(term) < TWO_EDITS else 2
 
@@ -186,6 +195,17 @@ class Scanner:
     def __init__(self, terms: tuple[list[str], list[str]]):
         self.lexicon, self.seen, self.hits = Lexicon(*terms), set(), {}
 
+    def kinds(self, word: str) -> list[int]:
+        """The kinds of hits in a word without white space: those of its runs of letters and digits, or of the whole as it is meant to be read."""
+        whole, runs = fold(word), RUNS.findall(word)
+        read = self.lexicon.hit(whole)
+        if runs == [whole] or read == 1 and whole.isalnum():
+            return [read] if read else []
+        found = [k for k in map(self.lexicon.hit, runs) if k]
+        if len(runs) < 2:
+            found = [min(k for k in (read, *found) if k)] if read or found else []
+        return found or ([read] if read else [])
+
     def features(self, text: str) -> list[float]:
         words = text.lower().split()
         distinct = set(words)
@@ -194,17 +214,18 @@ class Scanner:
         new = distinct - self.seen
         self.seen |= new
         for w in new:
-            kind = self.lexicon.hit(fold(w))
-            if kind:
-                self.hits[w] = kind
+            kinds = self.kinds(w)
+            if kinds:
+                self.hits[w] = kinds
         out = [0.0] * len(FEATURES)
         if self.hits.keys().isdisjoint(distinct):
             return out
         for at, w in enumerate(words):
-            kind = self.hits.get(w)
-            if kind:
+            kinds = self.hits.get(w)
+            if kinds:
                 quoted, addressed = _context(words, at)
-                out[(kind - 1) + 3 * quoted] += 1
+                for kind in kinds:
+                    out[(kind - 1) + 3 * quoted] += 1
                 out[6] += addressed and not quoted
         hits = out[0] + out[1] + out[2]
         out[:7] = np.log1p(out[:7]).tolist()
@@ -219,7 +240,7 @@ def _beginnings(words: Column, n: int) -> Column:
 
 
 def lexicon(texts: DataFrame) -> tuple[list[str], list[str]]:
-    """(strong, weak) terms from rows (text, toxic): a table of word and stem counts, of which TERMS rows at most come to the driver."""
+    """(strong, weak) terms from rows (text, toxic): a table of word and stem counts, of which those beyond chance come to the driver."""
     words = F.array_distinct(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: F.length(w) > 2))
     stems = [_beginnings(words, n) for n in STEMS]
     terms = texts.select("toxic", F.explode(F.array_distinct(F.concat(words, *stems))).alias("term"))
@@ -231,21 +252,27 @@ def lexicon(texts: DataFrame) -> tuple[list[str], list[str]]:
     part = lambda c, s: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (both * s))).otherwise(0.0)
     ratio = ((F.col("bad") + 0.5) / (total["bad"] + 1)) / ((F.col("fine") + 0.5) / (total["fine"] + 1))
     found = counts.withColumn("ratio", ratio).filter((F.col("bad") >= LEAST_TEXTS) & (F.col("ratio") >= WEAK) & (2 * (part("bad", share) + part("fine", 1 - share)) >= LEAST_G))
-    rows = found.orderBy(F.desc("bad"), "term").limit(TERMS).collect()
-    kept: tuple[set[str], set[str]] = (set(), set())
+    rows = found.limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms are beyond chance; raise LEAST_G or LEAST_TEXTS")
+    words = {r["term"] for r in rows if not r["term"].endswith("*")}
     bad = {r["term"]: r["bad"] for r in rows}
-    for r in sorted(rows, key=lambda r: (r["term"].endswith("*"), -r["ratio"], -len(r["term"]), r["term"])):
-        term, own = r["term"], kept[r["ratio"] < STRONG]
-        if not term.endswith("*"):
-            own.add(term)
-            continue
+    strong = {r["term"]: r["ratio"] >= STRONG for r in rows}
+    kept: tuple[set[str], set[str]] = ({t for t in words if strong[t]}, {t for t in words if not strong[t]})
+    ordered = tuple(sorted(own) for own in kept)
+    for r in sorted((r for r in rows if r["term"].endswith("*")), key=lambda r: (-r["ratio"], -len(r["term"]), r["term"])):
         # a stem has to add to the words and stems that it covers, or that cover it, already
-        beginning = term[:-1]
-        near = [t for t in own if t.startswith(beginning) or t.endswith("*") and beginning.startswith(t[:-1])]
+        own, known = kept[not strong[r["term"]]], ordered[not strong[r["term"]]]
+        beginning = r["term"][:-1]
+        near = [f"{beginning[:n]}*" for n in STEMS if n < len(beginning) and f"{beginning[:n]}*" in own]
+        for t in known[bisect.bisect_left(known, beginning):]:
+            if not t.startswith(beginning):
+                break
+            near.append(t)
         if r["bad"] >= STEM_GAIN * max((bad[t] for t in near), default=0):
-            own.add(term)
-    strong, weak = kept
-    return sorted(strong), sorted(weak)
+            own.add(r["term"])
+            bisect.insort(known, r["term"])
+    return ordered
 
 
 def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
@@ -286,15 +313,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """(terms, weights) from the texts of at most LABELLED rows of ``labels``."""
     named = labels.select(F.col(f"`{id_col}`").alias("label_id"), F.col(f"`{label_col}`").cast("int").alias("toxic")).filter("label_id is not null and toxic is not null")
     chosen = (named.groupBy("label_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("label_id"), "label_id").limit(LABELLED))
-    texts = docs.select(F.col(f"`{id_col}`").alias("label_id"), F.col(f"`{text_col}`").alias("text"))
-    texts = stage(texts.join(F.broadcast(chosen), "label_id").select("toxic", "text"), "labelled")  # LABELLED rows of two numbers at most
+    texts = docs.select(F.col(f"`{id_col}`").alias("label_id"), F.col(f"`{text_col}`").alias("text")).withColumn("hash", text_hash(F.col("text")))
+    labelled = texts.join(F.broadcast(chosen), "label_id")  # LABELLED rows of two numbers at most
+    # an id may name many texts: of the distinct ones, too, LABELLED at most; only numbers are sorted for that
+    bound = labelled.select("label_id", "toxic", "hash").distinct().orderBy(F.xxhash64("label_id"), "label_id", "hash").limit(LABELLED)
+    bound = stage(bound, "labels")
+    texts = stage(texts.join(F.broadcast(bound), ["label_id", "hash"]).dropDuplicates(["label_id", "hash"]).select("toxic", "text"), "labelled")
     terms = lexicon(texts)
-    # LABELLED rows at most, but for repeated ids, which are averaged with equal ones first
-    grouped = features(texts, terms).groupBy("features", "toxic").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "toxic", "features").limit(LABELLED).collect()
+    grouped = features(texts, terms).groupBy("features", "toxic").agg(F.count("*").alias("n")).orderBy("toxic", "features").collect()  # LABELLED rows at most
     x = np.array([r["features"] for r in grouped], dtype=float).reshape(-1, len(FEATURES))
     n = np.array([r["n"] for r in grouped], dtype=int)
     y = np.array([r["toxic"] for r in grouped], dtype=float)
-    return terms, fit(np.repeat(x, np.minimum(n, LABELLED), axis=0), np.repeat(y, np.minimum(n, LABELLED)))
+    return terms, fit(np.repeat(x, n, axis=0), np.repeat(y, n))
 
 
 def score(docs: DataFrame, terms: tuple[list[str], list[str]], weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

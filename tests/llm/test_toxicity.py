@@ -1,12 +1,18 @@
+import os
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlink.llm import toxicity as op
+from ledgerlink.llm.toxicity_query import op2_toxicity
 
 from .edge_cases import empty, frame, prose, rows
 
+GIVEN = "/root/testdata/sf0.1"
+LEAST_AUC, LEAST_F1 = 0.9, 0.8
+
 
 def distance(a, b):
     row = list(range(len(b) + 1))
@@ -44,6 +50,45 @@ def test_signs_quotation_and_address():
     assert hits("") == hits("nothing here") == dict.fromkeys(op.FEATURES, 0)
 
 
+def test_terms_joined_by_signs_are_met_as_they_are_learnt():
+    s = op.Scanner((["moron", "stupid"], []))
+    for word, kinds in (("stupid$$$", [1]), ("stupid/moron", [1, 1]), ("stupid's", [1]), ("stupid,moron", [1, 1]), ("$tupid!", [1]), ("mor.on", [3]), ("st-up", []), ("(stupid)", [1]), ("m0ron", [1])):
+        assert s.kinds(word) == kinds, word
+    assert np.expm1(s.features("stupid,moron and stupid's " + "x" * 3_000_000)).round()[0] == 3
+
+
+def test_lexicon_has_no_cap_but_fails_loudly(spark, monkeypatch):
+    bad = ["".join(chr(97 + (i // 26**k) % 26) for k in range(3)) + "qzq" for i in range(2_600)]
+    rows = [(1, " ".join(bad))] * 30 + [(0, "calm words")] * 300
+    texts = spark.createDataFrame(rows, "toxic int, text string")
+    strong, weak = op.lexicon(texts)
+    assert set(bad) <= set(strong) and not weak
+    monkeypatch.setattr(op, "MOST_TERMS", 100)
+    with pytest.raises(ValueError, match="beyond chance"):
+        op.lexicon(texts)
+
+
+def test_repeated_ids_are_bounded_by_texts(spark, monkeypatch):
+    docs = spark.createDataFrame([(7, f"{'dolt' if i % 2 else 'calm'} {prose(i, 20)}") for i in range(60)] * 2, "doc_id bigint, text string")
+    monkeypatch.setattr(op, "LABELLED", 20)
+    seen = []
+    monkeypatch.setattr(op, "lexicon", lambda texts: seen.append(texts.count()) or ([], []))
+    op.learn(docs, spark.createDataFrame([(7, 1)], "doc_id bigint, toxic int"))
+    assert seen == [20]
+
+
+@pytest.mark.skipif(not os.path.isdir(GIVEN), reason="needs the given tables")
+def test_held_out_quality_on_the_given_tables(spark):
+    labels = spark.read.parquet(f"{GIVEN}/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = op2_toxicity(spark, GIVEN).filter("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").collect()
+    good, bad = ([r["score"] for r in rows if r["toxic"] == k] for k in (0, 1))
+    auc = sum((b > g) + (b == g) / 2 for b in bad for g in good) / (len(good) * len(bad))
+    hit = sum(r["predicted"] == r["toxic"] == 1 for r in rows)
+    f1 = 2 * hit / (len(bad) + sum(r["predicted"] for r in rows))
+    print(f"held out: {len(rows)} texts, {len(bad)} toxic, AUC {auc:.4f}, F1 {f1:.4f}")
+    assert len(bad) > 20 and auc >= LEAST_AUC and f1 >= LEAST_F1
+
+
 def corpus(n=400):
     r = random.Random(7)
     docs, labels = [], []
