@@ -47,6 +47,24 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert out[0] == "see password=[EXAMPLE] there" and out[10] == "my password=[SECRET] here" and out[11] == "found [SECRET] lying" and out[12] == "and [SECRET] too"
 
 
+def test_bare_copies_of_short_dotted_and_sentence_ending_values(spark):
+    data = [(1, "password=Zq9zzKx02mmQ", "a"), (2, "bare Zq9zzKx02mmQ here, and 'Zq9zzKx02mmQ'.", "b"), (3, "token: abc.def=ghi-jkl99zz.", "a"), (4, "so abc.def=ghi-jkl99zz it was", "c"),
+            (5, "secret=camelCaseOnlyHere", "a"), (6, "then camelCaseOnlyHere.", "b"), (7, "password: documentation", "a"), (8, "read the documentation", "b"), (9, "not Zq9zzKx02mmR", "b")]
+    df = spark.createDataFrame(data, "doc_id int, text string, source string")
+    spans = {}
+    for s in op.secret_spans(df).collect():
+        spans.setdefault(s["id"], []).append((s["kind"], data[s["id"] - 1][1][s["start"]:s["end"]], s["n_owners"]))
+    assert spans[2] == [("reuse", "Zq9zzKx02mmQ", 2)] * 2 and spans[4] == [("reuse", "abc.def=ghi-jkl99zz", 2)] and spans[6] == [("reuse", "camelCaseOnlyHere", 2)]
+    assert spans[3] == [("assign", "token: abc.def=ghi-jkl99zz.", 2)] and spans[7][0][0] == "assign" and 8 not in spans and 9 not in spans
+    out = {r["doc_id"]: r["text"] for r in op.redact(df).collect()}
+    assert out[2] == "bare [SECRET] here, and '[SECRET]'." and out[4] == "so [SECRET] it was" and out[6] == "then [SECRET]." and out[8] == data[7][1]
+
+
+def test_one_text_copied_under_one_id_counts_every_owner(spark):
+    df = spark.createDataFrame([(None, "token=abcdefghijkl7", f"o{i}") for i in range(300)], "doc_id int, text string, source string")
+    assert [(s["n_owners"], s["n_repos"], s["live"]) for s in op.secret_spans(df).collect()] == [(300, 300, False)]
+
+
 def test_redaction_leaves_no_base_match_and_nothing_else_changes(spark):
     given = texts()
     df = spark.createDataFrame([(i, t, "s", len(t)) for i, t in enumerate(given)], "doc_id int, text string, source string, n_chars int")
