@@ -7,7 +7,8 @@ vocabulary's pattern; each match is encoded by itself, and a match that is a tok
 Decoding maps the ids back to their pieces and the characters of these back to bytes.
 
 Defined results.  Null text: no ids, like the empty text.  Null ids decode to no bytes.  Special tokens don't exist; their strings are
-ordinary text.  Repeated rows are encoded alike; an empty table gives no rows; extra columns are kept.
+ordinary text.  Repeated rows are encoded alike; ties can't occur, as ranks differ; very long texts are encoded whole, in one task.  An empty table gives no
+rows; extra columns are kept and may have any name.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.llm.frames import modest_batches
+from ledgerlink.llm.frames import fresh, modest_batches
 
 FIRST_CHARACTER = 0x100
 #: Encoded matches that a task remembers.
@@ -142,11 +144,10 @@ class Decoder:
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", ids_col: str = "ids", keep_text: bool = True) -> DataFrame:
-    """``docs`` plus ``ids_col`` (array<int>).  The rank file is read by the driver and broadcast; a vocabulary is a
+    """``docs`` plus ``ids_col`` (array<int>), the last column; ``_`` is put before its name where the input has one like it.  The rank file is read by the driver and broadcast; a vocabulary is a
     fixed file of about a megabyte that doesn't grow with the input."""
     kept = [c for c in docs.columns if keep_text or c != text_col]
-    if ids_col.lower() in {c.lower() for c in kept}:
-        raise ValueError(f"the input has a column {ids_col}; name another for the ids")
+    ids_col = fresh(docs.select(*[F.col(f"`{c}`") for c in kept]), ids_col)
     modest_batches(docs.sparkSession)
     tokens = read_ranks(vocabulary)
     shared = docs.sparkSession.sparkContext.broadcast((sentencepiece_model(tokens), tokens))
@@ -167,9 +168,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text
 
 
 def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """``rows`` plus ``bytes_col`` (binary): the bytes that the ids stand for."""
-    if bytes_col.lower() in {c.lower() for c in rows.columns}:
-        raise ValueError(f"the input has a column {bytes_col}; name another for the bytes")
+    """``rows`` plus ``bytes_col`` (binary), the last column, named as in ``encode``: the bytes that the ids stand for."""
+    bytes_col = fresh(rows, bytes_col)
     shared = rows.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
     schema = T.StructType([*rows.schema.fields, T.StructField(bytes_col, T.BinaryType())])
 

@@ -21,6 +21,11 @@ def modest_batches(spark: SparkSession) -> None:
         spark.conf.set(setting, str(BATCH_ROWS))
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the shared ``spark.checkpoint.dir``."""
+    return f"{checkpoint_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared ``spark.checkpoint.dir`` and read it back.
 
@@ -28,7 +33,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     costs no recomputation of what lies above."""
     spark = df.sparkSession
     modest_batches(spark)
-    path = f"{checkpoint_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,7 +11,8 @@ The table has ``TABLE_SIZE`` rows, a parameter; it's broadcast, and doesn't grow
 ``salt_cols``, as many tasks as its rows need, so that a key that holds a third of all rows doesn't end in one task.
 
 Defined results.  Null keys are a key of their own (all in one slot); empty texts and repeated rows are keys like any other; equal keys share a slot.  Empty
-table: no rows.  One shard takes all slots.  No shards, repeated names, or more shards than slots are errors.  Extra columns are kept; a column named like an output is an error.
+table: no rows.  One shard takes all slots.  No shards, repeated names, or more shards than slots are errors.  Very long texts are carried as they are (hashed whole where they
+are keys); ties can't occur.  Extra columns are kept; where one is named like an output, the output's name gets ``_`` in front.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlink.llm.frames import fresh
+
 TABLE_SIZE = 65_537  # a prime
 
 
@@ -64,10 +67,8 @@ def table_frame(spark: SparkSession, shards: list[str], size: int = TABLE_SIZE)
 
 
 def place(rows: DataFrame, key_cols: list[str], shards: list[str], size: int = TABLE_SIZE, slot_col: str = "slot", shard_col: str = "shard") -> DataFrame:
-    """``rows`` plus their slot and shard."""
-    taken = {c.lower() for c in rows.columns}
-    if {slot_col.lower(), shard_col.lower()} & taken:
-        raise ValueError(f"the input has a column {slot_col} or {shard_col}; name others")
+    """``rows`` plus their slot and shard, as the last two columns."""
+    slot_col, shard_col = fresh(rows, slot_col), fresh(rows, shard_col)
     # the bytes of a key decide, not its type, and null differs from any text
     parts = [F.coalesce(F.concat(F.lit("+"), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in key_cols]
     slot = F.pmod(F.conv(F.substring(F.md5(F.concat_ws("\x1f", *parts)), 1, 15), 16, 10).cast("long"), F.lit(size)).cast("long")
@@ -75,12 +76,18 @@ def place(rows: DataFrame, key_cols: list[str], shards: list[str], size: int = T
     return rows.withColumn(slot_col, slot).join(F.broadcast(table), slot_col, "left").select(*[F.col(f"`{c}`") for c in rows.columns], slot_col, shard_col)
 
 
-def write_shards(rows: DataFrame, path: str, key_cols: list[str], shards: list[str], salt_cols: list[str], rows_per_file: int = 1_000_000, size: int = TABLE_SIZE) -> None:
-    """Write ``rows`` below ``path``, one folder per shard, in files of about ``rows_per_file``."""
-    placed = place(rows, key_cols, shards, size, "_slot", "_shard").drop("_slot")
-    counts = placed.groupBy("_shard").agg(F.count("*").alias("n")).collect()  # one row per shard
-    files = {r["_shard"]: -(-r["n"] // rows_per_file) for r in counts}
+def write_shards(rows: DataFrame, path: str, key_cols: list[str], shards: list[str], salt_cols: list[str], rows_per_file: int = 100_000, size: int = TABLE_SIZE,
+                 slot_col: str = "slot", shard_col: str = "shard") -> DataFrame:
+    """Write ``rows`` and their slots below ``path``, one folder per shard, in files of about ``rows_per_file``; the rows read back, columns as ``place`` gives them."""
+    placed = place(rows, key_cols, shards, size, slot_col, shard_col)
+    shard = placed.columns[-1]
+    keys = [F.col(f"`{c}`") for c in dict.fromkeys(key_cols)]
+    by_key = place(rows.select(*keys), key_cols, shards, size)
+    counts = by_key.groupBy(F.col(f"`{by_key.columns[-1]}`").alias("of")).agg(F.count("*").alias("n")).collect()  # one row per shard
+    files = {r["of"]: -(-r["n"] // rows_per_file) for r in counts}
     total = max(1, sum(files.values()))
-    ways = F.coalesce(F.create_map(*[x for s, n in files.items() for x in (F.lit(s), F.lit(n))])[F.col("_shard")], F.lit(1)) if files else F.lit(1)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in salt_cols]), ways)
-    placed.withColumn("_salt", salt).repartition(total, "_shard", "_salt").drop("_salt").write.partitionBy("_shard").parquet(path)
+    ways = F.coalesce(F.create_map(*[x for s, n in files.items() for x in (F.lit(s), F.lit(n))])[F.col(f"`{shard}`")], F.lit(1)) if files else F.lit(1)
+    salt = fresh(placed, "_salt")
+    salted = placed.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in salt_cols]), ways))
+    salted.repartition(total, F.col(f"`{shard}`"), salt).drop(salt).write.partitionBy(shard).option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(placed.schema).parquet(path).select(*[F.col(f"`{c}`") for c in placed.columns])

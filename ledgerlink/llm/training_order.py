@@ -8,9 +8,11 @@
    the last slot is permuted again until it lands inside (cycle-walking).  So the slots are exactly 0 .. N - 1, each once, with no sort
    key to store, and any slot's sequence can be told from the key and N alone.
 4. *Shards.*  Range partitions by slot write parquet files of rows (slot, tokens) in slot order; shard s holds the slots s * STRIDE to (s + 1) * STRIDE - 1.
+   As slots are dense, a shard's number tells its task: ranges of consecutive shards, ``SHARDS_A_TASK`` at most, are dealt by arithmetic, without a sample or sort to find bounds.
    A reader resumes at any slot: slot // STRIDE names the folder, and min/max statistics find the row group.
 
-Defined results.  Null or empty text: one sequence, the end-of-text id and fill.  Null ids are carried; repeated rows get sequences of their own.  Empty table: no sequences.  Extra columns are ignored.
+Defined results.  Null or empty text: one sequence, the end-of-text id and fill.  Null ids are carried; repeated rows get sequences of their own.  Ties can't occur: a number is one sequence's.
+Very long texts: encoded whole by one task, as many sequences as they need.  Empty table: no sequences, and no shard is written.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from ledgerlink.llm.wordgrams import mix
 
 LENGTH = 512
 STRIDE = 16_384
+#: A shard is 16 MB of ids; so many at most are written by one task.
+SHARDS_A_TASK = 16
 ROUNDS = 4
 ROWS = 256
 
@@ -103,7 +107,7 @@ def permute(numbers: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def in_training_order(texts: DataFrame, key: int, token_bytes: int, length: int = LENGTH, stride: int = STRIDE) -> DataFrame:
-    """(shard, slot, id, sequence, n_tokens, tokens) of rows of ``encoded`` (read back), range-partitioned by shard and sorted by slot."""
+    """(shard, slot, id, sequence, n_tokens, tokens) of rows of ``encoded`` (read back), in ranges of shards and sorted by slot."""
     width = length * token_bytes
     totals = texts.groupBy("task").agg(F.sum("n_sequences").alias("n"))
     upto = W.orderBy("task").rowsBetween(W.unboundedPreceding, 0)  # one row a task
@@ -126,7 +130,17 @@ def in_training_order(texts: DataFrame, key: int, token_bytes: int, length: int
                 yield pa.RecordBatch.from_arrays([pa.array(slot // stride), pa.array(slot), part.column("id").take(pa.array(row)), pa.array(place), pa.array(held),
                                                   pa.array([blobs[i][p * width:(p + 1) * width] for i, p in zip(row.tolist(), place.tolist(), strict=True)], type=pa.binary())], names=schema.names)
 
-    return based.mapInArrow(run, schema).repartitionByRange(max(1, -(-n // stride)), "shard").sortWithinPartitions("shard", "slot")  # the order that the writer by shard asks for
+    shards = -(-n // stride)
+    tasks = max(1, min(shards, max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-shards // SHARDS_A_TASK))))
+    rows = based.mapInArrow(run, schema)
+    if shards:
+        rows = rows.repartitionById(tasks, F.expr(f"cast(shard * {tasks} div {shards} as int)"))
+    return rows.sortWithinPartitions("shard", "slot")  # the order that the writer by shard asks for
+
+
+def read_shards(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The rows of ``write_shards``; ``like`` gives the columns, as an empty corpus leaves no file to tell them."""
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
 def write_shards(sequences: DataFrame, path: str) -> None:

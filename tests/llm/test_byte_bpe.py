@@ -3,6 +3,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerlink.llm import byte_bpe as op
 
@@ -37,8 +38,10 @@ def test_edge_cases(spark):
     got = sorted([(r["doc_id"], r["text"], r["ids"], bytes(r["decoded"])) for r in out.collect()], key=str)
     assert got == sorted([(x[0], x[1], LIBRARY.encode_ordinary(x[1] or ""), (x[1] or "").encode()) for x in rows()], key=str)
     assert op.decode(op.encode(empty(spark), PATH, public_tokenizers.PATTERN), PATH).count() == 0
-    with pytest.raises(ValueError, match="has a column"):
-        op.encode(df, PATH, public_tokenizers.PATTERN, ids_col="kept")
+    named = df.withColumn("IDS", F.lit("own")).withColumn("decoded", F.lit(1))
+    back = op.decode(op.encode(named, PATH, public_tokenizers.PATTERN), PATH, ids_col="_ids")
+    assert back.columns == [*named.columns, "_ids", "_decoded"]
+    assert all(r["IDS"] == "own" and r["decoded"] == 1 and bytes(r["_decoded"]).decode() == (r["text"] or "") for r in back.collect())
     long = spark.createDataFrame([("a" * 200_000 + " b" * 100_000,)], "text string")
     assert op.encode(long, PATH, public_tokenizers.PATTERN).first()["ids"] == LIBRARY.encode_ordinary(long.first()[0])
     none = op.decode(spark.createDataFrame([(None,), ([],)], "ids array<int>"), PATH)

@@ -1,8 +1,11 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlink.llm import sharding as op
+from ledgerlink.llm.sharding_query import SHARDS, op3_sharding
 
 from .edge_cases import empty, frame, rows
 
@@ -52,9 +55,36 @@ def test_edge_cases(spark, scratch):
     for r in out.collect():
         assert by.setdefault((r["doc_id"], r["text"]), r["slot"]) == r["slot"]
     assert op.place(empty(spark), ["doc_id"], shards).count() == 0
-    with pytest.raises(ValueError, match="has a column"):
-        op.place(df, ["doc_id"], shards, slot_col="kept")
-    op.write_shards(df.withColumn("hot", F.lit("one key")), f"{scratch}/out", ["hot"], shards, ["doc_id", "text"], rows_per_file=4, size=251)
-    back = spark.read.parquet(f"{scratch}/out")
+    named = df.withColumn("Slot", F.lit("own")).withColumn("shard", F.lit(None).cast("int"))
+    assert op.place(named, ["doc_id"], shards).columns == [*named.columns, "_slot", "_shard"]
+    hot = named.withColumn("hot", F.lit("one key"))
+    back = op.write_shards(hot, f"{scratch}/out", ["hot"], shards, ["doc_id", "text"], rows_per_file=4, size=251)
+    assert back.columns == op.place(hot, ["hot"], shards, size=251).columns
     assert back.count() == len(rows()) and back.select("_shard").distinct().count() == 1 and len(back.inputFiles()) > 1
-    op.write_shards(empty(spark), f"{scratch}/none", ["doc_id"], shards, ["doc_id"])
+    assert sorted(map(str, back.drop("_slot", "_shard").collect())) == sorted(map(str, hot.collect()))
+    assert op.write_shards(empty(spark), f"{scratch}/none", ["doc_id"], shards, ["doc_id"]).count() == 0
+
+
+def order_of(shard):
+    at, step = op._hash(shard, "start"), op._hash(shard, "step") % (op.TABLE_SIZE - 1) + 1
+    for j in range(op.TABLE_SIZE):
+        yield (at + j * step) % op.TABLE_SIZE
+
+
+def test_query_places_every_document_by_a_plain_slot_and_the_whole_table(spark):
+    given = "/root/testdata/sf0.001"
+    out = op3_sharding(spark, given).collect()
+    docs = spark.read.parquet(f"{given}/documents.parquet").select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in out) == sorted(r["doc_id"] for r in docs)
+    # turns with the whole table's size, each shard walking on from its own start
+    for names, col in ((SHARDS, "shard"), (SHARDS[1:], "shard_without_first")):
+        walk = {x: order_of(x) for x in names}
+        owner = {}
+        while len(owner) < op.TABLE_SIZE:
+            for x in sorted(names):
+                free = next((i for i in walk[x] if i not in owner), None)
+                if free is not None:
+                    owner[free] = x
+        for r in out:
+            slot = int(hashlib.md5(f"+{r['doc_id']}".encode()).hexdigest()[:15], 16) % op.TABLE_SIZE
+            assert r["slot"] == slot and r[col] == owner[slot]

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -6,6 +8,8 @@ import tiktoken
 from ledgerlink.llm import training_order as op
 from ledgerlink.llm.byte_bpe import read_ranks
 from ledgerlink.llm.frames import stage
+from ledgerlink.llm.training_order_query import KEY, op7_training_order
+from ledgerlink.llm.wordgrams import mix
 
 from .edge_cases import empty, frame, rows
 
@@ -45,5 +49,41 @@ def test_shards_hold_every_sequence_at_its_slot_and_resume(spark, scratch):
     assert [r["slot"] for r in rest] == list(range(21, len(whole)))
 
 
-def test_empty_table(spark):
-    assert materialised(spark, empty(spark)).count() == 0
+def plain_slot(x, n, key):
+    """One number through the network in plain integers, again until it lands inside."""
+    def mixed(v):
+        return int(mix(np.array([v], dtype=np.uint64))[0])
+    low = op.bits_for(n) // 2
+    high = op.bits_for(n) - low
+    while True:
+        a, b = high, low
+        for r in range(op.ROUNDS):
+            left, right = divmod(x, 2**b)
+            x, a, b = right * 2**a + (left ^ (mixed((right + mixed((key + r) % 2**64)) % 2**64) % 2**a)), b, a
+        if x < n:
+            return x
+
+
+def test_query_reads_back_every_sequence_at_its_plain_slot(spark):
+    given = "/root/testdata/sf0.001"
+    out = sorted(op7_training_order(spark, given).collect(), key=lambda r: r["slot"])
+    texts = dict(spark.read.parquet(f"{given}/documents.parquet").select("doc_id", "text").collect())
+    end, fill, n = len(TOKENS), len(TOKENS) + 1, len(out)
+    assert [r["slot"] for r in out] == list(range(n)) and all(r["shard"] == r["slot"] // op.STRIDE for r in out)
+    number = {plain_slot(i, n, KEY): i for i in range(n)}
+    first = {}
+    for r in out:
+        ids = [*LIBRARY.encode_ordinary(texts[r["doc_id"]] or ""), end]
+        part = ids[r["sequence"] * op.LENGTH:(r["sequence"] + 1) * op.LENGTH]
+        assert r["n_tokens"] == len(part) > 0
+        assert r["tokens_sha256"] == hashlib.sha256(np.array(part + [fill] * (op.LENGTH - len(part)), dtype="<u2").tobytes()).hexdigest()
+        # a text's sequences have consecutive numbers
+        assert first.setdefault(r["doc_id"], number[r["slot"]] - r["sequence"]) == number[r["slot"]] - r["sequence"]
+    assert set(first) == set(texts)
+
+
+def test_empty_table(spark, scratch):
+    none = materialised(spark, empty(spark))
+    assert none.count() == 0
+    op.write_shards(none, f"{scratch}/none")
+    assert op.read_shards(spark, f"{scratch}/none", none).count() == 0
