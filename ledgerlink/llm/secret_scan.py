@@ -36,8 +36,8 @@ ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
 TOKEN = "A-Za-z0-9+/_-"
 #: Tokens from 12 characters that may be values, and those that may hold a full stop or equals sign.
-OPAQUE = f"(?<![{TOKEN}])(?=[{TOKEN}]*(?:[0-9]|[a-z][A-Z]))[{TOKEN}]{{12,}}"
-WIDE = f"(?<![.={TOKEN}])(?=[.={TOKEN}]*(?:[0-9]|[a-z][A-Z]))(?=[.={TOKEN}]*[.=])[.={TOKEN}]{{12,}}"
+OPAQUE = f"(?<![{TOKEN}])(?=[{TOKEN}]{{12}})(?=[{TOKEN}]*?(?:[0-9]|[a-z][A-Z]))[{TOKEN}]++"
+WIDE = f"(?<![.={TOKEN}])(?=[.={TOKEN}]{{12}})(?=[{TOKEN}]*+[.=])(?=[.={TOKEN}]*?(?:[0-9]|[a-z][A-Z]))[.={TOKEN}]++"
 AT_END = ".=-"
 
 LEAST_VALUE = 12
