@@ -59,7 +59,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
