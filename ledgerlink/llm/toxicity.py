@@ -194,14 +194,22 @@ class Scanner:
 
     def __init__(self, terms: tuple[list[str], list[str]]):
         self.lexicon, self.seen, self.hits = Lexicon(*terms), set(), {}
+        self.read: dict[str, int] = {}
+
+    def _hit(self, word: str) -> int:
+        """A folded word comes with many signs around it, and is looked up once."""
+        kind = self.read.get(word)
+        if kind is None:
+            kind = self.read[word] = self.lexicon.hit(word)
+        return kind
 
     def kinds(self, word: str) -> list[int]:
         """The kinds of hits in a word without white space: those of its runs of letters and digits, or of the whole as it is meant to be read."""
         whole, runs = fold(word), RUNS.findall(word)
-        read = self.lexicon.hit(whole)
+        read = self._hit(whole)
         if runs == [whole] or read == 1 and whole.isalnum():
             return [read] if read else []
-        found = [k for k in map(self.lexicon.hit, runs) if k]
+        found = [k for k in map(self._hit, runs) if k]
         if len(runs) < 2:
             found = [min(k for k in (read, *found) if k)] if read or found else []
         return found or ([read] if read else [])
@@ -210,7 +218,7 @@ class Scanner:
         words = text.lower().split()
         distinct = set(words)
         if len(self.seen) > REMEMBERED:
-            self.seen, self.hits = set(), {}
+            self.seen, self.hits, self.read = set(), {}, {}
         new = distinct - self.seen
         self.seen |= new
         for w in new:
