@@ -61,10 +61,14 @@ def _tidy_list(c: Column | str) -> Column:
     return F.regexp_replace(s, rf"^[{_WS}|]+|[{_WS}|]+$", "")
 
 
+# the same characters one by one, for trim: no regular expression runs over the items
+_WS_CHARACTERS = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def parse_list(c: Column | str) -> Column:
     """Pipe-delimited text -> array<string>: null/'' -> [], items trimmed, blank items dropped."""
-    tidy = _tidy_list(c)
-    return F.when(tidy == "", F.array().cast("array<string>")).otherwise(F.split(tidy, r"\|"))
+    items = F.transform(F.split(F.coalesce(_col(c), F.lit("")), r"\|"), lambda x: F.trim(x, F.lit(_WS_CHARACTERS)))
+    return F.filter(items, lambda x: x != "")
 
 
 def list_size(c: Column | str) -> Column:

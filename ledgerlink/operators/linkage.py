@@ -3,8 +3,8 @@
 Plan shape (all declarative, Catalyst picks the physical joins):
 
 1. prepare: clean name, clean address, block key, content row id per input row.
-2. collapse each side to one row per clean name (aggregated by name and list item first, so
-   a name carried by a third of all rows costs its distinct items, not its rows).
+2. collapse each side to one row per clean name (names with very long lists in all are aggregated by
+   name and list item first, so a name carried by a third of all rows costs its distinct items, not its rows).
    Rows with a blank clean name cannot be linked; they collapse per identical content.
 3. exact links and what is left: one full outer join on the name, 1:1 by construction.
 4. fuzzy links between still-unlinked names: equi-join on (block, indexed character), with
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlink.functions.similarity import lcs_length_arrow, lcs_sql, token_sort_ratio_from_lcs
-from ledgerlink.functions.text import block_key, clean_name, normalize_address, parse_list, sort_tokens
+from ledgerlink.functions.text import LIST_DELIMITER, block_key, clean_name, normalize_address, parse_list, sort_tokens
 from ledgerlink.operators import pruning
 from ledgerlink.operators.matching import stable_partners
 
@@ -90,7 +90,11 @@ def prepare_source2(df: DataFrame, block_chars: int = 6) -> DataFrame:
 
 # --------------------------------------------------------------------------- collapse
 
-def collapse_side(prepared: DataFrame, sfx: str, match_blank: bool = False) -> DataFrame:
+#: Names whose rows hold more characters of lists than this (and ROW_CHARS for each row) are taken apart item by item.
+HOT_CHARS, ROW_CHARS = 1 << 20, 64
+
+
+def collapse_side(prepared: DataFrame, sfx: str, match_blank: bool = False, hot_chars: int = HOT_CHARS) -> DataFrame:
     """One row per clean name, and one per distinct content among blank-name rows, keeping
     what every row says:
 
@@ -99,12 +103,15 @@ def collapse_side(prepared: DataFrame, sfx: str, match_blank: bool = False) -> D
     address   the least address that isn't blank; name: the least spelling
     row id    the least; batch: the least
 
-    Two aggregates: by (name, list, item), then by name.  Each row is one row for its own
+    The rows are written once.  A name's lists meet as they are and are taken apart there: one
+    exchange of the rows.  Names with more than ``hot_chars`` characters of lists go another way,
+    two aggregates: by (name, list, item), then by name.  Each row is one row for its own
     values (list 0) and one for each item of its lists.  Equal items and own values combine
     in the map tasks and then by item, so a name carried by a third of all rows, each with
     another list, costs a task no more than its distinct items, once each.  These make up
-    one value of the result, which is the only thing that grows with them.  The rows
-    themselves stay reachable through ``link_rows``."""
+    one value of the result, which is the only thing that grows with them.  Hot names are
+    found by a hash, whose collisions only send more names the longer way; the driver learns
+    whether there are any.  The rows themselves stay reachable through ``link_rows``."""
     clean, row_id = F.col(f"clean_name_{sfx}"), F.col(f"row_id_{sfx}")
     blank_id = (F.lit(None).cast("string") if match_blank else F.when(clean == "", row_id)).alias("_blank_id")
     number = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
@@ -117,18 +124,17 @@ def collapse_side(prepared: DataFrame, sfx: str, match_blank: bool = False) -> D
         least = {"corporate_name_s2": F.col("corporate_name_s2"), "batch_id_s2": F.col("batch_id_s2")}
         greatest = {"_figures": F.struct(number("revenue"), number("profit"))}
     least[f"row_id_{sfx}"] = row_id
-    given = {f"_has_{c}": F.col(c).isNotNull() for c in lists}
-    own = F.struct(*[v.alias(c) for c, v in {**least, **greatest, **given}.items()])
-    entry = lambda k, item, own: F.struct(F.lit(k).alias("list"), item.alias("item"), own.alias("own"))
-    items_of = lambda k, c: F.transform(F.array_distinct(parse_list(c)), lambda x: entry(k, x, F.when(F.lit(False), F.col("_own"))))
-    entries = F.concat(F.array(entry(0, F.lit(None).cast("string"), F.col("_own"))), *[items_of(k, c) for k, c in enumerate(lists, 1)])
-    keys = [f"clean_name_{sfx}", "_blank_id"]
-    rows = prepared.select(clean, blank_id, *lists, own.alias("_own")).select(*keys, F.explode(entries).alias("_e"))
-    scalars = lambda at: [*[F.min(F.col(at + c)).alias(c) for c in least], *[F.max(F.col(at + c)).alias(c) for c in [*greatest, *given]]]
-    items = rows.groupBy(*keys, F.col("_e.list").alias("_list"), F.col("_e.item").alias("_item")).agg(
-        F.count_if(F.col("_e.list") == 0).alias("_n"), *scalars("_e.own."))
-    out = items.groupBy(*keys).agg(F.sum("_n").alias(f"n_rows_{sfx}"), *scalars(""), *[
-        F.sort_array(F.collect_list(F.when(F.col("_list") == k, F.col("_item")))).alias(c) for k, c in enumerate(lists, 1)])
+    keys, own = [f"clean_name_{sfx}", "_blank_id"], F.struct(*[v.alias(c) for c, v in {**least, **greatest}.items()]).alias("_own")
+    rows = cut_lineage(prepared.select(clean, blank_id, *lists, own), f"rows-{sfx}")
+    chars = F.lit(ROW_CHARS) + sum(F.coalesce(F.char_length(c), F.lit(0)) for c in lists)
+    name_hash = F.xxhash64(*keys).alias("_hash")
+    hot = cut_lineage(rows.groupBy(name_hash).agg(F.sum(chars).alias("chars")).filter(F.col("chars") > F.lit(int(hot_chars))).select("_hash"), f"hot-{sfx}")
+    if hot.isEmpty():
+        out = _collapsed(rows, keys, lists, least, greatest, sfx)
+    else:
+        hashed = rows.withColumn("_hash", name_hash)
+        out = _collapsed(hashed.join(hot, "_hash", "left_anti"), keys, lists, least, greatest, sfx).unionByName(
+            _collapsed_by_item(hashed.join(hot, "_hash", "left_semi"), keys, lists, least, greatest, sfx))
     out = out.withColumns({c: F.when(F.col(f"_has_{c}"), F.array_join(c, "|")) for c in lists})
     if sfx == "s1":
         out = out.withColumn("clean_address_s1", normalize_address("address"))
@@ -137,6 +143,29 @@ def collapse_side(prepared: DataFrame, sfx: str, match_blank: bool = False) -> D
     return out.select(f"clean_name_{sfx}", f"n_rows_{sfx}", f"row_id_{sfx}", *(S1_PAYLOAD if sfx == "s1" else S2_PAYLOAD))
 
 
+def _collapsed(rows: DataFrame, keys: list[str], lists: list[str], least, greatest, sfx: str) -> DataFrame:
+    """Names whose lists fit a task many times over: their rows meet once, before they are aggregated."""
+    out = rows.repartition(*keys).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(f"n_rows_{sfx}"), *[F.min(f"_own.{c}").alias(c) for c in least], *[F.max(f"_own.{c}").alias(c) for c in greatest],
+        *[F.max(F.col(c).isNotNull()).alias(f"_has_{c}") for c in lists], *[F.collect_list(c).alias(c) for c in lists])
+    return out.withColumns({c: F.sort_array(F.array_distinct(parse_list(F.array_join(c, LIST_DELIMITER)))) for c in lists})
+
+
+def _collapsed_by_item(rows: DataFrame, keys: list[str], lists: list[str], least, greatest, sfx: str) -> DataFrame:
+    """Names of any number of rows: equal items combine before a name's distinct items meet."""
+    given = {f"_has_{c}": F.col(c).isNotNull() for c in lists}
+    own = F.struct(F.col("_own.*"), *[v.alias(c) for c, v in given.items()])
+    entry = lambda k, item, own: F.struct(F.lit(k).alias("list"), item.alias("item"), own.alias("own"))
+    items_of = lambda k, c: F.transform(F.array_distinct(parse_list(c)), lambda x: entry(k, x, F.when(F.lit(False), F.col("_o"))))
+    entries = F.concat(F.array(entry(0, F.lit(None).cast("string"), F.col("_o"))), *[items_of(k, c) for k, c in enumerate(lists, 1)])
+    exploded = rows.select(*keys, *lists, own.alias("_o")).select(*keys, F.explode(entries).alias("_e"))
+    scalars = lambda at: [*[F.min(F.col(at + c)).alias(c) for c in least], *[F.max(F.col(at + c)).alias(c) for c in [*greatest, *given]]]
+    items = exploded.groupBy(*keys, F.col("_e.list").alias("_list"), F.col("_e.item").alias("_item")).agg(
+        F.count_if(F.col("_e.list") == 0).alias("_n"), *scalars("_e.own."))
+    return items.groupBy(*keys).agg(F.sum("_n").alias(f"n_rows_{sfx}"), *scalars(""), *[
+        F.sort_array(F.collect_list(F.when(F.col("_list") == k, F.col("_item")))).alias(c) for k, c in enumerate(lists, 1)])
+
+
 def named(groups: DataFrame, sfx: str) -> DataFrame:
     return groups.filter(F.col(f"clean_name_{sfx}") != "")
 

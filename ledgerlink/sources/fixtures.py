@@ -55,8 +55,8 @@ def source1(spark: SparkSession, sf_dir: str, shipped_before: str | None = None)
     lists = (lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
              .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
              .groupBy("l_partkey")
-             .agg(_sorted_set(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))).alias("top_suppliers"),
-                  _sorted_set("n_name").alias("activity_places")))
+             .agg(F.collect_set("l_suppkey").alias("_suppliers"), _sorted_set("n_name").alias("activity_places"))
+             .withColumn("top_suppliers", F.array_join(F.sort_array(F.transform("_suppliers", lambda k: F.concat(F.lit("S"), k.cast("string")))), "|")).drop("_suppliers"))
     key = F.col("p_partkey")
     name = _base_name(F.col("p_name"), key)
     rows = (part.filter(key % 10 < 6)

@@ -249,3 +249,19 @@ def test_a_hot_name_with_differing_lists_is_reduced_by_item(spark):
         plan = g._jdf.queryExecution().optimizedPlan().toString()
         first = [x for x in plan.splitlines() if "Aggregate [" in x][-1]
         assert "AS _item" in first and "collect_" not in first and "collect_set" not in plan, first
+
+
+def test_long_lists_of_a_name_are_collapsed_item_by_item_alike(spark):
+    rows = [("Acme", f"{i} Road", f"p{i % 7}| q ||p{i % 3}", None if i % 2 else f"s{i}") for i in range(40)] + [
+        ("Bolt", None, "", None), ("bolt inc", " ", None, None), ("Inc", "a", "x", "y"), ("Inc", "a", "x", "y"), ("Ltd", "b", None, None)]
+    s1 = L.prepare_source1(spark.createDataFrame(rows, S1))
+    figures = [("Acme", f"c{i % 5}|d", float(i % 9) if i % 4 else float("nan"), float(i)) for i in range(40)] + [("Inc", None, None, None), ("Co", "x", 1.0, None)]
+    s2 = L.prepare_source2(spark.createDataFrame(figures, S2))
+    for side, sfx in ((s1, "s1"), (s2, "s2")):
+        short, mixed, long = (sorted(map(repr, L.collapse_side(side, sfx, hot_chars=k).collect())) for k in (1 << 30, 1000, 0))
+        assert short == mixed == long
+    acme = L.collapse_side(s1, "s1").filter("clean_name_s1 = 'acme'").first()
+    assert acme["n_rows_s1"] == 40 and acme["activity_places"] == "p0|p1|p2|p3|p4|p5|p6|q"
+    # rows of names without long lists meet without being taken apart
+    plan = L.collapse_side(s1, "s1")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan
