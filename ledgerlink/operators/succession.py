@@ -41,6 +41,18 @@ def _names(entities: DataFrame) -> DataFrame:
     return entities.select(KEY, F.explode(F.filter(F.array(*own), lambda x: x.isNotNull())).alias("name"))
 
 
+def _open_rows(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(tag, corporate_id, name) of the names of both batches whose component isn't known from one look at their holders.
+
+    A name is plain if each batch has one holder of it at most, of the same key.  A key with plain names alone shares them with nobody but
+    itself in the other batch, so its component is complete: most keys of a registry don't change, and never meet another one here."""
+    both = before.select(F.lit("old").alias("tag"), KEY, "name").unionByName(after.select(F.lit("new").alias("tag"), KEY, "name")).filter(F.col(KEY).isNotNull())
+    holders = both.groupBy("name").agg(F.count_if(F.col("tag") == "old").alias("o"), F.count_if(F.col("tag") == "new").alias("n"), F.min(KEY).alias("x"), F.max(KEY).alias("y"))
+    shared = holders.filter("o > 1 or n > 1 or x <> y").select("name")
+    keys = stage(both.join(shared, "name", "left_semi").select(KEY).distinct(), "open-keys")
+    return stage(both.join(keys, KEY, "left_semi"), "open-names")
+
+
 def entity_succession(old: DataFrame, new: DataFrame) -> DataFrame:
     """A row for each key of ``old`` that ``new`` doesn't have: stale_id, successor_id, n_successors, kind, n_old, n_new.
 
@@ -49,9 +61,7 @@ def entity_succession(old: DataFrame, new: DataFrame) -> DataFrame:
     kind: renamed (one key became another), merged (several became one), split (one became several), regrouped (several
     became several), gone (none of its names is left)."""
     before, after = stage(_names(old), "old-names"), stage(_names(new), "new-names")
-    tag = lambda t, c: F.concat(F.lit(f"{t}:"), F.col(c))
-    links = before.select(tag("old", KEY).alias("a"), tag("name", "name").alias("b")).unionByName(
-        after.select(tag("new", KEY).alias("a"), tag("name", "name").alias("b")))
+    links = _open_rows(before, after).select(F.concat_ws(":", "tag", KEY).alias("a"), F.concat(F.lit("name:"), "name").alias("b"))
     labels = stage(component_labels(links), "components")
     sizes = labels.groupBy("label").agg(F.count_if(F.col("node").startswith("old:")).alias("n_old"), F.count_if(F.col("node").startswith("new:")).alias("n_new"))
     stale = before.join(after.select(KEY).distinct(), KEY, "left_anti")
@@ -62,7 +72,8 @@ def entity_succession(old: DataFrame, new: DataFrame) -> DataFrame:
     per = stale.join(holders, "name", "left").groupBy(KEY).agg(
         F.min("least").alias("successor_id"), F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("n"), F.sort_array(F.collect_list("name")).alias("names"))
     per = per.join(pairs, "names", "left").withColumn("n_successors", F.col("n") - F.coalesce("both", F.lit(0).cast("long")))
-    out = per.join(labels, tag("old", KEY) == F.col("node")).join(sizes, "label")
+    # a key without open names is alone in its component, and gone: were it there anew, it wouldn't be stale
+    out = per.filter(F.col(KEY).isNotNull()).join(labels, F.concat(F.lit("old:"), KEY) == F.col("node"), "left").join(sizes, "label", "left").na.fill({"n_old": 1, "n_new": 0})
     kind = (F.when(F.col("n_new") == 0, "gone").when((F.col("n_old") == 1) & (F.col("n_new") == 1), "renamed").when(F.col("n_new") == 1, "merged")
             .when(F.col("n_old") == 1, "split").otherwise("regrouped"))
     return out.select(F.col(KEY).alias("stale_id"), "successor_id", "n_successors", kind.alias("kind"), "n_old", "n_new")

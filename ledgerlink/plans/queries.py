@@ -223,7 +223,7 @@ def q_stale_registry_rows(spark, sf):
 
 def q_entity_succession(spark, sf):
     """What became of the keys of batch 1 that batch 2 did not produce again."""
-    return succession.entity_succession(store.stage(_entities(spark, sf, "batch_001", FIRST_BATCH_CUTOFF)), store.stage(_entities(spark, sf, "batch_002")))
+    return succession.entity_succession(_entities(spark, sf, "batch_001", FIRST_BATCH_CUTOFF), _entities(spark, sf, "batch_002"))
 
 
 def q_upsert_actions(spark, sf):

@@ -149,3 +149,14 @@ def test_kinds_of_succession(spark):
                    "H": ("H2", 1, "renamed", 1, 1)}
     empty = spark.createDataFrame([], schema)
     assert entity_succession(empty, empty).count() == 0
+
+
+def test_unchanged_keys_are_no_part_of_the_succession_graph(spark):
+    from ledgerlink.operators.succession import _names, _open_rows
+    schema = "corporate_id string, clean_name_s1 string, clean_name_s2 string, row_id_s1 string, row_id_s2 string"
+    same = [(f"K{i}", f"n{i}", f"m{i}", f"{i}", f"{i}") for i in range(50)]
+    old = spark.createDataFrame([*same, ("G", "gone", None, "g", None), ("R", None, "r", None, "r")], schema)
+    new = spark.createDataFrame([*same, ("P", "p", "r", "p", "r"), ("F", "fresh", None, "f", None)], schema)
+    assert {tuple(r) for r in _open_rows(_names(old), _names(new)).collect()} == {("old", "R", "s2:r"), ("new", "P", "s2:r"), ("new", "P", "s1:p")}
+    out = {tuple(r) for r in entity_succession(old, new).collect()}
+    assert out == {("G", None, 0, "gone", 1, 0), ("R", "P", 1, "renamed", 1, 1)}
