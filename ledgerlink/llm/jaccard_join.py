@@ -444,8 +444,8 @@ def _as_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), type=kinds.get(k, pa.int64())) for k, c in zip(names, columns, strict=True)], names=names)
 
 
-def _levels(opened: DataFrame) -> list[DataFrame]:
-    """Leaves and inner nodes of the signature trees over open nodes, from the leaves up to where each tree has FAN nodes at most.
+def _levels(opened: DataFrame, inner: bool = True) -> list[DataFrame]:
+    """Leaves and, if ``inner``, inner nodes of the signature trees over open nodes, from the leaves up to where each tree has FAN nodes at most.
 
     Nodes that a probe connects, directly or through others, make a tree.  In a tree they are ordered by size band, component (those alone in theirs first),
     and runs that can be common; so whole components and weak nodes share leaves, and their bounds leave them early."""
@@ -468,7 +468,7 @@ def _levels(opened: DataFrame) -> list[DataFrame]:
     groups = numbered.groupBy("tree", "width", F.expr(f"at div {LEAF}").alias("place")).agg(F.collect_list(member).alias("sets"))  # LEAF sets at most
     levels = [stage(_leaf_rows(groups), "leaves")]
     below = F.collect_list(F.struct(*[c.split()[0] for c in SUMMARY.split(", ")])).alias("below")  # FAN nodes at most
-    while (levels[-1].groupBy("tree").count().agg(F.max("count").alias("n")).first()["n"] or 0) > FAN:
+    while inner and (levels[-1].groupBy("tree").count().agg(F.max("count").alias("n")).first()["n"] or 0) > FAN:
         levels.append(stage(_inner_rows(levels[-1].groupBy("tree", F.expr(f"place div {FAN}").alias("place")).agg(below)), "inner"))
     return levels
 
@@ -591,7 +591,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # second round: leaves with themselves, which settles most; third round: all that is still open, from the top of the trees down
     info = with_classes(first)
     opened = _reopened(near.join(_open(probes, info), "node", "left_semi"), info)
-    leaves = _levels(opened)[0]
+    leaves = _levels(opened, inner=False)[0]
     own = leaves.filter("first <> last").select("tree", F.col("place").alias("l"), F.col("place").alias("r"))
     links = first.unionByName(_links_of(own, leaves, near, info))
     info = with_classes(links)

@@ -158,3 +158,14 @@ def test_edge_cases(spark):
     assert got == sorted([x for x in want if x not in copies], key=str)
     assert op.keep_one(empty(spark)).count() == 0
     assert op.jaccard_classes(empty(spark)).count() == 0
+
+
+def test_links_that_are_stars_need_no_round(spark, monkeypatch):
+    from ledgerlink.llm import components as module
+    written = []
+    real = module.stage
+    monkeypatch.setattr(module, "stage", lambda df, name: written.append(name) or real(df, name))
+    rows = module.components(spark.createDataFrame([(5, 1), (1, 7), (9, 3), (4, 4)], "a bigint, b bigint")).collect()
+    assert {tuple(r) for r in rows} == {(1, 1), (5, 1), (7, 1), (3, 3), (9, 3)} and written == ["links"]
+    path = module.components(spark.createDataFrame([(i, i + 1) for i in range(20)], "a bigint, b bigint")).collect()
+    assert {tuple(r) for r in path} == {(i, 0) for i in range(21)}
