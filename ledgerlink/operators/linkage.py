@@ -91,7 +91,7 @@ def prepare_source2(df: DataFrame, block_chars: int = 6) -> DataFrame:
 # --------------------------------------------------------------------------- collapse
 
 #: Names whose rows hold more characters of lists than this (and ROW_CHARS for each row) are taken apart item by item.
-HOT_CHARS, ROW_CHARS = 1 << 20, 64
+HOT_CHARS, ROW_CHARS = 1 << 15, 64
 
 
 def collapse_side(prepared: DataFrame, sfx: str, match_blank: bool = False, hot_chars: int = HOT_CHARS) -> DataFrame:

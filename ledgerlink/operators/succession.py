@@ -50,7 +50,7 @@ def _open_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     holders = both.groupBy("name").agg(F.count_if(F.col("tag") == "old").alias("o"), F.count_if(F.col("tag") == "new").alias("n"), F.min(KEY).alias("x"), F.max(KEY).alias("y"))
     shared = holders.filter("o > 1 or n > 1 or x <> y").select("name")
     keys = stage(both.join(shared, "name", "left_semi").select(KEY).distinct(), "open-keys")
-    return stage(both.join(keys, KEY, "left_semi"), "open-names")
+    return stage(both.join(keys, KEY, "left_semi").select("tag", KEY, "name"), "open-names")
 
 
 def entity_succession(old: DataFrame, new: DataFrame) -> DataFrame:
