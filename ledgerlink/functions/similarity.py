@@ -100,11 +100,9 @@ def _arrow_lcs_udf():
 
     pop8 = np.array([bin(i).count("1") for i in range(256)], dtype=np.int64)
 
-    def codes(strings, width):
-        out = np.zeros((len(strings), width), dtype=np.uint32)
-        for r, s in enumerate(strings):
-            if s:
-                out[r, :len(s)] = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)
+    def codes(strings, lengths):
+        out = np.zeros((len(strings), int(lengths.max())), dtype=np.uint32)
+        out[np.arange(out.shape[1]) < lengths[:, None]] = np.frombuffer("".join(strings).encode("utf-32-le"), dtype=np.uint32)
         return out
 
     def lcs_words(x, y):
@@ -130,23 +128,26 @@ def _arrow_lcs_udf():
         ls, ll = np.minimum(la, lb), np.maximum(la, lb)
         one_word = np.nonzero((ls <= 62) & (ls > 0))[0]
         if len(one_word):
+            one_word = one_word[np.argsort(-ll[one_word], kind="stable")]  # longest first: rows that still have characters stand in front
             k = len(one_word)
             sl, ln = ls[one_word], ll[one_word]
-            cs, cl = codes(short[one_word], int(sl.max())), codes(long_[one_word], int(ln.max()))
-            alphabet, inverse = np.unique(np.concatenate([cs.ravel(), cl.ravel()]), return_inverse=True)
-            inverse = inverse.reshape(-1)
-            cs_i, cl_i = inverse[:cs.size].reshape(cs.shape), inverse[cs.size:].reshape(cl.shape)
-            rows = np.arange(k)
-            masks = np.zeros((k, len(alphabet)), dtype=np.uint64)
-            for i in range(cs.shape[1]):          # one pass per character position of the shorter string
-                live = rows[sl > i]
-                masks[live, cs_i[live, i]] |= np.uint64(1) << np.uint64(i)
+            cs, cl = codes(short[one_word], sl), codes(long_[one_word], ln)
+            seen = np.zeros(int(max(cs.max(), cl.max())) + 1, dtype=bool)  # numbers the characters without sorting them
+            seen[0] = seen[cs] = seen[cl] = True
+            number = np.cumsum(seen) - 1
+            base = np.arange(k) * (int(number[-1]) + 1)
+            cs_i, cl_i = base + number[cs.T], base + number[cl.T]
+            masks = np.zeros(k * (int(number[-1]) + 1), dtype=np.uint64)
+            for i in range(len(cs_i)):            # one pass per character position of the shorter string
+                live = cs_i[i][sl > i]
+                masks[live] |= np.uint64(1) << np.uint64(i)
             full = (np.uint64(1) << sl.astype(np.uint64)) - np.uint64(1)
             v = full.copy()
-            for j in range(cl.shape[1]):          # one step per character position of the longer string
-                m = masks[rows, cl_i[:, j]]
-                u = v & m
-                v = np.where(ln > j, ((v + u) | (v - u)) & full, v)
+            left = np.searchsorted(-ln, -np.arange(len(cl_i)))  # how many have a character at a position
+            for j, n_j in enumerate(left):        # one step per character position of the longer string
+                w = v[:n_j]
+                u = w & masks[cl_i[j, :n_j]]
+                v[:n_j] = ((w + u) | (w - u)) & full[:n_j]
             ones = pop8[v.view(np.uint8)].reshape(k, 8).sum(axis=1)
             out[one_word] = sl - ones
         for r in np.nonzero(ls > 62)[0]:

@@ -65,17 +65,32 @@ def _tidy_list(c: Column | str) -> Column:
 _WS_CHARACTERS = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
+# the same without the blank, as a class that is only looked at for text beyond ASCII's printable characters
+_WS_BUT_BLANK = r"[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def _untidy(text: Column) -> Column:
+    """Whether a list may have something to trim or drop: an empty item, a blank next to a delimiter or an end,
+    or another kind of white space anywhere.  Plain searches; the classes are one comparison a character for most text."""
+    ended = F.concat(F.lit(LIST_DELIMITER), text, F.lit(LIST_DELIMITER))
+    return (ended.contains("||") | ended.contains("| ") | ended.contains(" |")
+            | (text.rlike("[^ -~]") & text.rlike(_WS_BUT_BLANK)))
+
+
 def parse_list(c: Column | str) -> Column:
-    """Pipe-delimited text -> array<string>: null/'' -> [], items trimmed, blank items dropped."""
-    items = F.transform(F.split(F.coalesce(_col(c), F.lit("")), r"\|"), lambda x: F.trim(x, F.lit(_WS_CHARACTERS)))
-    return F.filter(items, lambda x: x != "")
+    """Pipe-delimited text -> array<string>: null/'' -> [], items trimmed, blank items dropped.
+    Item by item (interpreted lambdas) only where the text has something to trim or drop."""
+    text = F.coalesce(_col(c), F.lit(""))
+    items = F.split(text, r"\|")
+    trimmed = F.filter(F.transform(items, lambda x: F.trim(x, F.lit(_WS_CHARACTERS))), lambda x: x != "")
+    return F.when(_untidy(text), trimmed).otherwise(items)
 
 
 def list_size(c: Column | str) -> Column:
-    """Number of non-blank items of a pipe list (0 for null or '')."""
-    tidy = _tidy_list(c)
-    return F.when(tidy == "", F.lit(0)).otherwise(
-        F.char_length(tidy) - F.char_length(F.regexp_replace(tidy, r"\|", "")) + F.lit(1))
+    """Number of non-blank items of a pipe list (0 for null or ''); tidied first only where it isn't tidy."""
+    items = lambda text: F.char_length(text) - F.char_length(F.replace(text, F.lit(LIST_DELIMITER), F.lit(""))) + F.lit(1)
+    text, tidy = F.coalesce(_col(c), F.lit("")), _tidy_list(c)
+    return F.when(~_untidy(text), items(text)).when(tidy == "", F.lit(0)).otherwise(items(tidy))
 
 
 def block_key(clean: Column | str, chars: int = 6) -> Column:

@@ -148,7 +148,9 @@ def _collapsed(rows: DataFrame, keys: list[str], lists: list[str], least, greate
     out = rows.repartition(*keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias(f"n_rows_{sfx}"), *[F.min(f"_own.{c}").alias(c) for c in least], *[F.max(f"_own.{c}").alias(c) for c in greatest],
         *[F.max(F.col(c).isNotNull()).alias(f"_has_{c}") for c in lists], *[F.collect_list(c).alias(c) for c in lists])
-    return out.withColumns({c: F.sort_array(F.array_distinct(parse_list(F.array_join(c, LIST_DELIMITER)))) for c in lists})
+    # joined in a step of its own, so that the text is made once for the tests and the split of ``parse_list``
+    out = out.withColumns({c: F.array_join(c, LIST_DELIMITER) for c in lists})
+    return out.withColumns({c: F.sort_array(F.array_distinct(parse_list(c))) for c in lists})
 
 
 def _collapsed_by_item(rows: DataFrame, keys: list[str], lists: list[str], least, greatest, sfx: str) -> DataFrame:
@@ -305,22 +307,23 @@ def pruned_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float, b
     for sfx, names in (("s1", unlinked1), ("s2", unlinked2)):
         keys = _fuzzy_keys(names, sfx, block_chars)
         lo, hi = partner_length_range(F.col(f"len_{sfx}"), threshold)
-        sides[sfx] = keys.withColumns({f"_lo_{sfx}": lo, f"_hi_{sfx}": hi, "_elements": pruning.elements(F.col(f"sorted_{sfx}"))}).withColumn(
-            f"_sig_{sfx}", pruning.signature("_elements"))
+        sides[sfx] = keys.withColumns({f"_lo_{sfx}": lo, f"_hi_{sfx}": hi, "_counts": pruning.occurrences(f"sorted_{sfx}")}).withColumn(
+            f"_sig_{sfx}", pruning.signature("_counts", f"len_{sfx}")).drop("_counts")
     hot = pairs_per_task and _most_pairs(unlinked1, unlinked2, block_chars) > pairs_per_task
     formed = F.lit(True)
     if hot:
         for sfx, keys in sides.items():
             index = pruning.index_elements("_elements", F.col(f"len_{sfx}"), F.col(f"_lo_{sfx}"), threshold)
             # written once: the grid's counts and the join read it
+            keys = keys.withColumn("_elements", pruning.elements(F.col(f"sorted_{sfx}")))
             keys = cut_lineage(keys.withColumn(f"_index_{sfx}", index).drop("_elements"), f"index-{sfx}")
             sides[sfx] = keys.withColumn("_element", F.explode(f"_index_{sfx}"))
         left, right, on = _salt_grid(sides["s1"], sides["s2"], ["block", "_element"], pairs_per_task)
         formed = F.col("_element") == F.array_min(F.array_intersect("_index_s1", "_index_s2"))
     else:
         band = lambda c: F.floor(F.col(c) / int(length_band)).cast("int")
-        left = sides["s1"].drop("_elements").withColumn("_band", F.explode(F.sequence(band("_lo_s1"), band("_hi_s1"))))
-        right, on = sides["s2"].drop("_elements").withColumn("_band", band("len_s2")), ["block", "_band"]
+        left = sides["s1"].withColumn("_band", F.explode(F.sequence(band("_lo_s1"), band("_hi_s1"))))
+        right, on = sides["s2"].withColumn("_band", band("len_s2")), ["block", "_band"]
     meets = (F.col("len_s2").between(F.col("_lo_s1"), F.col("_hi_s1")) & formed
              & pruning.can_reach("_sig_s1", "_sig_s2", F.col("len_s1"), F.col("len_s2"), threshold))
     # inside coalesce, so that the optimizer doesn't infer null checks that compute the signatures again below the join

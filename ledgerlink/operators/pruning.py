@@ -30,20 +30,24 @@ SLACK = 1e-6
 def elements(name: Column) -> Column:
     """The name's characters numbered by occurrence, in index order: place of the character less 64 for each occurrence so far,
     so that the n-th of a kind stands before the (n-1)-th of any."""
-    letters = F.array_sort(F.filter(F.split(name, ""), lambda c: c != ""))
+    letters = F.sort_array(F.filter(F.split(name, ""), lambda c: c != ""))
     # bound once as an array of one: a lambda would sort the letters anew for every letter
-    numbered = F.transform(F.array(letters), lambda all_: F.array_sort(F.transform(
+    numbered = F.transform(F.array(letters), lambda all_: F.sort_array(F.transform(
         all_, lambda c, i: F.instr(F.lit(CHARACTERS), c) - F.lit(64) * (i + F.lit(2) - F.array_position(all_, c)).cast("int"))))
     return F.get(numbered, F.lit(0))
 
 
-def signature(of: str) -> Column:
-    """struct(w0..w3, rest) of the column ``of`` of elements: their bits, and how many have none."""
-    place = "(pmod(e, 64) - 1)"
-    has_bit = f"pmod(e, 64) - e <= {64 * OCCURRENCES}"
-    words = [F.expr(f"aggregate({of}, 0L, (acc, e) -> if({has_bit} AND {place} div {PER_WORD} = {w}, "
-                    f"acc | shiftleft(1L, cast({place} % {PER_WORD} * {OCCURRENCES} + (pmod(e, 64) - e) div 64 - 1 AS INT)), acc))").alias(f"w{w}") for w in range(WORDS)]
-    return F.struct(*words, F.expr(f"size(filter({of}, e -> NOT ({has_bit})))").alias("rest"))
+def occurrences(name: str) -> Column:
+    """How often each of ``CHARACTERS`` occurs in the column ``name``, at most ``OCCURRENCES``: one native pass over
+    the text for each, whatever its length, instead of a sort and a look-up for each of its characters."""
+    return F.expr(f"transform(split('{CHARACTERS}', ''), c -> least(char_length({name}) - char_length(replace({name}, c, '')), {OCCURRENCES}))")
+
+
+def signature(counts: str, length: str) -> Column:
+    """struct(w0..w3, rest) of a name by its columns of ``occurrences`` and length: a bit for each, and how many characters have none."""
+    words = [F.expr(f"aggregate(slice({counts}, {w * PER_WORD + 1}, {PER_WORD}), 0L, "
+                    f"(acc, n) -> shiftleft(acc, {OCCURRENCES}) | (shiftleft(1L, n) - 1L))").alias(f"w{w}") for w in range(WORDS)]
+    return F.struct(*words, F.expr(f"{length} - aggregate({counts}, 0, (acc, n) -> acc + n)").alias("rest"))
 
 
 def most_common_characters(a: str, b: str) -> Column:

@@ -12,6 +12,8 @@ batches of the same registry for upsert runs.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,24 @@ def _sorted_set(c: Column | str) -> Column:
     return F.array_join(F.sort_array(F.collect_set(c)), "|")
 
 
+def _hundredths(c: str, digits: int) -> Column:
+    """The double ``c`` as decimal(digits, 2), in hundredths, as a long.  A double that is nearest to a number of
+    hundredths (of fewer than 15 digits, so to one only) stands for just that number; all others are converted by their text."""
+    x = F.col(c)
+    near = F.rint(x * F.lit(100.0))
+    exact = (F.abs(x) < F.lit(10.0 ** min(digits - 2, 11))) & (near / F.lit(100.0) == x)
+    return F.when(exact, near.cast("bigint")).otherwise((x.cast(f"decimal({digits},2)") * F.lit(100)).cast("bigint"))
+
+
+def _product_sum(price: Column, factor: Column) -> Column:
+    """Exact sum of price * factor, both in hundredths, as a decimal of scale 4.  Longs are summed, of the price's
+    millions and of what is left: a sum has room for 460,000 rows of the greatest price and factor, and for more of any others."""
+    part = lambda p: F.sum(p * factor).cast("decimal(20,0)")
+    rest = price % F.lit(1_000_000)
+    millions = F.floor((price - rest) / F.lit(1_000_000))  # whole, and below 2^53: the division is exact
+    return part(millions) * F.lit(Decimal("100")) + part(rest) * F.lit(Decimal("0.0001"))
+
+
 def _spelling(x: Column, key: Column, offset: int) -> Column:
     """One of four ways to write a name that clean alike: shouted, with the suffix in front, in
     brackets behind, or with slashes for blanks."""
@@ -81,12 +101,12 @@ def source2(spark: SparkSession, sf_dir: str, shipped_before: str | None = None)
     part, lineitem = _as_of(spark, sf_dir, shipped_before)
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
-    price = F.col("l_extendedprice").cast("decimal(15,2)")
-    disc = F.col("l_discount").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
-    finance = (lineitem.groupBy("l_partkey")
-               .agg(F.sum(price * (F.lit(1) - disc)).alias("rev"),
-                    F.sum(price * (F.lit(0.12).cast("decimal(4,2)") - disc - tax)).alias("prof"))
+    price, disc, tax = F.col("_price"), F.col("_disc"), F.col("_tax")  # in hundredths
+    finance = (lineitem.select("l_partkey", _hundredths("l_extendedprice", 15).alias("_price"),
+                               _hundredths("l_discount", 4).alias("_disc"), _hundredths("l_tax", 4).alias("_tax"))
+               .groupBy("l_partkey")
+               .agg(_product_sum(price, F.lit(100) - disc).alias("rev"),
+                    _product_sum(price, F.lit(12) - disc - tax).alias("prof"))
                .withColumnRenamed("l_partkey", "f_partkey"))
     customers = (lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
                  .join(customer, F.col("o_custkey") == F.col("c_custkey"))

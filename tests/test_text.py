@@ -41,3 +41,20 @@ def test_block_and_sort(spark):
     assert one(spark, lambda c: block_key(c, 6), "acme widgets") == "acme w"
     assert one(spark, lambda c: block_key(c, 6), "abc") == "abc"
     assert one(spark, sort_tokens, "world hello 42") == "42 hello world"
+
+
+@pytest.mark.parametrize("raw,items", [
+    ("a b|c", ["a b", "c"]), ("a\t|b", ["a", "b"]), ("a| b", ["a", "b"]), ("　a|b ", ["a", "b"]), ("é x|b\n", ["é x", "b"]),
+    ("a b|c |d", ["a b", "c", "d"]), ("a|b|", ["a", "b"]), (" ", []), ("|a", ["a"]), ("a\tb|c", ["a\tb", "c"]),
+])
+def test_lists_that_need_trimming_or_not(spark, raw, items):
+    assert one(spark, parse_list, raw) == items
+    assert one(spark, list_size, raw) == len(items)
+
+
+def test_a_tidy_list_is_only_searched(spark):
+    """What has nothing to trim or drop is told apart without a look at each item."""
+    from ledgerlink.functions.text import _untidy
+    rows = [("a|b", False), ("SAUDI ARABIA|é x", False), ("", True), ("a||b", True), ("a| b", True), ("a |b", True), ("a|", True), ("a |b", True)]
+    got = spark.createDataFrame(rows, "v string, w boolean").select("w", _untidy(F.col("v")).alias("u")).collect()
+    assert all(r["u"] == r["w"] for r in got)
