@@ -38,6 +38,11 @@ def _sources(spark: SparkSession, sf: str, batch: str = "batch_001", cutoff: str
     return fixtures.company_sources(spark, sf, batch, cutoff)
 
 
+def _written_sources(spark: SparkSession, sf: str):
+    """Both lists for a query that reads them more than once: made and written once."""
+    return [store.stage(rows, "source") for rows in _sources(spark, sf)]
+
+
 def _entities(spark: SparkSession, sf: str, batch: str = "batch_001", cutoff: str | None = None) -> DataFrame:
     s1, s2 = _sources(spark, sf, batch, cutoff)
     return linkage.resolve_entities(s1, s2, THRESHOLD)
@@ -186,13 +191,13 @@ def q_harmonized_registry(spark, sf):
 
 
 def q_link_rows(spark, sf):
-    s1, s2 = _sources(spark, sf)
+    s1, s2 = _written_sources(spark, sf)
     return linkage.link_rows(s1, s2, linkage.resolve_entities(s1, s2, THRESHOLD))
 
 
 def q_duplicate_keys(spark, sf):
     """Registry keys carried by more than one input row (consolidated entities)."""
-    s1, s2 = _sources(spark, sf)
+    s1, s2 = _written_sources(spark, sf)
     rows = linkage.link_rows(s1, s2, linkage.resolve_entities(s1, s2, THRESHOLD))
     return upsert.duplicate_keys(rows)
 
@@ -275,7 +280,7 @@ def q_match_type_counts(spark, sf):
 
 
 def q_reconciliation(spark, sf):
-    s1, s2 = _sources(spark, sf)
+    s1, s2 = _written_sources(spark, sf)
     return reporting.reconciliation_report(s1, s2, harmonize_records(linkage.resolve_entities(s1, s2, THRESHOLD), RUN_TS))
 
 
@@ -295,7 +300,7 @@ def q_block_stats(spark, sf):
 
 
 def q_consolidation_drift(spark, sf):
-    s1, s2 = _sources(spark, sf)
+    s1, s2 = _written_sources(spark, sf)
     cfg = RunConfig()
     staged = harmonize_records(linkage.resolve_entities(s1, s2, THRESHOLD), RUN_TS)
     return reporting.drift_band(reporting.consolidation_ratio(s1, s2, staged), "consolidation_ratio",
