@@ -7,7 +7,8 @@ Plan shape (all declarative, Catalyst picks the physical joins):
    name and list item first, so a name carried by a third of all rows costs its distinct items, not its rows).
    Rows with a blank clean name cannot be linked; they collapse per identical content.
 3. exact links and what is left: one full outer join on the name, 1:1 by construction.
-4. fuzzy links between still-unlinked names: equi-join on (block, indexed character), with
+4. fuzzy links between still-unlinked names: equi-join on the block, on (block, length band) or, where blocks are
+   large, on (block, indexed character), with
    the exact partner-length window and a character signature as residual conditions.  All of
    it is exact pruning (``pruned_pairs``): a pair can only reach the threshold if it has
    threshold*(la+lb)/200 characters in common.  Keys holding more pairs than a per-task
@@ -293,23 +294,35 @@ def candidate_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float
     return pairs.drop("_band", "_c1", "_c2", "_lo", "_hi")
 
 
+#: Blocks of up to so many pairs are joined whole: testing the pairs of other lengths costs less than a name's copies for its length bands.
+WHOLE_BLOCK_PAIRS = 1 << 16
+
+
 def pruned_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float, block_chars: int = 6,
-                 pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK, length_band: int = 4) -> DataFrame:
+                 pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK, length_band: int = 4, lcs_engine: str | None = None,
+                 whole_block_pairs: int = WHOLE_BLOCK_PAIRS) -> DataFrame:
     """The pairs of ``candidate_pairs`` that have enough characters in common to reach the threshold (see ``pruning``).
 
-    Where no block can hold more than ``pairs_per_task`` pairs, names meet on (block, length band).  Otherwise they meet on
+    Where no block can hold more than ``whole_block_pairs`` pairs, names meet on the block, each shuffled once; where none can
+    hold more than ``pairs_per_task``, on (block, length band).  Otherwise they meet on
     (block, indexed element), where a pair is formed by the first element it shares, and keys that still hold too many are split into a
     grid; shuffled are then a name's copies for its indexed elements, about a quarter of its characters at threshold 85.  Either
-    way the length window and the signature are tested in generated code before anything is scored, and the pairs are the same."""
+    way the length window and the signature are tested in generated code before anything is scored, and the pairs are the same.
+    The signatures are made like the scores: in Arrow batches, or by higher-order expressions with the engine 'jvm'."""
     if threshold <= 0:
         return candidate_pairs(unlinked1, unlinked2, threshold, block_chars, pairs_per_task, length_band)
     sides = {}
     for sfx, names in (("s1", unlinked1), ("s2", unlinked2)):
         keys = _fuzzy_keys(names, sfx, block_chars)
         lo, hi = partner_length_range(F.col(f"len_{sfx}"), threshold)
-        sides[sfx] = keys.withColumns({f"_lo_{sfx}": lo, f"_hi_{sfx}": hi, "_counts": pruning.occurrences(f"sorted_{sfx}")}).withColumn(
-            f"_sig_{sfx}", pruning.signature("_counts", f"len_{sfx}")).drop("_counts")
-    hot = pairs_per_task and _most_pairs(unlinked1, unlinked2, block_chars) > pairs_per_task
+        keys = keys.withColumns({f"_lo_{sfx}": lo, f"_hi_{sfx}": hi})
+        if (lcs_engine or DEFAULT_LCS_ENGINE) == "arrow":
+            sides[sfx] = keys.withColumn(f"_sig_{sfx}", pruning.signature_arrow(f"sorted_{sfx}"))
+        else:
+            counts = keys.withColumn("_counts", pruning.occurrences(f"sorted_{sfx}"))
+            sides[sfx] = counts.withColumn(f"_sig_{sfx}", pruning.signature("_counts", f"len_{sfx}")).drop("_counts")
+    most = _most_pairs(unlinked1, unlinked2, block_chars)
+    hot = pairs_per_task and most > pairs_per_task
     formed = F.lit(True)
     if hot:
         for sfx, keys in sides.items():
@@ -320,6 +333,8 @@ def pruned_pairs(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float, b
             sides[sfx] = keys.withColumn("_element", F.explode(f"_index_{sfx}"))
         left, right, on = _salt_grid(sides["s1"], sides["s2"], ["block", "_element"], pairs_per_task)
         formed = F.col("_element") == F.array_min(F.array_intersect("_index_s1", "_index_s2"))
+    elif most <= whole_block_pairs:
+        left, right, on = sides["s1"], sides["s2"], ["block"]
     else:
         band = lambda c: F.floor(F.col(c) / int(length_band)).cast("int")
         left = sides["s1"].withColumn("_band", F.explode(F.sequence(band("_lo_s1"), band("_hi_s1"))))
@@ -335,7 +350,7 @@ def pruning_statistics(unlinked1: DataFrame, unlinked2: DataFrame, threshold: fl
                        lcs_engine: str | None = None) -> DataFrame:
     """Per block that both sides have: names, pairs of the block, pairs that are scored, pairs that reach the threshold."""
     count = lambda df, sfx: df.groupBy(block_key(f"clean_name_{sfx}", block_chars).alias("block")).agg(F.count("*").alias(f"names_{sfx}"))
-    scored = score_pairs(pruned_pairs(unlinked1, unlinked2, threshold, block_chars), lcs_engine or DEFAULT_LCS_ENGINE)
+    scored = score_pairs(pruned_pairs(unlinked1, unlinked2, threshold, block_chars, lcs_engine=lcs_engine), lcs_engine or DEFAULT_LCS_ENGINE)
     per = scored.groupBy("block").agg(F.count("*").alias("pairs_scored"), F.count_if(F.col("name_score") >= F.lit(float(threshold))).alias("pairs_passing"))
     whole = lambda c: F.col(c).cast("decimal(19,0)")
     return (count(unlinked1, "s1").join(count(unlinked2, "s2"), "block").join(per, "block", "left").na.fill(0, ["pairs_scored", "pairs_passing"])
@@ -374,7 +389,7 @@ def fuzzy_links(unlinked1: DataFrame, unlinked2: DataFrame, threshold: float,
                 block_chars: int = 6, pairs_per_task: int | None = DEFAULT_PAIRS_PER_TASK,
                 lcs_engine: str = DEFAULT_LCS_ENGINE) -> DataFrame:
     best = best_partners(score_pairs(pruned_pairs(unlinked1, unlinked2, threshold, block_chars,
-                                                  pairs_per_task), lcs_engine), threshold)
+                                                  pairs_per_task, lcs_engine=lcs_engine), lcs_engine), threshold)
     return (best.join(unlinked1, "clean_name_s1").join(unlinked2, "clean_name_s2")
             .withColumns({"match_type": F.lit("fuzzy_name"),
                           "match_confidence": F.col("name_score")}))
@@ -444,7 +459,7 @@ def resolve_from_groups(g1: DataFrame, g2: DataFrame, threshold: float = 85.0, b
     exact = both.filter(in1 & in2).withColumns({"match_type": F.lit("exact_name"), "match_confidence": F.lit(100.0),
                                                 "name_score": F.lit(None).cast("double")})
     u1, u2 = both.filter(in1 & ~in2).select(*g1.columns), both.filter(in2 & ~in1).select(*g2.columns)
-    scored = score_pairs(pruned_pairs(named(u1, "s1"), named(u2, "s2"), threshold, block_chars, pairs_per_task), lcs_engine)
+    scored = score_pairs(pruned_pairs(named(u1, "s1"), named(u2, "s2"), threshold, block_chars, pairs_per_task, lcs_engine=lcs_engine), lcs_engine)
     best = stable_partners(scored, threshold) if one_to_one else best_partners(scored, threshold)
     if materialize:
         best = cut_lineage(best, "best")

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +51,37 @@ def signature(counts: str, length: str) -> Column:
     return F.struct(*words, F.expr(f"{length} - aggregate({counts}, 0, (acc, n) -> acc + n)").alias("rest"))
 
 
+def _arrow_signature_udf():
+    """Built inside a function so the UDF pickles by value (executors need no copy of this package)."""
+    import numpy as np
+
+    characters, most, per_word, n_words = CHARACTERS, OCCURRENCES, PER_WORD, WORDS
+    number = np.full(129, len(characters), dtype=np.int64)  # of a character by its code; codes from 128 on count as 128
+    number[[ord(c) for c in characters]] = np.arange(len(characters))
+
+    def signatures(names: pd.Series) -> pd.DataFrame:
+        names = names.fillna("").to_numpy(dtype=object)
+        n, kinds = len(names), len(characters) + 1
+        lengths = np.fromiter((len(x) for x in names), dtype=np.int64, count=n)
+        codes = np.frombuffer("".join(names).encode("utf-32-le"), dtype=np.uint32)
+        places = np.repeat(np.arange(n) * kinds, lengths) + number[np.minimum(codes, 128)]
+        counts = np.minimum(np.bincount(places, minlength=n * kinds).reshape(n, kinds)[:, :-1], most)
+        bits, out = (np.int64(1) << counts) - 1, {}
+        for w in range(n_words):
+            word = np.zeros(n, dtype=np.int64)
+            for column in bits[:, w * per_word:(w + 1) * per_word].T:
+                word = (word << most) | column
+            out[f"w{w}"] = word
+        return pd.DataFrame({**out, "rest": (lengths - counts.sum(axis=1)).astype(np.int32)})
+
+    return F.pandas_udf(signatures, ", ".join([f"w{w} bigint" for w in range(n_words)] + ["rest int"]))
+
+
+def signature_arrow(name: Column | str) -> Column:
+    """The same struct from the column ``name`` itself, counted for all names of an Arrow batch at once."""
+    return _arrow_signature_udf()(F.col(name) if isinstance(name, str) else name)
+
+
 def most_common_characters(a: str, b: str) -> Column:
     """Upper bound of the characters that two names (by their signature columns) have in common."""
     shared = [F.bit_count(F.col(f"{a}.w{w}").bitwiseAND(F.col(f"{b}.w{w}"))) for w in range(WORDS)]

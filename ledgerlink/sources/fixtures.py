@@ -108,8 +108,9 @@ def source2(spark: SparkSession, sf_dir: str, shipped_before: str | None = None)
                .agg(_product_sum(price, F.lit(100) - disc).alias("rev"),
                     _product_sum(price, F.lit(12) - disc - tax).alias("prof"))
                .withColumnRenamed("l_partkey", "f_partkey"))
-    customers = (lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-                 .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    # customers meet the orders, so that line items pass one exchange only before they are aggregated
+    segments = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_mktsegment")
+    customers = (lineitem.join(segments, F.col("l_orderkey") == F.col("o_orderkey"))
                  .groupBy("l_partkey").agg(_sorted_set("c_mktsegment").alias("main_customers"))
                  .withColumnRenamed("l_partkey", "y_partkey"))
     key = F.col("p_partkey")

@@ -67,6 +67,26 @@ def test_elements_are_numbered_characters(spark):
     assert sorted(pruning.CHARACTERS) == sorted("abcdefghijklmnopqrstuvwxyz0123456789 ")
 
 
+def test_small_blocks_are_joined_whole(spark):
+    """Each name is shuffled once there, without copies for length bands; the pairs are those of the bands."""
+    rng = random.Random(4)
+    n1, n2 = names(spark, "s1", company_names(rng, 50)), names(spark, "s2", company_names(rng, 50))
+    whole, bands = (L.pruned_pairs(n1, n2, 60.0, whole_block_pairs=n) for n in (1 << 16, 0))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_band" in plan(bands) and "_band" not in plan(whole)
+    rows = sorted(map(tuple, whole.collect()))
+    assert rows and rows == sorted(map(tuple, bands.collect()))
+
+
+def test_signatures_of_a_batch(spark):
+    """Counted for all names of an Arrow batch as by the expressions, name by name."""
+    rng = random.Random(8)
+    texts = ["", "q" * 9, "a\u00e9 \U0001f600 zz", "0 " * 70] + ["".join(rng.choice(pruning.CHARACTERS + "aaa\u00e9") for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "n string").withColumn("len", F.char_length("n")).withColumn("c", pruning.occurrences("n"))
+    for r in df.select("n", pruning.signature("c", "len").alias("one"), pruning.signature_arrow("n").alias("all")).collect():
+        assert r["one"] == r["all"], r["n"]
+
+
 def test_both_ways_of_meeting_give_the_same_entities(spark):
     from ledgerlink.sources import fixtures
     s1, s2 = fixtures.company_sources(spark, "/root/testdata/sf0.001")
